@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from strataline.llm import fingerprints, line_dedup, quality_rules, sentencepiece_codec, source_mixing
+from strataline.llm import fingerprints, jaccard_join, license_scan, line_dedup, quality_rules, rule_ensemble, sentencepiece_codec, source_mixing, suffix_dedup, toxicity
 
 
 def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -19,6 +19,14 @@ def op2_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_rules.report(documents(spark, sf_dir))
 
 
+def labels(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spark.read.parquet(f"{sf_dir}/labels.parquet")
+
+
+def op3_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return suffix_dedup.removal_digests(documents(spark, sf_dir))
+
+
 def op4_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return line_dedup.removals(documents(spark, sf_dir))
 
@@ -27,10 +35,28 @@ def op5_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
     return fingerprints.edited_report(documents(spark, sf_dir))
 
 
+def op6_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = documents(spark, sf_dir)
+    return rule_ensemble.scored(docs, rule_ensemble.train(docs, labels(spark, sf_dir)))
+
+
+def op7_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = documents(spark, sf_dir)
+    return toxicity.scored(docs, toxicity.train(docs, labels(spark, sf_dir)))
+
+
+def op8_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return jaccard_join.linked_classes(documents(spark, sf_dir))
+
+
 def op9_source_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return source_mixing.counted(documents(spark, sf_dir))
 
 
+def op10_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return license_scan.scan(documents(spark, sf_dir))
+
+
 _STOPS = ", ".join(f"'{w}'" for w in sorted({w for words in quality_rules.STOP_WORDS.values() for w in words}))
 
 #: A WITH list that ends in ``quality``: the columns of quality_rules.report() and the text.
@@ -64,9 +90,14 @@ SELECT DISTINCT later[1] AS doc_id, CAST(later[2] AS INTEGER) AS line_no, edits,
 QUERIES = {
     "op1_sentencepiece": op1_sentencepiece,
     "op2_quality_rules": op2_quality_rules,
+    "op3_suffix_dedup": op3_suffix_dedup,
     "op4_line_dedup": op4_line_dedup,
     "op5_fingerprints": op5_fingerprints,
+    "op6_quality_classifier": op6_quality_classifier,
+    "op7_toxicity": op7_toxicity,
+    "op8_jaccard_join": op8_jaccard_join,
     "op9_source_mixing": op9_source_mixing,
+    "op10_license_scan": op10_license_scan,
 }
 ORACLE_SQL = {
     "op2_quality_rules": f"WITH {QUALITY_SQL} SELECT {QUALITY_COLUMNS} FROM (SELECT *, NOT base_failed AND {_PASSED} AS kept FROM quality)",
