@@ -14,7 +14,7 @@ def exists(spark: SparkSession, path: str) -> bool:
 def last_wins(rows: DataFrame, key: str, value: str, position: Column | str) -> DataFrame:
     """The last row of each key by position."""
     place = F.col(position) if isinstance(position, str) else position
-    return rows.groupBy(key).agg(F.max_by(value, place).alias(value))
+    return rows.withColumn("__place", place).groupBy(key).agg(F.max_by(value, "__place").alias(value))
 
 
 def read_decisions(spark: SparkSession, path: str) -> DataFrame:
