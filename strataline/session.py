@@ -29,4 +29,19 @@ def materialise(df: DataFrame, name: str) -> DataFrame:
     spark = df.sparkSession
     path = f"{shared_dir(spark)}/{name}-{uuid.uuid4().hex}"
     df.write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+    out = spark.read.schema(df.schema).parquet(path)
+    out.__dict__["_written_to"] = path
+    return out
+
+
+def discard(*tables: DataFrame) -> None:
+    """Delete tables that materialise() wrote and that nothing will read again, and shuffle files with them."""
+    import gc
+
+    for df in tables:
+        spark = df.sparkSession
+        path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(df.__dict__["_written_to"])
+        path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
+    gc.collect()
+    if tables:  # shuffle files go when the driver's references to their plans do
+        tables[0].sparkSession.sparkContext._jvm.System.gc()
