@@ -11,9 +11,10 @@ are never paired. Classes are light up to a size, heavy beyond it:
 
 The boundary is the size for which the enumerated keys and the scanned entries cost least.
 
-Within a list, members are first compared with one pivot each. What is connected then needs no pairs of its
+Within a list, members are first compared with a pivot or two. What is connected then needs no pairs of its
 own: only pairs that cross two parts of a list are compared after that. So a large group of near copies
-costs a comparison for each member, while every link between two parts is still found.
+costs a comparison or two for each member, while every link between two parts is still found. Pairs are
+counted over the lists before their sets are read: linked sets share a known number of first shingles.
 
 Null and empty texts have no shingles and no links. Rows of one id are reported each. A null id takes part;
 it is never the smallest id of a component with others. Empty tables give empty results.
@@ -31,7 +32,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from strataline.llm.shingles import digest, mix, shingle_sets
-from strataline.session import materialise
+from strataline.session import discard, materialise
 
 #: Counters of the sketch, as a power of two. It is broadcast: 4 bytes each, whatever the input.
 SKETCH_BITS = 18
@@ -40,7 +41,11 @@ CHUNKS = 16
 MOST_LIGHT = 16
 #: A list of a shingle that is counted more often is dealt to several tasks.
 LIST_ROWS = 20_000
-ROUNDS = 2
+#: Pivots each list has, and each class is compared with at most.
+PIVOTS = 2
+#: Bits of the filter that tells tasks which sets are wanted, as a power of two. Its size is fixed; where it
+#: is full, more sets are sent than needed and the join drops them.
+FILTER_BITS = 23
 PERCENT = 75
 
 
@@ -156,7 +161,8 @@ def _entries(texts: DataFrame, sketch: np.ndarray, most_light: int, percent: int
                     first = np.argsort(load, kind="stable")[: probe_length(n, percent)]
                     split = (load[first].astype(np.int64) + LIST_ROWS - 1) // LIST_ROWS
                     keys.append(s[first].view(np.int64))
-                    parts.append((abs(c) % np.maximum(split, 1)).astype(np.int32))
+                    # 0: the whole list is in one part
+                    parts.append(np.where(split > 1, 1 + abs(c) % np.maximum(split, 1), 0).astype(np.int32))
                     places.append(np.arange(len(first), dtype=np.int32))
                     cs.append(np.full(len(first), c)), ns.append(np.full(len(first), n, np.int32))
             if keys:
@@ -212,18 +218,48 @@ def _light_links(lists: DataFrame) -> DataFrame:
     return rows.join(stars, "key").select(F.col("c").alias("a"), other.alias("b")).filter("b IS NOT NULL AND a <> b").distinct()
 
 
-def _sets(texts: DataFrame, wanted: DataFrame) -> DataFrame:
-    """c and the shingles, as bytes, of the wanted classes (doc_id, c)."""
+def _filter(classes: DataFrame) -> np.ndarray:
+    """A bit for each class, gathered in chunks; bounded by the filter's size."""
+    per_chunk = (1 << FILTER_BITS) // CHUNKS
+
+    def fold(pdf: pd.DataFrame) -> pd.DataFrame:
+        bits = np.zeros(per_chunk, bool)
+        bits[pdf["slot"].to_numpy() % per_chunk] = True
+        return pd.DataFrame({"chunk": [int(pdf["slot"].iloc[0]) // per_chunk], "bits": [np.packbits(bits).tobytes()]})
+
+    slots = classes.select(F.pmod("c", F.lit(1 << FILTER_BITS)).alias("slot")).distinct()
+    out = np.zeros((CHUNKS, per_chunk), bool)
+    for r in slots.groupBy(F.floor(F.col("slot") / per_chunk)).applyInPandas(fold, "chunk int, bits binary").collect():
+        out[r.chunk] = np.unpackbits(np.frombuffer(r.bits, np.uint8))
+    return np.packbits(out.ravel())
+
+
+def _sets(texts: DataFrame, classes: DataFrame) -> DataFrame:
+    """c and the shingles, as bytes, of the wanted classes.
+
+    The texts are read where they lie and not shuffled: each task keeps what the filter lets through.
+    """
+    shared = texts.sparkSession.sparkContext.broadcast(_filter(classes))
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        bits, done = np.unpackbits(shared.value).astype(bool), set()
         for pdf in batches:
-            yield pd.DataFrame({"c": pdf["c"], "shingles": [s.tobytes() for s in shingle_sets(_strings(pdf["text"]))]})
+            cs, found = [], []
+            for s in shingle_sets(_strings(pdf["text"])):
+                if len(s) and bits[(c := digest(s)[0]) % len(bits)] and c not in done:
+                    if len(done) >= 200_000:
+                        done.clear()
+                    done.add(c)
+                    cs.append(c), found.append(s.tobytes())
+            yield pd.DataFrame({"c": np.array(cs, np.int64), "shingles": found})
 
-    return texts.join(wanted, "doc_id").dropDuplicates(["c"]).select("c", "text").mapInPandas(run, "c bigint, shingles binary")
+    sets = texts.select("text").mapInPandas(run, "c bigint, shingles binary")
+    # Copies in several tasks give one set each; the least is taken as any would do.
+    return sets.join(classes.select("c").distinct(), "c", "left_semi").dropDuplicates(["c"])
 
 
-def _verified(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
-    """The pairs (a, b) with linked, whether they link."""
+def _verified(pairs: DataFrame, texts: DataFrame, percent: int) -> DataFrame:
+    """The pairs (a, b) that link, written."""
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for pdf in batches:
@@ -232,11 +268,16 @@ def _verified(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
                 x, y = np.frombuffer(x, np.uint64), np.frombuffer(y, np.uint64)
                 both = int(np.count_nonzero(y[np.minimum(np.searchsorted(y, x), len(y) - 1)] == x))
                 linked.append(100 * both >= percent * (len(x) + len(y) - both))
-            yield pd.DataFrame({"a": pdf["a"], "b": pdf["b"], "linked": linked})
+            yield pdf.loc[linked, ["a", "b"]]
 
+    pairs = materialise(pairs, "pairs")
+    classes = pairs.select(F.col("a").alias("c")).union(pairs.select("b")).distinct()
+    sets = materialise(_sets(texts, classes), "sets")
     x = sets.select(F.col("c").alias("a"), F.col("shingles").alias("x"))
     y = sets.select(F.col("c").alias("b"), F.col("shingles").alias("y"))
-    return pairs.join(x, "a").join(y, "b").mapInPandas(run, "a bigint, b bigint, linked boolean")
+    linked = materialise(pairs.join(x, "a").join(y, "b").mapInPandas(run, "a bigint, b bigint"), "linked")
+    discard(pairs, sets)
+    return linked
 
 
 def components(links: DataFrame) -> DataFrame:
@@ -252,59 +293,84 @@ def components(links: DataFrame) -> DataFrame:
         nearer = labels.join(seen, labels["c"] == seen["a"]).select("c", "label", F.least("label", "m").alias("next"))
         jumped = nearer.join(labels.select(F.col("c").alias("next"), F.col("label").alias("far")), "next", "left")
         moved = materialise(jumped.select("c", F.col("label").alias("old"), F.least("next", F.coalesce("far", "next")).alias("label")), "labels")
-        labels = moved.select("c", "label")
+        discard(labels)
+        labels = moved
         if moved.filter("old <> label").isEmpty():
-            return labels
+            discard(both)
+            return moved.select("c", "label")
 
 
 def _fits(n: Column, m: Column, percent: int) -> Column:
     return (100 * F.least(n, m) >= percent * F.greatest(n, m))
 
 
+def _rest(n: Column, percent: int) -> Column:
+    """Shingles of a set beyond its first few."""
+    return F.ceil(percent * n / 100) - 1
+
+
+def _least_shared(n: Column, m: Column, percent: int) -> Column:
+    """So many of their first few shingles two linked sets have in common.
+
+    Of two sets, take the one whose first few end earlier in the order: what both have up to there is
+    among the first few of both, and what they have beyond is not more than the rest of that set.
+    """
+    need = F.ceil(percent * (n + m) / (100 + percent))
+    return F.greatest(F.lit(1), need - F.greatest(_rest(n, percent), _rest(m, percent)))
+
+
+def _crossing(heavy: DataFrame, labels: DataFrame) -> DataFrame:
+    """Entries of lists that hold two labels or more, with the label that most entries have."""
+    parts = heavy.join(labels, "c", "left").withColumn("label", F.coalesce("label", "c"))
+    by_part = parts.groupBy("key", "label").agg(F.count("*").alias("rows"))
+    largest = by_part.groupBy("key").agg(F.max(F.struct("rows", "label")).alias("x"), F.count("*").alias("parts")).filter("parts > 1").select("key", F.col("x.label").alias("largest"))
+    return materialise(parts.join(largest, "key"), "crossing")
+
+
+def _pivot_pairs(mixed: DataFrame, percent: int) -> DataFrame:
+    """Each class with the pivots that it meets most, one for each of PIVOTS orders by chance.
+
+    A guess at what links, not a search: pairs that meet too seldom for it are left to the search.
+    """
+    out = None
+    for number in range(PIVOTS):
+        pivots = mixed.groupBy("key").agg(F.min_by(F.struct("c", "n", "label"), F.xxhash64("c", F.lit(number))).alias("p"))
+        met = mixed.join(pivots, "key").filter((F.col("label") != F.col("p.label")) & _fits(F.col("n"), F.col("p.n"), percent))
+        met = met.groupBy("c", F.col("p.c").alias("p")).agg(F.count("*").alias("times"), F.first(_least_shared(F.col("n"), F.col("p.n"), percent)).alias("least")).filter("4 * times >= least")
+        pairs = met.groupBy("c").agg(F.max(F.struct("times", "p")).alias("x")).select(F.least("c", "x.p").alias("a"), F.greatest("c", "x.p").alias("b"))
+        out = pairs if out is None else out.union(pairs)
+    return out.distinct()
+
+
+def _crossing_pairs(mixed: DataFrame, percent: int) -> DataFrame:
+    """All pairs of two labels that share enough of their first shingles to link."""
+    left = mixed.filter("label <> largest").select("key", F.col("c").alias("c1"), F.col("n").alias("n1"), F.col("label").alias("l1"))
+    right = mixed.select("key", F.col("c").alias("c2"), F.col("n").alias("n2"), F.col("label").alias("l2"), (F.col("label") == F.col("largest")).alias("main"))
+    # Two entries besides the main label meet twice; one of the meetings counts.
+    pairs = left.join(right, "key").filter((F.col("l1") != F.col("l2")) & (F.col("main") | (F.col("c1") < F.col("c2"))) & _fits(F.col("n1"), F.col("n2"), percent))
+    shared = pairs.groupBy(F.least("c1", "c2").alias("a"), F.greatest("c1", "c2").alias("b")).agg(F.count("*").alias("times"), F.first(_least_shared(F.col("n1"), F.col("n2"), percent)).alias("least"))
+    return shared.filter("times >= least").select("a", "b")
+
+
 def links(texts: DataFrame, profiles: DataFrame, percent: int = PERCENT) -> DataFrame:
     """Links (a, b) between classes whose components are those of all links."""
-    classes = profiles.filter("chunk < 0 AND n > 0").groupBy("d1").agg(F.min("doc_id").alias("doc_id"), F.min("n").alias("n"))
+    classes = profiles.filter("chunk < 0 AND n > 0").groupBy("d1").agg(F.min("n").alias("n"))
     sizes = {r.n: r["count"] for r in classes.filter(F.col("n") <= MOST_LIGHT).groupBy("n").count().collect()}
     lists = materialise(_in_lists(_entries(texts, _sketch(profiles), boundary(sizes, percent), percent)), "lists")
-    found = materialise(_light_links(lists), "links")
+    light = materialise(_light_links(lists), "links")
     # n as long numbers from here on, so that products cannot overflow
-    heavy = lists.filter("pos >= 0").select("key", "c", F.col("n").cast("bigint").alias("n"), "pos")
-    lone = heavy.groupBy("key").agg(F.min("c").alias("low"), F.max("c").alias("high")).filter("low <> high").select("key")
-    heavy = materialise(heavy.join(lone, "key", "left_semi"), "lists")
-    sets = materialise(_sets(texts, classes.join(heavy.select(F.col("c").alias("d1")).distinct(), "d1", "left_semi").select("doc_id", F.col("d1").alias("c"))), "sets")
-    told = None
-    labels = components(found)
-    for number in range(ROUNDS + 1):
-        parts = heavy.join(labels, "c", "left").withColumn("label", F.coalesce("label", "c"))
-        by_part = parts.groupBy("key", "label").agg(F.count("*").alias("rows"))
-        largest = by_part.groupBy("key").agg(F.max(F.struct("rows", "label")).alias("x"), F.count("*").alias("parts")).filter("parts > 1").select("key", F.col("x.label").alias("largest"))
-        mixed = materialise(parts.join(largest, "key"), "crossing")
-        if mixed.isEmpty():
-            break
-        if number < ROUNDS:
-            # A pivot for each list: its first member in an order by chance; each class then takes the one it meets most.
-            chance = F.xxhash64("c", F.lit(number))
-            pivots = mixed.groupBy("key").agg(F.min_by(F.struct("c", "n", "label"), chance).alias("p"))
-            met = mixed.join(pivots, "key").filter((F.col("label") != F.col("p.label")) & _fits(F.col("n"), F.col("p.n"), percent))
-            met = met.groupBy("c", F.col("p.c").alias("p")).agg(F.count("*").alias("times"))
-            pairs = met.groupBy("c").agg(F.max(F.struct("times", "p")).alias("x")).select(F.least("c", "x.p").alias("a"), F.greatest("c", "x.p").alias("b")).distinct()
-        else:
-            left = mixed.filter("label <> largest").select("key", F.col("c").alias("c1"), F.col("n").alias("n1"), F.col("pos").alias("p1"), F.col("label").alias("l1"))
-            right = mixed.select("key", F.col("c").alias("c2"), F.col("n").alias("n2"), F.col("pos").alias("p2"), F.col("label").alias("l2"))
-            need = F.ceil(percent * (F.col("n1") + F.col("n2")) / (100 + percent))
-            # The smaller set of a linked pair has a common shingle early on; the first one leaves room for the rest.
-            early = F.when(F.expr("n1 <= n2"), F.col("p1") <= F.col("n1") - F.ceil(2 * percent * F.col("n1") / (100 + percent))).otherwise(F.col("p2") <= F.col("n2") - F.ceil(2 * percent * F.col("n2") / (100 + percent)))
-            room = 1 + F.least(F.col("n1") - F.col("p1") - 1, F.col("n2") - F.col("p2") - 1) >= need
-            pairs = left.join(right, "key").filter((F.col("l1") != F.col("l2")) & _fits(F.col("n1"), F.col("n2"), percent) & early & room)
-            pairs = pairs.select(F.least("c1", "c2").alias("a"), F.greatest("c1", "c2").alias("b")).distinct()
-        if told is not None:
-            pairs = pairs.join(told, ["a", "b"], "left_anti")
-        checked = materialise(_verified(pairs, sets, percent), "checked")
-        told = checked.select("a", "b") if told is None else told.union(checked.select("a", "b"))
-        found = found.union(checked.filter("linked").select("a", "b"))
-        if number < ROUNDS:
-            labels = components(found)
-    return found
+    heavy = lists.filter("pos >= 0").select("key", "c", F.col("n").cast("bigint").alias("n"))
+    shared = heavy.groupBy("key").agg(F.min("c").alias("low"), F.max("c").alias("high")).filter("low <> high").select("key")
+    heavy = materialise(heavy.join(shared, "key", "left_semi"), "lists")
+    discard(lists)
+    mixed = _crossing(heavy, components(light))
+    guessed = _verified(_pivot_pairs(mixed, percent), texts, percent)
+    found = light.union(guessed)
+    discard(mixed)
+    mixed = _crossing(heavy, components(found))
+    searched = _verified(_crossing_pairs(mixed, percent), texts, percent)
+    discard(mixed, heavy)
+    return found.union(searched)
 
 
 def linked_classes(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", percent: int = PERCENT) -> DataFrame:
