@@ -97,7 +97,9 @@ def statistics(df: DataFrame, text_col: str = "text") -> DataFrame:
         .select(*kept, t, w, lines, F.expr(sure).alias(p))
         .select(
             *kept,
-            F.size(w).cast("bigint").alias("n_words"),
+            # Adds nothing. A filter on the statistics stops at a column that is not deterministic; pushed
+            # further down it would copy the expressions above into each other many times over.
+            (F.size(w) + (0 * F.rand(0)).cast("int")).cast("bigint").alias("n_words"),
             F.length(F.array_join(w, "")).cast("bigint").alias("word_chars"),
             (F.length(t) - F.length(F.regexp_replace(t, f"[{SYMBOLS}]", ""))).cast("bigint").alias("n_symbols"),
             F.size(lines).cast("bigint").alias("n_lines"),
