@@ -252,6 +252,8 @@ def repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") ->
     keyed = _keyed(docs, id_col, text_col)
     found = _anchors(keyed)
     counts = found.groupBy("anchor").agg(F.count("*").alias("n"), F.min("context").alias("x"), F.max("context").alias("y")).filter("n > 1").select("anchor", (F.col("x") != F.col("y")).alias("mixed"))
+    # Written, so that the join reads two shuffles and a frequent anchor's rows can be split among tasks.
+    counts = materialise(counts, "anchor-counts")
     several = materialise(found.join(counts, "anchor"), "anchors")
     span = [F.col("low").alias("begin"), (F.col("high") + WINDOW).alias("end")]
     uniform = several.filter("NOT mixed").select("k1", "k2", *span)
@@ -260,6 +262,7 @@ def repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") ->
     twice = mixed.join(kinds.filter("times > 1").select("anchor", "context"), ["anchor", "context"]).select("k1", "k2", *span)
     # An anchor whose contexts all occur twice has nothing left to compare.
     parts = kinds.groupBy("anchor").agg(F.ceil(F.count("*") / MOST_CONTEXTS).alias("parts"), F.min("times").alias("least")).filter("least = 1").select("anchor", "parts")
+    parts = materialise(parts, "anchor-parts")
     wanted = kinds.join(parts, "anchor").select("anchor", F.pmod(F.col("context"), F.col("parts")).cast("int").alias("part"), "parts", F.least("times", F.lit(2)).alias("times"), "x.*")
     by_text = wanted.groupBy("k1", "k2").agg(F.collect_list(F.struct("anchor", "part", "parts", "times", "low", "high", "spot")).alias("cuts"))
 
