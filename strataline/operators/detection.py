@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
 import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame
@@ -29,52 +31,78 @@ def overlaps(detections: DataFrame, truth: DataFrame, least: float = 0.5) -> Dat
     return d.join(g, ["image_id", "category_id"]).select("image_id", "category_id", "dt_id", "gt_id", "score", value.alias("iou")).filter(F.col("iou") >= least)
 
 
+def _claims(dt: np.ndarray, gt: np.ndarray, crowd: np.ndarray) -> tuple[dict[str, int], list[tuple]]:
+    """For one image and category, detections in order: objects that count for each area, and for each area,
+    threshold and detection whether it hits and whether it is left out."""
+    wide = np.maximum(0, np.minimum((dt[:, 0] + dt[:, 2])[:, None], gt[:, 0] + gt[:, 2]) - np.maximum(dt[:, 0][:, None], gt[:, 0]))
+    high = np.maximum(0, np.minimum((dt[:, 1] + dt[:, 3])[:, None], gt[:, 1] + gt[:, 3]) - np.maximum(dt[:, 1][:, None], gt[:, 1]))
+    shared, own, other = wide * high, dt[:, 2] * dt[:, 3], gt[:, 2] * gt[:, 3]
+    over = np.where(crowd, own[:, None] + 0 * other, own[:, None] + other - shared)
+    iou = np.divide(shared, over, out=np.zeros_like(shared), where=over > 0)
+    near = [[(j, float(iou[i, j])) for j in np.flatnonzero(iou[i] >= THRESHOLDS[0] - 1e-9)] for i in range(len(dt))]
+    totals, out = {}, []
+    for name, (low, most) in AREAS.items():
+        skip = crowd | (other < low) | (other > most)
+        totals[name] = int((~skip).sum())
+        outside = (own < low) | (own > most)
+        for t in THRESHOLDS:
+            taken: set[int] = set()
+            for i, found in enumerate(near):
+                best, at = t, -1
+                for ignored in (False, True):  # objects that count come first
+                    if at >= 0:
+                        break
+                    for j, value in found:
+                        if skip[j] == ignored and value >= best and (j not in taken or crowd[j]):
+                            best, at = value, j
+                if at >= 0:
+                    taken.add(at)
+                out.append((name, t, i, at >= 0, bool(skip[at]) if at >= 0 else bool(outside[i])))
+    return totals, out
+
+
 def matched(detections: DataFrame, truth: DataFrame) -> DataFrame:
     """What each detection and each object is, for every threshold, area and image.
 
     Rows: category_id, area, threshold, dt_id, score, place (by score in its image, from 0), hit, ignored;
-    and one row per category, area and image with n_gt, the objects that count. An image's category is one
-    bounded group; its detections beyond the largest number that counts are cut before.
+    and one row per category, area and image with n_gt, the objects that count. Images stream through their
+    tasks one after the other; an image's detections beyond the largest number that counts are cut before.
     """
     order = W.partitionBy("image_id", "category_id").orderBy(F.desc("score"), "dt_id")
-    top = detections.withColumn("place", F.row_number().over(order) - 1).filter(F.col("place") < max(MOST)).select("image_id", "category_id", "dt_id", "score", "place", "x", "y", "w", "h")
+    top = detections.withColumn("place", F.row_number().over(order) - 1).filter(F.col("place") < max(MOST))
     crowd = F.col("iscrowd") if "iscrowd" in truth.columns else F.lit(0)
-    objects = truth.select("image_id", "category_id", "gt_id", "x", "y", "w", "h", crowd.alias("iscrowd"))
+    box = [F.col(c).cast("double").alias(c) for c in "xywh"]
+    objects = truth.select("image_id", "category_id", F.lit(0).alias("kind"), F.col("gt_id").alias("id"), F.lit(None).cast("double").alias("score"), F.lit(0).alias("place"), crowd.cast("int").alias("crowd"), *box)
+    both = objects.unionByName(top.select("image_id", "category_id", F.lit(1).alias("kind"), F.col("dt_id").alias("id"), "score", F.col("place").cast("int").alias("place"), F.lit(0).alias("crowd"), *box))
     schema = "category_id bigint, area string, threshold double, dt_id bigint, score double, place int, hit boolean, ignored boolean, n_gt bigint"
 
-    def solve(dt: pd.DataFrame, gt: pd.DataFrame) -> pd.DataFrame:
-        dt, gt = dt.sort_values("place"), gt.sort_values("gt_id")
-        category = int((dt if len(dt) else gt)["category_id"].iloc[0])
-        d, g = dt[["x", "y", "w", "h"]].to_numpy(np.float64), gt[["x", "y", "w", "h"]].to_numpy(np.float64)
-        crowd = gt["iscrowd"].to_numpy() == 1
-        wide = np.maximum(0, np.minimum((d[:, 0] + d[:, 2])[:, None], g[:, 0] + g[:, 2]) - np.maximum(d[:, 0][:, None], g[:, 0]))
-        high = np.maximum(0, np.minimum((d[:, 1] + d[:, 3])[:, None], g[:, 1] + g[:, 3]) - np.maximum(d[:, 1][:, None], g[:, 1]))
-        shared, own, other = wide * high, (d[:, 2] * d[:, 3])[:, None], g[:, 2] * g[:, 3]
-        over = np.where(crowd, own + 0 * other, own + other - shared)
-        iou = np.divide(shared, over, out=np.zeros_like(shared), where=over > 0)
-        out = []
-        for name, (low, most) in AREAS.items():
-            skip = crowd | (other < low) | (other > most)
-            out.append((category, name, None, None, None, None, None, None, int((~skip).sum())))
-            sequence = np.argsort(skip, kind="stable")  # objects that count come first
-            outside = (own[:, 0] < low) | (own[:, 0] > most) if len(d) else np.zeros(0, bool)
-            for t in THRESHOLDS:
-                free = np.ones(len(g), bool)
-                for i, r in enumerate(dt.itertuples(index=False)):
-                    best, at = min(t, 1 - 1e-10), -1
-                    for j in sequence:
-                        if not free[j] and not crowd[j]:
-                            continue
-                        if at >= 0 and not skip[at] and skip[j]:
-                            break
-                        if iou[i, j] >= best:
-                            best, at = iou[i, j], j
-                    if at >= 0:
-                        free[at] = False
-                    out.append((category, name, t, r.dt_id, r.score, int(r.place), at >= 0, bool(skip[at]) if at >= 0 else bool(outside[i]), None))
+    def solve(pdf: pd.DataFrame) -> pd.DataFrame:
+        image, category, kind, ids, score, crowds = (pdf[c].to_numpy() for c in ("image_id", "category_id", "kind", "id", "score", "crowd"))
+        boxes = pdf[["x", "y", "w", "h"]].to_numpy(np.float64)
+        edge = np.flatnonzero(np.concatenate([[True], (image[1:] != image[:-1]) | (category[1:] != category[:-1]), [True]]))
+        out: list[tuple] = []
+        for a, b in zip(edge[:-1], edge[1:], strict=True):
+            m = a + int((kind[a:b] == 0).sum())
+            totals, claims = _claims(boxes[m:b], boxes[a:m], crowds[a:m] == 1)
+            c = int(category[a])
+            out += [(c, name, None, None, None, None, None, None, n) for name, n in totals.items()]
+            out += [(c, name, t, int(ids[m + i]), float(score[m + i]), i, hit, ignored, None) for name, t, i, hit, ignored in claims]
         return pd.DataFrame(out, columns=["category_id", "area", "threshold", "dt_id", "score", "place", "hit", "ignored", "n_gt"]).astype({"dt_id": "Int64", "n_gt": "Int64", "place": "Int32"})
 
-    return top.groupBy("image_id", "category_id").cogroup(objects.groupBy("image_id", "category_id")).applyInPandas(solve, schema)
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        held = None
+        for pdf in batches:
+            if held is not None:
+                pdf = pd.concat([held, pdf], ignore_index=True)
+            last = (pdf["image_id"] == pdf["image_id"].iloc[-1]) & (pdf["category_id"] == pdf["category_id"].iloc[-1])
+            held = pdf[last].reset_index(drop=True)  # an image may go on in the next batch
+            if not last.all():
+                yield solve(pdf[~last].reset_index(drop=True))
+        if held is not None:
+            yield solve(held)
+
+    ordered = both.repartition("image_id", "category_id").sortWithinPartitions("image_id", "category_id", "kind", "place", "id")
+    return ordered.mapInPandas(run, schema)
 
 
 def curves(rows: DataFrame) -> DataFrame:

@@ -118,11 +118,11 @@ def fi8(s, d):
 @query("wn8_precision_curve", given("truth", "detections") + """, r AS (SELECT d.dt_id, d.score, d.dt_id % 3 <> 0 AS hit FROM detections d), n AS (SELECT count(*) AS n_gt FROM truth),
     run AS (SELECT *, sum(CAST(hit AS BIGINT)) OVER o AS tp, sum(CAST(NOT hit AS BIGINT)) OVER o AS fp FROM r, n WINDOW o AS (ORDER BY score DESC, dt_id ROWS UNBOUNDED PRECEDING)),
     p AS (SELECT *, tp / (tp + fp) AS prec FROM run)
-    SELECT dt_id, CAST(tp AS BIGINT) AS tp, CAST(fp AS BIGINT) AS fp, round(prec, 6) AS precision, round(tp / n_gt, 6) AS recall, round(max(prec) OVER (ORDER BY score DESC, dt_id ROWS BETWEEN CURRENT ROW AND UNBOUNDED FOLLOWING), 6) AS envelope FROM p""")
+    SELECT dt_id, CAST(tp AS BIGINT) AS tp, CAST(fp AS BIGINT) AS fp, round(prec, 9) AS precision, round(tp / n_gt, 9) AS recall, round(max(prec) OVER (ORDER BY score DESC, dt_id ROWS BETWEEN CURRENT ROW AND UNBOUNDED FOLLOWING), 9) AS envelope FROM p""")
 def wn8(s, d):
     n = fx.truth(s, d).agg(F.count("*").alias("n_gt"))
     rows = fx.detections(s, d).select(C("category_id"), F.lit("all").alias("area"), F.lit(0.5).alias("threshold"), "dt_id", "score", (C("dt_id") % 3 != 0).alias("hit")).join(F.broadcast(n))
-    return detection.curves(rows).select("dt_id", "tp", "fp", *[F.round(c, 6).alias(c) for c in ("precision", "recall", "envelope")])
+    return detection.curves(rows).select("dt_id", "tp", "fp", *[F.round(c, 9).alias(c) for c in ("precision", "recall", "envelope")])
 
 
 @query("ag16_detection_summary")
