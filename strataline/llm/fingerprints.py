@@ -21,7 +21,7 @@ def canonical(text: Column) -> Column:
         return F.reflect(F.lit("com.ibm.icu.text.Normalizer"), F.lit("compose"), c, F.lit(True))
 
     folded = F.lower(form(F.coalesce(text, F.lit(""))))
-    return F.trim(F.regexp_replace(form(folded), r"[\s\u0085   ]+", " "))
+    return F.trim(F.regexp_replace(form(folded), r"[\s\u0085\u2028\u2029]+", " "))
 
 
 def digest(canon: Column) -> Column:
