@@ -42,7 +42,7 @@ def _hashed(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
 
     def half(end: str, size: Column) -> Column:
         part = F.slice(w, F.lit(1), size) if end == "head" else F.slice(w, n - size + 1, size)
-        return F.when(n >= MIN_WORDS, F.xxhash64(F.lit(end), size, part))
+        return F.when(n >= MIN_WORDS - 1, F.xxhash64(F.lit(end), size, part))
 
     with_words = _places(docs, id_col, text_col).select("doc_id", "line_no", F.xxhash64(F.lit(0), "line").alias("h1"), F.xxhash64(F.lit(1), "line").alias("h2"), words_of(F.col("line")).alias("w"))
     same, less = F.floor(n / 2).cast("int"), F.floor((n - 1) / 2).cast("int")

@@ -105,6 +105,12 @@ def test_line_dedup_plain(spark):
         assert kept[d] == stay
 
 
+def test_line_dedup_at_the_least_length(spark):
+    eight, seven, six = "a b c d e f g h", "a b c d e f g", "a b c d e f"
+    for docs, gone in ((((1, seven), (2, eight)), {(2, 0)}), (((1, eight), (2, seven)), {(2, 0)}), (((1, seven), (2, six)), set()), (((1, eight), (2, "a b c x e f g h")), {(2, 0)}), (((1, seven), (2, "a b c x e f g")), set())):
+        assert {(r.doc_id, r.line_no) for r in line_dedup.removals(spark.createDataFrame(docs, "doc_id long, text string")).collect()} == gone
+
+
 def test_line_dedup_null_id_and_repeats(spark):
     df = spark.createDataFrame([(None, "same line"), (1, "same line\nother"), (1, "same line\nother"), (2, "other")], "doc_id long, text string")
     assert {(r.doc_id, r.line_no) for r in line_dedup.removals(df).collect()} == {(1, 0), (2, 0)}
