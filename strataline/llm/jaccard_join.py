@@ -11,9 +11,9 @@ are never paired. Classes are light up to a size, heavy beyond it:
 
 The boundary is the size for which the enumerated keys and the scanned entries cost least.
 
-Within a list, members are first compared with a pivot or two. What is connected then needs no pairs of its
+Within a list, members are first compared with a few pivots. What is connected then needs no pairs of its
 own: only pairs that cross two parts of a list are compared after that. So a large group of near copies
-costs a comparison or two for each member, while every link between two parts is still found. Pairs are
+costs a few comparisons for each member, while every link between two parts is still found. Pairs are
 counted over the lists before their sets are read: linked sets share a known number of first shingles.
 
 Null and empty texts have no shingles and no links. Rows of one id are reported each. A null id takes part;
@@ -41,8 +41,9 @@ CHUNKS = 16
 MOST_LIGHT = 16
 #: A list of a shingle that is counted more often is dealt to several tasks.
 LIST_ROWS = 20_000
-#: Pivots each list has, and each class is compared with at most.
-PIVOTS = 2
+#: Pivots of a list that each class is compared with at most: at first, and then, outside the largest part of
+#: the list, with members of that part.
+PIVOTS = (2, 8)
 #: Bits of the filter that tells tasks which sets are wanted, as a power of two. Its size is fixed; where it
 #: is full, more sets are sent than needed and the join drops them.
 FILTER_BITS = 23
@@ -327,15 +328,19 @@ def _crossing(heavy: DataFrame, labels: DataFrame) -> DataFrame:
     return materialise(parts.join(largest, "key"), "crossing")
 
 
-def _pivot_pairs(mixed: DataFrame, percent: int) -> DataFrame:
-    """Each class with the pivots that it meets most, one for each of PIVOTS orders by chance.
+def _pivot_pairs(mixed: DataFrame, percent: int, count: int, outside: bool) -> DataFrame:
+    """Each class with the pivots that it meets most, one for each of ``count`` orders by chance.
 
-    A guess at what links, not a search: pairs that meet too seldom for it are left to the search.
+    With ``outside``, pivots are of a list's largest part and the classes those outside it. A guess at what
+    links, not a search: pairs that meet too seldom for it are left to the search.
     """
+    asking = mixed.filter("label <> largest") if outside else mixed
     out = None
-    for number in range(PIVOTS):
-        pivots = mixed.groupBy("key").agg(F.min_by(F.struct("c", "n", "label"), F.xxhash64("c", F.lit(number))).alias("p"))
-        met = mixed.join(pivots, "key").filter((F.col("label") != F.col("p.label")) & _fits(F.col("n"), F.col("p.n"), percent))
+    for number in range(count):
+        chance = F.xxhash64("c", F.lit(number + PIVOTS[0] * outside))
+        order = F.when(F.col("label") == F.col("largest"), chance) if outside else chance
+        pivots = mixed.groupBy("key").agg(F.min_by(F.struct("c", "n", "label"), order).alias("p"))
+        met = asking.join(pivots, "key").filter((F.col("label") != F.col("p.label")) & _fits(F.col("n"), F.col("p.n"), percent))
         met = met.groupBy("c", F.col("p.c").alias("p")).agg(F.count("*").alias("times"), F.first(_least_shared(F.col("n"), F.col("p.n"), percent)).alias("least")).filter("4 * times >= least")
         pairs = met.groupBy("c").agg(F.max(F.struct("times", "p")).alias("x")).select(F.least("c", "x.p").alias("a"), F.greatest("c", "x.p").alias("b"))
         out = pairs if out is None else out.union(pairs)
@@ -363,10 +368,11 @@ def links(texts: DataFrame, profiles: DataFrame, percent: int = PERCENT) -> Data
     shared = heavy.groupBy("key").agg(F.min("c").alias("low"), F.max("c").alias("high")).filter("low <> high").select("key")
     heavy = materialise(heavy.join(shared, "key", "left_semi"), "lists")
     discard(lists)
-    mixed = _crossing(heavy, components(light))
-    guessed = _verified(_pivot_pairs(mixed, percent), texts, percent)
-    found = light.union(guessed)
-    discard(mixed)
+    found = light
+    for outside, count in enumerate(PIVOTS):
+        mixed = _crossing(heavy, components(found))
+        found = found.union(_verified(_pivot_pairs(mixed, percent, count, bool(outside)), texts, percent))
+        discard(mixed)
     mixed = _crossing(heavy, components(found))
     searched = _verified(_crossing_pairs(mixed, percent), texts, percent)
     discard(mixed, heavy)
