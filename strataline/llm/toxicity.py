@@ -22,14 +22,14 @@ from strataline.llm.shingles import _BLANK, _BYTE, _LOWER, blocks, mix, powers
 
 #: (category, condition on the labels), in the order of the chain.
 CATEGORIES = (("low_quality", "quality = 0"), ("toxic", "toxic = 1"))
-MOST_LABELLED = 12_000
-MOST_FEATURES = 1_500
+MOST_LABELLED = 6_000
+MOST_FEATURES = 800
 #: A feature must be in so many documents of the sample.
 LEAST_DOCUMENTS = 4
 PREFIXES = (4, 5, 6, 7)
 FOLDS = 4
-PENALTY = 2e-4
-CUT = 0.5
+PENALTY = 5e-5
+CUT = 0.4
 
 _PUNCTUATION = np.zeros(256, bool)
 _PUNCTUATION[[b for b in range(128) if not chr(b).isalnum()]] = True
@@ -83,7 +83,7 @@ class Chain:
         return np.array(out).reshape(-1, len(self.names))
 
 
-def _logistic(x: np.ndarray, y: np.ndarray, steps: int = 300) -> tuple[float, np.ndarray]:
+def _logistic(x: np.ndarray, y: np.ndarray, steps: int = 150) -> tuple[float, np.ndarray]:
     """Sparse logistic weights by accelerated proximal gradient."""
     share = (y.sum() + 0.5) / (len(y) + 1)
     bias = b = float(np.log(share / (1 - share)))
