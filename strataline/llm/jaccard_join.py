@@ -17,7 +17,8 @@ costs a few comparisons for each member, while every link between two parts is s
 counted over the lists before their sets are read: linked sets share a known number of first shingles.
 
 Null and empty texts have no shingles and no links. Rows of one id are reported each. A null id takes part;
-it is never the smallest id of a component with others. Empty tables give empty results.
+it is never the smallest id of a component with others. One row of each component is chosen by row, not by id.
+Empty tables give empty results.
 """
 
 from __future__ import annotations
@@ -83,8 +84,14 @@ def boundary(counts: dict[int, int], percent: int = PERCENT) -> int:
     return min(range(MOST_LIGHT + 1), key=lambda b: (cost(b), b))
 
 
-def _texts(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
-    return docs.select(docs[id_col].alias("doc_id"), docs[text_col].alias("text"))
+def _texts(docs: DataFrame, id_col: str, text_col: str, *more: Column) -> DataFrame:
+    return docs.select(docs[id_col].alias("doc_id"), docs[text_col].alias("text"), *more)
+
+
+def _row_key(docs: DataFrame) -> list[Column]:
+    """128 bits of all columns of a row: rows of one key are equal. Nulls are told apart by their places."""
+    columns = [docs[c] for c in docs.columns]
+    return [F.xxhash64(F.lit(seed), *[c.isNull() for c in columns], *columns).alias(f"__k{seed + 1}") for seed in (0, 1)]
 
 
 def _strings(column: pd.Series) -> list[str | None]:
@@ -92,7 +99,11 @@ def _strings(column: pd.Series) -> list[str | None]:
 
 
 def _profiles(texts: DataFrame) -> DataFrame:
-    """Rows of two kinds: doc_id, n and digest of each document, and the partial counters of each task."""
+    """Rows of two kinds: doc_id, n and digest of each document, and the partial counters of each task.
+
+    Further columns of ``texts``, long numbers that are never null, go with the documents.
+    """
+    keys = [c for c in texts.columns if c not in ("doc_id", "text")]
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         counters = np.zeros(1 << SKETCH_BITS, np.int64)
@@ -102,12 +113,13 @@ def _profiles(texts: DataFrame) -> DataFrame:
                 np.add.at(counters, (s >> np.uint64(64 - SKETCH_BITS)).astype(np.int64), 1)
                 a, b = digest(s)
                 n.append(len(s)), d1.append(a), d2.append(b)
-            yield pd.DataFrame({"doc_id": pdf["doc_id"], "n": np.array(n, np.int64), "d1": np.array(d1, np.int64), "d2": np.array(d2, np.int64), "chunk": -1, "counts": None})
+            yield pd.DataFrame({"doc_id": pdf["doc_id"], "n": np.array(n, np.int64), "d1": np.array(d1, np.int64), "d2": np.array(d2, np.int64), "chunk": -1, "counts": None, **{k: pdf[k] for k in keys}})
         if counters.any():
             parts = [x.astype("<u4").tobytes() for x in np.split(np.minimum(counters, (1 << 32) - 1), CHUNKS)]
-            yield pd.DataFrame({"doc_id": None, "n": 0, "d1": 0, "d2": 0, "chunk": range(CHUNKS), "counts": parts})
+            yield pd.DataFrame({"doc_id": None, "n": 0, "d1": 0, "d2": 0, "chunk": range(CHUNKS), "counts": parts, **dict.fromkeys(keys, 0)})
 
-    return texts.mapInPandas(run, f"doc_id {texts.schema['doc_id'].dataType.simpleString()}, n bigint, d1 bigint, d2 bigint, chunk int, counts binary")
+    more = "".join(f", {k} bigint" for k in keys)
+    return texts.mapInPandas(run, f"doc_id {texts.schema['doc_id'].dataType.simpleString()}, n bigint, d1 bigint, d2 bigint, chunk int, counts binary{more}")
 
 
 def _sketch(profiles: DataFrame) -> np.ndarray:
@@ -394,6 +406,26 @@ def linked_classes(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
 
 
 def one_of_each(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", percent: int = PERCENT) -> DataFrame:
-    """The rows of ``docs`` that have the smallest id of their component; columns are those of ``docs``."""
-    found = linked_classes(docs, id_col, text_col, percent).filter(~F.col("doc_id").eqNullSafe(F.col("component_id"))).select(F.col("doc_id").alias("__gone")).distinct()
-    return docs.join(found, docs[id_col] == F.col("__gone"), "left_anti")
+    """One row of ``docs`` for each component: of the smallest id, nulls last, then of the least row key.
+
+    Of equal rows one stays; rows without shingles all stay. Columns are those of ``docs``.
+    """
+    key = ["__k1", "__k2"]
+    texts = _texts(docs, id_col, text_col, *_row_key(docs))
+    profiles = materialise(_profiles(texts), "profiles")
+    labels = components(links(texts, profiles, percent))
+    rows = profiles.filter("chunk < 0 AND n > 0").select("doc_id", *key, F.col("d1").alias("c"))
+    classes = rows.groupBy("c").agg(F.min(F.struct(F.col("doc_id").isNull().alias("last"), "doc_id", *key)).alias("first"))
+    named = classes.join(labels, "c", "left").withColumn("label", F.coalesce("label", "c"))
+    chosen = named.groupBy("label").agg(F.min("first").alias("chosen"))
+    by_class = named.join(chosen, "label").select("c", *[F.col(f"chosen.{k}").alias(f"chosen{k}") for k in key])
+    stays = F.col("__k1").eqNullSafe(F.col("chosen__k1")) & F.col("__k2").eqNullSafe(F.col("chosen__k2"))
+    # Keys of rows that go, and of chosen rows that are there more than once.
+    marked = rows.join(by_class, "c").groupBy(*key).agg(F.bool_and(stays).alias("one"), F.count("*").alias("times")).filter("NOT one OR times > 1")
+    marked = materialise(marked.select(*key, "one"), "row-marks")
+    keyed = docs.select("*", *_row_key(docs))
+    out = keyed.join(marked.select(*key), key, "left_anti")
+    repeated = marked.filter("one").select(*key)
+    if not repeated.isEmpty():
+        out = out.unionByName(keyed.join(repeated, key, "left_semi").dropDuplicates(key))
+    return out.select(*docs.columns)

@@ -118,6 +118,16 @@ def test_jaccard_empty_and_repeats(spark):
     assert [r.component_id for r in jaccard_join.linked_classes(same).collect()] == [3, 3, 3, 3]
 
 
+def test_one_of_each_row(spark):
+    """Null ids, repeated rows and one id with two texts: one row of each component stays."""
+    a, b, c = ("a b c d e f g h", "k l m n o p q", "r s t u v w x y")
+    rows = [(3, a, "x"), (None, a, "x"), (None, a, "x"), (4, b, "x"), (4, b, "x"), (4, b.upper(), None), (5, a, "y"), (5, c, "y"), (None, "only null here", "z"), (None, "only null here", "z"), (None, None, None), (None, "", "x"), (6, None, "x"), (6, None, "x")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, source string").repartition(3)
+    got = [tuple(r) for r in jaccard_join.one_of_each(docs).collect()]
+    assert Counter((d, (t or "").lower()) for d, t, _ in got) == Counter({(3, a): 1, (4, b): 1, (5, c): 1, (None, "only null here"): 1, (None, ""): 2, (6, ""): 2})
+    assert sorted(got, key=str) == sorted((tuple(r) for r in jaccard_join.one_of_each(docs.repartition(2)).collect()), key=str)
+
+
 def test_shingle_counts():
     texts = ["a b c d e f", "A B c D e", "é\x0bx", None, "a a a a a a a a", "ÀÉ É"]
     assert [len(s) for s in shingles.shingle_sets(texts)] == [len(plain_shingles(t)) for t in texts]
