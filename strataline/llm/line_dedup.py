@@ -1,7 +1,7 @@
 """Line dedup by a deletion-neighbourhood join.
 
 Lines are the parts of a text between line feeds that hold a word. A line goes if an earlier line, by
-(document id, line number), has the same bytes, or lies within one word of it: one word inserted, deleted
+(document id, line number, row key), has the same bytes, or lies within one word of it: one word inserted, deleted
 or replaced. Near matches are sought between lines of at least MIN_WORDS words (the shorter one may have
 one less); the earliest of what matches stays. Whether the earlier line stays itself makes no difference.
 
@@ -14,8 +14,9 @@ one less); the earliest of what matches stays. Whether the earlier line stays it
    matches it; it is the only line with that key, so there is one pair for each variant at most.
 4. The edit distance of what was found is verified on the words.
 
-Null texts have no lines. Rows of one id are taken as one document: a line does not go because of its own
-repetition under the same id and line number. A null id comes first. Empty tables give empty results.
+The row key is 128 hash bits of id and text, so rows that share an id, or have none, keep their own lines.
+Null texts have no lines. Rows of one id and one text are taken as one document: a line does not go because
+of its own repetition in an equal row. A null id comes first. Empty tables give empty results.
 """
 
 from __future__ import annotations
@@ -28,11 +29,18 @@ from strataline.llm.quality_rules import words_of
 from strataline.session import materialise
 
 MIN_WORDS = 8
+#: What addresses a line, in order.
+PLACE = ("doc_id", "line_no", "r1", "r2")
+
+
+def _row_key(docs: DataFrame, id_col: str, text_col: str) -> list[Column]:
+    """128 bits of id and text, never null; rows of one key are equal in both."""
+    return [F.xxhash64(F.lit(seed), docs[id_col].isNull(), docs[id_col], docs[text_col]).alias(f"r{seed + 1}") for seed in (0, 1)]
 
 
 def _places(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
-    """doc_id, line_no and line of each line that holds a word."""
-    lines = docs.select(docs[id_col].alias("doc_id"), F.posexplode(F.split(docs[text_col], "\n")).alias("line_no", "line"))
+    """doc_id, row key, line_no and line of each line that holds a word."""
+    lines = docs.select(docs[id_col].alias("doc_id"), *_row_key(docs, id_col, text_col), F.posexplode(F.split(docs[text_col], "\n")).alias("line_no", "line"))
     return lines.filter(F.col("line").rlike(r"[^\x20\x09-\x0D]"))
 
 
@@ -44,12 +52,12 @@ def _hashed(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
         part = F.slice(w, F.lit(1), size) if end == "head" else F.slice(w, n - size + 1, size)
         return F.when(n >= MIN_WORDS - 1, F.xxhash64(F.lit(end), size, part))
 
-    with_words = _places(docs, id_col, text_col).select("doc_id", "line_no", F.xxhash64(F.lit(0), "line").alias("h1"), F.xxhash64(F.lit(1), "line").alias("h2"), words_of(F.col("line")).alias("w"))
+    with_words = _places(docs, id_col, text_col).select(*PLACE, F.xxhash64(F.lit(0), "line").alias("h1"), F.xxhash64(F.lit(1), "line").alias("h2"), words_of(F.col("line")).alias("w"))
     same, less = F.floor(n / 2).cast("int"), F.floor((n - 1) / 2).cast("int")
     # As the longer of two lines, a line of an even number of words has a shorter half to share.
     odd = n % 2 == 1
     return with_words.select(
-        "doc_id", "line_no", "h1", "h2", n.alias("n"),
+        *PLACE, "h1", "h2", n.alias("n"),
         half("head", same).alias("a"), half("tail", same).alias("b"),
         F.when(~odd, half("head", less)).alias("c"), F.when(~odd, half("tail", less)).alias("d"),
     )
@@ -59,7 +67,7 @@ def _survivors(distinct: DataFrame) -> DataFrame:
     """The places of distinct lines that share a half with another line."""
     keys = distinct.filter(F.col("n") >= MIN_WORDS - 1).select("first", F.explode(F.array("a", "b", "c", "d")).alias("key")).filter("key IS NOT NULL")
     shared = keys.groupBy("key").count().filter("count > 1").select("key")
-    return keys.join(shared, "key", "left_semi").select("first.doc_id", "first.line_no").distinct()
+    return keys.join(shared, "key", "left_semi").select(*[f"first.{c}" for c in PLACE]).distinct()
 
 
 def _neighbours(lines: DataFrame) -> DataFrame:
@@ -92,21 +100,22 @@ def _within_one(a: str, b: str) -> Column:
     return F.when(F.size(a) == F.size(b), same).when(F.size(b) == F.size(a) + 1, longer).otherwise(False)
 
 
-def removals(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """One row per line that goes: doc_id, line_no (from 0), edits (0 or 1), first_doc_id, first_line_no."""
+def _gone(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
+    """(later, earlier, edits) for each line that goes; places are those of PLACE."""
     lines = materialise(_hashed(docs, id_col, text_col), "lines")
-    place = F.struct("doc_id", "line_no")
+    place = F.struct(*PLACE)
     distinct = materialise(
         lines.groupBy("h1", "h2").agg(F.min(place).alias("first"), F.count("*").alias("times"), F.min("n").alias("n"), *[F.min(c).alias(c) for c in "abcd"]), "distinct-lines"
     )
     repeated = distinct.filter("times > 1").select("h1", "h2", "first")
     exact = lines.join(repeated, ["h1", "h2"]).select(place.alias("later"), F.col("first").alias("earlier"), F.lit(0).alias("edits")).filter("earlier < later")
-    near_docs = _survivors(distinct).groupBy("doc_id").agg(F.collect_list("line_no").alias("line_nos")).withColumnRenamed("doc_id", "s_doc_id")
-    texts = docs.select(docs[id_col].alias("doc_id"), docs[text_col].alias("text"))
+    near_docs = _survivors(distinct).groupBy("r1", "r2").agg(F.collect_list("line_no").alias("line_nos"))
+    texts = docs.select(docs[id_col].alias("doc_id"), docs[text_col].alias("text"), *_row_key(docs, id_col, text_col))
     # The parts are bound once for each text, inside the outer transform.
     picked = F.expr(r"flatten(transform(array(split(text, '\n')), parts -> transform(line_nos, n -> named_struct('line_no', n, 'line', get(parts, n)))))")
-    found = texts.join(near_docs, F.col("doc_id").eqNullSafe(F.col("s_doc_id"))).select("doc_id", F.explode(picked).alias("x")).select("doc_id", "x.line_no", "x.line")
+    found = texts.join(near_docs, ["r1", "r2"]).select("doc_id", "r1", "r2", F.explode(picked).alias("x")).select("doc_id", "x.line_no", "r1", "r2", "x.line")
     found = found.select(place.alias("place"), words_of(F.col("line")).alias("w"))
+    # Equal rows bring their lines again; one of each is enough.
     near_lines = materialise(found.dropDuplicates(["place"]), "near-lines")
     pairs = _neighbours(near_lines).groupBy("later").agg(F.min("earlier").alias("earlier"))
     left = near_lines.select(F.col("place").alias("later"), F.col("w").alias("x"))
@@ -114,15 +123,20 @@ def removals(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") ->
     swapped = F.size("x") > F.size("y")
     checked = pairs.join(left, "later").join(right, "earlier").select("later", "earlier", F.when(swapped, F.col("y")).otherwise(F.col("x")).alias("p"), F.when(swapped, F.col("x")).otherwise(F.col("y")).alias("q"))
     near = checked.filter(_within_one("p", "q")).select("later", "earlier", F.lit(1).alias("edits"))
-    both = exact.union(near)
-    return both.select(F.col("later.doc_id").alias("doc_id"), F.col("later.line_no").alias("line_no"), "edits", F.col("earlier.doc_id").alias("first_doc_id"), F.col("earlier.line_no").alias("first_line_no")).distinct()
+    return exact.union(near)
+
+
+def removals(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """Lines that go: doc_id, line_no (from 0), edits (0 or 1), first_doc_id, first_line_no; equal ones once."""
+    gone = _gone(docs, id_col, text_col)
+    return gone.select(F.col("later.doc_id").alias("doc_id"), F.col("later.line_no").alias("line_no"), "edits", F.col("earlier.doc_id").alias("first_doc_id"), F.col("earlier.line_no").alias("first_line_no")).distinct()
 
 
 def deduplicated(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """``docs`` with the lines of removals() taken out of its texts; all rows and columns stay."""
-    gone = removals(docs, id_col, text_col).groupBy("doc_id").agg(F.collect_set("line_no").alias("gone")).withColumnRenamed("doc_id", "g_doc_id")
-    row = docs.select(F.struct(*[docs[c] for c in docs.columns]).alias("row"), docs[id_col].alias("__id"), docs[text_col].alias("__text"))
-    joined = row.join(gone, F.col("__id").eqNullSafe(F.col("g_doc_id")), "left").select("row", "__text", "gone", F.split("__text", "\n").alias("lines"))
+    """``docs`` without the lines that go in each row's own text; all rows and columns stay."""
+    gone = _gone(docs, id_col, text_col).groupBy("later.r1", "later.r2").agg(F.collect_set("later.line_no").alias("gone"))
+    row = docs.select(F.struct(*[docs[c] for c in docs.columns]).alias("row"), docs[text_col].alias("__text"), *_row_key(docs, id_col, text_col))
+    joined = row.join(gone, ["r1", "r2"], "left").select("row", "__text", "gone", F.split("__text", "\n").alias("lines"))
     stay = joined.withColumn("stay", F.when(F.col("gone").isNotNull(), F.expr("array_except(sequence(0, size(lines) - 1), gone)")))
     text = F.when(F.col("gone").isNull(), F.col("__text")).otherwise(F.array_join(F.expr("transform(stay, i -> get(lines, i))"), "\n"))
     return stay.select(*[text.alias(c) if c == text_col else F.col("row")[c].alias(c) for c in docs.columns])

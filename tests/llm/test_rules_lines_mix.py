@@ -117,6 +117,22 @@ def test_line_dedup_null_id_and_repeats(spark):
     assert sorted(r.text for r in line_dedup.deduplicated(df).collect()) == ["", "other", "other", "same line"]
 
 
+def test_line_dedup_rows_that_share_an_id(spark):
+    """Null ids, and one id with two texts: each row keeps and loses its own lines."""
+    long, near = "a b c d e f g h i", "a b c x e f g h i"
+    first, second = "k l m n o p q r s t", "k l m n o p q r s"
+    docs = [(None, "same\nclean one"), (None, "same\nclean two"), (1, f"{long}\nmine"), (1, f"{near}\nyours"), (2, "same\nleft"), (2, "right\nleft too"), (3, f"short\n{first}"), (None, second)]
+    df = spark.createDataFrame(docs, "doc_id long, text string").repartition(3)
+    got = sorted(((r.doc_id, r.text) for r in line_dedup.deduplicated(df).collect()), key=str)
+    nulls = [t for d, t in got if d is None]
+    assert sorted(t for d, t in got if d == 2) == ["left", "right\nleft too"] and (3, "short") in got
+    assert len(nulls) == 3 and second in nulls and sum(t.startswith("same\n") for t in nulls) == 1
+    assert {t.split("\n")[-1] for t in nulls} == {"clean one", "clean two", second}
+    ones = [t for d, t in got if d == 1]
+    assert sorted(t.split("\n")[-1] for t in ones) == ["mine", "yours"] and sorted(t.count("\n") for t in ones) == [0, 1]
+    assert got == sorted(((r.doc_id, r.text) for r in line_dedup.deduplicated(df.repartition(5)).collect()), key=str)
+
+
 def test_fingerprints(spark):
     texts = ["Café  au\tlait", "café AU LAIT", "ﬁne", "FINE", None, "", "   ", "other"]
     docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
