@@ -3,7 +3,9 @@
 Templates and texts are read as words of letters and digits, ASCII case ignored. Of a template's K-word
 fingerprints the least in each window of SPAN is kept, in an inverted index; a text is probed with all of
 its own, so that any run of K + SPAN - 1 equal words is found. Hits near one diagonal make a candidate,
-which is aligned within a band around it; coverage is the share of the template's words that are matched.
+which is aligned within a band around it. Candidates of one template that follow each other in template and
+text, with no more words between than the template has, are chained, so that inserted or missing words beyond
+the band do not part a match. Coverage is the share of the template's words that are matched by the chain.
 
 Texts are read whole; null and empty texts match nothing. Rows stand alone: a repeated row is reported
 again. The index holds the templates only; its size does not depend on the texts.
@@ -11,8 +13,10 @@ again. The index holds the templates only; its size does not depend on the texts
 
 from __future__ import annotations
 
+from bisect import bisect_left
 from collections import defaultdict
 from collections.abc import Iterator
+from itertools import accumulate
 
 import numpy as np
 import pandas as pd
@@ -105,27 +109,78 @@ def aligned(template: np.ndarray, text: np.ndarray, diagonal: int) -> list[tuple
     return pairs
 
 
+def chains(pieces: list[tuple[int, int, int, int, int, int]], most_between: int) -> list[list[int]]:
+    """Pieces (first and last text word, first and last template word, hits, diagonal), by text, in chains.
+
+    The chain of most hits first; each piece is in one chain.
+    """
+    best, before = [p[4] for p in pieces], [-1] * len(pieces)
+    low = 0
+    reach = list(accumulate((p[1] for p in pieces), max))
+    for b, (j0, _, i0, i1, hits, _) in enumerate(pieces):
+        while reach[low] + most_between < j0:
+            low += 1
+        for a in range(low, b):
+            pj0, pj1, pi0, pi1, _, _ = pieces[a]
+            # They may overlap by the words of a hit, as at a place where words are missing.
+            if pj0 < j0 <= pj1 + most_between and j0 > pj1 - K and pi0 < i0 and i0 > pi1 - K and i1 > pi1 and best[a] + hits > best[b]:
+                best[b], before[b] = best[a] + hits, a
+    out, used = [], set()
+    for b in sorted(range(len(pieces)), key=lambda k: (-best[k], k)):
+        chain = []
+        while b >= 0 and b not in used:
+            used.add(b)
+            chain.append(b)
+            b = before[b]
+        if chain:
+            out.append(chain[::-1])
+    return out
+
+
+def increasing(pairs: list[tuple[int, int]]) -> list[tuple[int, int]]:
+    """The most of the pairs that ascend in both numbers."""
+    ends: list[int] = []
+    tails: list[int] = []
+    before: list[int] = []
+    ordered = sorted(set(pairs), key=lambda p: (p[1], -p[0]))
+    for n, (i, _) in enumerate(ordered):
+        k = bisect_left(ends, i)
+        before.append(tails[k - 1] if k else -1)
+        ends[k : k + 1], tails[k : k + 1] = [i], [n]
+    out, n = [], tails[-1] if tails else -1
+    while n >= 0:
+        out.append(ordered[n])
+        n = before[n]
+    return out[::-1]
+
+
 def matches(index: Index, words: np.ndarray, grams: np.ndarray, least: float) -> list[tuple[str, float, int, int]]:
     """(template, coverage, first word, last word) of what a text holds."""
-    diagonals: dict[int, list[int]] = defaultdict(list)
+    diagonals: dict[int, list[tuple[int, int]]] = defaultdict(list)
     for place in index.hits(grams):
         for t, i in index.places[int(grams[place])]:
-            diagonals[t].append(int(place) - i)
+            diagonals[t].append((int(place) - i, i))
     out = []
     for t, found in sorted(diagonals.items()):
-        found = sorted(set(found))
-        seen: list[tuple[int, int]] = []
+        found.sort()
+        pieces = []
         cluster = [found[0]]
-        for d in [*found[1:], None]:
-            if d is not None and d - cluster[-1] <= BAND and d - cluster[0] <= 2 * BAND:
-                cluster.append(d)
+        for x in [*found[1:], None]:
+            if x is not None and x[0] - cluster[-1][0] <= BAND and x[0] - cluster[0][0] <= 2 * BAND:
+                cluster.append(x)
                 continue
-            pairs = aligned(index.words[t], words, cluster[len(cluster) // 2])
+            ds, i, j = sorted({d for d, _ in cluster}), [i for _, i in cluster], [d + i for d, i in cluster]
+            pieces.append((min(j), max(j) + K - 1, min(i), max(i) + K - 1, len(cluster), ds[len(ds) // 2]))
+            cluster = [x]
+        pieces.sort()
+        seen: list[tuple[int, int]] = []
+        for chain in chains(pieces, len(index.words[t])):
+            parts = [aligned(index.words[t], words, pieces[k][5]) for k in chain]
+            pairs = parts[0] if len(parts) == 1 else increasing([p for part in parts for p in part])
             coverage = len(pairs) / len(index.words[t])
-            if pairs and coverage >= least and not any(a <= pairs[0][1] <= b for a, b in seen):
+            if pairs and coverage >= least and not any(a <= pairs[-1][1] and pairs[0][1] <= b for a, b in seen):
                 seen.append((pairs[0][1], pairs[-1][1]))
                 out.append((index.names[t], coverage, pairs[0][1], pairs[-1][1]))
-            cluster = [d]
     return out
 
 

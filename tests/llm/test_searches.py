@@ -150,6 +150,26 @@ def test_license_scan(spark):
     assert license_scan.scan(docs.limit(0)).count() == 0
 
 
+def license_matches(text):
+    index = license_scan.Index(license_scan.TEMPLATES)
+    with np.errstate(over="ignore"):
+        words = license_scan._words(text.encode())[1]
+        return [(name, round(coverage, 2), first, last) for name, coverage, first, last in license_scan.matches(index, words, license_scan._grams(words), license_scan.LEAST_COVERAGE)]
+
+
+@pytest.mark.parametrize("many", [4, 5, 12, 60])
+def test_license_with_words_put_in_or_left_out(many):
+    mit = license_scan.TEMPLATES["MIT-text"].replace("/", " ").split()
+    n, header = len(mit), [f"header{i}" for i in range(many)]
+    third = n // 3
+    assert license_matches(" ".join(mit[:40] + header + mit[40:])) == [("MIT-text", 1.0, 0, n + many - 1)]
+    assert license_matches(" ".join(mit[:third] + header + mit[third : 2 * third] + header + mit[2 * third :])) == [("MIT-text", 1.0, 0, n + 2 * many - 1)]
+    twice = license_matches(" ".join(mit[:40] + header + mit[40:] + header + mit))
+    assert [m[:2] for m in twice] == [("MIT-text", 1.0)] * 2
+    if many <= 12:
+        assert license_matches(" ".join(mit[:40] + mit[40 + many :])) == [("MIT-text", round(1 - many / n, 2), 0, n - many - 1)]
+
+
 def test_pipeline(spark, tmp_path):
     draw = random.Random(9)
     bits = "the of and to in is that it for was on are as with be by".split()
