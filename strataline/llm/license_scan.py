@@ -43,6 +43,15 @@ TEMPLATES = {
     "Unlicense": "This is free and unencumbered software released into the public domain. Anyone is free to copy, modify, publish, use, compile, sell, or distribute this software, either in source code form or as a compiled binary, for any purpose, commercial or non-commercial, and by any means.",
 }
 
+#: Words of short notices that tell a license from others; a match without one of them is none.
+REQUIRED = {
+    "Apache-2.0": "apache 2 0",
+    "CC-BY-4.0": "commons attribution 4 0",
+    "CC-BY-NC-4.0": "cc by nc 4 0",
+    "GPL-3.0": "gnu general public 3",
+    "MIT": "mit",
+}
+
 _PLAIN = _LOWER.copy()
 _PLAIN[[b for b in range(128) if not chr(b).isalnum()]] = 0x20
 
@@ -67,6 +76,8 @@ class Index:
         self.places: dict[int, list[tuple[int, int]]] = defaultdict(list)
         with np.errstate(over="ignore"):
             self.words = [_words(t.encode("utf-8", "replace"))[1] for t in templates.values()]
+            wanted = [_words(REQUIRED.get(name, "").encode())[1] if t is TEMPLATES.get(name) else [] for name, t in templates.items()]
+            self.required = [set(np.flatnonzero(np.isin(w, x)).tolist()) for w, x in zip(self.words, wanted, strict=True)]
             for t, w in enumerate(self.words):
                 g = _grams(w)
                 kept = {i + int(np.argmin(g[i : i + SPAN])) for i in range(max(1, len(g) - SPAN + 1))} if len(g) else set()
@@ -178,7 +189,7 @@ def matches(index: Index, words: np.ndarray, grams: np.ndarray, least: float) ->
             parts = [aligned(index.words[t], words, pieces[k][5]) for k in chain]
             pairs = parts[0] if len(parts) == 1 else increasing([p for part in parts for p in part])
             coverage = len(pairs) / len(index.words[t])
-            if pairs and coverage >= least and not any(a <= pairs[-1][1] and pairs[0][1] <= b for a, b in seen):
+            if pairs and coverage >= least and index.required[t] <= {i for i, _ in pairs} and not any(a <= pairs[-1][1] and pairs[0][1] <= b for a, b in seen):
                 seen.append((pairs[0][1], pairs[-1][1]))
                 out.append((index.names[t], coverage, pairs[0][1], pairs[-1][1]))
     return out

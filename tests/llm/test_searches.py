@@ -170,6 +170,13 @@ def test_license_with_words_put_in_or_left_out(many):
         assert license_matches(" ".join(mit[:40] + mit[40 + many :])) == [("MIT-text", round(1 - many / n, 2), 0, n - many - 1)]
 
 
+def test_short_notices_need_their_own_words():
+    for text in ("This work is licensed under the GNU General Public License, version 2.", "Licensed under CC BY 4.0.", "Licensed under CC BY-SA 4.0.", "Licensed under the Apache License, Version 1.0."):
+        assert license_matches(text) == []
+    for name in license_scan.REQUIRED:
+        assert [m[:2] for m in license_matches(license_scan.TEMPLATES[name])] == [(name, 1.0)]
+
+
 def test_pipeline(spark, tmp_path):
     draw = random.Random(9)
     bits = "the of and to in is that it for was on are as with be by".split()
