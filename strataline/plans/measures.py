@@ -62,8 +62,7 @@ def st3(s, d):
 
 @query("jn5_identity_pairs", _PAIRS + "SELECT pid_a, pid_b, round(sim, 5) AS sim FROM pairs")
 def jn5(s, d):
-    n = 1 << 20  # more than there are identity pairs here
-    return coherence.closest_identities(fx.crops(s, d), n).select("pid_a", "pid_b", F.round("sim", 5).alias("sim"))
+    return coherence.identity_pairs(fx.crops(s, d)).select("pid_a", "pid_b", F.round("sim", 5).alias("sim"))
 
 
 _RANKED = given("crops") + f""", pairs AS (SELECT q.vec_id AS q_id, g.vec_id AS g_id, q.pid = g.pid AS matched, row_number() OVER (PARTITION BY q.vec_id ORDER BY -{_dot('q.embedding', 'g.embedding')}, g.vec_id) AS rank

@@ -75,6 +75,15 @@ def test_coherence(spark):
 BOX = "image_id bigint, category_id bigint, {} bigint, x double, y double, w double, h double"
 
 
+def test_identity_pairs_query_has_no_limit(spark, monkeypatch):
+    from strataline.plans import measures
+
+    crops = spark.createDataFrame([(p, [1.0, float(p)]) for p in range(5)], "pid int, embedding array<double>")
+    monkeypatch.setattr(measures.fx, "crops", lambda s, d: crops)
+    out = measures.jn5(spark, "")
+    assert out.count() == 10 and "Limit" not in out._jdf.queryExecution().optimizedPlan().toString()
+
+
 def test_detection_summary(spark):
     gt = spark.createDataFrame([(1, 1, 1, 0.0, 0.0, 10.0, 10.0), (1, 1, 2, 100.0, 0.0, 50.0, 50.0), (2, 1, 3, 0.0, 0.0, 200.0, 200.0)], BOX.format("gt_id"))
     exact = gt.withColumnRenamed("gt_id", "dt_id").withColumn("score", F.lit(0.9))
