@@ -24,24 +24,28 @@ def shared_dir(spark: SparkSession) -> str:
     return context.getCheckpointDir()
 
 
+#: Removes the shuffle files of a query when it ends.
+_CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+
+
 def materialise(df: DataFrame, name: str) -> DataFrame:
     """Write ``df`` to the shared folder once and read it back: cuts lineage, survives lost executors."""
     spark = df.sparkSession
     path = f"{shared_dir(spark)}/{name}-{uuid.uuid4().hex}"
-    df.write.parquet(path)
+    before = spark.conf.get(_CLEANUP, "false")
+    spark.conf.set(_CLEANUP, "true")
+    try:
+        df.write.parquet(path)
+    finally:
+        spark.conf.set(_CLEANUP, before)
     out = spark.read.schema(df.schema).parquet(path)
     out.__dict__["_written_to"] = path
     return out
 
 
 def discard(*tables: DataFrame) -> None:
-    """Delete tables that materialise() wrote and that nothing will read again, and shuffle files with them."""
-    import gc
-
+    """Delete tables that materialise() wrote and that nothing will read again."""
     for df in tables:
-        spark = df.sparkSession
-        path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(df.__dict__["_written_to"])
-        path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
-    gc.collect()
-    if tables:  # shuffle files go when the driver's references to their plans do
-        tables[0].sparkSession.sparkContext._jvm.System.gc()
+        context = df.sparkSession.sparkContext
+        path = context._jvm.org.apache.hadoop.fs.Path(df.__dict__["_written_to"])
+        path.getFileSystem(context._jsc.hadoopConfiguration()).delete(path, True)
