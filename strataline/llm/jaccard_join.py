@@ -4,17 +4,23 @@ Two documents link if 100 * |A & B| >= 75 * |A | B|. Documents of one set are on
 are never paired. Classes are light up to a size, heavy beyond it:
 
 * Two light sets of sizes s and t link just if they have ceil(75 (s + t) / 175) shingles in common. All
-  subsets of that size are enumerated as hashed keys; equal keys are links, without a further check.
+  subsets of that size are enumerated as keys of 96 hash bits; equal keys are links, checked like the others.
 * A pair with a heavy set is found by scanning inverted lists. All shingles have one order, rare ones
   first; linked sets then share one among the first few of each. The order is read from counters of a
   fixed number into which all documents are counted; whatever they hold, no link is lost.
 
 The boundary is the size for which the enumerated keys and the scanned entries cost least.
 
-Within a list, members are first compared with a few pivots. What is connected then needs no pairs of its
-own: only pairs that cross two parts of a list are compared after that. So a large group of near copies
-costs a few comparisons for each member, while every link between two parts is still found. Pairs are
-counted over the lists before their sets are read: linked sets share a known number of first shingles.
+Pairs are not enumerated within long lists. Each list has a hub, the class that has most entries in common with
+others. What links with its hub is connected and needs no further pairs. All classes of a long list are compared
+with its hub h. Two of them, x and y, share min(|x & h|, |y & h|) shingles at most that h has. So if that is less than
+a link needs, they also share one that h has not: x - h and y - h, first few again, form further lists, in which
+edits that two near copies have in common are rare. So a large group of near copies costs a few comparisons for
+each member, while every link between two parts is still found. Pairs are counted over the lists before
+their sets are read: linked sets share a known number of first shingles. All links are checked on whole sets.
+
+A class is a digest of 128 bits. It is written as a number of 64 bits, the digest's first 63; the few digests that
+agree in these get odd numbers of their own.
 
 Null and empty texts have no shingles and no links. Rows of one id are reported each. A null id takes part;
 it is never the smallest id of a component with others. One row of each component is chosen by row, not by id.
@@ -23,13 +29,16 @@ Empty tables give empty results.
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterable, Iterator
+from dataclasses import dataclass
 from itertools import combinations
 from math import ceil, comb
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from strataline.llm.shingles import digest, mix, shingle_sets
@@ -42,14 +51,17 @@ CHUNKS = 16
 MOST_LIGHT = 16
 #: A list of a shingle that is counted more often is dealt to several tasks.
 LIST_ROWS = 20_000
-#: Pivots of a list that each class is compared with at most: at first, and then, outside the largest part of
-#: the list, with members of that part.
-PIVOTS = (2, 8)
-#: Bits of the filter that tells tasks which sets are wanted, as a power of two. Its size is fixed; where it
+#: A list of so many classes is searched by way of its hub.
+LONG = 64
+#: So many times at most are lists searched by way of hubs; after that all pairs of a list are compared.
+DEPTH = 4
+#: Bits of the filter that tells tasks which sets are wanted, as powers of two: at least and at most. Where it
 #: is full, more sets are sent than needed and the join drops them.
-FILTER_BITS = 23
+FILTER_BITS = (20, 28)
 PERCENT = 75
 
+Digest = Callable[[np.ndarray], tuple[int, int]]
+
 
 def least_overlap(s: int, t: int, percent: int = PERCENT) -> int:
     return -(-percent * (s + t) // (100 + percent))
@@ -94,32 +106,67 @@ def _row_key(docs: DataFrame) -> list[Column]:
     return [F.xxhash64(F.lit(seed), *[c.isNull() for c in columns], *columns).alias(f"__k{seed + 1}") for seed in (0, 1)]
 
 
-def _strings(column: pd.Series) -> list[str | None]:
+def _strings(column: Iterable) -> list[str | None]:
     return [x if isinstance(x, str) else None for x in column]
 
 
-def _profiles(texts: DataFrame) -> DataFrame:
+@dataclass(frozen=True)
+class Source:
+    """Texts, what _profiles() finds in them, and the numbers of digests that agree in 63 bits."""
+
+    texts: DataFrame
+    profiles: DataFrame
+    digest: Digest
+    clashes: dict[tuple[int, int], int]
+
+    def class_of(self) -> Callable[[np.ndarray], int]:
+        """The number of a set's class, as a function that can be sent to tasks."""
+        digest, clashes = self.digest, self.clashes
+
+        def number(shingles: np.ndarray) -> int:
+            d1, d2 = digest(shingles)
+            return clashes.get((d1, d2), d1 & -2) if clashes else d1 & -2
+
+        return number
+
+
+def _source(texts: DataFrame, digest: Digest) -> Source:
+    """The profiles of the texts, written. Of n digests n**2 / 2**64 clash: some 500 of 10**11."""
+    profiles = materialise(_profiles(texts, digest), "profiles")
+    digests = profiles.filter("chunk < 0 AND n > 0").select(F.col("d1").bitwiseAND(F.lit(-2)).alias("c"), F.struct("d1", "d2").alias("d"))
+    twice = digests.groupBy("c").agg(F.min("d").alias("low"), F.max("d").alias("high")).filter("low <> high").select("c")
+    found = digests.join(twice, "c", "left_semi").select("d.d1", "d.d2").distinct().orderBy("d1", "d2").collect()
+    return Source(texts, profiles, digest, {(r.d1, r.d2): 2 * k + 1 for k, r in enumerate(found)})
+
+
+def _profiles(texts: DataFrame, digest: Digest) -> DataFrame:
     """Rows of two kinds: doc_id, n and digest of each document, and the partial counters of each task.
 
-    Further columns of ``texts``, long numbers that are never null, go with the documents.
+    Further columns of ``texts``, long numbers that are never null, go with the documents. Ids of any type pass
+    as Arrow columns and are never converted.
     """
     keys = [c for c in texts.columns if c not in ("doc_id", "text")]
+    names = ["doc_id", "n", "d1", "d2", "chunk", "counts", *keys]
 
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        counters = np.zeros(1 << SKETCH_BITS, np.int64)
-        for pdf in batches:
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        counters, kind = np.zeros(1 << SKETCH_BITS, np.int64), None
+        for batch in batches:
             n, d1, d2 = [], [], []
-            for s in shingle_sets(_strings(pdf["text"])):
+            for s in shingle_sets(_strings(batch.column("text").to_pylist())):
                 np.add.at(counters, (s >> np.uint64(64 - SKETCH_BITS)).astype(np.int64), 1)
                 a, b = digest(s)
                 n.append(len(s)), d1.append(a), d2.append(b)
-            yield pd.DataFrame({"doc_id": pdf["doc_id"], "n": np.array(n, np.int64), "d1": np.array(d1, np.int64), "d2": np.array(d2, np.int64), "chunk": -1, "counts": None, **{k: pdf[k] for k in keys}})
+            ids, rows = batch.column("doc_id"), batch.num_rows
+            kind = ids.type
+            numbers = [pa.array(x, pa.int64()) for x in (n, d1, d2)]
+            yield pa.RecordBatch.from_arrays([ids, *numbers, pa.array([-1] * rows, pa.int32()), pa.nulls(rows, pa.binary()), *[batch.column(k) for k in keys]], names)
         if counters.any():
             parts = [x.astype("<u4").tobytes() for x in np.split(np.minimum(counters, (1 << 32) - 1), CHUNKS)]
-            yield pd.DataFrame({"doc_id": None, "n": 0, "d1": 0, "d2": 0, "chunk": range(CHUNKS), "counts": parts, **dict.fromkeys(keys, 0)})
+            zero = pa.array([0] * CHUNKS, pa.int64())
+            yield pa.RecordBatch.from_arrays([pa.nulls(CHUNKS, kind), zero, zero, zero, pa.array(range(CHUNKS), pa.int32()), pa.array(parts, pa.binary()), *[zero for _ in keys]], names)
 
     more = "".join(f", {k} bigint" for k in keys)
-    return texts.mapInPandas(run, f"doc_id {texts.schema['doc_id'].dataType.simpleString()}, n bigint, d1 bigint, d2 bigint, chunk int, counts binary{more}")
+    return texts.mapInArrow(run, f"doc_id {texts.schema['doc_id'].dataType.simpleString()}, n bigint, d1 bigint, d2 bigint, chunk int, counts binary{more}")
 
 
 def _sketch(profiles: DataFrame) -> np.ndarray:
@@ -140,9 +187,10 @@ def _sketch(profiles: DataFrame) -> np.ndarray:
     return out.ravel()
 
 
-def _entries(texts: DataFrame, sketch: np.ndarray, most_light: int, percent: int) -> DataFrame:
+def _entries(source: Source, sketch: np.ndarray, most_light: int, percent: int) -> DataFrame:
     """Keys of each set: key, part, c (class), n, pos. In lists pos is the place in the order; for a key of
-    a subset it is -1 minus the partner's size."""
+    a subset it is -1 minus the partner's size, and part has more bits of the key."""
+    texts, class_of = source.texts, source.class_of()
     shared = texts.sparkSession.sparkContext.broadcast(sketch)
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -153,7 +201,7 @@ def _entries(texts: DataFrame, sketch: np.ndarray, most_light: int, percent: int
                 n = len(s)
                 if not n:
                     continue
-                c = digest(s)[0]
+                c = class_of(s)
                 if c in done:  # a copy; those of other tasks are dropped in the lists
                     continue
                 if len(done) >= 200_000:
@@ -164,9 +212,10 @@ def _entries(texts: DataFrame, sketch: np.ndarray, most_light: int, percent: int
                         if 1 <= t <= most_light and (o := least_overlap(n, t, percent)) <= min(n, t):
                             salt = np.uint64(min(n, t) * 64 + max(n, t)) * np.uint64(0xD6E8FEB86659FD93)
                             with np.errstate(over="ignore"):
-                                found = np.array([np.sum(mix(np.array(x, np.uint64) ^ salt)) for x in combinations(s, o)], np.uint64)
+                                picked = np.array(list(combinations(s, o)), np.uint64)
+                                found, more = (np.sum(mix(mix(picked ^ salt) + np.uint64(k)), axis=1, dtype=np.uint64) for k in (0, 1))
                             keys.append(found.view(np.int64))
-                            parts.append(np.zeros(len(found), np.int32))
+                            parts.append((more >> np.uint64(33)).astype(np.int32))
                             places.append(np.full(len(found), -1 - t, np.int32))
                             cs.append(np.full(len(found), c)), ns.append(np.full(len(found), n, np.int32))
                 if partner_sizes(n, percent)[-1] > most_light:
@@ -181,7 +230,7 @@ def _entries(texts: DataFrame, sketch: np.ndarray, most_light: int, percent: int
             if keys:
                 yield pd.DataFrame({"key": np.concatenate(keys), "part": np.concatenate(parts), "c": np.concatenate(cs), "n": np.concatenate(ns), "pos": np.concatenate(places)})
 
-    return texts.mapInPandas(run, "key bigint, part int, c bigint, n int, pos int")
+    return texts.select("text").mapInPandas(run, "key bigint, part int, c bigint, n int, pos int")
 
 
 def _in_lists(entries: DataFrame) -> DataFrame:
@@ -209,7 +258,7 @@ def _in_lists(entries: DataFrame) -> DataFrame:
             # A row's copies stand together: what is found beside the last copy holds for the first.
             runs = np.cumsum(np.concatenate([[True], ~same_row])) - 1
             other = np.bincount(runs, other)[runs] > 0
-            part_of_many = part > 0
+            part_of_many = (part > 0) & (pos >= 0)
             ready = fresh & (other | part_of_many)
             last_run = runs == runs[-1]
             out = pdf[ready]
@@ -223,74 +272,90 @@ def _in_lists(entries: DataFrame) -> DataFrame:
     return ordered.mapInPandas(run, "key bigint, part int, c bigint, n int, pos int")
 
 
-def _light_links(lists: DataFrame) -> DataFrame:
-    """Links of light sets, as a star in each key: every set with the smallest class of the partner's size."""
+def _light_pairs(lists: DataFrame) -> DataFrame:
+    """Pairs of light sets, as a star in each key: every set with the smallest class of the partner's size."""
     rows = lists.filter("pos < 0").withColumn("t", -F.col("pos") - 1)
-    stars = rows.groupBy("key").agg(F.min(F.when(F.expr("n < t"), F.col("c"))).alias("small"), F.min(F.when(F.expr("n > t"), F.col("c"))).alias("large"), F.min(F.when(F.expr("n = t"), F.col("c"))).alias("equal"))
+    stars = rows.groupBy("key", "part").agg(F.min(F.when(F.expr("n < t"), F.col("c"))).alias("small"), F.min(F.when(F.expr("n > t"), F.col("c"))).alias("large"), F.min(F.when(F.expr("n = t"), F.col("c"))).alias("equal"))
     other = F.when(F.expr("n < t"), F.col("large")).when(F.expr("n > t"), F.col("small")).otherwise(F.col("equal"))
-    return rows.join(stars, "key").select(F.col("c").alias("a"), other.alias("b")).filter("b IS NOT NULL AND a <> b").distinct()
+    pairs = rows.join(stars, ["key", "part"]).select("c", other.alias("other")).filter("other IS NOT NULL AND c <> other")
+    return pairs.select(F.least("c", "other").alias("a"), F.greatest("c", "other").alias("b")).distinct()
 
 
 def _filter(classes: DataFrame) -> np.ndarray:
-    """A bit for each class, gathered in chunks; bounded by the filter's size."""
-    per_chunk = (1 << FILTER_BITS) // CHUNKS
+    """Bits, eight for each class where the bound allows, gathered in chunks."""
+    bits = min(max((8 * classes.count()).bit_length(), FILTER_BITS[0]), FILTER_BITS[1])
+    per_chunk = (1 << bits) // CHUNKS
 
     def fold(pdf: pd.DataFrame) -> pd.DataFrame:
-        bits = np.zeros(per_chunk, bool)
-        bits[pdf["slot"].to_numpy() % per_chunk] = True
-        return pd.DataFrame({"chunk": [int(pdf["slot"].iloc[0]) // per_chunk], "bits": [np.packbits(bits).tobytes()]})
+        found = np.zeros(per_chunk, bool)
+        found[pdf["slot"].to_numpy() % per_chunk] = True
+        return pd.DataFrame({"chunk": [int(pdf["slot"].iloc[0]) // per_chunk], "bits": [np.packbits(found).tobytes()]})
 
-    slots = classes.select(F.pmod("c", F.lit(1 << FILTER_BITS)).alias("slot")).distinct()
+    slots = classes.select(F.pmod(F.shiftright("c", 1), F.lit(1 << bits)).alias("slot")).distinct()
     out = np.zeros((CHUNKS, per_chunk), bool)
     for r in slots.groupBy(F.floor(F.col("slot") / per_chunk)).applyInPandas(fold, "chunk int, bits binary").collect():
         out[r.chunk] = np.unpackbits(np.frombuffer(r.bits, np.uint8))
     return np.packbits(out.ravel())
 
 
-def _sets(texts: DataFrame, classes: DataFrame) -> DataFrame:
+def _sets(source: Source, classes: DataFrame) -> DataFrame:
     """c and the shingles, as bytes, of the wanted classes.
 
     The texts are read where they lie and not shuffled: each task keeps what the filter lets through.
     """
-    shared = texts.sparkSession.sparkContext.broadcast(_filter(classes))
+    shared, class_of = source.texts.sparkSession.sparkContext.broadcast(_filter(classes)), source.class_of()
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        bits, done = np.unpackbits(shared.value).astype(bool), set()
+        packed, done = shared.value, set()
         for pdf in batches:
             cs, found = [], []
             for s in shingle_sets(_strings(pdf["text"])):
-                if len(s) and bits[(c := digest(s)[0]) % len(bits)] and c not in done:
+                if not len(s):
+                    continue
+                c = class_of(s)
+                slot = (c >> 1) % (8 * len(packed))
+                if packed[slot >> 3] >> (7 - (slot & 7)) & 1 and c not in done:
                     if len(done) >= 200_000:
                         done.clear()
                     done.add(c)
                     cs.append(c), found.append(s.tobytes())
             yield pd.DataFrame({"c": np.array(cs, np.int64), "shingles": found})
 
-    sets = texts.select("text").mapInPandas(run, "c bigint, shingles binary")
+    sets = source.texts.select("text").mapInPandas(run, "c bigint, shingles binary")
     # Copies in several tasks give one set each; the least is taken as any would do.
-    return sets.join(classes.select("c").distinct(), "c", "left_semi").dropDuplicates(["c"])
+    return sets.join(classes, "c", "left_semi").dropDuplicates(["c"])
 
 
-def _verified(pairs: DataFrame, texts: DataFrame, percent: int) -> DataFrame:
-    """The pairs (a, b) that link, written."""
+def _overlaps(pairs: DataFrame, source: Source, percent: int, rest: bool = False) -> DataFrame:
+    """(a, b, n, both, linked) of pairs (a, b), written: size of a's set, of the overlap, and whether they link.
+
+    With ``rest``, also the first shingles of a that are not in b: so many that any set that overlaps with b
+    no more than it needs to link with a shares one of them.
+    """
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for pdf in batches:
-            linked = []
+            n, found, linked, rests = [], [], [], []
             for x, y in zip(pdf["x"], pdf["y"], strict=True):
                 x, y = np.frombuffer(x, np.uint64), np.frombuffer(y, np.uint64)
-                both = int(np.count_nonzero(y[np.minimum(np.searchsorted(y, x), len(y) - 1)] == x))
-                linked.append(100 * both >= percent * (len(x) + len(y) - both))
-            yield pdf.loc[linked, ["a", "b"]]
-
-    pairs = materialise(pairs, "pairs")
-    classes = pairs.select(F.col("a").alias("c")).union(pairs.select("b")).distinct()
-    sets = materialise(_sets(texts, classes), "sets")
+                there = y[np.minimum(np.searchsorted(y, x), len(y) - 1)] == x
+                both = int(np.count_nonzero(there))
+                n.append(len(x)), found.append(both), linked.append(100 * both >= percent * (len(x) + len(y) - both))
+                if rest:
+                    need = -(-percent * len(x) // 100) - both
+                    own = x[~there]
+                    rests.append(own[: len(own) - max(need, 1) + 1].view(np.int64))
+            yield pd.DataFrame({"a": pdf["a"], "b": pdf["b"], "n": np.array(n, np.int64), "both": np.array(found, np.int64), "linked": np.array(linked, bool), **({"rest": rests} if rest else {})})
+
+    pairs = materialise(pairs.select("a", "b"), "pairs")
+    classes = materialise(pairs.select(F.col("a").alias("c")).union(pairs.select("b")).distinct(), "classes")
+    sets = materialise(_sets(source, classes), "sets")
     x = sets.select(F.col("c").alias("a"), F.col("shingles").alias("x"))
     y = sets.select(F.col("c").alias("b"), F.col("shingles").alias("y"))
-    linked = materialise(pairs.join(x, "a").join(y, "b").mapInPandas(run, "a bigint, b bigint"), "linked")
-    discard(pairs, sets)
-    return linked
+    found = pairs.join(x, "a").join(y, "b").mapInPandas(run, "a bigint, b bigint, n bigint, both bigint, linked boolean" + ", rest array<bigint>" * rest)
+    found = materialise(found, "overlaps")
+    discard(pairs, classes, sets)
+    return found
 
 
 def components(links: DataFrame) -> DataFrame:
@@ -332,100 +397,156 @@ def _least_shared(n: Column, m: Column, percent: int) -> Column:
     return F.greatest(F.lit(1), need - F.greatest(_rest(n, percent), _rest(m, percent)))
 
 
-def _crossing(heavy: DataFrame, labels: DataFrame) -> DataFrame:
-    """Entries of lists that hold two labels or more, with the label that most entries have."""
-    parts = heavy.join(labels, "c", "left").withColumn("label", F.coalesce("label", "c"))
-    by_part = parts.groupBy("key", "label").agg(F.count("*").alias("rows"))
-    largest = by_part.groupBy("key").agg(F.max(F.struct("rows", "label")).alias("x"), F.count("*").alias("parts")).filter("parts > 1").select("key", F.col("x.label").alias("largest"))
-    return materialise(parts.join(largest, "key"), "crossing")
+def _weighed(lists: DataFrame) -> DataFrame:
+    """Entries (key, c, n) of lists of two classes or more, written, with the list's size ``rows``, the sum of
+    these over the class's entries, ``weight``, and ``long``: how many of its lists are long ones."""
+    shared = materialise(lists.groupBy("key").agg(F.min("c").alias("low"), F.max("c").alias("high"), F.count("*").alias("rows")).filter("low <> high").select("key", "rows"), "list-sizes")
+    by_class = W.partitionBy("c")
+    out = lists.join(shared, "key").withColumns({"weight": F.sum("rows").over(by_class), "long": F.count(F.when(F.col("rows") >= LONG, 1)).over(by_class)})
+    out = materialise(out, "lists")
+    discard(shared)
+    return out
 
 
-def _pivot_pairs(mixed: DataFrame, percent: int, count: int, outside: bool) -> DataFrame:
-    """Each class with the pivots that it meets most, one for each of ``count`` orders by chance.
+def _hub_pairs(weighed: DataFrame, percent: int) -> DataFrame:
+    """Each class with the hub that it meets most: a list's hub is its class of the largest weight.
 
-    With ``outside``, pivots are of a list's largest part and the classes those outside it. A guess at what
-    links, not a search: pairs that meet too seldom for it are left to the search.
+    A class with few shingles of its own has the most entries in long lists, so of a group of near copies the
+    hub is the one that most others link with. A guess, not a search: what it misses is left to the search.
     """
-    asking = mixed.filter("label <> largest") if outside else mixed
-    out = None
-    for number in range(count):
-        chance = F.xxhash64("c", F.lit(number + PIVOTS[0] * outside))
-        order = F.when(F.col("label") == F.col("largest"), chance) if outside else chance
-        pivots = mixed.groupBy("key").agg(F.min_by(F.struct("c", "n", "label"), order).alias("p"))
-        met = asking.join(pivots, "key").filter((F.col("label") != F.col("p.label")) & _fits(F.col("n"), F.col("p.n"), percent))
-        met = met.groupBy("c", F.col("p.c").alias("p")).agg(F.count("*").alias("times"), F.first(_least_shared(F.col("n"), F.col("p.n"), percent)).alias("least")).filter("4 * times >= least")
-        pairs = met.groupBy("c").agg(F.max(F.struct("times", "p")).alias("x")).select(F.least("c", "x.p").alias("a"), F.greatest("c", "x.p").alias("b"))
-        out = pairs if out is None else out.union(pairs)
-    return out.distinct()
-
-
-def _crossing_pairs(mixed: DataFrame, percent: int) -> DataFrame:
-    """All pairs of two labels that share enough of their first shingles to link."""
-    left = mixed.filter("label <> largest").select("key", F.col("c").alias("c1"), F.col("n").alias("n1"), F.col("label").alias("l1"))
-    right = mixed.select("key", F.col("c").alias("c2"), F.col("n").alias("n2"), F.col("label").alias("l2"), (F.col("label") == F.col("largest")).alias("main"))
+    hubs = weighed.groupBy("key").agg(F.max(F.struct("weight", "c", "n")).alias("hub")).select("key", F.col("hub.c").alias("h"), F.col("hub.n").alias("m"))
+    met = weighed.join(hubs, "key").filter((F.col("c") != F.col("h")) & _fits(F.col("n"), F.col("m"), percent))
+    met = met.groupBy("c", "h").agg(F.count("*").alias("times"), F.first(_least_shared(F.col("n"), F.col("m"), percent)).alias("least")).filter("4 * times >= least")
+    return met.groupBy("c").agg(F.max(F.struct("times", "h")).alias("x")).select(F.least("c", "x.h").alias("a"), F.greatest("c", "x.h").alias("b")).distinct()
+
+
+def _crossing(weighed: DataFrame, labels: DataFrame) -> DataFrame:
+    """Entries of lists that hold two labels or more, with the label that most entries have, written."""
+    parts = weighed.join(labels, "c", "left").withColumn("label", F.coalesce("label", "c"))
+    by_part = parts.groupBy("key", "label").agg(F.count("*").alias("part_rows"))
+    largest = by_part.groupBy("key").agg(F.max(F.struct("part_rows", "label")).alias("x"), F.count("*").alias("parts")).filter("parts > 1").select("key", F.col("x.label").alias("largest"))
+    largest = materialise(largest, "largest")
+    out = materialise(parts.join(largest, "key"), "crossing")
+    discard(largest)
+    return out
+
+
+def _against_hubs(crossing: DataFrame, source: Source, percent: int) -> tuple[DataFrame, DataFrame]:
+    """The hubs (key, h) of long lists, and all classes of these lists compared with them."""
+    long = crossing.filter(F.col("rows") >= LONG)
+    hubs = materialise(long.filter("label = largest").groupBy("key").agg(F.max(F.struct("weight", "c")).alias("hub")).select("key", F.col("hub.c").alias("h")), "hubs")
+    pairs = long.join(hubs, "key").filter("c <> h").select(F.col("c").alias("a"), F.col("h").alias("b")).distinct()
+    return hubs, _overlaps(pairs, source, percent, rest=True)
+
+
+def _list_pairs(crossing: DataFrame, hubs: DataFrame | None, compared: DataFrame | None, percent: int, first: bool) -> DataFrame:
+    """Pairs (a, b) of two labels that may link, from lists that are not long; of long ones those pairs whose
+    overlaps with the list's hub are large enough for a link."""
+    columns = ["key", "c", "n", "label", "largest", "long"]
+    entries = crossing.select(*columns, F.lit(None).cast("bigint").alias("both"), F.lit(0).alias("fewest"))
+    if compared is not None:
+        entries = entries.filter(crossing["rows"] < LONG)
+        near = crossing.filter(F.col("rows") >= LONG).join(hubs, "key").join(compared.select(F.col("a").alias("c"), F.col("b").alias("h"), "both"), ["c", "h"])
+        near = materialise(near.filter(100 * F.col("both") >= percent * F.col("n")).select(*columns, "both"), "near-hubs")
+        fewest = materialise(near.groupBy("key").agg(F.min("n").alias("fewest")), "fewest")
+        entries = entries.union(near.join(fewest, "key").select(*columns, "both", "fewest"))
+    # A class outside the largest part needs a partner of the list's least size or more.
+    reach = F.col("both").isNull() | ((100 + percent) * F.col("both") >= percent * (F.col("n") + F.greatest(F.col("fewest"), F.ceil(percent * F.col("n") / 100))))
+    left = entries.filter((F.col("label") != F.col("largest")) & reach).select("key", *[F.col(x).alias(f"{x}1") for x in ("c", "n", "label", "both", "long")])
+    right = entries.select("key", *[F.col(x).alias(f"{x}2") for x in ("c", "n", "label", "both", "long")], (F.col("label") == F.col("largest")).alias("main"))
+    n, m = F.col("n1"), F.col("n2")
+    enough = F.col("both1").isNull() | ((100 + percent) * F.least("both1", "both2") >= percent * (n + m))
     # Two entries besides the main label meet twice; one of the meetings counts.
-    pairs = left.join(right, "key").filter((F.col("l1") != F.col("l2")) & (F.col("main") | (F.col("c1") < F.col("c2"))) & _fits(F.col("n1"), F.col("n2"), percent))
-    shared = pairs.groupBy(F.least("c1", "c2").alias("a"), F.greatest("c1", "c2").alias("b")).agg(F.count("*").alias("times"), F.first(_least_shared(F.col("n1"), F.col("n2"), percent)).alias("least"))
+    pairs = left.join(right, "key").filter((F.col("label1") != F.col("label2")) & (F.col("main") | (F.col("c1") < F.col("c2"))) & _fits(n, m, percent) & enough)
+    # Their meetings in long lists are not counted; there are as many at most as either has entries there.
+    least = _least_shared(n, m, percent) - F.least("long1", "long2") if first else F.lit(1)
+    shared = pairs.groupBy(F.least("c1", "c2").alias("a"), F.greatest("c1", "c2").alias("b")).agg(F.count("*").alias("times"), F.first(least).alias("least"))
     return shared.filter("times >= least").select("a", "b")
 
 
-def links(texts: DataFrame, profiles: DataFrame, percent: int = PERCENT) -> DataFrame:
+def _between_labels(pairs: DataFrame, labels: DataFrame) -> DataFrame:
+    """Pairs that components do not join yet."""
+    a = labels.select(F.col("c").alias("a"), F.col("label").alias("l"))
+    b = labels.select(F.col("c").alias("b"), F.col("label").alias("m"))
+    named = pairs.distinct().join(a, "a", "left").join(b, "b", "left")
+    return named.filter(F.coalesce("l", "a") != F.coalesce("m", "b")).select("a", "b")
+
+
+def links(source: Source, percent: int = PERCENT) -> DataFrame:
     """Links (a, b) between classes whose components are those of all links."""
-    classes = profiles.filter("chunk < 0 AND n > 0").groupBy("d1").agg(F.min("n").alias("n"))
+    classes = source.profiles.filter("chunk < 0 AND n > 0").groupBy("d1", "d2").agg(F.min("n").alias("n"))
     sizes = {r.n: r["count"] for r in classes.filter(F.col("n") <= MOST_LIGHT).groupBy("n").count().collect()}
-    lists = materialise(_in_lists(_entries(texts, _sketch(profiles), boundary(sizes, percent), percent)), "lists")
-    light = materialise(_light_links(lists), "links")
+    lists = materialise(_in_lists(_entries(source, _sketch(source.profiles), boundary(sizes, percent), percent)), "lists")
     # n as long numbers from here on, so that products cannot overflow
-    heavy = lists.filter("pos >= 0").select("key", "c", F.col("n").cast("bigint").alias("n"))
-    shared = heavy.groupBy("key").agg(F.min("c").alias("low"), F.max("c").alias("high")).filter("low <> high").select("key")
-    heavy = materialise(heavy.join(shared, "key", "left_semi"), "lists")
+    weighed = _weighed(lists.filter("pos >= 0").select("key", "c", F.col("n").cast("bigint").alias("n")))
+    guessed = _overlaps(_light_pairs(lists).union(_hub_pairs(weighed, percent)).distinct(), source, percent)
     discard(lists)
-    found = light
-    for outside, count in enumerate(PIVOTS):
-        mixed = _crossing(heavy, components(found))
-        found = found.union(_verified(_pivot_pairs(mixed, percent, count, bool(outside)), texts, percent))
-        discard(mixed)
-    mixed = _crossing(heavy, components(found))
-    searched = _verified(_crossing_pairs(mixed, percent), texts, percent)
-    discard(mixed, heavy)
-    return found.union(searched)
-
-
-def linked_classes(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", percent: int = PERCENT) -> DataFrame:
+    found, searched = guessed.filter("linked").select("a", "b"), []
+    for depth in range(DEPTH):
+        crossing = _crossing(weighed, components(found))
+        discard(weighed)
+        if depth + 1 == DEPTH or crossing.filter(F.col("rows") >= LONG).isEmpty():
+            hubs = compared = None
+        else:
+            hubs, compared = _against_hubs(crossing, source, percent)
+            found = found.union(compared.filter("linked").select("a", "b"))
+        searched.append(materialise(_list_pairs(crossing, hubs, compared, percent, depth == 0), "pairs"))
+        discard(crossing)
+        if compared is None:
+            break
+        discard(hubs)
+        # Beside its hub, a pair meets in what both have and the hub has not.
+        rest = compared.select(F.col("a").alias("c"), "n", "b", F.explode("rest").alias("shingle"))
+        weighed = _weighed(rest.select(F.xxhash64("b", "shingle").alias("key"), "c", "n").distinct())
+    pairs = searched[0]
+    for more in searched[1:]:
+        pairs = pairs.union(more)
+    return found.union(_overlaps(_between_labels(pairs, components(found)), source, percent).filter("linked").select("a", "b"))
+
+
+def _numbered(source: Source) -> DataFrame:
+    """The rows of the documents that have shingles, with their class c."""
+    rows = source.profiles.filter("chunk < 0 AND n > 0").withColumn("c", F.col("d1").bitwiseAND(F.lit(-2)))
+    if not source.clashes:
+        return rows.drop("chunk", "counts")
+    told = rows.sparkSession.createDataFrame([(*k, v) for k, v in source.clashes.items()], "d1 bigint, d2 bigint, own bigint")
+    return rows.join(told, ["d1", "d2"], "left").withColumn("c", F.coalesce("own", "c")).drop("chunk", "counts", "own")
+
+
+def _chosen(rows: DataFrame, labels: DataFrame, order: Column) -> DataFrame:
+    """(c, chosen): for each class the least ``order`` among the rows of its component."""
+    classes = materialise(rows.groupBy("c").agg(F.min(order).alias("first")).join(labels, "c", "left").withColumn("label", F.coalesce("label", "c")), "components")
+    # Written, so that the join can split the classes of a large component.
+    least = materialise(classes.groupBy("label").agg(F.min("first").alias("chosen")), "chosen")
+    return classes.join(least, "label").select("c", "chosen")
+
+
+def linked_classes(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", percent: int = PERCENT, digest: Digest = digest) -> DataFrame:
     """Per document: doc_id, n_shingles and component_id, the smallest id that links reach, its own included."""
-    texts = _texts(docs, id_col, text_col)
-    profiles = materialise(_profiles(texts), "profiles")
-    labels = components(links(texts, profiles, percent))
-    rows = profiles.filter("chunk < 0").select("doc_id", "n", F.col("d1").alias("c"))
-    classes = rows.filter("n > 0").groupBy("c").agg(F.min("doc_id").alias("first"))
-    named = classes.join(labels, "c", "left").withColumn("label", F.coalesce("label", "c"))
-    smallest = named.groupBy("label").agg(F.min("first").alias("component_id"))
-    by_class = named.join(smallest, "label").select("c", "component_id")
-    out = rows.join(by_class, "c", "left")
-    return out.select("doc_id", F.col("n").alias("n_shingles"), F.when(F.col("n") > 0, F.coalesce("component_id", "doc_id")).otherwise(F.col("doc_id")).alias("component_id"))
-
-
-def one_of_each(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", percent: int = PERCENT) -> DataFrame:
+    source = _source(_texts(docs, id_col, text_col), digest)
+    by_class = materialise(_chosen(_numbered(source), components(links(source, percent)), F.struct(F.col("doc_id").isNull(), "doc_id")), "classes")
+    some = _numbered(source).join(by_class, "c").select("doc_id", F.col("n").alias("n_shingles"), F.col("chosen.doc_id").alias("component_id"))
+    none = source.profiles.filter("chunk < 0 AND n = 0").select("doc_id", F.col("n").alias("n_shingles"), F.col("doc_id").alias("component_id"))
+    return some.union(none)
+
+
+def one_of_each(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", percent: int = PERCENT, digest: Digest = digest) -> DataFrame:
     """One row of ``docs`` for each component: of the smallest id, nulls last, then of the least row key.
 
-    Of equal rows one stays; rows without shingles all stay. Columns are those of ``docs``.
+    Of equal rows one stays; rows without shingles all stay. Columns are those of ``docs``, whatever their names.
     """
     key = ["__k1", "__k2"]
-    texts = _texts(docs, id_col, text_col, *_row_key(docs))
-    profiles = materialise(_profiles(texts), "profiles")
-    labels = components(links(texts, profiles, percent))
-    rows = profiles.filter("chunk < 0 AND n > 0").select("doc_id", *key, F.col("d1").alias("c"))
-    classes = rows.groupBy("c").agg(F.min(F.struct(F.col("doc_id").isNull().alias("last"), "doc_id", *key)).alias("first"))
-    named = classes.join(labels, "c", "left").withColumn("label", F.coalesce("label", "c"))
-    chosen = named.groupBy("label").agg(F.min("first").alias("chosen"))
-    by_class = named.join(chosen, "label").select("c", *[F.col(f"chosen.{k}").alias(f"chosen{k}") for k in key])
+    keyed = docs.select(F.struct(*[docs[c] for c in docs.columns]).alias("__row"), *_row_key(docs))
+    source = _source(_texts(docs, id_col, text_col, *_row_key(docs)), digest)
+    rows = _numbered(source)
+    by_class = _chosen(rows, components(links(source, percent)), F.struct(F.col("doc_id").isNull().alias("last"), "doc_id", *key))
+    by_class = materialise(by_class.select("c", *[F.col(f"chosen.{k}").alias(f"chosen{k}") for k in key]), "classes")
     stays = F.col("__k1").eqNullSafe(F.col("chosen__k1")) & F.col("__k2").eqNullSafe(F.col("chosen__k2"))
     # Keys of rows that go, and of chosen rows that are there more than once.
     marked = rows.join(by_class, "c").groupBy(*key).agg(F.bool_and(stays).alias("one"), F.count("*").alias("times")).filter("NOT one OR times > 1")
     marked = materialise(marked.select(*key, "one"), "row-marks")
-    keyed = docs.select("*", *_row_key(docs))
     out = keyed.join(marked.select(*key), key, "left_anti")
     repeated = marked.filter("one").select(*key)
     if not repeated.isEmpty():
         out = out.unionByName(keyed.join(repeated, key, "left_semi").dropDuplicates(key))
-    return out.select(*docs.columns)
+    return out.select(*[F.col("__row")[c].alias(c) for c in docs.columns])

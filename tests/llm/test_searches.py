@@ -111,6 +111,46 @@ def test_jaccard_of_a_chain_and_crossing_lists(spark):
     assert got == {k: v[1] for k, v in components(docs).items()}
 
 
+@pytest.mark.parametrize("long", [2, 4, jaccard_join.LONG])
+def test_jaccard_of_long_lists(spark, monkeypatch, long):
+    """Two groups of near copies around texts that are half alike, a chain, and bystanders, by way of hubs."""
+    monkeypatch.setattr(jaccard_join, "LONG", long)
+    draw = random.Random(8)
+    base = [f"b{i}" for i in range(90)]
+    docs = []
+    for main in (base, base[:50] + [f"c{i}" for i in range(40)]):
+        for _ in range(30):
+            w = list(main)
+            for _ in range(draw.choice([1, 2, 3, 4])):
+                w[draw.randrange(90)] = draw.choice(["x", f"y{draw.randrange(99)}"])
+            docs.append((len(docs), " ".join(w)))
+    docs += [(100 + i, " ".join(base[3 * i : 3 * i + 30])) for i in range(20)]
+    docs += [(200 + i, " ".join([*base[:20], *(f"own{i}.{j}" for j in range(6))])) for i in range(20)]
+    got = {r.doc_id: (r.n_shingles, r.component_id) for r in jaccard_join.linked_classes(spark.createDataFrame(docs, "doc_id long, text string")).collect()}
+    assert got == components(docs)
+
+
+def test_jaccard_digests_that_clash(spark):
+    """Classes are told apart by all bits of their digests."""
+
+    def narrow(s):
+        return 5, int(s.sum() % 1_000_003)
+
+    docs = near_copies()
+    got = {r.doc_id: (r.n_shingles, r.component_id) for r in jaccard_join.linked_classes(spark.createDataFrame(docs, "doc_id long, text string"), digest=narrow).collect()}
+    assert got == components(docs)
+
+
+BIG = (1 << 53) + 1
+
+
+def test_jaccard_keeps_ids(spark):
+    docs = spark.createDataFrame([(BIG, "a b c d e f"), (None, "a b c d e f"), (BIG + 1, "z")], "doc_id long, text string").coalesce(1)
+    assert sorted(((r.doc_id, r.component_id) for r in jaccard_join.linked_classes(docs).collect()), key=str) == sorted([(BIG, BIG), (None, BIG), (BIG + 1, BIG + 1)], key=str)
+    named = jaccard_join.linked_classes(docs.selectExpr("concat('d', doc_id) AS doc_id", "text AS text"))
+    assert {r.component_id for r in named.collect()} == {f"d{BIG}", f"d{BIG + 1}"}
+
+
 def test_jaccard_empty_and_repeats(spark):
     none = spark.createDataFrame([], "doc_id long, text string")
     assert jaccard_join.linked_classes(none).count() == 0
