@@ -89,13 +89,18 @@ def plan(sized: DataFrame, weights: tuple[int, ...] = WEIGHTS, share: float = SH
     return edge.select("source", "source_size", "target", "full", threshold.alias("threshold"))
 
 
+def _copies(most: int) -> Column:
+    """Copies of a document. Empty ones, which fit any budget, stop at ``most`` like all others."""
+    return F.least(F.col("full") + (F.col("hash") < F.col("threshold")).cast("bigint"), F.lit(most).cast("bigint"))
+
+
 def counted(docs: DataFrame, id_col: str = "doc_id", source_col: str = "source", text_col: str = "text", weights: tuple[int, ...] = WEIGHTS, share: float = SHARE, most: int = MOST) -> DataFrame:
     """Per document: doc_id, size, source_size, target, taken and copies (0 to ``most``)."""
     slim = docs.select(docs[id_col].alias("doc_id"), docs[source_col].alias("source"), size_of(docs[text_col]).alias("size"), hash_of(docs[id_col]).alias("hash"))
     sized = materialise(slim, "mix-sizes")
     plans = plan(sized, weights, share, most).withColumnRenamed("source", "p_source")
-    copies = F.col("full") + (F.col("hash") < F.col("threshold")).cast("bigint")
     out = sized.join(plans, _same(F.col("source"), F.col("p_source")))
+    copies = _copies(most)
     return out.select("doc_id", "size", "source_size", "target", (copies * F.col("size")).alias("taken"), copies.alias("copies"), "source")
 
 
@@ -104,9 +109,8 @@ def mixed(docs: DataFrame, id_col: str = "doc_id", source_col: str = "source", t
     row = F.struct(*[docs[c] for c in docs.columns]).alias("__row")
     sized = materialise(docs.select(docs[source_col].alias("source"), size_of(docs[text_col]).alias("size"), hash_of(docs[id_col]).alias("hash")), "mix-sizes")
     plans = plan(sized, weights, share, most).withColumnRenamed("source", "p_source")
-    copies = F.col("full") + (F.col("hash") < F.col("threshold")).cast("bigint")
     keyed = docs.select(row, docs[source_col].alias("__source"), hash_of(docs[id_col]).alias("hash"))
-    out = keyed.join(plans, _same(F.col("__source"), F.col("p_source"))).select("__row", copies.cast("int").alias("n")).filter("n > 0")
+    out = keyed.join(plans, _same(F.col("__source"), F.col("p_source"))).select("__row", _copies(most).cast("int").alias("n")).filter("n > 0")
     return out.select("__row", F.explode(F.sequence(F.lit(1), "n"))).select("__row.*")
 
 
@@ -134,5 +138,5 @@ summed AS (SELECT *, sum(size) OVER (PARTITION BY source ORDER BY hash) AS upto
 below AS (SELECT s.source, s.hash, CASE WHEN s.upto <= p.target - p.full_copies * p.source_size
         OR (s.upto - s.size <= p.target - p.full_copies * p.source_size AND p.target - p.full_copies * p.source_size - (s.upto - s.size) >= s.size / 2) THEN 1 ELSE 0 END AS more
     FROM summed s JOIN planned p ON s.source IS NOT DISTINCT FROM p.source),
-mix AS (SELECT d.doc_id, CAST(d.size AS BIGINT) AS size, p.source_size, p.target, CAST((p.full_copies + b.more) * d.size AS BIGINT) AS taken, p.full_copies + b.more AS copies, d.source
+mix AS (SELECT d.doc_id, CAST(d.size AS BIGINT) AS size, p.source_size, p.target, CAST(least(p.full_copies + b.more, {MOST}) * d.size AS BIGINT) AS taken, least(p.full_copies + b.more, {MOST}) AS copies, d.source
     FROM sized d JOIN planned p ON d.source IS NOT DISTINCT FROM p.source JOIN below b ON d.source IS NOT DISTINCT FROM b.source AND d.hash = b.hash)"""
