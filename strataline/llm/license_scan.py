@@ -19,7 +19,7 @@ from collections.abc import Iterator
 from itertools import accumulate
 
 import numpy as np
-import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame
 
 from strataline.llm.shingles import _LOWER, blocks, mix, word_hashes
@@ -199,12 +199,11 @@ def scan(docs: DataFrame, templates: dict[str, str] | None = None, least: float
     """One row per match: doc_id, license, coverage, begin and end (code points of the text)."""
     templates = TEMPLATES if templates is None else templates
 
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         index = Index(templates)
         with np.errstate(over="ignore"):
-            for pdf in batches:
-                ids, texts = pdf["doc_id"].tolist(), [x if isinstance(x, str) else None for x in pdf["text"]]
-                rows = []
+            for batch in batches:
+                texts, rows, found = batch.column("text").to_pylist(), [], []
                 for some in blocks(texts):
                     coded = [(texts[i] or "").encode("utf-8", "replace") for i in some]
                     starts, words = _words(b" ".join(coded))
@@ -217,8 +216,12 @@ def scan(docs: DataFrame, templates: dict[str, str] | None = None, least: float
                             end = int(at[last])
                             while end < len(raw) and _PLAIN[raw[end]] != 0x20:
                                 end += 1
-                            rows.append((ids[some[k]], name, coverage, len(raw[: at[first]].decode("utf-8")), len(raw[:end].decode("utf-8"))))
-                yield pd.DataFrame(rows, columns=["doc_id", "license", "coverage", "begin", "end"])
+                            rows.append(some[k])
+                            found.append((name, coverage, len(raw[: at[first]].decode("utf-8")), len(raw[:end].decode("utf-8"))))
+                kinds = (pa.string(), pa.float64(), pa.int64(), pa.int64())
+                # Ids of any type are picked, not converted.
+                ids = batch.column("doc_id").take(pa.array(rows, pa.int64()))
+                yield pa.RecordBatch.from_arrays([ids, *[pa.array([m[k] for m in found], kind) for k, kind in enumerate(kinds)]], ["doc_id", "license", "coverage", "begin", "end"])
 
     kind = docs.schema[id_col].dataType.simpleString()
-    return docs.select(docs[id_col].alias("doc_id"), docs[text_col].alias("text")).mapInPandas(run, f"doc_id {kind}, license string, coverage double, begin bigint, end bigint")
+    return docs.select(docs[id_col].alias("doc_id"), docs[text_col].alias("text")).mapInArrow(run, f"doc_id {kind}, license string, coverage double, begin bigint, end bigint")

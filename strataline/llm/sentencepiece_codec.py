@@ -19,7 +19,7 @@ from collections.abc import Iterator
 from functools import lru_cache
 
 import ahocorasick
-import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame
 
 SPACE = "▁"
@@ -341,6 +341,9 @@ def _digests(c: Codec):
     return of
 
 
+_ARROW = {"bigint": pa.int64(), "string": pa.string(), "array<int>": pa.list_(pa.int32())}
+
+
 def _mapped(df: DataFrame, model_path: str, source: str, added: list[tuple[str, str]], make) -> DataFrame:
     """``df`` with columns computed row by row from one column, in batches on the executors."""
     model = load_model(model_path)  # the model's size does not depend on the data
@@ -350,17 +353,18 @@ def _mapped(df: DataFrame, model_path: str, source: str, added: list[tuple[str,
     source = source if source in kept else "__source"
     columns = [*kept] if source in kept else [*kept, source]
 
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    kinds = [_ARROW[t] for _, t in added]
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         one = make(codec(model))
-        for pdf in batches:
-            rows = [one(x if isinstance(x, str) or hasattr(x, "__len__") else None) for x in pdf[source]]
-            out = pdf[kept].copy()
-            for k, n in enumerate(names):
-                out[n] = pd.Series([r[k] for r in rows], index=pdf.index, dtype=object)
-            yield out
+        for batch in batches:
+            rows = [one(x) for x in batch.column(batch.schema.names.index(source)).to_pylist()]
+            new = [pa.array([r[k] for r in rows], kind) for k, kind in enumerate(kinds)]
+            # The other columns pass as they are, whatever their types.
+            yield pa.RecordBatch.from_arrays([*[batch.column(k) for k in range(len(kept))], *new], [*kept, *names])
 
     fields = [f"`{n}` {df.schema[n].dataType.simpleString()}" for n in kept] + [f"`{n}` {t}" for n, t in added]
-    return read.select(*[f"`{c}`" for c in columns]).mapInPandas(run, ", ".join(fields))
+    return read.select(*[f"`{c}`" for c in columns]).mapInArrow(run, ", ".join(fields))
 
 
 def encode_digests(df: DataFrame, model_path: str, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:

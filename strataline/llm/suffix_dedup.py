@@ -21,10 +21,11 @@ repeats the other. Null ids are allowed. An empty table gives an empty result.
 from __future__ import annotations
 
 import hashlib
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -297,31 +298,34 @@ def merged(runs: object) -> list[tuple[int, int]]:
     return [(a, b) for a, b in out]
 
 
-def _applied(docs: DataFrame, id_col: str, text_col: str, of, schema: str) -> DataFrame:
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for pdf in batches:
+def _applied(docs: DataFrame, id_col: str, text_col: str, of: Callable, fields: dict[str, tuple[str, pa.DataType]]) -> DataFrame:
+    """doc_id of any type, passed on as it is, and ``fields`` of (bytes, spans that go, bytes that stay)."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
             rows = []
-            for doc_id, text, runs in zip(pdf["doc_id"], pdf["text"], pdf["runs"], strict=True):
+            for text, runs in zip(batch.column("text").to_pylist(), batch.column("runs").to_pylist(), strict=True):
                 raw, spans = _utf8(text), merged(runs)
                 kept, at = [], 0
                 for a, b in spans:
                     kept.append(raw[at:a])
                     at = b
-                rows.append((doc_id, *of(raw, spans, b"".join([*kept, raw[at:]]))))
-            yield pd.DataFrame(rows, columns=names).astype({"doc_id": object})
+                rows.append(of(raw, spans, b"".join([*kept, raw[at:]])))
+            made = [pa.array([r[k] for r in rows], kind) for k, (_, kind) in enumerate(fields.values())]
+            yield pa.RecordBatch.from_arrays([batch.column("doc_id"), *made], ["doc_id", *fields])
 
-    names = [f.split()[0] for f in schema.split(", ")]
     joined = _keyed(docs, id_col, text_col).join(repeats(docs, id_col, text_col), ["k1", "k2"], "left").select("doc_id", "text", "runs")
-    return joined.mapInPandas(run, schema)
+    return joined.mapInArrow(run, ", ".join([f"doc_id {docs.schema[id_col].dataType.simpleString()}", *[f"{n} {t}" for n, (t, _) in fields.items()]]))
 
 
 def removed(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """Per row: doc_id, spans (begin, end in bytes) that go, and kept, the bytes that stay."""
-    kind = docs.schema[id_col].dataType.simpleString()
-    return _applied(docs, id_col, text_col, lambda raw, spans, kept: ([{"begin": a, "end": b} for a, b in spans], kept), f"doc_id {kind}, spans array<struct<begin:int;end:int>>, kept binary".replace(";", ","))
+    span = pa.list_(pa.struct([("begin", pa.int32()), ("end", pa.int32())]))
+    fields = {"spans": ("array<struct<begin:int,end:int>>", span), "kept": ("binary", pa.binary())}
+    return _applied(docs, id_col, text_col, lambda raw, spans, kept: ([{"begin": a, "end": b} for a, b in spans], kept), fields)
 
 
 def removal_digests(docs: DataFrame) -> DataFrame:
     """Per row: doc_id, n_bytes, n_removed, n_spans and the SHA-256 of the bytes that stay."""
-    kind = docs.schema["doc_id"].dataType.simpleString()
-    return _applied(docs, "doc_id", "text", lambda raw, spans, kept: (len(raw), len(raw) - len(kept), len(spans), hashlib.sha256(kept).hexdigest()), f"doc_id {kind}, n_bytes bigint, n_removed bigint, n_spans bigint, kept_sha256 string")
+    fields = {n: ("bigint", pa.int64()) for n in ("n_bytes", "n_removed", "n_spans")} | {"kept_sha256": ("string", pa.string())}
+    return _applied(docs, "doc_id", "text", lambda raw, spans, kept: (len(raw), len(raw) - len(kept), len(spans), hashlib.sha256(kept).hexdigest()), fields)
