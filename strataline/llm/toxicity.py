@@ -5,16 +5,20 @@ labelled documents are kept. A later model is trained with the probabilities tha
 seen a document give it for the earlier categories; models for use are then fitted on the whole sample.
 
 Texts are read whole; null and empty texts have no features and get the models' base rates. Labels: one row
-per id, the larger where they differ, null as 0. Without labels every probability is 0.5.
+per id, the larger where they differ, null as 0. Without labels every probability is 0 and nothing is toxic.
+Repeated rows get equal results, an empty table an empty one; features of equal weight are taken in the order of
+their hashes, so that reruns agree. The cut is the one that serves best (by F1, the least of equals) for the
+probabilities that models which have not seen a labelled document give it.
 """
 
 from __future__ import annotations
 
 from collections.abc import Iterator
-from dataclasses import dataclass
+from dataclasses import dataclass, replace
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -23,13 +27,15 @@ from strataline.llm.shingles import _BLANK, _BYTE, _LOWER, blocks, mix, powers
 #: (category, condition on the labels), in the order of the chain.
 CATEGORIES = (("low_quality", "quality = 0"), ("toxic", "toxic = 1"))
 MOST_LABELLED = 6_000
-MOST_FEATURES = 800
+MOST_FEATURES = 1_500
 #: A feature must be in so many documents of the sample.
 LEAST_DOCUMENTS = 4
 PREFIXES = (4, 5, 6, 7)
 FOLDS = 4
 PENALTY = 5e-5
-CUT = 0.4
+STEPS = 300
+#: The cut where the sample has no document of the last category, or none without.
+CUT = 0.5
 
 _PUNCTUATION = np.zeros(256, bool)
 _PUNCTUATION[[b for b in range(128) if not chr(b).isalnum()]] = True
@@ -68,6 +74,7 @@ class Chain:
     features: np.ndarray
     biases: tuple[float, ...]
     weights: tuple[np.ndarray, ...]
+    cut: float = CUT
 
     def probabilities(self, sets: Iterator[np.ndarray]) -> np.ndarray:
         out = []
@@ -83,46 +90,74 @@ class Chain:
         return np.array(out).reshape(-1, len(self.names))
 
 
-def _logistic(x: np.ndarray, y: np.ndarray, steps: int = 150) -> tuple[float, np.ndarray]:
+class Rows:
+    """A sparse matrix of ones, by rows, with a few dense columns behind."""
+
+    def __init__(self, sets: list[np.ndarray], chosen: np.ndarray, dense: np.ndarray) -> None:
+        found = [np.searchsorted(chosen, np.intersect1d(s, chosen)) for s in sets]
+        self.at = np.concatenate(found) if found else np.zeros(0, np.int64)
+        self.row = np.repeat(np.arange(len(sets)), [len(f) for f in found])
+        self.dense, self.n, self.width = dense, len(sets), len(chosen)
+
+    def times(self, w: np.ndarray) -> np.ndarray:
+        return np.bincount(self.row, w[self.at], self.n) + self.dense @ w[self.width :]
+
+    def turned(self, d: np.ndarray) -> np.ndarray:
+        return np.concatenate([np.bincount(self.at, d[self.row], self.width), self.dense.T @ d])
+
+
+def _logistic(x: Rows, y: np.ndarray, steps: int = STEPS) -> tuple[float, np.ndarray]:
     """Sparse logistic weights by accelerated proximal gradient."""
     share = (y.sum() + 0.5) / (len(y) + 1)
     bias = b = float(np.log(share / (1 - share)))
-    w, z, t = np.zeros(x.shape[1], np.float32), np.zeros(x.shape[1], np.float32), 1.0
-    probe = np.ones(x.shape[1], np.float32)
+    size_ = x.width + x.dense.shape[1]
+    w, z, t = np.zeros(size_), np.zeros(size_), 1.0
+    probe = np.ones(size_)
     for _ in range(20):
-        probe = x.T @ (x @ probe)
+        probe = x.turned(x.times(probe))
         probe /= max(float(np.linalg.norm(probe)), 1e-9)
-    size = 4 * len(y) / max(float(np.linalg.norm(x @ probe)) ** 2 + len(y), 1.0)
+    size = 4 * len(y) / max(float(np.linalg.norm(x.times(probe))) ** 2 + len(y), 1.0)
     for _ in range(steps):
-        d = 1 / (1 + np.exp(-(x @ z + b))) - y
-        new = z - size * (x.T @ d) / len(y)
-        new = (np.sign(new) * np.maximum(np.abs(new) - size * PENALTY, 0)).astype(np.float32)
+        d = 1 / (1 + np.exp(-(x.times(z) + b))) - y
+        new = z - size * x.turned(d) / len(y)
+        new = np.sign(new) * np.maximum(np.abs(new) - size * PENALTY, 0)
         new_bias = b - size * float(d.mean())
         t, last = (1 + (1 + 4 * t * t) ** 0.5) / 2, t
         z, b = new + (last - 1) / t * (new - w), new_bias + (last - 1) / t * (new_bias - bias)
         w, bias = new, new_bias
-    return bias, w.astype(np.float64)
+    return bias, w
+
+
+def best_cut(p: np.ndarray, y: np.ndarray) -> float:
+    """The least probability to call positive, by F1 over labelled rows; midway to the next lower one."""
+    if not y.any() or y.all():
+        return CUT
+    order = np.argsort(-p, kind="stable")
+    hits, called = np.cumsum(y[order]), np.arange(1, len(y) + 1)
+    last = np.append(p[order][1:] != p[order][:-1], True)  # equal probabilities are called together
+    f1 = np.where(last, 2 * hits / (called + y.sum()), -1)
+    k = len(f1) - 1 - int(np.argmax(f1[::-1]))
+    return float((p[order][k] + (p[order][k + 1] if k + 1 < len(p) else 0)) / 2)
 
 
 def fit(sets: list[np.ndarray], y: np.ndarray, names: tuple[str, ...], chosen: np.ndarray) -> Chain:
     """A chain from feature sets, labels (a column for each category) and the features to use, ascending."""
     if not len(y):
-        return Chain(names, chosen[:0], (0.0,) * len(names), tuple(np.zeros(k) for k in range(len(names))))
-    x = np.zeros((len(sets), len(chosen)), np.float32)
-    for i, s in enumerate(sets):
-        x[i, np.searchsorted(chosen, np.intersect1d(s, chosen))] = 1
+        return Chain(names, chosen[:0], (-np.inf,) * len(names), tuple(np.zeros(k) for k in range(len(names))))
     fold = np.arange(len(sets)) % FOLDS
+    unseen = np.zeros((len(sets), len(names)))  # what models that have not seen a row say of it
     biases, weights = [], []
     for k in range(len(names)):
-        bias, w = _logistic(x, y[:, k])
+        bias, w = _logistic(Rows(sets, chosen, unseen[:, :k]), y[:, k])
         biases.append(bias), weights.append(w)
-        if k + 1 < len(names):  # what models that have not seen a row say of it
-            unseen = np.zeros((len(sets), 1), np.float32)
-            for f in range(FOLDS):
-                b, v = _logistic(x[fold != f], y[fold != f, k]) if (fold != f).any() else (bias, w)
-                unseen[fold == f, 0] = 1 / (1 + np.exp(-(x[fold == f] @ v.astype(np.float32) + b)))
-            x = np.concatenate([x, unseen], axis=1)
-    return Chain(names, chosen, tuple(biases), tuple(weights))
+        for f in range(FOLDS):
+            seen, rest = np.flatnonzero(fold != f), np.flatnonzero(fold == f)
+            b, v = _logistic(Rows([sets[i] for i in seen], chosen, unseen[seen, :k]), y[seen, k]) if len(seen) else (bias, w)
+            unseen[rest, k] = 1 / (1 + np.exp(-(Rows([sets[i] for i in rest], chosen, unseen[rest, :k]).times(v) + b)))
+    chain = Chain(names, chosen, tuple(biases), tuple(weights))
+    nothing = float(chain.probabilities(iter([chosen[:0]]))[0, -1])
+    # A text without features has nothing toxic in it, whatever the base rate.
+    return replace(chain, cut=max(best_cut(unseen[:, -1], y[:, -1]), float(np.nextafter(nothing, 1))))
 
 
 def train(docs: DataFrame, labels: DataFrame, categories: tuple[tuple[str, str], ...] = CATEGORIES, most: int = MOST_LABELLED) -> Chain:
@@ -160,11 +195,14 @@ def train(docs: DataFrame, labels: DataFrame, categories: tuple[tuple[str, str],
 
 
 def scored(docs: DataFrame, chain: Chain) -> DataFrame:
-    """Per document: doc_id, p_<category> for each, and toxic (the last category's probability at least CUT)."""
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for pdf in batches:
-            p = chain.probabilities(feature_sets([x if isinstance(x, str) else None for x in pdf["text"]]))
-            yield pd.DataFrame({"doc_id": pdf["doc_id"]} | {f"p_{n}": p[:, k] for k, n in enumerate(chain.names)} | {chain.names[-1]: (p[:, -1] >= CUT).astype(np.int32)})
+    """Per document: doc_id, p_<category> for each, and toxic: whether the last one reaches the chain's cut."""
+    names = ["doc_id", *[f"p_{n}" for n in chain.names], chain.names[-1]]
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            p = chain.probabilities(feature_sets(batch.column("text").to_pylist()))
+            marks = pa.array((p[:, -1] >= chain.cut).astype(np.int32))
+            yield pa.RecordBatch.from_arrays([batch.column("doc_id"), *[pa.array(p[:, k]) for k in range(p.shape[1])], marks], names)
 
     kind = docs.schema["doc_id"].dataType.simpleString()
-    return docs.select("doc_id", "text").mapInPandas(run, f"doc_id {kind}, " + ", ".join(f"p_{n} double" for n in chain.names) + f", {chain.names[-1]} int")
+    return docs.select("doc_id", "text").mapInArrow(run, f"doc_id {kind}, " + ", ".join(f"p_{n} double" for n in chain.names) + f", {chain.names[-1]} int")
