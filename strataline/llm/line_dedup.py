@@ -26,21 +26,21 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from strataline.llm.quality_rules import words_of
-from strataline.session import materialise
+from strataline.session import discard, materialise
 
 MIN_WORDS = 8
 #: What addresses a line, in order.
 PLACE = ("doc_id", "line_no", "r1", "r2")
 
 
-def _row_key(docs: DataFrame, id_col: str, text_col: str) -> list[Column]:
+def row_key(docs: DataFrame, id_col: str, text_col: str) -> list[Column]:
     """128 bits of id and text, never null; rows of one key are equal in both."""
     return [F.xxhash64(F.lit(seed), docs[id_col].isNull(), docs[id_col], docs[text_col]).alias(f"r{seed + 1}") for seed in (0, 1)]
 
 
 def _places(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
     """doc_id, row key, line_no and line of each line that holds a word."""
-    lines = docs.select(docs[id_col].alias("doc_id"), *_row_key(docs, id_col, text_col), F.posexplode(F.split(docs[text_col], "\n")).alias("line_no", "line"))
+    lines = docs.select(docs[id_col].alias("doc_id"), *row_key(docs, id_col, text_col), F.posexplode(F.split(docs[text_col], "\n")).alias("line_no", "line"))
     return lines.filter(F.col("line").rlike(r"[^\x20\x09-\x0D]"))
 
 
@@ -70,8 +70,8 @@ def _survivors(distinct: DataFrame) -> DataFrame:
     return keys.join(shared, "key", "left_semi").select(*[f"first.{c}" for c in PLACE]).distinct()
 
 
-def _neighbours(lines: DataFrame) -> DataFrame:
-    """(later, earlier) places of lines within one word of each other; ``lines``: place and w, the words."""
+def _variants(lines: DataFrame) -> DataFrame:
+    """For each word of the lines (place and w, the words): the key of the line without it, and up to it."""
     word = lines.select("place", F.size("w").alias("n"), F.posexplode("w").alias("pos", "word"))
     # A variant's key: the words before the place as they stand, those after it one further left.
     for seed in (1, 2):
@@ -83,7 +83,11 @@ def _neighbours(lines: DataFrame) -> DataFrame:
         before = F.bit_xor(a).over(upto).bitwiseXOR(a)
         after = F.bit_xor(b).over(by_line.orderBy("pos").rowsBetween(W.unboundedPreceding, W.unboundedFollowing)).bitwiseXOR(F.bit_xor(b).over(upto))
         word = word.withColumn(f"k{seed}", before.bitwiseXOR(after)).withColumn(f"whole{seed}", F.bit_xor(a).over(upto))
-    word = materialise(word.select("place", "n", "pos", "k1", "k2", "whole1", "whole2"), "line-variants")
+    return word.select("place", "n", "pos", "k1", "k2", "whole1", "whole2")
+
+
+def _neighbours(word: DataFrame) -> DataFrame:
+    """(later, earlier) places of lines that may be within one word of each other, from their variants."""
     cut = word.filter(F.col("n") >= MIN_WORDS).select("place", "pos", "k1", "k2")
     groups = cut.groupBy("k1", "k2", "pos").agg(F.min("place").alias("earlier"), F.max("place").alias("last")).filter("earlier < last").select("k1", "k2", "pos", "earlier")
     replaced = cut.join(groups, ["k1", "k2", "pos"]).filter("earlier < place").select(F.col("place").alias("later"), "earlier")
@@ -109,20 +113,25 @@ def _gone(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
     )
     repeated = distinct.filter("times > 1").select("h1", "h2", "first")
     exact = lines.join(repeated, ["h1", "h2"]).select(place.alias("later"), F.col("first").alias("earlier"), F.lit(0).alias("edits")).filter("earlier < later")
-    near_docs = _survivors(distinct).groupBy("r1", "r2").agg(F.collect_list("line_no").alias("line_nos"))
-    texts = docs.select(docs[id_col].alias("doc_id"), docs[text_col].alias("text"), *_row_key(docs, id_col, text_col))
+    near_docs = materialise(_survivors(distinct).groupBy("r1", "r2").agg(F.collect_list("line_no").alias("line_nos")), "near-places")
+    texts = docs.select(docs[id_col].alias("doc_id"), docs[text_col].alias("text"), *row_key(docs, id_col, text_col))
     # The parts are bound once for each text, inside the outer transform.
     picked = F.expr(r"flatten(transform(array(split(text, '\n')), parts -> transform(line_nos, n -> named_struct('line_no', n, 'line', get(parts, n)))))")
     found = texts.join(near_docs, ["r1", "r2"]).select("doc_id", "r1", "r2", F.explode(picked).alias("x")).select("doc_id", "x.line_no", "r1", "r2", "x.line")
     found = found.select(place.alias("place"), words_of(F.col("line")).alias("w"))
     # Equal rows bring their lines again; one of each is enough.
     near_lines = materialise(found.dropDuplicates(["place"]), "near-lines")
-    pairs = _neighbours(near_lines).groupBy("later").agg(F.min("earlier").alias("earlier"))
+    exact = materialise(exact, "exact-lines")
+    discard(lines, distinct, near_docs)
+    variants = materialise(_variants(near_lines), "line-variants")
+    pairs = materialise(_neighbours(variants).groupBy("later").agg(F.min("earlier").alias("earlier")), "near-pairs")
+    discard(variants)
     left = near_lines.select(F.col("place").alias("later"), F.col("w").alias("x"))
     right = near_lines.select(F.col("place").alias("earlier"), F.col("w").alias("y"))
     swapped = F.size("x") > F.size("y")
     checked = pairs.join(left, "later").join(right, "earlier").select("later", "earlier", F.when(swapped, F.col("y")).otherwise(F.col("x")).alias("p"), F.when(swapped, F.col("x")).otherwise(F.col("y")).alias("q"))
-    near = checked.filter(_within_one("p", "q")).select("later", "earlier", F.lit(1).alias("edits"))
+    near = materialise(checked.filter(_within_one("p", "q")).select("later", "earlier", F.lit(1).alias("edits")), "near-gone")
+    discard(near_lines, pairs)
     return exact.union(near)
 
 
@@ -132,10 +141,25 @@ def removals(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") ->
     return gone.select(F.col("later.doc_id").alias("doc_id"), F.col("later.line_no").alias("line_no"), "edits", F.col("earlier.doc_id").alias("first_doc_id"), F.col("earlier.line_no").alias("first_line_no")).distinct()
 
 
-def deduplicated(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """``docs`` without the lines that go in each row's own text; all rows and columns stay."""
-    gone = _gone(docs, id_col, text_col).groupBy("later.r1", "later.r2").agg(F.collect_set("later.line_no").alias("gone"))
-    row = docs.select(F.struct(*[docs[c] for c in docs.columns]).alias("row"), docs[text_col].alias("__text"), *_row_key(docs, id_col, text_col))
+def row_name(r1: Column, r2: Column) -> Column:
+    """A row's key as one string."""
+    return F.concat_ws("/", r1, r2)
+
+
+def deduplicated(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", groups: DataFrame | None = None) -> DataFrame:
+    """``docs`` without the lines that go in each row's own text; all rows and columns stay.
+
+    ``groups`` (name, as row_name() gives it, and group; rows that it lacks are groups of their own, named by
+    themselves): a line stays if the earliest line like it is in a row of the same group.
+    """
+    gone = _gone(docs, id_col, text_col)
+    if groups is not None:
+        for end in ("later", "earlier"):
+            named = groups.select(F.col("name").alias(f"{end}_name"), F.col("group").alias(f"{end}_group"))
+            gone = gone.withColumn(f"{end}_name", row_name(F.col(f"{end}.r1"), F.col(f"{end}.r2"))).join(named, f"{end}_name", "left")
+        gone = gone.filter(F.coalesce("later_group", "later_name") != F.coalesce("earlier_group", "earlier_name"))
+    gone = materialise(gone.groupBy("later.r1", "later.r2").agg(F.collect_set("later.line_no").alias("gone")), "gone-lines")
+    row = docs.select(F.struct(*[docs[c] for c in docs.columns]).alias("row"), docs[text_col].alias("__text"), *row_key(docs, id_col, text_col))
     joined = row.join(gone, ["r1", "r2"], "left").select("row", "__text", "gone", F.split("__text", "\n").alias("lines"))
     stay = joined.withColumn("stay", F.when(F.col("gone").isNotNull(), F.expr("array_except(sequence(0, size(lines) - 1), gone)")))
     text = F.when(F.col("gone").isNull(), F.col("__text")).otherwise(F.array_join(F.expr("transform(stay, i -> get(lines, i))"), "\n"))

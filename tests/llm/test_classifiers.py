@@ -64,5 +64,34 @@ def test_toxicity(spark):
 def test_toxicity_without_labels(spark):
     docs, labels = corpus(spark, 10)
     rows = toxicity.scored(docs, toxicity.train(docs, labels.limit(0))).collect()
-    assert {r.p_toxic for r in rows} == {0.5}
+    assert {(r.p_toxic, r.toxic) for r in rows} == {(0.0, 0)}
     assert toxicity.scored(docs.limit(0), toxicity.train(docs.limit(0), labels)).count() == 0
+
+
+def test_cut_of_best_f1():
+    import numpy as np
+
+    assert toxicity.best_cut(np.array([0.9, 0.2, 0.8, 0.4]), np.array([1, 0, 1, 0])) == pytest.approx(0.6)
+    assert toxicity.best_cut(np.array([0.5, 0.5]), np.array([0, 0])) == toxicity.CUT
+    draw = np.random.default_rng(4)
+    for _ in range(50):
+        p, y = np.round(draw.random(20), 1), draw.integers(0, 2, 20)
+        if 0 < y.sum() < 20:
+            f1 = lambda c: 2 * (y[p >= c].sum()) / ((p >= c).sum() + y.sum())
+            assert f1(toxicity.best_cut(p, y)) == pytest.approx(max(f1(c) for c in p))
+
+
+def test_sparse_rows_multiply_like_dense_ones():
+    import numpy as np
+
+    sets, chosen = [np.array([3, 9], np.uint64), np.array([], np.uint64), np.array([1, 3], np.uint64)], np.array([1, 3], np.uint64)
+    x, behind = np.array([[0, 1], [0, 0], [1, 1]], float), np.array([[0.5], [0.25], [1.0]])
+    rows, full = toxicity.Rows(sets, chosen, behind), np.hstack([x, behind])
+    assert np.allclose(rows.times(np.array([2.0, 3.0, 4.0])), full @ [2, 3, 4]) and np.allclose(rows.turned(np.array([1.0, 2.0, 3.0])), full.T @ [1, 2, 3])
+
+
+def test_toxicity_keeps_ids(spark):
+    big = (1 << 53) + 1
+    docs, labels = corpus(spark, 10)
+    more = docs.union(spark.createDataFrame([(big, "x"), (None, "y")], docs.schema)).coalesce(1)
+    assert {r.doc_id for r in toxicity.scored(more, toxicity.train(docs, labels)).collect()} >= {big, None}

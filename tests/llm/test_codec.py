@@ -65,3 +65,11 @@ def test_operator(spark, pair):
     both = codec.decode(codec.encode(docs, path), path)
     assert {(r.text or "", r.decoded) for r in both.collect()} == {(t or "", t or "") for _, t, _ in rows}
     assert codec.encode_digests(docs.limit(0), path).count() == 0
+
+
+def test_operator_keeps_ids(spark):
+    big = (1 << 53) + 1
+    docs = spark.createDataFrame([(big, "a", [1]), (None, "b", None)], "doc_id long, text string, more array<long>").coalesce(1)
+    path = codec.default_model_path()
+    assert {r.doc_id for r in codec.encode_digests(docs, path).collect()} == {big, None}
+    assert {(r.doc_id, tuple(r.more or ())) for r in codec.encode(docs, path).collect()} == {(big, (1,)), (None, ())}

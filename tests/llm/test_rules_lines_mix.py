@@ -71,7 +71,8 @@ def test_repeated_words_by_hand(spark):
 
 
 def test_filter_keeps_columns_and_clean_documents(spark):
-    clean = " ".join(["the words of a clean text that says %d things" % k for k in range(20)])
+    # No window of three words is there twice: such windows may cover half of a text at most.
+    clean = " ".join("the words%d of a%d text that says%d things" % (k, k, k) for k in range(20))
     df = spark.createDataFrame([(1, clean, 9), (2, "### " * 100, 9), (None, None, None)], "doc_id long, text string, n_words int")
     got = quality_rules.filtered(df)
     assert got.columns == df.columns and [tuple(r) for r in got.collect()] == [(1, clean, 9)]
@@ -181,6 +182,22 @@ def test_mix_comes_near_targets(spark):
     assert source_mixing.mixed(docs).count() == int(got["copies"].sum()) and source_mixing.mixed(docs).columns == docs.columns
 
 
+def test_mix_of_empty_texts_stops_at_most(spark):
+    """A source that is taken twice as a whole gives its empty documents twice, not three times."""
+    docs = spark.createDataFrame([(1, "w " * 20, "small"), (2, "", "small"), (3, None, "small"), *[(i, "w " * 500, "large") for i in range(4, 9)]], "doc_id long, text string, source string")
+    got = {r.doc_id: r.copies for r in source_mixing.counted(docs, weights=(1,)).collect()}
+    assert got[1] == got[2] == got[3] == 2 and max(got.values()) == 2
+    assert source_mixing.mixed(docs, weights=(1,)).filter("doc_id < 4").count() == 6
+
+
+def test_line_dedup_within_groups(spark):
+    """A line stays if the earliest one like it is of the same group."""
+    docs = spark.createDataFrame([(1, "one\nmine"), (2, "one\nyours"), (3, "one\nyours")], "doc_id long, text string")
+    named = {r.doc_id: r.name for r in docs.select("doc_id", line_dedup.row_name(*line_dedup.row_key(docs, "doc_id", "text")).alias("name")).collect()}
+    groups = spark.createDataFrame([(named[2], named[1])], "name string, group string")
+    assert {r.doc_id: r.text for r in line_dedup.deduplicated(docs, groups=groups).collect()} == {1: "one\nmine", 2: "one\nyours", 3: ""}
+
+
 def test_mix_of_empty_texts(spark):
     docs = spark.createDataFrame([(1, None, None), (2, "", "a"), (None, " ", "a")], "doc_id long, text string, source string")
     assert [r.taken for r in source_mixing.counted(docs).collect()] == [0, 0, 0]

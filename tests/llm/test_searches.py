@@ -210,6 +210,14 @@ def test_license_with_words_put_in_or_left_out(many):
         assert license_matches(" ".join(mit[:40] + mit[40 + many :])) == [("MIT-text", round(1 - many / n, 2), 0, n - many - 1)]
 
 
+def test_searches_keep_ids(spark):
+    t = "".join(chr(97 + (i * i) % 26) for i in range(300))
+    docs = spark.createDataFrame([(BIG, f"{t} Released under the MIT License."), (None, t), (BIG + 1, "Released under the MIT License.")], "doc_id long, text string").coalesce(1)
+    assert {r.doc_id for r in suffix_dedup.removal_digests(docs).collect()} == {BIG, BIG + 1, None}
+    assert {r.doc_id for r in suffix_dedup.removed(docs).collect()} == {BIG, BIG + 1, None}
+    assert {r.doc_id for r in license_scan.scan(docs).collect()} == {BIG, BIG + 1}
+
+
 def test_short_notices_need_their_own_words():
     for text in ("This work is licensed under the GNU General Public License, version 2.", "Licensed under CC BY 4.0.", "Licensed under CC BY-SA 4.0.", "Licensed under the Apache License, Version 1.0."):
         assert license_matches(text) == []
@@ -234,3 +242,4 @@ def test_pipeline(spark, tmp_path):
         assert docs.columns == ["doc_id", "text", "lang", "source", "n_chars"]
     got = corpus_pipeline.run(spark, str(tmp_path)).collect()
     assert {r.doc_id for r in got} <= set(range(40)) and len(got) == docs.count()
+    assert max(Counter(r.doc_id for r in got).values()) <= 2 and all(r.n_tokens > 1 for r in got)
