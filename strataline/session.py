@@ -28,16 +28,25 @@ def shared_dir(spark: SparkSession) -> str:
 _CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
 
 
-def materialise(df: DataFrame, name: str) -> DataFrame:
-    """Write ``df`` to the shared folder once and read it back: cuts lineage, survives lost executors."""
+_BATCH = "spark.sql.execution.arrow.maxRecordsPerBatch"
+
+
+def materialise(df: DataFrame, name: str, batch_rows: int | None = None) -> DataFrame:
+    """Write ``df`` to the shared folder once and read it back: cuts lineage, survives lost executors.
+
+    ``batch_rows`` bounds what Python workers get at once, for rows that hold whole texts or sets.
+    """
     spark = df.sparkSession
     path = f"{shared_dir(spark)}/{name}-{uuid.uuid4().hex}"
-    before = spark.conf.get(_CLEANUP, "false")
-    spark.conf.set(_CLEANUP, "true")
+    wanted = {_CLEANUP: "true"} | ({_BATCH: str(batch_rows)} if batch_rows else {})
+    before = {k: spark.conf.get(k, None) for k in wanted}
     try:
+        for k, v in wanted.items():
+            spark.conf.set(k, v)
         df.write.parquet(path)
     finally:
-        spark.conf.set(_CLEANUP, before)
+        for k, v in before.items():
+            spark.conf.unset(k) if v is None else spark.conf.set(k, v)
     out = spark.read.schema(df.schema).parquet(path)
     out.__dict__["_written_to"] = path
     return out
