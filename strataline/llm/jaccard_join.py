@@ -58,6 +58,8 @@ DEPTH = 4
 #: Bits of the filter that tells tasks which sets are wanted, as powers of two: at least and at most. Where it
 #: is full, more sets are sent than needed and the join drops them.
 FILTER_BITS = (20, 28)
+#: Texts or sets that a Python worker has in hand at once.
+BATCH_ROWS = 500
 PERCENT = 75
 
 Digest = Callable[[np.ndarray], tuple[int, int]]
@@ -132,7 +134,7 @@ class Source:
 
 def _source(texts: DataFrame, digest: Digest) -> Source:
     """The profiles of the texts, written. Of n digests n**2 / 2**64 clash: some 500 of 10**11."""
-    profiles = materialise(_profiles(texts, digest), "profiles")
+    profiles = materialise(_profiles(texts, digest), "profiles", BATCH_ROWS)
     digests = profiles.filter("chunk < 0 AND n > 0").select(F.col("d1").bitwiseAND(F.lit(-2)).alias("c"), F.struct("d1", "d2").alias("d"))
     twice = digests.groupBy("c").agg(F.min("d").alias("low"), F.max("d").alias("high")).filter("low <> high").select("c")
     found = digests.join(twice, "c", "left_semi").select("d.d1", "d.d2").distinct().orderBy("d1", "d2").collect()
@@ -195,16 +197,16 @@ def _entries(source: Source, sketch: np.ndarray, most_light: int, percent: int)
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         counters, done = shared.value, set()
-        for pdf in batches:
+        for some in (pdf["text"].iloc[k : k + BATCH_ROWS] for pdf in batches for k in range(0, len(pdf), BATCH_ROWS)):
             keys, parts, cs, ns, places = [], [], [], [], []
-            for s in shingle_sets(_strings(pdf["text"])):
+            for s in shingle_sets(_strings(some)):
                 n = len(s)
                 if not n:
                     continue
                 c = class_of(s)
                 if c in done:  # a copy; those of other tasks are dropped in the lists
                     continue
-                if len(done) >= 200_000:
+                if len(done) >= 100_000:
                     done.clear()
                 done.add(c)
                 if n <= most_light:
@@ -315,7 +317,7 @@ def _sets(source: Source, classes: DataFrame) -> DataFrame:
                 c = class_of(s)
                 slot = (c >> 1) % (8 * len(packed))
                 if packed[slot >> 3] >> (7 - (slot & 7)) & 1 and c not in done:
-                    if len(done) >= 200_000:
+                    if len(done) >= 100_000:
                         done.clear()
                     done.add(c)
                     cs.append(c), found.append(s.tobytes())
@@ -349,11 +351,11 @@ def _overlaps(pairs: DataFrame, source: Source, percent: int, rest: bool = False
 
     pairs = materialise(pairs.select("a", "b"), "pairs")
     classes = materialise(pairs.select(F.col("a").alias("c")).union(pairs.select("b")).distinct(), "classes")
-    sets = materialise(_sets(source, classes), "sets")
+    sets = materialise(_sets(source, classes), "sets", BATCH_ROWS)
     x = sets.select(F.col("c").alias("a"), F.col("shingles").alias("x"))
     y = sets.select(F.col("c").alias("b"), F.col("shingles").alias("y"))
     found = pairs.join(x, "a").join(y, "b").mapInPandas(run, "a bigint, b bigint, n bigint, both bigint, linked boolean" + ", rest array<bigint>" * rest)
-    found = materialise(found, "overlaps")
+    found = materialise(found, "overlaps", BATCH_ROWS)
     discard(pairs, classes, sets)
     return found
 
