@@ -1,18 +1,28 @@
 """Document fingerprints: an exact digest of the canonical text.
 
-A text is canonical in normal form NFKC, lower case and with runs of white space as one space, none at
-the ends. Its fingerprint is two 64-bit xxhash values of different seeds in hexadecimal. Documents of one
-fingerprint are compared byte by byte before they count as copies. Null texts are treated as empty.
+A text is canonical in normal form NFKC, with full case folding (sharp s, final sigma) and with runs of white space
+as one space, none at the ends. Its fingerprint is two 64-bit xxhash values of different seeds in hexadecimal.
+Documents of one fingerprint are compared byte by byte before they count as copies.
+
+Null texts are treated as empty. Ids of any type that sorts may be null, null first. Rows of one id stand in the
+order of the hashes of their texts; equal rows are followed by each other and reported each. Of ties in the
+smallest id there is no need to choose. Empty tables give empty results.
 """
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-#: Ranges into which the documents are dealt to find each one's successor.
-RANGES = 128
+from strataline.session import discard, materialise
+
+KEY = ("r1", "r2")
+NEXT = ("s1", "s2")
+
+Digest = Callable[[Column], Column]
 
 
 def canonical(text: Column) -> Column:
@@ -20,7 +30,7 @@ def canonical(text: Column) -> Column:
     def form(c: Column) -> Column:
         return F.reflect(F.lit("com.ibm.icu.text.Normalizer"), F.lit("compose"), c, F.lit(True))
 
-    folded = F.lower(form(F.coalesce(text, F.lit(""))))
+    folded = F.reflect(F.lit("com.ibm.icu.lang.UCharacter"), F.lit("foldCase"), form(F.coalesce(text, F.lit(""))), F.lit(True))
     return F.trim(F.regexp_replace(form(folded), r"[\s\u0085\u2028\u2029]+", " "))
 
 
@@ -34,61 +44,83 @@ def fingerprints(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     return docs.select(docs[id_col].alias("doc_id"), canonical(docs[text_col]).alias("canon")).select("doc_id", digest(F.col("canon")).alias("fingerprint"))
 
 
-def copies(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """Per row: doc_id, fingerprint and first_id, the smallest id among rows of the same canonical text.
-
-    Texts are grouped by fingerprint and, inside equal fingerprints, by their bytes: the group key holds
-    the canonical text itself where two texts of one fingerprint differ, found by comparing each with the
-    smallest of its fingerprint. Groups are reduced before the shuffle, however large.
-    """
-    keyed = docs.select(docs[id_col].alias("doc_id"), canonical(docs[text_col]).alias("canon")).select("doc_id", "canon", digest(F.col("canon")).alias("fingerprint"))
-    first = keyed.groupBy("fingerprint").agg(F.min(F.struct("canon")).alias("lead"), F.min("doc_id").alias("lead_id"), F.max("canon").alias("__last"))
-    joined = keyed.join(first, "fingerprint")
-    clashed = joined.filter(F.col("lead.canon") != F.col("__last"))
-    by_text = clashed.groupBy("fingerprint", "canon").agg(F.min("doc_id").alias("text_id"))
-    joined = joined.join(by_text, ["fingerprint", "canon"], "left")
-    return joined.select("doc_id", "fingerprint", F.coalesce("text_id", "lead_id").alias("first_id"))
+def _keyed(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
+    """doc_id, text and 128 hash bits of both; rows of one key are equal."""
+    slim = docs.select(docs[id_col].alias("doc_id"), F.coalesce(docs[text_col], F.lit("")).alias("text"))
+    return slim.select(*[F.xxhash64(F.lit(seed), F.col("doc_id").isNull(), "doc_id", "text").alias(k) for seed, k in enumerate(KEY)], "doc_id", "text")
 
 
-def with_next(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """doc_id, text and next_text: the text of the next row by ascending (id, text), after the last the first's.
+def _classes(keyed: DataFrame, prints: DataFrame, digest: Digest) -> DataFrame:
+    """For each row key of a fingerprint that several rows have: first_id, the smallest id of the same canonical
+    text, and own, null unless texts of one fingerprint differ: then a key of the rows of one text. Written.
 
-    Rows are dealt into ranges of ids. The first row of each range is also put, as a copy, at the end of
-    the range before, so that one shuffle brings each row and its successor together and no range sees
-    another. The ids that bound the ranges, RANGES numbers at most, pass through the driver.
+    ``prints`` has key, fingerprint and doc_id. Groups are reduced before the shuffle, however large.
     """
-    slim = docs.select(docs[id_col].alias("doc_id"), F.coalesce(docs[text_col], F.lit("")).alias("text"))
-    ids = slim.select("doc_id").filter("doc_id IS NOT NULL")
-    bounds = sorted({int(x) for x in ids.approxQuantile("doc_id", [k / RANGES for k in range(RANGES)], 1 / (4 * RANGES))}) or [0]
-    n_below = F.expr(f"size(filter(array({', '.join(f'{b}L' for b in bounds)}), b -> b <= doc_id))")
-    bucket = F.coalesce(n_below, F.lit(0))
-    dealt = slim.withColumn("bucket", bucket)
-    heads = {r.bucket: r.doc_id for r in dealt.groupBy("bucket").agg(F.min(F.struct(F.col("doc_id").isNotNull().alias("some"), "doc_id")).alias("x")).select("bucket", "x.doc_id").collect()}
-    filled = sorted(heads)
-    before = {heads[b]: filled[k - 1] for k, b in enumerate(filled)}
-    target = F.when(F.col("doc_id").isNull(), F.lit(before.get(None)))
-    known = [(h, to) for h, to in before.items() if h is not None]
-    if known:
-        pairs = [F.lit(h).cast("bigint") if k == 0 else F.lit(to) for h, to in known for k in (0, 1)]
-        target = F.coalesce(target, F.create_map(*pairs)[F.col("doc_id").cast("bigint")])
-    heads_again = slim.filter(F.col("doc_id").isin([h for h, _ in known]) | F.col("doc_id").isNull())
-    copied = heads_again.withColumn("bucket", target.cast("int")).filter("bucket IS NOT NULL").withColumn("copied", F.lit(True))
-    both = dealt.withColumn("copied", F.lit(False)).unionByName(copied)
-    order = W.partitionBy("bucket").orderBy("copied", F.col("doc_id").asc_nulls_first(), "text")
-    return both.withColumn("next_text", F.lead("text").over(order)).filter("NOT copied").drop("copied", "bucket")
-
-
-def edited_report(docs: DataFrame) -> DataFrame:
+    several = prints.groupBy("fingerprint").agg(F.count("*").alias("n")).filter("n > 1").select("fingerprint")
+    several = materialise(several, "shared-prints")
+    texts = keyed.select(*KEY, "doc_id", canonical(F.col("text")).alias("canon")).select("*", digest(F.col("canon")).alias("fingerprint")).join(several, "fingerprint")
+    by_print = materialise(texts.groupBy("fingerprint").agg((F.min("canon") != F.max("canon")).alias("clash"), F.min("doc_id").alias("first_id")), "print-groups")
+    alike = prints.select(*KEY, "fingerprint").join(by_print.filter("NOT clash"), "fingerprint").select(*KEY, "first_id", F.lit(None).cast("string").alias("own"))
+    told = texts.join(by_print.filter("clash").select("fingerprint"), "fingerprint", "left_semi")
+    by_text = told.groupBy("fingerprint", "canon").agg(F.min("doc_id").alias("first_id"), F.min(F.concat_ws("/", *KEY)).alias("own"))
+    apart = told.select(*KEY, "fingerprint", "canon").join(by_text, ["fingerprint", "canon"]).select(*KEY, "first_id", "own")
+    out = materialise(alike.union(apart).distinct(), "text-classes")
+    discard(several, by_print)
+    return out
+
+
+def copies(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", digest: Digest = digest) -> DataFrame:
+    """Per row: doc_id, fingerprint and first_id, the smallest id among rows of the same canonical text."""
+    keyed = _keyed(docs, id_col, text_col)
+    prints = materialise(keyed.select(*KEY, "doc_id", digest(canonical(F.col("text"))).alias("fingerprint")), "prints")
+    out = prints.join(_classes(keyed, prints, digest), list(KEY), "left")
+    return out.select("doc_id", "fingerprint", F.coalesce("first_id", "doc_id").alias("first_id"))
+
+
+def successors(keyed: DataFrame) -> DataFrame:
+    """Row keys with the key of the next row by ascending (id, key), after the last the first's; doc_id, n (code
+    points of the text) and times, how often this pair is there.
+
+    Only ids, keys and lengths are ordered: in ranges, as many as the session's shuffles have, and one row of
+    each range, its first, tells the range before how to go on.
+    """
+    order = [F.col("doc_id").isNotNull(), F.col("doc_id"), *[F.col(k) for k in KEY]]
+    slim = keyed.select("doc_id", *KEY, F.length("text").cast("bigint").alias("n"))
+    placed = materialise(slim.repartitionByRange(*order).withColumn("part", F.spark_partition_id()), "ordered-ids")
+    heads = placed.groupBy("part").agg(F.min(F.struct(*[c.alias(f"o{k}") for k, c in enumerate(order)])).alias("head"))
+    # A row for each range, not for each document.
+    by_part = W.partitionBy(F.lit(0)).orderBy("part")
+    follow = heads.select("part", F.coalesce(F.lead("head").over(by_part), F.first("head").over(by_part)).alias("follow"))
+    ahead = F.lead(F.struct(*KEY)).over(W.partitionBy("part").orderBy(*order))
+    pairs = placed.withColumn("ahead", ahead).join(follow, "part")
+    named = [F.coalesce(F.col(f"ahead.{k}"), F.col(f"follow.o{i + 2}")).alias(s) for i, (k, s) in enumerate(zip(KEY, NEXT, strict=True))]
+    out = materialise(pairs.select("doc_id", *KEY, "n", *named).groupBy(*KEY, *NEXT, "n").agg(F.first("doc_id").alias("doc_id"), F.count("*").alias("times")), "successors")
+    discard(placed)
+    return out
+
+
+def edited_report(docs: DataFrame, digest: Digest = digest) -> DataFrame:
     """Fingerprints of each text and of its edited text: its last half replaced by the start of the next.
 
-    near_* is 1 where two fingerprints and the canonical texts behind them are equal, else 0.
+    near_* is 1 where two fingerprints and the canonical texts behind them are equal, else 0. first_id is the
+    smallest id of the same canonical text. A text travels once, and as much of its start as the text before takes.
     """
-    half = F.floor(F.length("text") / 2).cast("int")
-    both = with_next(docs).withColumn("edited", F.concat(F.expr("substring(text, 1, length(text) - cast(floor(length(text) / 2) AS int))"), F.substring("next_text", F.lit(1), half)))
-    canon = both.select("doc_id", F.length("text").cast("bigint").alias("n_chars"), F.sha2("edited", 256).alias("edited_sha256"), canonical(F.col("text")).alias("a"), canonical(F.col("edited")).alias("b"), canonical(F.col("next_text")).alias("c"))
-    prints = canon.select("*", digest(F.col("a")).alias("fingerprint"), digest(F.col("b")).alias("edited_fingerprint"), digest(F.col("c")).alias("next_fingerprint"))
-
-    def near(other: str, text: str) -> Column:
-        return ((F.col("fingerprint") == F.col(other)) & (F.col("a") == F.col(text))).cast("double")
-
-    return prints.select("doc_id", "n_chars", "edited_sha256", "fingerprint", "edited_fingerprint", near("edited_fingerprint", "b").alias("near_edited"), near("next_fingerprint", "c").alias("near_next"))
+    keyed = _keyed(docs, "doc_id", "text")
+    pairs = successors(keyed)
+    texts = keyed.groupBy(*KEY).agg(F.first("text").alias("text"))
+    half = F.floor(F.col("n") / 2).cast("int")
+    starts = texts.select(*[F.col(k).alias(s) for k, s in zip(KEY, NEXT, strict=True)], "text").join(pairs.select(*KEY, *NEXT, "n"), list(NEXT)).select(*KEY, *NEXT, F.substring("text", F.lit(1), half).alias("start"))
+    both = texts.join(pairs, list(KEY)).join(starts, [*KEY, *NEXT])
+    edited = both.withColumn("edited", F.concat(F.substring("text", F.lit(1), F.col("n").cast("int") - half), F.col("start")))
+    columns = ["doc_id", F.col("n").alias("n_chars"), *KEY, *NEXT, "times"]
+    canon = edited.select(*columns, F.sha2("edited", 256).alias("edited_sha256"), canonical(F.col("text")).alias("a"), canonical(F.col("edited")).alias("b"))
+    prints = canon.withColumns({"fingerprint": digest(F.col("a")), "edited_fingerprint": digest(F.col("b"))})
+    same = (F.col("fingerprint") == F.col("edited_fingerprint")) & (F.col("a") == F.col("b"))
+    report = materialise(prints.withColumn("near_edited", same.cast("double")).drop("a", "b"), "edited")
+    discard(pairs)
+    classes = _classes(keyed, report.withColumn("copy", F.explode(F.sequence(F.lit(1), F.col("times").cast("int")))), digest)
+    known = report.join(classes, list(KEY), "left")
+    ahead = known.select(*[F.col(k).alias(s) for k, s in zip(KEY, NEXT, strict=True)], F.col("fingerprint").alias("f"), F.col("own").alias("o")).distinct()
+    near = (F.col("fingerprint") == F.col("f")) & F.col("own").eqNullSafe(F.col("o"))
+    out = known.join(ahead, list(NEXT)).withColumn("near_next", near.cast("double")).withColumn("copy", F.explode(F.sequence(F.lit(1), F.col("times").cast("int"))))
+    return out.select("doc_id", "n_chars", "edited_sha256", "fingerprint", "edited_fingerprint", "near_edited", "near_next", F.coalesce("first_id", "doc_id").alias("first_id"))

@@ -8,6 +8,7 @@ import unicodedata
 import duckdb
 import pytest
 import xxhash  # noqa: F401  the library the digests rest on is there
+from pyspark.sql import functions as F
 
 from strataline.llm import fingerprints, line_dedup, quality_rules, queries, source_mixing
 from tests_llm_brute import words
@@ -141,7 +142,8 @@ def test_fingerprints(spark):
     assert got[0] == got[1] and got[2] == got[3] and got[4] == got[5] == got[6] and len(set(got.values())) == 4
     canon = " ".join(unicodedata.normalize("NFKC", texts[0]).lower().split())
     assert got[0] == "".join(f"{xxhash_spark(canon, seed) & (2**64 - 1):016x}" for seed in (0, 1))
-    assert {r.doc_id: r.first_id for r in fingerprints.copies(docs).collect()} == {0: 0, 1: 0, 2: 2, 3: 2, 4: 4, 5: 4, 6: 4, 7: 7}
+    for digest in (fingerprints.digest, lambda c: F.substring(fingerprints.digest(c), 1, 1), lambda c: F.lit("all")):
+        assert {r.doc_id: r.first_id for r in fingerprints.copies(docs, digest=digest).collect()} == {0: 0, 1: 0, 2: 2, 3: 2, 4: 4, 5: 4, 6: 4, 7: 7}
 
 
 def xxhash_spark(text, seed):
@@ -150,6 +152,32 @@ def xxhash_spark(text, seed):
     return xxhash.xxh64(text.encode(), seed=first).intdigest()
 
 
+def test_case_is_folded(spark):
+    texts = ["Straße", "STRASSE", "ΟΔΟΣ", "οδος", "οδοσ", "straSSe "]
+    got = {r.doc_id: r.first_id for r in fingerprints.copies(spark.createDataFrame([(f"d{i}", t) for i, t in enumerate(texts)], "doc_id string, text string")).collect()}
+    assert got == {"d0": "d0", "d1": "d0", "d2": "d2", "d3": "d2", "d4": "d2", "d5": "d0"}
+
+
+@pytest.mark.parametrize("bits", [128, 4, 0])
+def test_edited_report_of_clashing_prints(spark, bits):
+    """Texts of one fingerprint are told apart by their bytes; ids are strings, some null, some repeated."""
+    draw = random.Random(15)
+    base = ["Alpha beta", "alpha  BETA", "gamma", "", None, "Γάμμα", "delta delta"]
+    docs = [(draw.choice([None, *"abcdefghij"]), draw.choice(base)) for _ in range(40)]
+    digest = (lambda c: F.substring(fingerprints.digest(c), 1, bits // 4)) if bits < 128 else fingerprints.digest
+    df = spark.createDataFrame([(i, t, 1) for i, t in docs], "doc_id string, text string, r1 int").repartition(3)
+    got = fingerprints.edited_report(df, digest).collect()
+    assert len(got) == 40
+    canon = lambda t: " ".join(unicodedata.normalize("NFKC", t or "").casefold().split())
+    firsts = {}
+    for i, t in docs:
+        firsts.setdefault(canon(t), []).append(i)
+    want = sorted((i, len(t or ""), min((x for x in firsts[canon(t)] if x is not None), default=None)) for i, t in docs if i is not None)
+    assert sorted((r.doc_id, r.n_chars, r.first_id) for r in got if r.doc_id is not None) == want
+    plain = sorted((str(r.doc_id), r.edited_sha256, r.near_edited, r.near_next) for r in fingerprints.edited_report(df).collect())
+    assert sorted((str(r.doc_id), r.edited_sha256, r.near_edited, r.near_next) for r in got) == plain
+
+
 def test_edited_report_plain(spark):
     draw = random.Random(5)
     texts = [None, "", "aé🙂b", "x"] + ["".join(draw.choice("ab é🙂\n") for _ in range(draw.randint(0, 30))) for _ in range(60)] + ["same", "same"]
@@ -162,7 +190,10 @@ def test_edited_report_plain(spark):
         edited = t[: len(t) - half] + nxt[:half]
         assert got[d].n_chars == len(t)
         assert got[d].edited_sha256 == hashlib.sha256(edited.encode()).hexdigest()
-        assert got[d].near_edited == float(got[d].fingerprint == got[d].edited_fingerprint)
+        canon = [" ".join(unicodedata.normalize("NFKC", x).casefold().split()) for x in (t, edited, nxt)]
+        for c, found in zip(canon, (got[d].fingerprint, got[d].edited_fingerprint), strict=False):
+            assert found == "".join(f"{xxhash_spark(c, seed) & (2**64 - 1):016x}" for seed in (0, 1))
+        assert (got[d].near_edited, got[d].near_next) == (float(canon[0] == canon[1]), float(canon[0] == canon[2]))
     assert fingerprints.edited_report(spark.createDataFrame([], "doc_id long, text string")).count() == 0
     one = fingerprints.edited_report(spark.createDataFrame([(7, "abcd")], "doc_id long, text string")).first()
     assert one.edited_sha256 == hashlib.sha256(b"abab").hexdigest() and one.near_next == 1.0
