@@ -28,20 +28,18 @@ def shared_dir(spark: SparkSession) -> str:
 _CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
 
 
-_BATCH = "spark.sql.execution.arrow.maxRecordsPerBatch"
+#: Bounds what a Python worker gets at once, for rows that hold whole texts or sets.
+_BATCH = "spark.sql.execution.arrow.maxBytesPerBatch"
+_WHILE_WRITING = {_CLEANUP: "true", _BATCH: "8m"}
 
 
-def materialise(df: DataFrame, name: str, batch_rows: int | None = None) -> DataFrame:
-    """Write ``df`` to the shared folder once and read it back: cuts lineage, survives lost executors.
-
-    ``batch_rows`` bounds what Python workers get at once, for rows that hold whole texts or sets.
-    """
+def materialise(df: DataFrame, name: str) -> DataFrame:
+    """Write ``df`` to the shared folder once and read it back: cuts lineage, survives lost executors."""
     spark = df.sparkSession
     path = f"{shared_dir(spark)}/{name}-{uuid.uuid4().hex}"
-    wanted = {_CLEANUP: "true"} | ({_BATCH: str(batch_rows)} if batch_rows else {})
-    before = {k: spark.conf.get(k, None) for k in wanted}
+    before = {k: spark.conf.get(k, None) for k in _WHILE_WRITING}
     try:
-        for k, v in wanted.items():
+        for k, v in _WHILE_WRITING.items():
             spark.conf.set(k, v)
         df.write.parquet(path)
     finally:
