@@ -58,13 +58,15 @@ def _classes(keyed: DataFrame, prints: DataFrame, digest: Digest) -> DataFrame:
     """
     several = prints.groupBy("fingerprint").agg(F.count("*").alias("n")).filter("n > 1").select("fingerprint")
     several = materialise(several, "shared-prints")
-    texts = keyed.select(*KEY, "doc_id", canonical(F.col("text")).alias("canon")).select("*", digest(F.col("canon")).alias("fingerprint")).join(several, "fingerprint")
+    texts = keyed.select(*KEY, "doc_id", canonical(F.col("text")).alias("canon")).select("*", digest(F.col("canon")).alias("fingerprint")).join(several.hint("merge"), "fingerprint")
     by_print = materialise(texts.groupBy("fingerprint").agg((F.min("canon") != F.max("canon")).alias("clash"), F.min("doc_id").alias("first_id")), "print-groups")
     alike = prints.select(*KEY, "fingerprint").join(by_print.filter("NOT clash"), "fingerprint").select(*KEY, "first_id", F.lit(None).cast("string").alias("own"))
-    told = texts.join(by_print.filter("clash").select("fingerprint"), "fingerprint", "left_semi")
-    by_text = told.groupBy("fingerprint", "canon").agg(F.min("doc_id").alias("first_id"), F.min(F.concat_ws("/", *KEY)).alias("own"))
-    apart = told.select(*KEY, "fingerprint", "canon").join(by_text, ["fingerprint", "canon"]).select(*KEY, "first_id", "own")
-    out = materialise(alike.union(apart).distinct(), "text-classes")
+    clashes = by_print.filter("clash").select("fingerprint")
+    if not clashes.isEmpty():
+        told = texts.join(clashes, "fingerprint", "left_semi")
+        by_text = told.groupBy("fingerprint", "canon").agg(F.min("doc_id").alias("first_id"), F.min(F.concat_ws("/", *KEY)).alias("own"))
+        alike = alike.union(told.select(*KEY, "fingerprint", "canon").join(by_text, ["fingerprint", "canon"]).select(*KEY, "first_id", "own"))
+    out = materialise(alike.distinct(), "text-classes")
     discard(several, by_print)
     return out
 

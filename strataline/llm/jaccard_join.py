@@ -58,7 +58,7 @@ DEPTH = 4
 #: Bits of the filter that tells tasks which sets are wanted, as powers of two: at least and at most. Where it
 #: is full, more sets are sent than needed and the join drops them.
 FILTER_BITS = (20, 28)
-#: Texts or sets that a Python worker has in hand at once.
+#: Texts whose keys a Python worker sends on at once.
 BATCH_ROWS = 500
 PERCENT = 75
 
@@ -134,7 +134,7 @@ class Source:
 
 def _source(texts: DataFrame, digest: Digest) -> Source:
     """The profiles of the texts, written. Of n digests n**2 / 2**64 clash: some 500 of 10**11."""
-    profiles = materialise(_profiles(texts, digest), "profiles", BATCH_ROWS)
+    profiles = materialise(_profiles(texts, digest), "profiles")
     digests = profiles.filter("chunk < 0 AND n > 0").select(F.col("d1").bitwiseAND(F.lit(-2)).alias("c"), F.struct("d1", "d2").alias("d"))
     twice = digests.groupBy("c").agg(F.min("d").alias("low"), F.max("d").alias("high")).filter("low <> high").select("c")
     found = digests.join(twice, "c", "left_semi").select("d.d1", "d.d2").distinct().orderBy("d1", "d2").collect()
@@ -351,11 +351,11 @@ def _overlaps(pairs: DataFrame, source: Source, percent: int, rest: bool = False
 
     pairs = materialise(pairs.select("a", "b"), "pairs")
     classes = materialise(pairs.select(F.col("a").alias("c")).union(pairs.select("b")).distinct(), "classes")
-    sets = materialise(_sets(source, classes), "sets", BATCH_ROWS)
+    sets = materialise(_sets(source, classes), "sets")
     x = sets.select(F.col("c").alias("a"), F.col("shingles").alias("x"))
     y = sets.select(F.col("c").alias("b"), F.col("shingles").alias("y"))
     found = pairs.join(x, "a").join(y, "b").mapInPandas(run, "a bigint, b bigint, n bigint, both bigint, linked boolean" + ", rest array<bigint>" * rest)
-    found = materialise(found, "overlaps", BATCH_ROWS)
+    found = materialise(found, "overlaps")
     discard(pairs, classes, sets)
     return found
 

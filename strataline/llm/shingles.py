@@ -8,7 +8,7 @@ import numpy as np
 
 WIDTH = 5
 #: Texts are joined to blocks of about this many bytes; a longer text is a block of its own.
-BLOCK_BYTES = 1 << 21
+BLOCK_BYTES = 1 << 18
 
 _BASE = np.uint64(0x9E3779B97F4A7C15)
 _BLANK = np.zeros(256, bool)
