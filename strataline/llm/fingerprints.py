@@ -112,7 +112,10 @@ def edited_report(docs: DataFrame, digest: Digest = digest) -> DataFrame:
     texts = keyed.groupBy(*KEY).agg(F.first("text").alias("text"))
     half = F.floor(F.col("n") / 2).cast("int")
     starts = texts.select(*[F.col(k).alias(s) for k, s in zip(KEY, NEXT, strict=True)], "text").join(pairs.select(*KEY, *NEXT, "n"), list(NEXT)).select(*KEY, *NEXT, F.substring("text", F.lit(1), half).alias("start"))
-    both = texts.join(pairs, list(KEY)).join(starts, [*KEY, *NEXT])
+    # Written so that the texts, which lie by their keys already, need not move again for the keys of the next.
+    starts = starts.select(*KEY, *[F.col(k).alias(f"{k}_") for k in NEXT], "start")
+    apart = F.col("s1").bitwiseXOR(F.col("s1_")).bitwiseOR(F.col("s2").bitwiseXOR(F.col("s2_")))
+    both = texts.join(pairs, list(KEY)).join(starts, list(KEY)).filter(apart == 0)
     edited = both.withColumn("edited", F.concat(F.substring("text", F.lit(1), F.col("n").cast("int") - half), F.col("start")))
     columns = ["doc_id", F.col("n").alias("n_chars"), *KEY, *NEXT, "times"]
     canon = edited.select(*columns, F.sha2("edited", 256).alias("edited_sha256"), canonical(F.col("text")).alias("a"), canonical(F.col("edited")).alias("b"))

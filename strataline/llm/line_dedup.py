@@ -29,6 +29,8 @@ from strataline.llm.quality_rules import words_of
 from strataline.session import discard, materialise
 
 MIN_WORDS = 8
+#: Rows are compared where one in so many lines of one, or more, stands in the other.
+FEW = 20
 #: What addresses a line, in order.
 PLACE = ("doc_id", "line_no", "r1", "r2")
 
@@ -141,23 +143,47 @@ def removals(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") ->
     return gone.select(F.col("later.doc_id").alias("doc_id"), F.col("later.line_no").alias("line_no"), "edits", F.col("earlier.doc_id").alias("first_doc_id"), F.col("earlier.line_no").alias("first_line_no")).distinct()
 
 
-def row_name(r1: Column, r2: Column) -> Column:
-    """A row's key as one string."""
-    return F.concat_ws("/", r1, r2)
+def _shingles(w: Column) -> Column:
+    """The distinct five-word shingles of an array of words as numbers; fewer words make one."""
+    places = F.sequence(F.lit(0), F.size(w) - 5)
+    long = F.array_distinct(F.transform(places, lambda i: F.xxhash64(*[F.get(w, i + k) for k in range(5)])))
+    return F.when(F.size(w) < 5, F.array(F.xxhash64(F.array_join(w, " ")))).otherwise(long)
 
 
-def deduplicated(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", groups: DataFrame | None = None) -> DataFrame:
+def _alike(docs: DataFrame, gone: DataFrame, id_col: str, text_col: str, percent: int) -> DataFrame:
+    """Pairs (l1, l2, e1, e2) of a row that loses lines and the row where they stand first, if the two are alike.
+
+    Pairs in which few of the row's lines stand in the other are not compared: without these lines it is still
+    what it was.
+    """
+    lost = gone.select(*[F.col(f"{end}.r{k}").alias(f"{end[0]}{k}") for end in ("later", "earlier") for k in (1, 2)]).filter("l1 <> e1 OR l2 <> e2").groupBy("l1", "l2", "e1", "e2").count()
+    key = row_key(docs, id_col, text_col)
+    n = docs.select(*key, F.size(F.split(docs[text_col], "\n")).alias("n")).withColumnsRenamed({"r1": "l1", "r2": "l2"})
+    pairs = materialise(lost.join(n, ["l1", "l2"]).filter(F.col("count") * FEW >= F.col("n")).select("l1", "l2", "e1", "e2").distinct(), "row-pairs")
+    rows = pairs.select(F.col("l1").alias("r1"), F.col("l2").alias("r2")).union(pairs.select("e1", "e2")).distinct()
+    texts = docs.select(*key, docs[text_col].alias("text")).join(rows.hint("merge"), ["r1", "r2"], "left_semi").dropDuplicates(["r1", "r2"])
+    # ASCII case is ignored. The words are bound once for each text.
+    lowered = F.translate("text", "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
+    sets = materialise(texts.select("r1", "r2", words_of(lowered).alias("w")).select("r1", "r2", _shingles(F.col("w")).alias("x")), "row-shingles")
+    joined = pairs
+    for end in "le":
+        joined = joined.join(sets.select(F.col("r1").alias(f"{end}1"), F.col("r2").alias(f"{end}2"), F.col("x").alias(f"x{end}")), [f"{end}1", f"{end}2"])
+    both = joined.select("l1", "l2", "e1", "e2", F.size("xl").alias("n"), F.size("xe").alias("m"), F.size(F.array_intersect("xl", "xe")).alias("both"))
+    out = materialise(both.filter(100 * F.col("both") >= percent * (F.col("n") + F.col("m") - F.col("both"))).select("l1", "l2", "e1", "e2"), "alike")
+    discard(pairs, sets)
+    return out
+
+
+def deduplicated(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", unless_alike: int | None = None) -> DataFrame:
     """``docs`` without the lines that go in each row's own text; all rows and columns stay.
 
-    ``groups`` (name, as row_name() gives it, and group; rows that it lacks are groups of their own, named by
-    themselves): a line stays if the earliest line like it is in a row of the same group.
+    With ``unless_alike``, a line stays if the row where it stands first is a near copy of its own: of that
+    many percent likeness in five-word shingles, or more.
     """
     gone = _gone(docs, id_col, text_col)
-    if groups is not None:
-        for end in ("later", "earlier"):
-            named = groups.select(F.col("name").alias(f"{end}_name"), F.col("group").alias(f"{end}_group"))
-            gone = gone.withColumn(f"{end}_name", row_name(F.col(f"{end}.r1"), F.col(f"{end}.r2"))).join(named, f"{end}_name", "left")
-        gone = gone.filter(F.coalesce("later_group", "later_name") != F.coalesce("earlier_group", "earlier_name"))
+    if unless_alike is not None:
+        alike = _alike(docs, gone, id_col, text_col, unless_alike)
+        gone = gone.withColumns({f"{end[0]}{k}": F.col(f"{end}.r{k}") for end in ("later", "earlier") for k in (1, 2)}).join(alike, ["l1", "l2", "e1", "e2"], "left_anti")
     gone = materialise(gone.groupBy("later.r1", "later.r2").agg(F.collect_set("later.line_no").alias("gone")), "gone-lines")
     row = docs.select(F.struct(*[docs[c] for c in docs.columns]).alias("row"), docs[text_col].alias("__text"), *row_key(docs, id_col, text_col))
     joined = row.join(gone, ["r1", "r2"], "left").select("row", "__text", "gone", F.split("__text", "\n").alias("lines"))

@@ -221,12 +221,13 @@ def test_mix_of_empty_texts_stops_at_most(spark):
     assert source_mixing.mixed(docs, weights=(1,)).filter("doc_id < 4").count() == 6
 
 
-def test_line_dedup_within_groups(spark):
-    """A line stays if the earliest one like it is of the same group."""
-    docs = spark.createDataFrame([(1, "one\nmine"), (2, "one\nyours"), (3, "one\nyours")], "doc_id long, text string")
-    named = {r.doc_id: r.name for r in docs.select("doc_id", line_dedup.row_name(*line_dedup.row_key(docs, "doc_id", "text")).alias("name")).collect()}
-    groups = spark.createDataFrame([(named[2], named[1])], "name string, group string")
-    assert {r.doc_id: r.text for r in line_dedup.deduplicated(docs, groups=groups).collect()} == {1: "one\nmine", 2: "one\nyours", 3: ""}
+def test_line_dedup_unless_alike(spark):
+    """Lines of near copies stay; those of other rows, and repetitions inside a row, go."""
+    body = [" ".join(f"w{i}.{j}" for j in range(9)) for i in range(12)]
+    near = [*body[:11], "another last line of the text"]
+    docs = spark.createDataFrame([(1, "\n".join(body)), (2, "\n".join(near)), (3, f"{body[0]}\nits own\nits own"), (4, "\n".join(body)), (5, None)], "doc_id long, text string")
+    got = {r.doc_id: r.text for r in line_dedup.deduplicated(docs, unless_alike=75).collect()}
+    assert got == {1: "\n".join(body), 2: "\n".join(near), 3: "its own", 4: "\n".join(body), 5: None}
 
 
 def test_mix_of_empty_texts(spark):
