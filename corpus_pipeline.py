@@ -22,14 +22,10 @@ def lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents without the lines that repeat an earlier one; a document that loses all its lines goes.
 
     Copies and near copies of a document are for the next stage to judge, as whole documents: a line stays if
-    the earliest line like it is in a document of the same group of near duplicates. Without that, what is left
-    of a near copy would be unlike all others and stay. Null texts, which the stage before drops, would stay.
+    the document where it stands first is a near copy. Without that, what is left of a near copy would be unlike
+    all others and stay. Null texts, which the stage before drops, would stay.
     """
-    named = docs.select(line_dedup.row_name(*line_dedup.row_key(docs, "doc_id", "text")).alias("name"), "text")
-    groups = jaccard_join.linked_classes(named, "name").filter("component_id <> doc_id")
-    groups = materialise(groups.select(F.col("doc_id").alias("name"), F.col("component_id").alias("group")).distinct(), "near-groups")
-    out = line_dedup.deduplicated(docs, groups=groups)
-    discard(groups)
+    out = line_dedup.deduplicated(docs, unless_alike=jaccard_join.PERCENT)
     return out.filter(F.col("text").isNull() | F.col("text").rlike(r"[^\x20\x09-\x0D]"))
 
 
