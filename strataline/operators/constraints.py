@@ -10,9 +10,10 @@ from strataline.schema import GALLERY, JUNK, QUERY, SPLITS, TRAIN
 
 def enforce(violations: DataFrame, message: str, show: int = 8) -> None:
     """Raise ValueError with the number of violations and the first few."""
-    found = violations.select(F.struct(*violations.columns).cast("string").alias("v")).agg(F.count("*").alias("n"), F.slice(F.sort_array(F.collect_set("v")), 1, show).alias("some")).first() if not violations.isEmpty() else None
-    if found:
-        raise ValueError(f"{message}: {found.n}, such as {', '.join(found.some)}")
+    listed = violations.select(F.struct(*violations.columns).cast("string").alias("v"))
+    some = [r.v for r in listed.distinct().orderBy("v").limit(show).collect()]
+    if some:
+        raise ValueError(f"{message}: {violations.count()}, such as {', '.join(some)}")
 
 
 def _ids(crops: DataFrame, *splits: str) -> DataFrame:
