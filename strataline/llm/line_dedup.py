@@ -119,7 +119,8 @@ def _gone(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
     texts = docs.select(docs[id_col].alias("doc_id"), docs[text_col].alias("text"), *row_key(docs, id_col, text_col))
     # The parts are bound once for each text, inside the outer transform.
     picked = F.expr(r"flatten(transform(array(split(text, '\n')), parts -> transform(line_nos, n -> named_struct('line_no', n, 'line', get(parts, n)))))")
-    found = texts.join(near_docs, ["r1", "r2"]).select("doc_id", "r1", "r2", F.explode(picked).alias("x")).select("doc_id", "x.line_no", "r1", "r2", "x.line")
+    # Places of near lines grow with the texts: they are never broadcast.
+    found = texts.join(near_docs.hint("merge"), ["r1", "r2"]).select("doc_id", "r1", "r2", F.explode(picked).alias("x")).select("doc_id", "x.line_no", "r1", "r2", "x.line")
     found = found.select(place.alias("place"), words_of(F.col("line")).alias("w"))
     # Equal rows bring their lines again; one of each is enough.
     near_lines = materialise(found.dropDuplicates(["place"]), "near-lines")
