@@ -5,12 +5,14 @@ from __future__ import annotations
 from collections.abc import Iterator
 
 import numpy as np
-import pandas as pd
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from strataline.functions import geometry
+from strataline.functions import geometry, ranges
+from strataline.session import discard, materialise
 
 THRESHOLDS = tuple(round(0.5 + 0.05 * k, 2) for k in range(10))
 #: Area bounds in square pixels, and detections for each image.
@@ -31,23 +33,31 @@ def overlaps(detections: DataFrame, truth: DataFrame, least: float = 0.5) -> Dat
     return d.join(g, ["image_id", "category_id"]).select("image_id", "category_id", "dt_id", "gt_id", "score", value.alias("iou")).filter(F.col("iou") >= least)
 
 
-def _claims(dt: np.ndarray, gt: np.ndarray, crowd: np.ndarray) -> tuple[dict[str, int], list[tuple]]:
-    """For one image and category, detections in order: objects that count for each area, and for each area,
-    threshold and detection whether it hits and whether it is left out."""
+#: Area and threshold of each bit of a mask: all thresholds of the first area come first.
+CELLS = tuple((a, t) for a in AREAS for t in THRESHOLDS)
+
+
+def _claims(dt: np.ndarray, gt: np.ndarray, crowd: np.ndarray) -> tuple[list[int], list[int], list[int]]:
+    """For one image and category, detections in order: objects that count for each area, and for each detection
+    the cells of CELLS in which it hits and those in which it is left out, as bits."""
     wide = np.maximum(0, np.minimum((dt[:, 0] + dt[:, 2])[:, None], gt[:, 0] + gt[:, 2]) - np.maximum(dt[:, 0][:, None], gt[:, 0]))
     high = np.maximum(0, np.minimum((dt[:, 1] + dt[:, 3])[:, None], gt[:, 1] + gt[:, 3]) - np.maximum(dt[:, 1][:, None], gt[:, 1]))
     shared, own, other = wide * high, dt[:, 2] * dt[:, 3], gt[:, 2] * gt[:, 3]
     over = np.where(crowd, own[:, None] + 0 * other, own[:, None] + other - shared)
     iou = np.divide(shared, over, out=np.zeros_like(shared), where=over > 0)
-    near = [[(j, float(iou[i, j])) for j in np.flatnonzero(iou[i] >= THRESHOLDS[0] - 1e-9)] for i in range(len(dt))]
-    totals, out = {}, []
-    for name, (low, most) in AREAS.items():
-        skip = crowd | (other < low) | (other > most)
-        totals[name] = int((~skip).sum())
-        outside = (own < low) | (own > most)
-        for t in THRESHOLDS:
+    near = {int(i): [(int(j), float(iou[i, j])) for j in np.flatnonzero(iou[i] >= THRESHOLDS[0])] for i in np.flatnonzero((iou >= THRESHOLDS[0]).any(axis=1))}
+    totals, hits, left_out = [], [0] * len(dt), [0] * len(dt)
+    of_area = (1 << len(THRESHOLDS)) - 1
+    for a, (low, most) in enumerate(AREAS.values()):
+        skip = (crowd | (other < low) | (other > most)).tolist()
+        totals.append(skip.count(False))
+        first = a * len(THRESHOLDS)
+        for i in np.flatnonzero((own < low) | (own > most)).tolist():
+            left_out[i] |= of_area << first
+        for k, t in enumerate(THRESHOLDS):
             taken: set[int] = set()
-            for i, found in enumerate(near):
+            bit = 1 << (first + k)
+            for i, found in near.items():
                 best, at = t, -1
                 for ignored in (False, True):  # objects that count come first
                     if at >= 0:
@@ -57,16 +67,17 @@ def _claims(dt: np.ndarray, gt: np.ndarray, crowd: np.ndarray) -> tuple[dict[str
                             best, at = value, j
                 if at >= 0:
                     taken.add(at)
-                out.append((name, t, i, at >= 0, bool(skip[at]) if at >= 0 else bool(outside[i])))
-    return totals, out
+                    hits[i] |= bit
+                    left_out[i] = left_out[i] | bit if skip[at] else left_out[i] & ~bit
+    return totals, hits, left_out
 
 
-def matched(detections: DataFrame, truth: DataFrame) -> DataFrame:
-    """What each detection and each object is, for every threshold, area and image.
+def claims(detections: DataFrame, truth: DataFrame) -> DataFrame:
+    """One row per detection: category_id, dt_id, score, place (by score in its image, from 0), hits and ignored as
+    bits of CELLS; and one row per category and image with n, the objects that count for each of AREAS.
 
-    Rows: category_id, area, threshold, dt_id, score, place (by score in its image, from 0), hit, ignored;
-    and one row per category, area and image with n_gt, the objects that count. Images stream through their
-    tasks one after the other; an image's detections beyond the largest number that counts are cut before.
+    Images stream through their tasks one after the other; an image's detections beyond the largest number that
+    counts are cut before.
     """
     order = W.partitionBy("image_id", "category_id").orderBy(F.desc("score"), "dt_id")
     top = detections.withColumn("place", F.row_number().over(order) - 1).filter(F.col("place") < max(MOST))
@@ -74,66 +85,160 @@ def matched(detections: DataFrame, truth: DataFrame) -> DataFrame:
     box = [F.col(c).cast("double").alias(c) for c in "xywh"]
     objects = truth.select("image_id", "category_id", F.lit(0).alias("kind"), F.col("gt_id").alias("id"), F.lit(None).cast("double").alias("score"), F.lit(0).alias("place"), crowd.cast("int").alias("crowd"), *box)
     both = objects.unionByName(top.select("image_id", "category_id", F.lit(1).alias("kind"), F.col("dt_id").alias("id"), "score", F.col("place").cast("int").alias("place"), F.lit(0).alias("crowd"), *box))
-    schema = "category_id bigint, area string, threshold double, dt_id bigint, score double, place int, hit boolean, ignored boolean, n_gt bigint"
-
-    def solve(pdf: pd.DataFrame) -> pd.DataFrame:
-        image, category, kind, ids, score, crowds = (pdf[c].to_numpy() for c in ("image_id", "category_id", "kind", "id", "score", "crowd"))
-        boxes = pdf[["x", "y", "w", "h"]].to_numpy(np.float64)
-        edge = np.flatnonzero(np.concatenate([[True], (image[1:] != image[:-1]) | (category[1:] != category[:-1]), [True]]))
-        out: list[tuple] = []
-        for a, b in zip(edge[:-1], edge[1:], strict=True):
+    schema = "category_id bigint, dt_id bigint, score double, place int, hits bigint, ignored bigint, n array<bigint>"
+    fields = [("category_id", pa.int64()), ("dt_id", pa.int64()), ("score", pa.float64()), ("place", pa.int32()), ("hits", pa.int64()), ("ignored", pa.int64()), ("n", pa.list_(pa.int64()))]
+
+    def numbers(table: pa.Table, name: str) -> np.ndarray:
+        column = table.column(name)
+        return column.fill_null(np.iinfo(np.int64).min if pa.types.is_int64(column.type) else 0).to_numpy()
+
+    def edges(table: pa.Table) -> np.ndarray:
+        image, category = numbers(table, "image_id"), numbers(table, "category_id")
+        return np.flatnonzero(np.concatenate([[True], (image[1:] != image[:-1]) | (category[1:] != category[:-1]), [True]]))
+
+    def solve(table: pa.Table) -> pa.RecordBatch:
+        kind, crowds = numbers(table, "kind"), numbers(table, "crowd") == 1
+        boxes = np.column_stack([numbers(table, c) for c in "xywh"])
+        rows, hits, ignored, n = [], [], [], []
+        edge = edges(table)
+        for a, b in zip(edge[:-1].tolist(), edge[1:].tolist(), strict=True):
             m = a + int((kind[a:b] == 0).sum())
-            totals, claims = _claims(boxes[m:b], boxes[a:m], crowds[a:m] == 1)
-            c = int(category[a])
-            out += [(c, name, None, None, None, None, None, None, n) for name, n in totals.items()]
-            out += [(c, name, t, int(ids[m + i]), float(score[m + i]), i, hit, ignored, None) for name, t, i, hit, ignored in claims]
-        return pd.DataFrame(out, columns=["category_id", "area", "threshold", "dt_id", "score", "place", "hit", "ignored", "n_gt"]).astype({"dt_id": "Int64", "n_gt": "Int64", "place": "Int32"})
-
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        held = None
-        for pdf in batches:
-            if held is not None:
-                pdf = pd.concat([held, pdf], ignore_index=True)
-            last = (pdf["image_id"] == pdf["image_id"].iloc[-1]) & (pdf["category_id"] == pdf["category_id"].iloc[-1])
-            held = pdf[last].reset_index(drop=True)  # an image may go on in the next batch
-            if not last.all():
-                yield solve(pdf[~last].reset_index(drop=True))
-        if held is not None:
-            yield solve(held)
+            totals, hit, skip = _claims(boxes[m:b], boxes[a:m], crowds[a:m])
+            rows += [a, *range(m, b)]
+            n += [totals] + [None] * (b - m)
+            hits += [None, *hit]
+            ignored += [None, *skip]
+        taken = table.take(pa.array(rows, pa.int64()))
+        # the row of an image's objects takes the category alone from its first row
+        image = pa.array([x is not None for x in n])
+        ids, score, place = (pc.if_else(image, None, taken.column(c).combine_chunks()) for c in ("id", "score", "place"))
+        columns = [taken.column("category_id").combine_chunks(), ids, score, place, hits, ignored, n]
+        return pa.RecordBatch.from_arrays([c if isinstance(c, pa.Array) else pa.array(c, t) for c, (_, t) in zip(columns, fields, strict=True)], schema=pa.schema(fields))
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held: list[pa.RecordBatch] = []
+        for batch in batches:
+            if not batch.num_rows:
+                continue
+            # the last image of a batch may go on in the next one
+            at = int(edges(pa.Table.from_batches([batch]))[-2])
+            joined = bool(held) and any(held[-1].column(c)[-1] != batch.column(c)[0] for c in ("image_id", "category_id"))
+            if at or joined:
+                whole = [*held, batch.slice(0, at)]
+                held = []
+                if any(x.num_rows for x in whole):
+                    yield solve(pa.Table.from_batches(whole))
+            held.append(batch.slice(at))
+        if held:
+            yield solve(pa.Table.from_batches(held))
 
     ordered = both.repartition("image_id", "category_id").sortWithinPartitions("image_id", "category_id", "kind", "place", "id")
-    return ordered.mapInPandas(run, schema)
+    return ordered.mapInArrow(run, schema)
+
+
+def _by_cell(rows: DataFrame) -> DataFrame:
+    """Detections of claims() once for each area and threshold: hit, ignored."""
+    cells = F.array(*[F.struct(F.lit(a).alias("area"), F.lit(t).alias("threshold"), F.lit(k).alias("bit")) for k, (a, t) in enumerate(CELLS)])
+    out = rows.filter("n IS NULL").withColumn("cell", F.explode(cells))
+    bits = {c: F.expr(f"shiftright({c}, cell.bit) & 1") == 1 for c in ("hits", "ignored")}
+    kept = [c for c in rows.columns if c not in (*bits, "n")]
+    return out.select(*kept, "cell.area", "cell.threshold", bits["hits"].alias("hit"), bits["ignored"].alias("ignored"))
+
+
+def _objects(rows: DataFrame) -> DataFrame:
+    """Objects that count: category_id, area, n_gt."""
+    sums = rows.filter("n IS NOT NULL").groupBy("category_id").agg(*[F.sum(F.element_at("n", k + 1)).alias(a) for k, a in enumerate(AREAS)])
+    return sums.unpivot("category_id", list(AREAS), "area", "n_gt")
+
+
+def matched(detections: DataFrame, truth: DataFrame) -> DataFrame:
+    """What each detection is, for every area and threshold: category_id, area, threshold, dt_id, score, place (by
+    score in its image, from 0), hit, ignored."""
+    return _by_cell(claims(detections, truth))
+
+
+_CELL = ("category_id", "area", "threshold")
+
+
+def _placed(rows: DataFrame) -> tuple[DataFrame, bool]:
+    """``rows`` with their place by falling score, __fall, and their __range in it; and whether there are several."""
+    score = F.col("score")
+    fall = F.when(score.isNull(), F.lit(float("inf"))).when(F.isnan(score), F.lit(float("-inf"))).otherwise(-score)
+    rows = rows.withColumn("__fall", fall)
+    cuts = ranges.bounds(rows, ["__fall", "dt_id"])
+    return rows.withColumn("__range", ranges.number(rows, ["__fall", "dt_id"], cuts)), bool(cuts)
+
+
+def _running(placed: DataFrame, several: bool) -> DataFrame:
+    """curves() of _placed() rows without the envelope.
+
+    A curve is summed range by range: each range on its own, then with the totals of those before it.
+    """
+    upto = W.partitionBy(*_CELL, "__range").orderBy("__fall", "dt_id").rowsBetween(W.unboundedPreceding, 0)
+    counts = {"tp": F.col("hit").cast("bigint"), "fp": (~F.col("hit")).cast("bigint")}
+    run = placed.select("*", *[F.sum(v).over(upto).alias(c) for c, v in counts.items()])
+    if several:
+        before = W.partitionBy(*_CELL).orderBy("__range").rowsBetween(W.unboundedPreceding, -1)
+        totals = placed.groupBy(*_CELL, "__range").agg(*[F.sum(v).alias(c) for c, v in counts.items()])
+        run = _with_ranges(run, totals.select(*_CELL, "__range", *[F.coalesce(F.sum(c).over(before), F.lit(0)).alias(f"__{c}") for c in counts]))
+        run = run.withColumn("tp", F.col("tp") + F.col("__tp")).withColumn("fp", F.col("fp") + F.col("__fp")).drop("__tp", "__fp")
+    run = run.withColumn("precision", F.col("tp") / (F.col("tp") + F.col("fp"))).withColumn("recall", F.col("tp") / F.col("n_gt"))
+    return run
+
+
+def _with_ranges(rows: DataFrame, of_range: DataFrame) -> DataFrame:
+    """``rows`` with what is known of their range; both are partitioned by it already, and categories may be null."""
+    keys = [*_CELL, "__range"]
+    other = of_range.select(*[F.col(c).alias(f"__r_{c}") for c in keys], *[c for c in of_range.columns if c not in keys])
+    same = F.lit(True)
+    for c in keys:
+        same &= F.col(c).eqNullSafe(F.col(f"__r_{c}"))
+    return rows.join(other, same).drop(*[f"__r_{c}" for c in keys])
 
 
 def curves(rows: DataFrame) -> DataFrame:
     """Running true and false positives of detections (category_id, area, threshold, score, dt_id, hit) by
     falling score: tp, fp, precision, recall for n_gt objects; envelope, the best precision from there on."""
-    group = W.partitionBy("category_id", "area", "threshold").orderBy(F.desc("score"), "dt_id")
-    upto = group.rowsBetween(W.unboundedPreceding, 0)
-    run = rows.withColumn("tp", F.sum(F.col("hit").cast("bigint")).over(upto)).withColumn("fp", F.sum((~F.col("hit")).cast("bigint")).over(upto))
-    run = run.withColumn("precision", F.col("tp") / (F.col("tp") + F.col("fp"))).withColumn("recall", F.col("tp") / F.col("n_gt"))
+    placed, several = _placed(rows)
+    run = _running(placed, several)
     # The best that is still to come is a running best in the opposite order.
-    back = W.partitionBy("category_id", "area", "threshold").orderBy("score", F.desc("dt_id")).rowsBetween(W.unboundedPreceding, 0)
-    return run.withColumn("envelope", F.max("precision").over(back))
+    back = W.partitionBy(*_CELL, "__range").orderBy(F.desc("__fall"), F.desc("dt_id")).rowsBetween(W.unboundedPreceding, 0)
+    out = run.withColumn("envelope", F.max("precision").over(back))
+    if several:
+        after = W.partitionBy(*_CELL).orderBy(F.desc("__range")).rowsBetween(W.unboundedPreceding, -1)
+        best = run.groupBy(*_CELL, "__range").agg(F.max("precision").alias("__best"))
+        out = _with_ranges(out, best.select(*_CELL, "__range", F.max("__best").over(after).alias("__later")))
+        out = out.withColumn("envelope", F.greatest("envelope", "__later")).drop("__later")
+    return out.drop("__fall", "__range")
 
 
 def summary(detections: DataFrame, truth: DataFrame) -> DataFrame:
-    """One row of the twelve numbers NAMES. Without detections all are 0; a range without objects is -1."""
+    """One row of the twelve numbers NAMES, computed at once. Without detections all are 0; a range without objects is -1."""
     spark = detections.sparkSession
     if detections.isEmpty():
         return spark.createDataFrame([(0.0,) * len(NAMES)], ", ".join(f"{n} double" for n in NAMES))
-    rows = matched(detections, truth).persist()
-    objects = rows.filter("threshold IS NULL").groupBy("category_id", "area").agg(F.sum("n_gt").alias("n_gt")).filter("n_gt > 0")
-    counted = rows.filter("threshold IS NOT NULL AND NOT ignored").drop("n_gt").join(F.broadcast(objects), ["category_id", "area"])
-    cells = objects.join(spark.createDataFrame([(t,) for t in THRESHOLDS], "threshold double"))
-    points = spark.range(101).select((F.col("id") / 100).alias("at"))
-    # For each recall point the best precision at or beyond it: one aggregate over 101 points a curve.
-    curve = curves(counted)
-    steps = curve.groupBy("category_id", "area", "threshold", "recall").agg(F.max("envelope").alias("envelope"))
-    reached = steps.join(F.broadcast(points), F.col("recall") >= F.col("at")).groupBy("category_id", "area", "threshold", "at").agg(F.max("envelope").alias("p"))
-    ap = cells.join(reached.groupBy("category_id", "area", "threshold").agg((F.sum("p") / 101).alias("ap")), ["category_id", "area", "threshold"], "left").fillna({"ap": 0.0})
-    found = counted.groupBy("category_id", "area", "threshold").agg(*[F.sum((F.col("hit") & (F.col("place") < m)).cast("bigint")).alias(f"tp{m}") for m in MOST])
-    ar = cells.join(found, ["category_id", "area", "threshold"], "left")
-    p = ap.agg(*[F.avg(F.when(F.col("area") == a, F.col("ap"))).alias(f"AP_{a}") for a in AREAS], *[F.avg(F.when((F.col("area") == "all") & (F.col("threshold") == t), F.col("ap"))).alias(f"AP{round(100 * t)}") for t in (0.5, 0.75)])
-    r = ar.agg(*[F.avg(F.when(F.col("area") == "all", F.coalesce(f"tp{m}", F.lit(0)) / F.col("n_gt"))).alias(f"AR{m}") for m in MOST], *[F.avg(F.when(F.col("area") == a, F.coalesce("tp100", F.lit(0)) / F.col("n_gt"))).alias(f"AR_{a}") for a in ("small", "medium", "large")])
-    return p.join(r).select(*[F.coalesce(F.col("AP_all" if n == "AP" else n), F.lit(-1.0)).alias(n) for n in NAMES])
+    rows = materialise(claims(detections, truth), "detection-claims")
+    objects = _objects(rows).filter("n_gt > 0")
+    # Four rows for each category of the label set, however many images there are.
+    placed, several = _placed(rows.filter("n IS NULL"))
+    counted = _by_cell(placed).filter("NOT ignored").join(F.broadcast(objects), ["category_id", "area"])
+    cells = objects.withColumn("threshold", F.explode(F.array(*[F.lit(t) for t in THRESHOLDS])))
+    # The best precision at or beyond a recall point is the best of the detections from there on, and each of them
+    # lies at the last point that its recall reaches: 101 rows a curve at most.
+    near = F.floor(F.col("recall") * 100)
+    last = near + ((near + 1) / 100 <= F.col("recall")).cast("bigint") - (near / 100 > F.col("recall")).cast("bigint")
+    found = [F.sum((F.col("hit") & (F.col("place") < m)).cast("bigint")).alias(f"tp{m}") for m in MOST]
+    steps = _running(counted, several).groupBy(*_CELL, last.alias("last")).agg(F.max("precision").alias("best"), *found)
+    rising, falling = (W.partitionBy(*_CELL).orderBy(o) for o in ("last", F.desc("last")))
+    best = F.max("best").over(falling.rowsBetween(W.unboundedPreceding, 0))
+    points = F.col("last") - F.coalesce(F.lag("last").over(rising), F.lit(-1))
+    curve = steps.withColumn("area_under", best * points).groupBy(*_CELL).agg((F.sum("area_under") / 101).alias("ap"), *[F.sum(f"tp{m}").alias(f"tp{m}") for m in MOST])
+    each = cells.join(curve, list(_CELL), "left").fillna(0)
+    p = [F.avg(F.when(F.col("area") == a, F.col("ap"))).alias("AP" if a == "all" else f"AP_{a}") for a in AREAS]
+    p += [F.avg(F.when((F.col("area") == "all") & (F.col("threshold") == t), F.col("ap"))).alias(f"AP{round(100 * t)}") for t in (0.5, 0.75)]
+    r = [F.avg(F.when(F.col("area") == "all", F.col(f"tp{m}") / F.col("n_gt"))).alias(f"AR{m}") for m in MOST]
+    r += [F.avg(F.when(F.col("area") == a, F.col("tp100") / F.col("n_gt"))).alias(f"AR_{a}") for a in ("small", "medium", "large")]
+    out = each.agg(*p, *r).select(*[F.coalesce(n, F.lit(-1.0)).alias(n) for n in NAMES])
+    row = out.first()
+    discard(rows)
+    return spark.createDataFrame([tuple(row)], ", ".join(f"{n} double" for n in NAMES))

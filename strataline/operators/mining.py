@@ -13,9 +13,9 @@ LEAST = 1e-12
 
 def hardest(batch: DataFrame, vector: str = "embedding") -> DataFrame:
     """batch, item: positive and negative distance. A batch is a bounded group."""
-    a = batch.select("batch", F.col("item").alias("item"), F.col("label").alias("la"), F.col(vector).alias("va"))
-    b = batch.select("batch", F.col("label").alias("lb"), F.col(vector).alias("vb"))
-    squared = vectors.dot("va", "va") + vectors.dot("vb", "vb") - 2 * vectors.dot("va", "vb")
+    a = batch.select("batch", F.col("item").alias("item"), F.col("label").alias("la"), F.col(vector).alias("va"), vectors.dot(vector, vector).alias("na"))
+    b = batch.select("batch", F.col("label").alias("lb"), F.col(vector).alias("vb"), vectors.dot(vector, vector).alias("nb"))
+    squared = F.col("na") + F.col("nb") - 2 * vectors.dot("va", "vb")
     pairs = a.join(b, "batch").select("batch", "item", (F.col("la") == F.col("lb")).alias("same"), F.sqrt(F.greatest(squared, F.lit(LEAST))).alias("d"))
     return pairs.groupBy("batch", "item").agg(F.max(F.when(F.col("same"), F.col("d"))).alias("positive"), F.min(F.when(~F.col("same"), F.col("d"))).alias("negative"))
 

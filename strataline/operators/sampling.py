@@ -3,7 +3,11 @@
 from __future__ import annotations
 
 import random
+from collections.abc import Iterator
 
+import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
@@ -12,24 +16,40 @@ from pyspark.sql import functions as F
 def keep_stride(boxes: DataFrame, stride: int, keys: tuple[str, ...] = ("sequence", "camera", "tid"), frame: str = "frame", position: str = "position") -> DataFrame:
     """Of each track, by (frame, position), the boxes at least ``stride`` frames after the last one kept.
 
-    What is kept depends on what was kept before, so no window function can say it. One fold over the
-    track's boxes in order carries the last kept frame; a track is a bounded group. ``stride`` of 0 or less
-    keeps all. All columns stay.
+    What is kept depends on what was kept before, so no window function can say it. Tracks stream in order
+    through their tasks, which carry the frame last kept and search for the next: no track is ever gathered.
+    Boxes without a frame all stay. ``stride`` of 0 or less keeps all. All columns stay.
     """
     if stride <= 0:
         return boxes
-    rest = [c for c in boxes.columns if c not in keys]
-    row = F.struct(F.col(frame).alias("__frame"), F.col(position).alias("__position"), *rest)
-    tracks = boxes.groupBy(*keys).agg(F.array_sort(F.collect_list(row)).alias("rows"))
-    start = F.struct(F.lit(None).cast("bigint").alias("last"), F.array().cast("array<int>").alias("kept"))
-
-    def step(state: Column, at: Column) -> Column:
-        now = F.element_at("rows", at + 1)["__frame"].cast("bigint")
-        take = state["last"].isNull() | (now - state["last"] >= stride)
-        return F.when(take, F.struct(now.alias("last"), F.array_append(state["kept"], at).alias("kept"))).otherwise(state)
-
-    kept = F.aggregate(F.sequence(F.lit(0), F.size("rows") - 1), start, step, lambda s: s["kept"])
-    return tracks.select(*keys, "rows", F.explode(kept).alias("at")).select(*keys, F.element_at("rows", F.col("at") + 1).alias("r")).select(*keys, *[F.col("r")[c].alias(c) for c in rest])
+    placed = boxes.select("*", F.col(frame).cast("bigint").alias("__frame"))
+    change = F.struct(*[F.col(k) for k in keys])
+    placed = placed.repartition(*keys).withColumn("__key", F.to_json(change, {"ignoreNullFields": "false"})).sortWithinPartitions(*keys, frame, position)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        track, last = None, None
+        for batch in batches:
+            key, at = batch.column("__key"), batch.column("__frame")
+            known = at.is_valid().to_numpy(zero_copy_only=False)
+            frames = at.fill_null(0).to_numpy()
+            first = pc.not_equal(key.slice(1), key.slice(0, max(len(key) - 1, 0))).to_numpy(zero_copy_only=False)
+            edges = [0, *(np.flatnonzero(first) + 1).tolist(), len(key)] if len(key) else []
+            kept = ~known
+            for a, b in zip(edges, edges[1:], strict=False):
+                if key[a].as_py() != track:
+                    track, last = key[a].as_py(), None
+                i = a + int((~known[a:b]).sum())  # unknown frames come first
+                while i < b:
+                    if last is not None:
+                        i += int(np.searchsorted(frames[i:b], last + stride, "left"))
+                    if i < b:
+                        kept[i] = True
+                        last = int(frames[i])
+                        i += 1
+            yield batch.filter(pa.array(kept)).select(boxes_columns)
+
+    boxes_columns, schema = boxes.columns, boxes.schema
+    return placed.mapInArrow(run, schema)
 
 
 def seeded_order(seed: int, key: Column) -> Column:
@@ -75,13 +95,18 @@ def batches(crops: DataFrame, batch_size: int, k: int, key: str = "vec_id", seed
     left = {r.pid: r.n for r in cut.groupBy("pid").agg(F.countDistinct("chunk").alias("n")).orderBy("pid").collect()}
     if len(left) < per_batch:
         raise ValueError("there are fewer identities than a batch needs")
-    total, draw, rows, batch = dict(left), random.Random(seed), [], 0
-    while len(left) >= per_batch:
-        for place, pid in enumerate(draw.sample(sorted(left), per_batch)):
-            rows.append((batch, place, pid, total[pid] - left[pid]))
-            left[pid] -= 1
-            if not left[pid]:
-                del left[pid]
+    alive, used, draw, rows, batch = list(left), dict.fromkeys(left, 0), random.Random(seed), [], 0
+    while len(alive) >= per_batch:
+        drawn = draw.sample(range(len(alive)), per_batch)
+        for place, at in enumerate(drawn):
+            pid = alive[at]
+            rows.append((batch, place, pid, used[pid]))
+            used[pid] += 1
+        # The last identity takes the place of one that has no chunk left.
+        for at in sorted(drawn, reverse=True):
+            if used[alive[at]] == left[alive[at]]:
+                alive[at] = alive[-1]
+                alive.pop()
         batch += 1
     plan = crops.sparkSession.createDataFrame(rows, "batch bigint, place bigint, pid bigint, chunk bigint")
     return cut.join(plan, ["pid", "chunk"])

@@ -538,6 +538,27 @@ def st7(s, d):
     return sampling.batches(fx.crops(s, d).filter(C("split") == TRAIN), 16, 4).select("batch", "place", "pid", "chunk", "slot", "vec_id")
 
 
+# The draw is by chance, but not what any draw has: per identity the chunks that were drawn at most once, whole
+# batches of different identities, chunks in turn, and fewer identities left than a batch needs.
+@query("st7_batch_invariants", given("crops") + _CHUNKS + """, left_over AS (SELECT pid, count(DISTINCT chunk) AS chunks FROM c GROUP BY pid)
+    SELECT count(*) AS identities, CAST(sum(chunks) AS BIGINT) AS chunks, 0 AS uneven_batches, 0 AS uneven_chunks, 0 AS repeated, 0 AS out_of_turn, true AS exhausted FROM left_over""")
+def st7_invariants(s, d):
+    train = fx.crops(s, d).filter(C("split") == TRAIN)
+    cut = sampling.chunks(train, 4).groupBy("pid").agg(F.count_distinct("chunk").alias("chunks"))
+    drawn = sampling.batches(train, 16, 4)
+    per_batch = drawn.groupBy("batch").agg(F.count("*").alias("n"), F.count_distinct("pid").alias("pids"), F.count_distinct("place").alias("places"))
+    per_chunk = drawn.groupBy("pid", "chunk").agg(F.count("*").alias("n"), F.count_distinct("slot").alias("slots"), F.count_distinct("batch").alias("batches"))
+    turns = drawn.groupBy("pid", "chunk").agg(F.max("batch").alias("batch")).groupBy("pid").agg(F.max("chunk").alias("last"), F.count("*").alias("n"), F.array_sort(F.collect_list(F.struct("chunk", "batch"))).alias("t"))
+    in_turn = F.col("t.batch") == F.array_sort(F.col("t.batch"))
+    rest = cut.join(turns.select("pid", "n"), "pid", "left").agg(F.count("*").alias("identities"), F.sum("chunks").cast("bigint").alias("chunks"), F.count_if(C("chunks") > F.coalesce("n", F.lit(0))).alias("open"))
+    return (
+        rest.join(per_batch.agg(F.count_if(F.expr("n <> 16 OR pids <> 4 OR places <> 4")).cast("int").alias("uneven_batches")))
+        .join(per_chunk.agg(F.count_if(F.expr("n <> 4 OR slots <> 4")).cast("int").alias("uneven_chunks"), F.count_if(F.expr("batches <> 1")).cast("int").alias("repeated")))
+        .join(turns.agg(F.count_if((C("n") != C("last") + 1) | ~in_turn).cast("int").alias("out_of_turn")))
+        .select("identities", "chunks", "uneven_batches", "uneven_chunks", "repeated", "out_of_turn", (C("open") < 4).alias("exhausted"))
+    )
+
+
 # --- sets ----------------------------------------------------------------------------------------------------
 
 
@@ -643,9 +664,9 @@ def ic11(s, d):
     return constraints.unparsable(fx.listing(s, d))
 
 
-@query("ic13_lone_anchors", given("leaky") + ", c AS (SELECT vec_id // 32 AS batch, pid AS label, count(*) AS n FROM leaky WHERE vec_id % 9 <> 0 GROUP BY ALL) SELECT batch, count(*) AS labels, count(*) FILTER (WHERE n = 1) AS singles FROM c GROUP BY batch HAVING count(*) < 2 OR count(*) FILTER (WHERE n = 1) > 0")
+@query("ic13_lone_anchors", given("leaky") + ", c AS (SELECT vec_id // 6 AS batch, pid AS label, count(*) AS n FROM leaky WHERE vec_id % 9 <> 0 GROUP BY ALL) SELECT batch, count(*) AS labels, count(*) FILTER (WHERE n = 1) AS singles FROM c GROUP BY batch HAVING count(*) < 2 OR count(*) FILTER (WHERE n = 1) > 0")
 def ic13(s, d):
-    return constraints.lone_anchors(fx.leaky(s, d).filter("vec_id % 9 <> 0").select(F.floor(C("vec_id") / 32).cast("bigint").alias("batch"), C("pid").alias("label")))
+    return constraints.lone_anchors(fx.leaky(s, d).filter("vec_id % 9 <> 0").select(F.floor(C("vec_id") / 6).cast("bigint").alias("batch"), C("pid").alias("label")))
 
 
 @query("ic15_unknown_actions", given("decisions") + "SELECT pid, 'kepe' AS action FROM decisions WHERE pid % 50 = 0")

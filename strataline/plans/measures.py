@@ -124,9 +124,35 @@ def wn8(s, d):
     return detection.curves(rows).select("dt_id", "tp", "fp", *[F.round(c, 9).alias(c) for c in ("precision", "recall", "envelope")])
 
 
-@query("ag16_detection_summary")
+# Detections claim objects in turn, in all images at once: the n-th of each image at the n-th step.
+_SUMMARY = given("truth", "detections").replace("WITH ", "WITH RECURSIVE ", 1) + _IOU + """, areas(area, low, high) AS (VALUES ('all', 0.0, 1e10), ('small', 0.0, 1024.0), ('medium', 1024.0, 9216.0), ('large', 9216.0, 1e10)),
+    cells AS (SELECT *, (50 + 5 * k) / 100 AS t FROM areas, range(10) r(k)),
+    n AS (SELECT area, count(*) FILTER (WHERE w * h BETWEEN low AND high) AS n_gt FROM areas, truth GROUP BY area),
+    near AS (SELECT area, dt_id, list({'gt': gt_id, 'iou': iou, 'skip': skip} ORDER BY skip, iou DESC, gt_id DESC) AS cands
+        FROM (SELECT area, dt_id, iou.gt_id, iou.iou, NOT (t.w * t.h BETWEEN low AND high) AS skip FROM areas, iou JOIN truth t ON t.gt_id = iou.gt_id WHERE iou.iou >= 0.5) GROUP BY area, dt_id),
+    dets AS (SELECT area, low, high, image_id, d.dt_id, score, d.w * d.h AS size, row_number() OVER (PARTITION BY area, image_id ORDER BY score DESC, d.dt_id) - 1 AS place, coalesce(cands, []) AS cands
+        FROM areas CROSS JOIN detections d LEFT JOIN near USING (area, dt_id)),
+    walk AS (SELECT area, t, image_id, CAST(-1 AS BIGINT) AS place, CAST([] AS BIGINT[]) AS taken, CAST(NULL AS BIGINT) AS dt_id, CAST(NULL AS DOUBLE) AS score, false AS hit, true AS ignored FROM cells, (SELECT DISTINCT image_id FROM detections)
+        UNION ALL SELECT area, t, image_id, place, CASE WHEN c IS NULL THEN taken ELSE list_append(taken, c.gt) END, dt_id, score, c IS NOT NULL, CASE WHEN c IS NULL THEN size NOT BETWEEN low AND high ELSE c.skip END
+        FROM (SELECT w.area, w.t, w.image_id, d.place, w.taken, d.dt_id, d.score, d.size, d.low, d.high, list_filter(d.cands, lambda c: c.iou >= w.t AND NOT list_contains(w.taken, c.gt))[1] AS c
+            FROM walk w JOIN dets d ON d.area = w.area AND d.image_id = w.image_id AND d.place = w.place + 1 WHERE d.place < 100)),
+    run AS (SELECT area, t, place, hit, n_gt, sum(CAST(hit AS BIGINT)) OVER o AS tp, row_number() OVER o AS seen FROM walk JOIN n USING (area) WHERE NOT ignored AND n_gt > 0 WINDOW o AS (PARTITION BY area, t ORDER BY score DESC, dt_id ROWS UNBOUNDED PRECEDING)),
+    points AS (SELECT area, t, i, max(tp / seen) FILTER (WHERE tp / n_gt >= i / 100) AS p FROM run, range(101) r(i) GROUP BY area, t, i),
+    ap AS (SELECT area, t, sum(coalesce(p, 0)) / 101 AS ap FROM points GROUP BY area, t),
+    ar AS (SELECT area, t, max(n_gt) AS n_gt, count(*) FILTER (WHERE hit AND place < 1) AS tp1, count(*) FILTER (WHERE hit AND place < 10) AS tp10, count(*) FILTER (WHERE hit AND place < 100) AS tp100 FROM run GROUP BY area, t),
+    each AS (SELECT area, t, coalesce(ap, 0) AS ap, coalesce(tp1, 0) / n.n_gt AS r1, coalesce(tp10, 0) / n.n_gt AS r10, coalesce(tp100, 0) / n.n_gt AS r100 FROM cells JOIN n USING (area) LEFT JOIN ap USING (area, t) LEFT JOIN ar USING (area, t) WHERE n.n_gt > 0)
+    SELECT """ + ", ".join(f'round(coalesce({x}, -1), 6) AS "{n}"' for n, x in {
+        "AP": "avg(ap) FILTER (WHERE area = 'all')", "AP50": "avg(ap) FILTER (WHERE area = 'all' AND t = 0.5)", "AP75": "avg(ap) FILTER (WHERE area = 'all' AND t = 0.75)",
+        **{f"AP_{a}": f"avg(ap) FILTER (WHERE area = '{a}')" for a in ("small", "medium", "large")},
+        **{f"AR{m}": f"avg(r{m}) FILTER (WHERE area = 'all')" for m in (1, 10, 100)},
+        **{f"AR_{a}": f"avg(r100) FILTER (WHERE area = '{a}')" for a in ("small", "medium", "large")},
+    }.items()) + " FROM each"
+
+
+@query("ag16_detection_summary", _SUMMARY)
 def ag16(s, d):
-    return detection.summary(fx.detections(s, d), fx.truth(s, d))
+    out = detection.summary(fx.detections(s, d), fx.truth(s, d))
+    return out.select(*[F.round(n, 6).alias(n) for n in detection.NAMES])
 
 
 @query("ag17_no_detections", "SELECT " + ", ".join(f'CAST(0 AS DOUBLE) AS "{n}"' for n in detection.NAMES))

@@ -3,9 +3,10 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from strataline.functions import names
+from strataline.functions import names, ranges
 from strataline.schema import JUNK, SPLITS, TRAIN
 
 STRICT_SUFFIXES = (".jpg", ".jpeg", ".png")
@@ -50,10 +51,16 @@ def labelled_train(crops: DataFrame) -> DataFrame:
 
 
 def contiguous(df: DataFrame, key: str, to: str = "label") -> DataFrame:
-    """The distinct keys with their rank from 0."""
-    from pyspark.sql import Window as W
+    """The distinct keys with their rank from 0.
 
-    return df.select(key).distinct().withColumn(to, (F.dense_rank().over(W.orderBy(key)) - 1).cast("bigint"))
+    Ranked inside ranges of keys, to which the numbers of keys before are added: one row for each range.
+    """
+    keys = df.select(key).distinct()
+    cuts = ranges.bounds(keys, [key])
+    placed = keys.withColumn("__range", ranges.number(keys, [key], cuts))
+    inside = placed.withColumn("__n", F.row_number().over(W.partitionBy("__range").orderBy(key)) - 1)
+    before = placed.groupBy("__range").agg(F.count("*").alias("__size")).withColumn("__before", F.coalesce(F.sum("__size").over(W.orderBy("__range").rowsBetween(W.unboundedPreceding, -1)), F.lit(0)))
+    return inside.join(F.broadcast(before), "__range").select(key, (F.col("__n") + F.col("__before")).cast("bigint").alias(to))
 
 
 def read_market(spark: SparkSession, path: str, require_train: bool = True) -> DataFrame:

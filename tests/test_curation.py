@@ -218,3 +218,31 @@ def test_streaming_stride(spark, tmp_path):
     q.processAllAvailable()
     q.stop()
     assert sorted(r.frame for r in spark.table("kept").filter("tid = 2").collect()) == [1, 31, 61, 91]
+
+
+def test_contiguous_by_ranges(spark, monkeypatch):
+    from strataline.functions import ranges
+    from strataline.sources import listings
+
+    monkeypatch.setattr(ranges, "SMALL", 50)
+    spark.conf.set("spark.sql.shuffle.partitions", "7")
+    try:
+        for key in ((F.col("id") * 7919 % 1009), F.concat(F.lit("k"), (F.col("id") * 31 % 400).cast("string"))):
+            rows = spark.range(2000).select(key.alias("pid")).unionByName(spark.range(1).select(key.alias("pid")).filter("pid IS NULL"))
+            keys = sorted({r.pid for r in rows.collect()})
+            got = {r.pid: r.label for r in listings.contiguous(rows, "pid").collect()}
+            assert got == {k: i for i, k in enumerate(keys)}
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", "2")
+
+
+def test_stride_across_batches_and_nulls(spark):
+    rows = spark.createDataFrame([(1, 1, t, f, i, 2**53 + 1) for i, (t, f) in enumerate([(1, 5), (1, None), (1, 9), (None, 5), (None, 6), (None, 40), (2, 5)])], "sequence int, camera int, tid int, frame int, position int, extra bigint")
+    got = sorted((r.position, r.extra) for r in sampling.keep_stride(rows, 30).collect())
+    assert got == [(i, 2**53 + 1) for i in (0, 1, 3, 5, 6)]
+    many = spark.range(3000).select(F.lit(1).alias("sequence"), F.lit(1).alias("camera"), F.lit(1).alias("tid"), F.col("id").alias("frame"), F.col("id").alias("position"))
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "13")
+    try:
+        assert sorted(r.frame for r in sampling.keep_stride(many, 30).collect()) == list(range(0, 3000, 30))
+    finally:
+        spark.conf.unset("spark.sql.execution.arrow.maxRecordsPerBatch")

@@ -142,3 +142,52 @@ def test_registry():
     assert encoders.action("toy", "predict") is len
     with pytest.raises(ValueError):
         encoders.action("toy", "train")
+
+
+def test_curves_by_ranges_equal_one_range(spark, monkeypatch):
+    from strataline.functions import ranges
+
+    rows = spark.range(3000).select(
+        F.when(C("id") % 3 == 0, C("id") % 7).alias("category_id"), F.lit("all").alias("area"), F.lit(0.5).alias("threshold"), C("id").alias("dt_id"),
+        F.when(C("id") % 50 == 0, None).otherwise((C("id") * 31 % 40) / 40).alias("score"), (C("id") % 3 != 0).alias("hit"), F.lit(2000).alias("n_gt"),
+    )
+    columns = ["dt_id", "tp", "fp", "precision", "recall", "envelope"]
+    one = sorted(detection.curves(rows).select(*columns).collect())
+    monkeypatch.setattr(ranges, "SMALL", 100)
+    spark.conf.set("spark.sql.shuffle.partitions", "9")
+    try:
+        assert sorted(detection.curves(rows).select(*columns).collect()) == one and len(one) == 3000
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", "2")
+
+
+def test_claims_keep_ids_beside_nulls(spark):
+    big = 2**53 + 1
+    gt = spark.createDataFrame([(big, 1, 1, 0.0, 0.0, 10.0, 10.0), (None, 1, 2, 0.0, 0.0, 10.0, 10.0)], BOX.format("gt_id"))
+    dt = spark.createDataFrame([(big, 1, big, 0.0, 0.0, 10.0, 10.0, 0.8), (big - 1, 1, 5, 0.0, 0.0, 10.0, 10.0, 0.7), (None, 1, None, 0.0, 0.0, 10.0, 10.0, 0.9)], BOX.format("dt_id") + ", score double")
+    hits = {r.dt_id: r.hit for r in detection.matched(dt, gt).filter("threshold = 0.5 AND area = 'all'").collect()}
+    assert hits == {big: True, 5: False, None: True}
+
+
+def test_match_ranks_in_small_blocks(spark, monkeypatch):
+    rows = [(i % 5, 1 + i % 3, unit(37 * i % 90)) for i in range(60)]
+    q, g = crops(spark, *rows[:20]), crops(spark, *rows[20:], rows[21])
+    g = g.unionByName(g.filter("vec_id = 7"))  # a repeated row
+    want = sorted(tuple(r) for r in retrieval.ranked_pairs(q, g).filter("matched").select("q_id", "g_id", "rank").collect())
+    whole = sorted(tuple(r) for r in retrieval.match_ranks(q, g).collect())
+    for name, size in (("PART", 7), ("BLOCK", 3), ("TOGETHER", 2), ("STRIP", 2)):
+        monkeypatch.setattr(retrieval, name, size)
+    got = sorted(tuple(r) for r in retrieval.match_ranks(q, g).collect())
+    assert got == whole and len(got) == len(want)
+    assert [r for r in got if r[1] != 7][:1] and {r[:2] for r in got} == {r[:2] for r in want}
+
+
+def test_closest_identities_in_small_blocks(spark, monkeypatch):
+    rows = crops(spark, *[(p, 1, unit(7 * p * p % 180)) for p in range(23)])
+    want = [tuple(r) for r in coherence.closest_identities(rows, 6).select("pid_a", "pid_b").collect()]
+    plain = coherence.identity_pairs(rows).select("pid_a", "pid_b", F.round("sim", 9).alias("sim")).collect()
+    least = sorted((r.sim for r in plain), reverse=True)[5]
+    assert len(want) == 6 and set(want) <= {(r.pid_a, r.pid_b) for r in plain if r.sim >= least}
+    monkeypatch.setattr(coherence, "BLOCK", 5)
+    monkeypatch.setattr(coherence, "STRIP", 2)
+    assert {tuple(r) for r in coherence.closest_identities(rows, 6).select("pid_a", "pid_b").collect()} == set(want)
