@@ -62,6 +62,14 @@ def seeded_sample(df: DataFrame, key: str, n: int = 600, seed: int = 42) -> Data
     return df.orderBy(seeded_order(seed, F.col(key)), key).limit(n)
 
 
+def fraction(df: DataFrame, key: str, share: float, seed: int = 42) -> DataFrame:
+    """The rows whose place by chance, which depends on seed and key alone, is below ``share``; null keys stay out."""
+    if not 0 < share <= 1:
+        raise ValueError("a fraction lies above 0 and is 1 at most")
+    place = F.conv(F.substring(seeded_order(seed, F.col(key)), 1, 8), 16, 10).cast("bigint")
+    return df.filter(place < int(share * 2**32))
+
+
 def chunks(crops: DataFrame, k: int, key: str = "vec_id", seed: int = 42) -> DataFrame:
     """Full chunks of k crops of each identity, in the seed's order: chunk, slot.
 

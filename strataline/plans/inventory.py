@@ -533,6 +533,11 @@ def st6(s, d):
     return sampling.seeded_sample(fx.boxes(s, d), "position").select("position")
 
 
+@query("st8_fraction", given("crops") + f"SELECT vec_id FROM crops WHERE split = '{TRAIN}' AND CAST('0x' || md5('42:' || vec_id)[1:8] AS BIGINT) < {2**32 // 4}")
+def st8(s, d):
+    return sampling.fraction(fx.crops(s, d).filter(C("split") == TRAIN), "vec_id", 0.25).select("vec_id")
+
+
 @query("st7_identity_batches")
 def st7(s, d):
     return sampling.batches(fx.crops(s, d).filter(C("split") == TRAIN), 16, 4).select("batch", "place", "pid", "chunk", "slot", "vec_id")

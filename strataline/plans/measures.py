@@ -209,3 +209,46 @@ def ud1(s, d):
 
     images = fx.table(s, d, "events").select(C("event_id").alias("image_id"), C("event_id").cast("string").alias("path"))
     return encoders.detections(images, factory, [1, 2, 3])
+
+
+# Pixels of the toy video are made of their place and the frame, so that SQL knows them too.
+_CUT = given("boxes") + """, c AS (SELECT position, frame, greatest(0, trunc(x / 10 - w / 10 * 0.08)) AS l, greatest(0, trunc(y / 10 - h / 10 * 0.08)) AS t,
+    least(192, trunc(x / 10 + w / 10 + w / 10 * 0.08)) AS r, least(108, trunc(y / 10 + h / 10 + h / 10 * 0.08)) AS b FROM boxes)
+    SELECT position, CAST(r - l AS BIGINT) AS width, CAST(b - t AS BIGINT) AS height, CAST((l + 2 * t + frame) % 256 AS BIGINT) AS first, CAST((r - 1 + 2 * (b - 1) + frame) % 256 AS BIGINT) AS last FROM c WHERE l < r AND t < b"""
+
+
+@query("sc13_video_crops", _CUT)
+def sc13(s, d):
+    from strataline.sources import images
+
+    def opener():
+        import numpy as np
+
+        base = (np.arange(192)[None, :] + 2 * np.arange(108)[:, None])[:, :, None].repeat(3, axis=2)
+
+        def frames(video):
+            frame = 0
+            while True:
+                frame += 1
+                yield lambda frame=frame: ((base + frame) % 256).astype(np.uint8)
+
+        return frames, lambda crop: f"{crop.shape[1]},{crop.shape[0]},{crop[0, 0, 0]},{crop[-1, -1, 0]}".encode()
+
+    specs = fx.boxes(s, d).select("position", C("camera").cast("string").alias("video"), "frame", *[(C(c) / 10).alias(c) for c in "xywh"])
+    return images.cut_from_videos(specs, opener).select("position", *[F.get(F.split(C("content").cast("string"), ","), k).cast("bigint").alias(n) for k, n in enumerate(("width", "height", "first", "last"))])
+
+
+# Each image is one pixel of three channels; a resize of it is flat.
+@query("sc12_crop_tensors", "SELECT event_id, round(((event_id % 256) / 255 - 0.5) / 0.5, 5) AS v, 24 AS n FROM events")
+def sc12(s, d):
+    from strataline.functions import pixels
+    from strataline.sources import images
+
+    def decoder():
+        import numpy as np
+
+        return lambda data: np.full((1, 1, 3), int(data) % 256, np.uint8)
+
+    rows = fx.table(s, d, "events").select("event_id", C("event_id").cast("string").cast("binary").alias("content"))
+    out = images.tensors(rows, decoder, lambda: pixels.evaluation(4, 2, "bilinear", pixels.EVEN), key="event_id")
+    return out.select("event_id", F.round(F.element_at("tensor", 24).cast("double"), 5).alias("v"), F.size("tensor").alias("n"))
