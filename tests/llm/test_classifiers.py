@@ -95,3 +95,23 @@ def test_toxicity_keeps_ids(spark):
     docs, labels = corpus(spark, 10)
     more = docs.union(spark.createDataFrame([(big, "x"), (None, "y")], docs.schema)).coalesce(1)
     assert {r.doc_id for r in toxicity.scored(more, toxicity.train(docs, labels)).collect()} >= {big, None}
+
+
+def test_compiled_rules_equal_rules_by_hand(spark):
+    import math
+
+    docs, labels = corpus(spark)
+    model = rule_ensemble.train(docs, labels)
+    rows = rule_ensemble.features(docs).collect()
+    want = {}
+    for r in rows:
+        holds = [all((r[name] > value) == above for name, above, value in rule) for rule, _ in model.rules]
+        total = model.bias + sum(weight for (_, weight), h in zip(model.rules, holds, strict=True) if h)
+        want[r.doc_id] = 1 / (1 + math.exp(-total))
+    got = {r.doc_id: r.score for r in rule_ensemble.scored(docs, model).collect()}
+    assert got == pytest.approx(want, abs=1e-12) and len(got) == 402
+    texts = {r.doc_id: r.text or "" for r in docs.collect()}
+    for r in rows:
+        words = texts[r.doc_id].split()
+        assert r.n_words == len(words) and r.word_chars_per_n_words == pytest.approx(sum(map(len, words)) / len(words) if words else 0)
+        assert r.n_symbols_per_n_words == pytest.approx(sum(c in "#*$%&|<>" for c in texts[r.doc_id]) / len(words) if words else 0)

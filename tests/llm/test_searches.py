@@ -243,3 +243,41 @@ def test_pipeline(spark, tmp_path):
     got = corpus_pipeline.run(spark, str(tmp_path)).collect()
     assert {r.doc_id for r in got} <= set(range(40)) and len(got) == docs.count()
     assert max(Counter(r.doc_id for r in got).values()) <= 2 and all(r.n_tokens > 1 for r in got)
+
+
+def test_pipeline_stages_against_plain_code(spark, tmp_path):
+    import sentencepiece
+
+    from strataline.llm import sentencepiece_codec
+
+    draw = random.Random(19)
+    bits = "the of and to in is that it for was on are as with be by".split()
+
+    def prose(n):
+        return "\n".join(" ".join(draw.choice(bits) + str(draw.randrange(50)) * draw.randint(0, 1) for _ in range(12)) for _ in range(n))
+
+    rows = [(i, prose(7), "en", "ab"[i % 2], 0) for i in range(30)]
+    for i in range(12):  # near copies, in a chain for some
+        words = rows[i if i < 9 else 30 + i - 1][1].split(" ")
+        words[-1 - i] = f"changed{i}"
+        rows.append((200 + i, " ".join(words), "en", "a", 0))
+    rows += [(300, rows[3][1], "en", None, 0), (None, rows[4][1], "en", "b", 0)]
+    schema = "doc_id long, text string, lang string, source string, n_chars long"
+    docs = spark.createDataFrame(rows, schema)
+    stages = dict(corpus_pipeline.STAGES)
+
+    kept = stages["quality_rules"](spark, docs, "").collect()
+    assert len(kept) == len(rows)  # all are clean
+
+    got = stages["near_duplicates"](spark, docs.filter("doc_id IS NOT NULL"), "").collect()
+    reach = components([(r[0], r[1]) for r in rows if r[0] is not None])
+    assert sorted(r.doc_id for r in got) == sorted({root for _, root in reach.values()}) and len(got) < 35
+
+    sized = stages["source_mix"](spark, docs, "").groupBy("source").agg({"doc_id": "count"}).collect()
+    assert {r.source for r in sized} == {"a", "b", None}
+
+    model = sentencepiece.SentencePieceProcessor(model_file=sentencepiece_codec.default_model_path())
+    for r in stages["token_ids"](spark, docs.limit(10), "").collect():
+        ids = model.encode(dict((x[0], x[1]) for x in rows)[r.doc_id], add_eos=True)
+        assert r.n_tokens == len(ids) and r.ids_sha256 == hashlib.sha256(" ".join(map(str, ids)).encode()).hexdigest()
+        assert r.decoded_sha256 == hashlib.sha256(model.decode(ids).encode()).hexdigest()
