@@ -225,6 +225,61 @@ def test_short_notices_need_their_own_words():
         assert [m[:2] for m in license_matches(license_scan.TEMPLATES[name])] == [(name, 1.0)]
 
 
+def test_every_license_is_told_from_the_others(tmp_path):
+    """Whole texts alone, all in a row, and parts without the rest; bodies of a folder."""
+    for name, text in license_scan.TEMPLATES.items():
+        assert [m[:2] for m in license_matches(text)] == [(name, 1.0)]
+        assert [m[:2] for m in license_matches(f"1. 2. {text.upper()} x y z")] == [(name, 1.0)]
+    apart = " and here some words of a text that is about nothing in particular but long enough to part two of them "
+    wholes = [name for name in license_scan.TEMPLATES if name not in ("BSD-conditions", "BSD-disclaimer", "ISC-permission", "MIT-disclaimer", "MIT-permission")]
+    row = license_matches(apart.join(license_scan.TEMPLATES[name] for name in wholes))
+    assert sorted(m[:2] for m in row) == sorted((name, 1.0) for name in wholes)
+    parts = license_matches(f"{license_scan.BSD_CONDITIONS} {apart} {license_scan.BSD_DISCLAIMER}")
+    assert [m[:2] for m in parts] == [("BSD-2-Clause", 1.0)]
+    bsd = license_scan.TEMPLATES["BSD-3-Clause"].replace("copyright holder", "REGENTS").replace("COPYRIGHT HOLDER", "REGENTS")
+    assert [m[0] for m in license_matches(bsd)] == ["BSD-3-Clause"]
+    assert license_matches(license_scan.TEMPLATES["GPL-3.0-header"].replace("version 3", "version 1")) == []
+    draw = random.Random(4)
+    body = " ".join(f"w{draw.randrange(3000)}" for _ in range(4000))
+    (tmp_path / "Body-1.0.txt").write_text(body)
+    (tmp_path / "Other.txt").write_text("")
+    index = license_scan.Index(license_scan.templates_in(str(tmp_path)))
+    with np.errstate(over="ignore"):
+        words = license_scan._words(f"intro {body} end".encode())[1]
+        assert license_scan.matches(index, words, license_scan._grams(words), 0.75) == [("Body-1.0", 1.0, 1, 4000)]
+
+
+def most_in_order(a, b):
+    """Length of the longest common subsequence, by the whole table."""
+    row = [0] * (len(b) + 1)
+    for x in a:
+        before = row
+        row = [0]
+        for j, y in enumerate(b):
+            row.append(before[j] + 1 if x == y else max(before[j + 1], row[j]))
+    return row[-1]
+
+
+@pytest.mark.parametrize("name", ["MIT-text", "GPL-3.0-header", "Zlib"])
+def test_coverage_is_that_of_a_plain_alignment(name):
+    draw = random.Random(name)
+    whole = "".join(c.lower() if c.isalnum() else " " for c in license_scan.TEMPLATES[name]).split()
+    for _ in range(25):
+        w = list(whole)
+        for _ in range(draw.randrange(1, 1 + len(w) // 12)):
+            q = draw.randrange(len(w))
+            w[q : q + draw.randint(0, 2)] = [f"n{draw.randrange(10**6)}" for _ in range(draw.randint(0, 2))]
+        text = [f"f{draw.randrange(10**6)}" for _ in range(draw.randrange(30))] + w + ["end"]
+        got = [m for m in license_matches(" ".join(text)) if m[0] == name]
+        need = most_in_order(whole, text) / len(whole)
+        if need < license_scan.LEAST_COVERAGE:
+            assert not got
+        elif got:
+            assert abs(got[0][1] - need) <= 0.03
+        else:
+            assert name == "GPL-3.0-header" and not {"gnu", "3"} <= set(w)
+
+
 def test_pipeline(spark, tmp_path):
     draw = random.Random(9)
     bits = "the of and to in is that it for was on are as with be by".split()
