@@ -5,8 +5,9 @@ Every byte covered by a WINDOW-byte string that also starts anywhere else, in th
 1. Each window of a text belongs to one anchor: the leftmost of its K-byte strings with the least hash.
    Equal windows have equal anchors at equal offsets, so only texts around equal anchors need comparing.
    The windows of one anchor are neighbours; the bytes they cover are the anchor's context.
-2. Anchors are counted. What is under an anchor that occurs once is unique. Contexts that occur twice or
-   more, whole, are repeated, whole.
+2. Anchors are counted. What is under an anchor that occurs once is unique. Contexts of one hash that occur
+   twice or more, whole, are repeated, whole: each is compared byte by byte with the first of them, in runs of
+   contexts that two texts share. Where one differs, all contexts of its anchor are left to the next step.
 3. The other contexts of an anchor are brought together, a bounded number at a time, and the suffixes at
    their window starts are sorted: a merge sort whose comparisons find the common extension of two
    suffixes by binary search over prefix polynomial hashes. Neighbours in the order that agree over a
@@ -30,7 +31,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from strataline.llm.shingles import blocks, mix, powers
-from strataline.session import materialise
+from strataline.session import discard, materialise
 
 WINDOW = 200
 K = 64
@@ -38,6 +39,8 @@ K = 64
 MOST_CONTEXTS = 4096
 #: Bytes of contexts sorted in one go; a larger single part is still bounded by MOST_CONTEXTS.
 BATCH_BYTES = 1 << 19
+#: Texts that are compared with one copy of a first text; more get further copies.
+FOLLOWERS = 256
 
 _BYTES = [np.random.default_rng(s).integers(1, 1 << 63, 256, dtype=np.uint64) for s in (21, 22)]
 
@@ -187,7 +190,7 @@ def _keyed(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
     return slim.select(F.xxhash64(F.lit(0), "doc_id", "text").alias("k1"), F.xxhash64(F.lit(1), "doc_id", "text").alias("k2"), "doc_id", "text")
 
 
-def _anchors(keyed: DataFrame) -> DataFrame:
+def _anchors(keyed: DataFrame, context_bits: int) -> DataFrame:
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         with np.errstate(over="ignore"):
             for pdf in batches:
@@ -195,6 +198,7 @@ def _anchors(keyed: DataFrame) -> DataFrame:
                 for some in blocks([x if isinstance(x, str) else None for x in texts]):
                     t, low, high, spot, gram, context = anchor_runs([_utf8(texts[i]) for i in some])
                     rows = np.array(some)[t]
+                    context = context & np.uint64((1 << context_bits) - 1)
                     yield pd.DataFrame({"anchor": gram.view(np.int64), "context": context.view(np.int64), "k1": k1[rows], "k2": k2[rows], "low": low.astype(np.int32), "high": high.astype(np.int32), "spot": spot.astype(np.int32)})
 
     return keyed.select("k1", "k2", "text").mapInPandas(run, "anchor bigint, context bigint, k1 bigint, k2 bigint, low int, high int, spot int")
@@ -248,23 +252,82 @@ def _sorted_parts(contexts: DataFrame) -> DataFrame:
     return ordered.mapInPandas(run, schema)
 
 
-def repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """Per text with repeated bytes: k1, k2 (its key) and runs, an array of (begin, end) that may overlap."""
+def shared_runs(cuts: list) -> list[tuple[int, int, int, list[int]]]:
+    """(begin, end, begin in the first text, anchors) of cuts (low, high, its low in the first text, anchor)."""
+    out: list[tuple[int, int, int, list[int]]] = []
+    for low, high, there, anchor in sorted(cuts, key=lambda c: (c[0] - c[2], c[0])):
+        if out and low - there == out[-1][0] - out[-1][2] and low <= out[-1][1]:
+            begin, end, first, anchors = out[-1]
+            anchors.append(anchor)
+            out[-1] = begin, max(end, high + WINDOW), first, anchors
+        else:
+            out.append((low, high + WINDOW, there, [anchor]))
+    return out
+
+
+def _clashing(keyed: DataFrame, members: DataFrame) -> DataFrame:
+    """Anchors with a context whose bytes are not those of the first context of its hash, written."""
+    follow = members.filter("NOT (k1 = r1 AND k2 = r2 AND low = there)")
+    by_first = follow.groupBy("k1", "k2", "r1", "r2").agg(F.collect_list(F.struct("low", "high", "there", "anchor")).alias("cuts"))
+    by_first = materialise(by_first, "copies")
+    firsts = materialise(by_first.groupBy("r1", "r2").agg(F.ceil(F.count("*") / FOLLOWERS).cast("int").alias("copies")), "firsts")
+
+    def cut(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for pdf in batches:
+            rows = []
+            for text, r1, r2, copy, cuts in zip(pdf["text"], pdf["r1"], pdf["r2"], pdf["copy"], pdf["cuts"], strict=True):
+                raw = _utf8(text)
+                runs = shared_runs([(c["low"], c["high"], c["there"], c["anchor"]) for c in cuts])
+                rows.append((r1, r2, copy, [{"there": there, "bytes": raw[a:b], "anchors": anchors} for a, b, there, anchors in runs]))
+            yield pd.DataFrame(rows, columns=["r1", "r2", "copy", "runs"])
+
+    def compare(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for pdf in batches:
+            bad: set[int] = set()
+            for first, runs in zip(pdf["first"], pdf["runs"], strict=True):
+                raw = _utf8(first)
+                for r in runs:
+                    if raw[r["there"] : r["there"] + len(r["bytes"])] != r["bytes"]:
+                        bad.update(int(x) for x in r["anchors"])
+            yield pd.DataFrame({"anchor": np.array(sorted(bad), np.int64)})
+
+    # The texts that follow one first text are dealt to as many copies of it as they need.
+    dealt = by_first.join(firsts, ["r1", "r2"]).withColumn("copy", F.pmod(F.xxhash64("k1", "k2"), "copies").cast("int"))
+    runs = keyed.select("k1", "k2", "text").join(dealt, ["k1", "k2"]).mapInPandas(cut, "r1 bigint, r2 bigint, copy int, runs array<struct<there:int,bytes:binary,anchors:array<bigint>>>")
+    texts = keyed.select(F.col("k1").alias("r1"), F.col("k2").alias("r2"), F.col("text").alias("first")).join(firsts, ["r1", "r2"]).dropDuplicates(["r1", "r2"])
+    texts = texts.select("r1", "r2", "first", F.explode(F.expr("sequence(0, copies - 1)")).alias("copy"))
+    bad = runs.join(texts, ["r1", "r2", "copy"]).select("first", "runs").mapInPandas(compare, "anchor bigint").distinct()
+    bad = materialise(bad, "clashing")
+    discard(by_first, firsts)
+    return bad
+
+
+def repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", context_bits: int = 64) -> DataFrame:
+    """Per text with repeated bytes: k1, k2 (its key) and runs, an array of (begin, end) that may overlap.
+
+    ``context_bits``: how many bits the hashes of contexts have; fewer cost time and change no result.
+    """
     keyed = _keyed(docs, id_col, text_col)
-    found = _anchors(keyed)
-    counts = found.groupBy("anchor").agg(F.count("*").alias("n"), F.min("context").alias("x"), F.max("context").alias("y")).filter("n > 1").select("anchor", (F.col("x") != F.col("y")).alias("mixed"))
+    found = _anchors(keyed, context_bits)
+    counts = found.groupBy("anchor").agg(F.count("*").alias("n")).filter("n > 1").select("anchor")
     # Written, so that the join reads two shuffles and a frequent anchor's rows can be split among tasks.
     counts = materialise(counts, "anchor-counts")
     several = materialise(found.join(counts, "anchor"), "anchors")
-    span = [F.col("low").alias("begin"), (F.col("high") + WINDOW).alias("end")]
-    uniform = several.filter("NOT mixed").select("k1", "k2", *span)
-    mixed = several.filter("mixed").drop("mixed")
-    kinds = materialise(mixed.groupBy("anchor", "context").agg(F.count("*").alias("times"), F.min(F.struct("k1", "k2", "low", "high", "spot")).alias("x")), "contexts")
-    twice = mixed.join(kinds.filter("times > 1").select("anchor", "context"), ["anchor", "context"]).select("k1", "k2", *span)
-    # An anchor whose contexts all occur twice has nothing left to compare.
-    parts = kinds.groupBy("anchor").agg(F.ceil(F.count("*") / MOST_CONTEXTS).alias("parts"), F.min("times").alias("least")).filter("least = 1").select("anchor", "parts")
+    discard(counts)
+    place = F.struct("k1", "k2", "low", "high", "spot")
+    kinds = materialise(several.groupBy("anchor", "context").agg(F.count("*").alias("times"), F.min(place).alias("x")), "contexts")
+    firsts = kinds.filter("times > 1").select("anchor", "context", F.col("x.k1").alias("r1"), F.col("x.k2").alias("r2"), F.col("x.low").alias("there"))
+    members = materialise(several.join(firsts, ["anchor", "context"]).drop("context", "spot"), "members")
+    bad = _clashing(keyed, members)
+    whole, lone = members, kinds
+    if not bad.isEmpty():
+        whole = members.join(bad, "anchor", "left_anti")
+        alone = several.join(bad, "anchor", "left_semi").select("anchor", "context", F.lit(1).cast("bigint").alias("times"), place.alias("x"))
+        lone = kinds.join(bad, "anchor", "left_anti").union(alone)
+    # An anchor with one context, or whose contexts all occur twice, has nothing left to compare.
+    parts = lone.groupBy("anchor").agg(F.count("*").alias("n"), F.min("times").alias("least")).filter("n > 1 AND least = 1").select("anchor", F.ceil(F.col("n") / MOST_CONTEXTS).alias("parts"))
     parts = materialise(parts, "anchor-parts")
-    wanted = kinds.join(parts, "anchor").select("anchor", F.pmod(F.col("context"), F.col("parts")).cast("int").alias("part"), "parts", F.least("times", F.lit(2)).alias("times"), "x.*")
+    wanted = lone.join(parts, "anchor").select("anchor", F.pmod(F.xxhash64("x"), F.col("parts")).cast("int").alias("part"), "parts", F.least("times", F.lit(2)).alias("times"), "x.*")
     by_text = wanted.groupBy("k1", "k2").agg(F.collect_list(F.struct("anchor", "part", "parts", "times", "low", "high", "spot")).alias("cuts"))
 
     def cut(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -283,8 +346,11 @@ def repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") ->
     meeting = solved.filter("weight > 0")
     again = meeting.groupBy("h1", "h2").agg(F.sum("weight").alias("w")).filter("w > 1").select("h1", "h2")
     across = meeting.join(again, ["h1", "h2"]).select("k1", "k2", F.col("first").alias("begin"), (F.col("last") + WINDOW).alias("end"))
-    spans = uniform.union(twice).union(alone).union(across)
-    return spans.groupBy("k1", "k2").agg(F.collect_list(F.struct("begin", "end")).alias("runs"))
+    repeated = whole.select("k1", "k2", F.col("low").alias("begin"), (F.col("high") + WINDOW).alias("end"))
+    spans = repeated.union(alone).union(across)
+    out = materialise(spans.groupBy("k1", "k2").agg(F.collect_list(F.struct("begin", "end")).alias("runs")), "runs")
+    discard(several, kinds, members, bad, parts, solved)
+    return out
 
 
 def merged(runs: object) -> list[tuple[int, int]]:
@@ -298,7 +364,7 @@ def merged(runs: object) -> list[tuple[int, int]]:
     return [(a, b) for a, b in out]
 
 
-def _applied(docs: DataFrame, id_col: str, text_col: str, of: Callable, fields: dict[str, tuple[str, pa.DataType]]) -> DataFrame:
+def _applied(docs: DataFrame, id_col: str, text_col: str, of: Callable, fields: dict[str, tuple[str, pa.DataType]], context_bits: int = 64) -> DataFrame:
     """doc_id of any type, passed on as it is, and ``fields`` of (bytes, spans that go, bytes that stay)."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -314,7 +380,7 @@ def _applied(docs: DataFrame, id_col: str, text_col: str, of: Callable, fields:
             made = [pa.array([r[k] for r in rows], kind) for k, (_, kind) in enumerate(fields.values())]
             yield pa.RecordBatch.from_arrays([batch.column("doc_id"), *made], ["doc_id", *fields])
 
-    joined = _keyed(docs, id_col, text_col).join(repeats(docs, id_col, text_col), ["k1", "k2"], "left").select("doc_id", "text", "runs")
+    joined = _keyed(docs, id_col, text_col).join(repeats(docs, id_col, text_col, context_bits), ["k1", "k2"], "left").select("doc_id", "text", "runs")
     return joined.mapInArrow(run, ", ".join([f"doc_id {docs.schema[id_col].dataType.simpleString()}", *[f"{n} {t}" for n, (t, _) in fields.items()]]))
 
 
@@ -325,7 +391,7 @@ def removed(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") ->
     return _applied(docs, id_col, text_col, lambda raw, spans, kept: ([{"begin": a, "end": b} for a, b in spans], kept), fields)
 
 
-def removal_digests(docs: DataFrame) -> DataFrame:
+def removal_digests(docs: DataFrame, context_bits: int = 64) -> DataFrame:
     """Per row: doc_id, n_bytes, n_removed, n_spans and the SHA-256 of the bytes that stay."""
     fields = {n: ("bigint", pa.int64()) for n in ("n_bytes", "n_removed", "n_spans")} | {"kept_sha256": ("string", pa.string())}
-    return _applied(docs, "doc_id", "text", lambda raw, spans, kept: (len(raw), len(raw) - len(kept), len(spans), hashlib.sha256(kept).hexdigest()), fields)
+    return _applied(docs, "doc_id", "text", lambda raw, spans, kept: (len(raw), len(raw) - len(kept), len(spans), hashlib.sha256(kept).hexdigest()), fields, context_bits)

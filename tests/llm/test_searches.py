@@ -55,6 +55,23 @@ def test_suffix_dedup_plain(spark, monkeypatch, most):
     assert got == dict(enumerate(removal(texts)))
 
 
+@pytest.mark.parametrize("bits, followers, most", [(0, 256, 3), (0, 256, 4096), (2, 1, 4096), (64, 1, 4096)])
+def test_suffix_dedup_of_contexts_that_clash(spark, monkeypatch, bits, followers, most):
+    """Contexts of one hash are compared by bytes: with few bits many differ, and the result is the same."""
+    monkeypatch.setattr(suffix_dedup, "FOLLOWERS", followers)
+    monkeypatch.setattr(suffix_dedup, "MOST_CONTEXTS", most)
+    texts = texts_with_passages()
+    texts += [texts[-1]] * 5
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").repartition(3)
+    got = {r.doc_id: (r.n_bytes, r.n_removed, r.n_spans, r.kept_sha256) for r in suffix_dedup.removal_digests(docs, context_bits=bits).collect()}
+    assert got == dict(enumerate(removal(texts)))
+
+
+def test_shared_runs():
+    cuts = [(0, 10, 5, 1), (11, 20, 16, 2), (400, 410, 405, 3), (30, 40, 99, 4)]
+    assert suffix_dedup.shared_runs(cuts) == [(30, 240, 99, [4]), (0, 220, 5, [1, 2]), (400, 610, 405, [3])]
+
+
 def test_suffix_dedup_repeats_nulls_and_empty(spark):
     t = "".join(chr(97 + (i * i) % 26) for i in range(300))
     docs = spark.createDataFrame([(1, t), (1, t), (None, "short"), (None, None)], "doc_id long, text string")
