@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from strataline.llm import fingerprints, jaccard_join, license_scan, line_dedup, quality_rules, rule_ensemble, sentencepiece_codec, source_mixing, suffix_dedup, toxicity
+from strataline.llm import fingerprints, jaccard_join, license_scan, line_dedup, merkle, quality_rules, rule_ensemble, sentencepiece_codec, source_mixing, suffix_dedup, toxicity
 
 
 def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -57,6 +57,10 @@ def op10_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return license_scan.scan(documents(spark, sf_dir))
 
 
+def op11_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return merkle.tamper_report(documents(spark, sf_dir))
+
+
 _STOPS = ", ".join(f"'{w}'" for w in sorted({w for words in quality_rules.STOP_WORDS.values() for w in words}))
 
 #: A WITH list that ends in ``quality``: the columns of quality_rules.report() and the text.
@@ -98,9 +102,11 @@ QUERIES = {
     "op8_jaccard_join": op8_jaccard_join,
     "op9_source_mixing": op9_source_mixing,
     "op10_license_scan": op10_license_scan,
+    "op11_merkle_manifest": op11_merkle_manifest,
 }
 ORACLE_SQL = {
     "op2_quality_rules": f"WITH {QUALITY_SQL} SELECT {QUALITY_COLUMNS} FROM (SELECT *, NOT base_failed AND {_PASSED} AS kept FROM quality)",
     "op4_line_dedup": _LINE_SQL,
     "op9_source_mixing": f"WITH {source_mixing.mix_sql('documents')} SELECT doc_id, size, source_size, target, taken, CAST(copies AS BIGINT) AS copies, source FROM mix",
+    "op11_merkle_manifest": merkle.manifest_sql("documents"),
 }
