@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from strataline.llm import fingerprints, jaccard_join, license_scan, line_dedup, merkle, quality_rules, rule_ensemble, sentencepiece_codec, source_mixing, suffix_dedup, toxicity
+from strataline.llm import decontamination, fingerprints, jaccard_join, license_scan, line_dedup, merkle, quality_rules, rule_ensemble, sentencepiece_codec, source_mixing, suffix_dedup, toxicity
 
 
 def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -61,6 +61,10 @@ def op11_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
     return merkle.tamper_report(documents(spark, sf_dir))
 
 
+def op12_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return decontamination.report(documents(spark, sf_dir), spark.read.parquet(f"{sf_dir}/benchmark.parquet"))
+
+
 _STOPS = ", ".join(f"'{w}'" for w in sorted({w for words in quality_rules.STOP_WORDS.values() for w in words}))
 
 #: A WITH list that ends in ``quality``: the columns of quality_rules.report() and the text.
@@ -103,6 +107,7 @@ QUERIES = {
     "op9_source_mixing": op9_source_mixing,
     "op10_license_scan": op10_license_scan,
     "op11_merkle_manifest": op11_merkle_manifest,
+    "op12_decontamination": op12_decontamination,
 }
 ORACLE_SQL = {
     "op2_quality_rules": f"WITH {QUALITY_SQL} SELECT {QUALITY_COLUMNS} FROM (SELECT *, NOT base_failed AND {_PASSED} AS kept FROM quality)",

@@ -43,15 +43,21 @@ def powers(n: int) -> tuple[np.ndarray, np.ndarray]:
     return _powers, _inverses
 
 
-def word_hashes(data: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Start and hash of each word of a block of lower-cased bytes that ends in a blank."""
-    blank = _BLANK[data]
-    edge = np.flatnonzero(np.diff(blank.view(np.int8), prepend=np.int8(1)))
+def word_runs(data: np.ndarray, blank: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Start, end and hash of each run of bytes that are not blank, in a block that ends in a blank."""
+    gap = blank[data]
+    edge = np.flatnonzero(np.diff(gap.view(np.int8), prepend=np.int8(1)))
     starts, ends = edge[::2], edge[1::2]
     up, down = powers(len(data))
     total = np.zeros(len(data) + 1, np.uint64)
     np.cumsum(_BYTE[data] * up[: len(data)], out=total[1:])
-    return starts, mix((total[ends] - total[starts]) * down[starts] + (ends - starts).astype(np.uint64))
+    return starts, ends, mix((total[ends] - total[starts]) * down[starts] + (ends - starts).astype(np.uint64))
+
+
+def word_hashes(data: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Start and hash of each word of a block of lower-cased bytes that ends in a blank."""
+    starts, _, hashes = word_runs(data, _BLANK)
+    return starts, hashes
 
 
 def blocks(texts: list[str | None]) -> Iterator[list[int]]:
