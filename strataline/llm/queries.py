@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from strataline.llm import decontamination, fingerprints, jaccard_join, license_scan, line_dedup, merkle, quality_rules, rule_ensemble, sentencepiece_codec, source_mixing, suffix_dedup, toxicity
+from strataline.llm import decontamination, divergence, fingerprints, jaccard_join, license_scan, line_dedup, merkle, quality_rules, rule_ensemble, sentencepiece_codec, source_mixing, suffix_dedup, toxicity
 
 
 def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -65,6 +65,10 @@ def op12_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontamination.report(documents(spark, sf_dir), spark.read.parquet(f"{sf_dir}/benchmark.parquet"))
 
 
+def op13_source_divergence(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return divergence.audit(documents(spark, sf_dir))
+
+
 _STOPS = ", ".join(f"'{w}'" for w in sorted({w for words in quality_rules.STOP_WORDS.values() for w in words}))
 
 #: A WITH list that ends in ``quality``: the columns of quality_rules.report() and the text.
@@ -108,10 +112,12 @@ QUERIES = {
     "op10_license_scan": op10_license_scan,
     "op11_merkle_manifest": op11_merkle_manifest,
     "op12_decontamination": op12_decontamination,
+    "op13_source_divergence": op13_source_divergence,
 }
 ORACLE_SQL = {
     "op2_quality_rules": f"WITH {QUALITY_SQL} SELECT {QUALITY_COLUMNS} FROM (SELECT *, NOT base_failed AND {_PASSED} AS kept FROM quality)",
     "op4_line_dedup": _LINE_SQL,
     "op9_source_mixing": f"WITH {source_mixing.mix_sql('documents')} SELECT doc_id, size, source_size, target, taken, CAST(copies AS BIGINT) AS copies, source FROM mix",
     "op11_merkle_manifest": merkle.manifest_sql("documents"),
+    "op13_source_divergence": divergence.audit_sql("documents"),
 }
