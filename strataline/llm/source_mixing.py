@@ -4,9 +4,10 @@ Sizes are summed by source and hash bucket. Running sums over the buckets of a s
 which its budget ends; only that bucket is divided again, by the next bits of the hash, until one hash is
 left. What lies below the threshold is taken by a filter; documents are never sorted.
 
-A document's hash is the first 48 bits of the MD5 of its id, so reruns agree whatever the partitions.
-Rows of one id and source are taken together. A null text has size 0, a null source is a source of its
-own, a null id hashes like the text "null". An empty table gives an empty result.
+A document's hash is the first 48 bits of the MD5 of the MD5 of its source, id and text, and of a number that
+tells equal rows apart, so reruns agree whatever the partitions, and rows of one id, or of none, are taken or left
+each for itself. Rows that are equal in source, id and text are counted before they move. A null text has size 0,
+a null source is a source of its own, a null id is a value like any other. An empty table gives an empty result.
 """
 
 from __future__ import annotations
@@ -16,7 +17,7 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from strataline.llm.quality_rules import words_of
-from strataline.session import materialise
+from strataline.session import discard, materialise
 
 WEIGHTS = (3, 1, 2)
 SHARE = 1.5
@@ -30,8 +31,22 @@ def size_of(text: Column) -> Column:
     return F.size(words_of(F.coalesce(text, F.lit("")))).cast("bigint")
 
 
-def hash_of(doc_id: Column) -> Column:
-    return F.conv(F.substring(F.md5(F.coalesce(doc_id.cast("string"), F.lit("null")).cast("binary")), 1, HASH_BITS // 4), 16, 10).cast("bigint")
+def key_of(source: Column, doc_id: Column, text: Column) -> Column:
+    """The MD5 of what makes a row: 32 hex digits."""
+    return F.md5(F.concat(*[F.when(c.isNull(), F.lit(f"{mark}-")).otherwise(F.concat(F.lit(mark), c.cast("string"))) for mark, c in (("s:", source), ("\ni:", doc_id), ("\nt:", text))]).cast("binary"))
+
+
+def hash_of(key: Column, nth: Column) -> Column:
+    """The hash of the ``nth`` (from 1) of the rows of a key."""
+    return F.conv(F.substring(F.md5(F.concat(key, F.lit(":"), nth.cast("string")).cast("binary")), 1, HASH_BITS // 4), 16, 10).cast("bigint")
+
+
+def sizes(docs: DataFrame, id_col: str, source_col: str, text_col: str) -> DataFrame:
+    """A row for each of ``docs``: doc_id, source, size, key, many (equal rows), nth (of them) and hash."""
+    source, doc_id, text = docs[source_col], docs[id_col], docs[text_col]
+    slim = docs.select(doc_id.alias("doc_id"), source.alias("source"), size_of(text).alias("size"), key_of(source, doc_id, text).alias("key"))
+    counted = slim.groupBy("doc_id", "source", "size", "key").agg(F.count(F.lit(1)).alias("many"))
+    return counted.withColumn("nth", F.explode(F.sequence(F.lit(1).cast("bigint"), "many"))).withColumn("hash", hash_of(F.col("key"), F.col("nth")))
 
 
 def targets(totals: DataFrame, weights: tuple[int, ...] = WEIGHTS, share: float = SHARE, most: int = MOST) -> DataFrame:
@@ -70,6 +85,7 @@ def plan(sized: DataFrame, weights: tuple[int, ...] = WEIGHTS, share: float = SH
     wanted = wanted.withColumn("full", full).withColumn("budget", F.col("target") - F.col("full") * F.col("source_size"))
     # low: first hash of the bucket under study; done: tokens of all hashes below it.
     edge = materialise(wanted.withColumn("low", F.lit(0).cast("bigint")).withColumn("done", F.lit(0).cast("bigint")), "mix-plan")
+    before = edge
     for shift in range(HASH_BITS - STEP_BITS, -1, -STEP_BITS):
         e = edge.select(F.col("source").alias("e_source"), "budget", "low", "done")
         inside = (F.col("hash") >= F.col("low")) & (F.col("hash") < F.col("low") + (1 << (shift + STEP_BITS)))
@@ -85,6 +101,8 @@ def plan(sized: DataFrame, weights: tuple[int, ...] = WEIGHTS, share: float = SH
             F.coalesce("o_low", F.lit(1 << HASH_BITS)).alias("low"), F.coalesce("o_done", "done").alias("done"), F.coalesce("o_size", F.lit(0)).alias("last"),
         )
         edge = materialise(edge, "mix-plan")
+        discard(before)
+        before = edge
     threshold = F.col("low") + F.when(F.col("budget") - F.col("done") >= F.col("last") / 2, 1).otherwise(0)
     return edge.select("source", "source_size", "target", "full", threshold.alias("threshold"))
 
@@ -96,8 +114,7 @@ def _copies(most: int) -> Column:
 
 def counted(docs: DataFrame, id_col: str = "doc_id", source_col: str = "source", text_col: str = "text", weights: tuple[int, ...] = WEIGHTS, share: float = SHARE, most: int = MOST) -> DataFrame:
     """Per document: doc_id, size, source_size, target, taken and copies (0 to ``most``)."""
-    slim = docs.select(docs[id_col].alias("doc_id"), docs[source_col].alias("source"), size_of(docs[text_col]).alias("size"), hash_of(docs[id_col]).alias("hash"))
-    sized = materialise(slim, "mix-sizes")
+    sized = materialise(sizes(docs, id_col, source_col, text_col).select("doc_id", "source", "size", "hash"), "mix-sizes")
     plans = plan(sized, weights, share, most).withColumnRenamed("source", "p_source")
     out = sized.join(plans, _same(F.col("source"), F.col("p_source")))
     copies = _copies(most)
@@ -105,12 +122,27 @@ def counted(docs: DataFrame, id_col: str = "doc_id", source_col: str = "source",
 
 
 def mixed(docs: DataFrame, id_col: str = "doc_id", source_col: str = "source", text_col: str = "text", weights: tuple[int, ...] = WEIGHTS, share: float = SHARE, most: int = MOST) -> DataFrame:
-    """The rows of ``docs``, each as often as the mix takes it; columns are those of ``docs``."""
+    """The rows of ``docs``, each as often as the mix takes it; columns are those of ``docs``, none of them a map.
+
+    A row that is alone with its source, id and text needs no number to tell it apart; the others are counted as
+    whole rows first and numbered then.
+    """
+    sized = materialise(sizes(docs, id_col, source_col, text_col).select("source", "size", "hash", "key", "many", "nth"), "mix-sizes")
+    plans = plan(sized.select("source", "size", "hash"), weights, share, most).withColumnRenamed("source", "p_source")
+    again = materialise(sized.filter("many > 1 AND nth = 1").select(F.col("key").alias("again")), "mix-repeated")
+    discard(sized)
     row = F.struct(*[docs[c] for c in docs.columns]).alias("__row")
-    sized = materialise(docs.select(docs[source_col].alias("source"), size_of(docs[text_col]).alias("size"), hash_of(docs[id_col]).alias("hash")), "mix-sizes")
-    plans = plan(sized, weights, share, most).withColumnRenamed("source", "p_source")
-    keyed = docs.select(row, docs[source_col].alias("__source"), hash_of(docs[id_col]).alias("hash"))
-    out = keyed.join(plans, _same(F.col("__source"), F.col("p_source"))).select("__row", _copies(most).cast("int").alias("n")).filter("n > 0")
+    source, key = docs[source_col], key_of(docs[source_col], docs[id_col], docs[text_col])
+    keyed = docs.select(row, source.alias("__source"), key.alias("__key"))
+    numbered = keyed.withColumn("nth", F.lit(1).cast("bigint"))
+    if not again.isEmpty():
+        equal = keyed.join(again, F.col("__key") == F.col("again"), "left_semi").groupBy("__row", "__source", "__key").agg(F.count(F.lit(1)).alias("many"))
+        upto = F.sum("many").over(W.partitionBy("__key").orderBy("__row").rowsBetween(W.unboundedPreceding, 0))
+        equal = equal.withColumn("upto", upto).withColumn("nth", F.explode(F.sequence(F.col("upto") - F.col("many") + 1, "upto")))
+        alone = numbered.join(again, F.col("__key") == F.col("again"), "left_anti")
+        numbered = alone.unionByName(equal.select("__row", "__source", "__key", "nth"))
+    hashed = numbered.select("__row", "__source", hash_of(F.col("__key"), F.col("nth")).alias("hash"))
+    out = hashed.join(plans, _same(F.col("__source"), F.col("p_source"))).select("__row", _copies(most).cast("int").alias("n")).filter("n > 0")
     return out.select("__row", F.explode(F.sequence(F.lit(1), "n"))).select("__row.*")
 
 
@@ -121,8 +153,10 @@ def mix_sql(table: str) -> str:
     """A WITH list (without the word) that ends in ``mix``: the columns of counted()."""
     weights = ", ".join(map(str, WEIGHTS))
     return f"""
-sized AS (SELECT doc_id, source, {WORDS_SQL.format('text')} AS size,
-    ('0x' || substr(md5(coalesce(CAST(doc_id AS VARCHAR), 'null')), 1, 12))::BIGINT AS hash FROM {table}),
+keyed AS (SELECT doc_id, source, {WORDS_SQL.format('text')} AS size,
+    md5(coalesce('s:' || source, 's:-') || coalesce(chr(10) || 'i:' || CAST(doc_id AS VARCHAR), chr(10) || 'i:-') || coalesce(chr(10) || 't:' || text, chr(10) || 't:-')) AS key FROM {table}),
+numbered AS (SELECT *, row_number() OVER (PARTITION BY key) AS nth FROM keyed),
+sized AS (SELECT doc_id, source, size, ('0x' || substr(md5(key || ':' || nth), 1, 12))::BIGINT AS hash FROM numbered),
 totals AS (SELECT source, CAST(sum(size) AS BIGINT) AS source_size FROM sized GROUP BY source),
 ranked AS (SELECT *, row_number() OVER (ORDER BY source ASC NULLS LAST) - 1 AS rnk FROM totals),
 weighed AS (SELECT *, ([{weights}])[CAST(rnk % {len(WEIGHTS)} AS INTEGER) + 1] AS weight, source_size * {MOST} AS lim FROM ranked),

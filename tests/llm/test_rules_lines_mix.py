@@ -233,3 +233,38 @@ def test_line_dedup_unless_alike(spark):
 def test_mix_of_empty_texts(spark):
     docs = spark.createDataFrame([(1, None, None), (2, "", "a"), (None, " ", "a")], "doc_id long, text string, source string")
     assert [r.taken for r in source_mixing.counted(docs).collect()] == [0, 0, 0]
+
+
+def unlucky_rows():
+    """Sources of null ids, of one id with many texts, and of equal rows; others make the targets end inside them."""
+    rows = [(None, f"w{k} " * 10, "en", "null ids", 0) for k in range(300)]
+    rows += [(7, f"v{k} " * 10, "en", "one id", 0) for k in range(300)]
+    rows += [(8, "same words ten times over are what all hold here", "en", "equal", 0)] * 300
+    rows += [(None, "no id and the same words in all of these rows", "de", None, 0)] * 300
+    return rows + [(1000 + k, f"u{k} " * 10, "en", f"other{k % 3}", 0) for k in range(300)]
+
+
+@pytest.mark.parametrize("share", [1.5, 0.7, 0.31])
+def test_mix_tells_rows_of_one_id_apart(spark, share):
+    docs = spark.createDataFrame(unlucky_rows(), FIELDS)
+    got = source_mixing.counted(docs, share=share).toPandas()
+    for _, own in got.groupby("source", dropna=False):
+        assert abs(own["taken"].sum() - own["target"].iloc[0]) <= 10, own["source"].iloc[0]
+    again = source_mixing.counted(docs.repartition(7), share=share).toPandas()
+    by = ["source", "doc_id", "taken"]
+    assert got.sort_values(by)[by].values.tolist().__repr__() == again.sort_values(by)[by].values.tolist().__repr__()
+    mixed = source_mixing.mixed(docs, share=share)
+    counts = {(r.source, r.doc_id): r["count"] for r in mixed.groupBy("source", "doc_id").count().collect()}
+    want = {(r.source, r.doc_id): r.n for r in source_mixing.counted(docs, share=share).groupBy("source", "doc_id").agg(F.sum("copies").alias("n")).collect() if r.n}
+    assert counts == want
+
+
+def test_mix_of_rows_that_differ_in_other_columns_only(spark):
+    rows = [(1, "a b c", "en", "s", k % 3) for k in range(9)]
+    out = source_mixing.mixed(spark.createDataFrame(rows, FIELDS).withColumn("nth", F.lit("x")).withColumn("hash", F.lit(None).cast("int")))
+    assert out.columns == [*"doc_id text lang source n_chars nth hash".split()]
+    assert abs(out.count() - 13.5) <= 1 and out.groupBy("n_chars").count().count() == 3
+
+
+def test_mix_sql_on_rows_of_one_id(spark, tmp_path):
+    check_sql(spark, tmp_path, "op9_source_mixing", spark.createDataFrame(unlucky_rows(), FIELDS))
