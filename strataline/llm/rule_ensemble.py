@@ -132,11 +132,17 @@ def held_out(doc_id: Column) -> Column:
     return F.coalesce(F.crc32(doc_id.cast("string").cast("binary")) % 4 == 2, F.lit(False))
 
 
+def one_of_each(sample: DataFrame) -> DataFrame:
+    """One row of each doc_id of a sample: that of the least text hash, so that reruns agree and the bound on ids is one on rows."""
+    rest = [c for c in sample.columns if c != "doc_id"]
+    return sample.groupBy("doc_id").agg(F.min(F.struct(F.md5(F.coalesce("text", F.lit("")).cast("binary")), *rest)).alias("__row")).select("doc_id", *[F.col("__row")[c].alias(c) for c in rest])
+
+
 def train(docs: DataFrame, labels: DataFrame, label_col: str = "quality", most: int = MOST_LABELLED) -> Ensemble:
-    """An ensemble from the labelled rows that are not held out. ``most`` ids are broadcast at most."""
+    """An ensemble from the labelled ids that are not held out, ``most`` at most, a row for each."""
     usable = labels.filter(F.col(label_col).isNotNull() & F.col("doc_id").isNotNull() & ~held_out(F.col("doc_id")))
     chosen = usable.groupBy("doc_id").agg(F.min(label_col).alias("__label")).orderBy(F.md5(F.col("doc_id").cast("string").cast("binary")), "doc_id").limit(most)
-    sample = docs.select("doc_id", "text").join(F.broadcast(chosen), "doc_id")
+    sample = one_of_each(docs.select("doc_id", "text").join(F.broadcast(chosen), "doc_id"))
     rows = features(sample).select("doc_id", "__label", *FEATURES).orderBy("doc_id").toPandas()
     return fit(rows[list(FEATURES)].to_numpy(np.float64), (rows["__label"] == 1).to_numpy(np.float64))
 

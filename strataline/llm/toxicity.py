@@ -22,7 +22,9 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from strataline.llm.rule_ensemble import one_of_each
 from strataline.llm.shingles import _BLANK, _BYTE, _LOWER, blocks, mix, powers
+from strataline.session import discard, materialise
 
 #: (category, condition on the labels), in the order of the chain.
 CATEGORIES = (("low_quality", "quality = 0"), ("toxic", "toxic = 1"))
@@ -161,11 +163,11 @@ def fit(sets: list[np.ndarray], y: np.ndarray, names: tuple[str, ...], chosen: n
 
 
 def train(docs: DataFrame, labels: DataFrame, categories: tuple[tuple[str, str], ...] = CATEGORIES, most: int = MOST_LABELLED) -> Chain:
-    """A chain from at most ``most`` labelled documents, those of least MD5 of their id."""
+    """A chain from at most ``most`` labelled ids, those of least MD5, a row for each."""
     names = tuple(n for n, _ in categories)
     marked = labels.filter("doc_id IS NOT NULL").groupBy("doc_id").agg(*[F.max(F.coalesce(F.expr(c).cast("int"), F.lit(0))).alias(f"is_{n}") for n, c in categories])
     chosen = marked.orderBy(F.md5(F.col("doc_id").cast("string").cast("binary")), "doc_id").limit(most)
-    sample = docs.select("doc_id", "text").join(F.broadcast(chosen), "doc_id")
+    sample = materialise(one_of_each(docs.select("doc_id", "text").join(F.broadcast(chosen), "doc_id")), "labelled")
     wanted = [f"is_{n}" for n in names]
 
     def pairs(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -191,6 +193,7 @@ def train(docs: DataFrame, labels: DataFrame, categories: tuple[tuple[str, str],
 
     kind = docs.schema["doc_id"].dataType.simpleString()
     data = sample.mapInPandas(sparse, f"doc_id {kind}, found binary, " + ", ".join(f"{w} int" for w in wanted)).orderBy("doc_id").toPandas()
+    discard(sample)
     return fit([np.frombuffer(x, np.uint64) for x in data["found"]], data[wanted].to_numpy(np.float64), names, top)
 
 

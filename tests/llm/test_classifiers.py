@@ -115,3 +115,68 @@ def test_compiled_rules_equal_rules_by_hand(spark):
         words = texts[r.doc_id].split()
         assert r.n_words == len(words) and r.word_chars_per_n_words == pytest.approx(sum(map(len, words)) / len(words) if words else 0)
         assert r.n_symbols_per_n_words == pytest.approx(sum(c in "#*$%&|<>" for c in texts[r.doc_id]) / len(words) if words else 0)
+
+
+def test_fit_on_one_row_of_each_id(spark, monkeypatch):
+    """An id of many rows counts once: the bound on ids is a bound on rows, and reruns take the same one."""
+    docs, labels = corpus(spark, 60)
+    many = docs.unionByName(spark.createDataFrame([(2, f"row number {k} of one id") for k in range(300)] + [(3, None)] * 3, docs.schema))
+    sizes = []
+    monkeypatch.setattr(rule_ensemble, "fit", lambda x, y, f=rule_ensemble.fit: sizes.append(len(y)) or f(x, y))
+    monkeypatch.setattr(toxicity, "fit", lambda sets, y, *a, f=toxicity.fit: sizes.append(len(y)) or f(sets, y, *a))
+    for module in (rule_ensemble, toxicity):
+        module.train(many, labels, most=20)
+        assert sizes.pop() == 20
+    one, two = ({r.doc_id: r.text for r in rule_ensemble.one_of_each(d.withColumn("label", d.doc_id)).collect()} for d in (many, many.repartition(7)))
+    assert one == two and len(one) == docs.count()
+
+
+def test_chain_by_hand():
+    """Probabilities of a small chain, link by link: each sees its features and the links before it."""
+    import math
+
+    import numpy as np
+
+    texts = ["Zorgon! vekuta", "vekumi, plain", "", None, "plain zorgonal words"]
+    chosen = np.unique(np.concatenate(list(toxicity.feature_sets(["zorgon vekuta plain"]))))
+    draw = np.random.default_rng(3)
+    chain = toxicity.Chain(("a", "b", "c"), chosen, (0.25, -1.5, 0.5), tuple(draw.normal(size=len(chosen) + k) for k in range(3)))
+    got = chain.probabilities(toxicity.feature_sets(texts))
+    for text, row in zip(texts, got, strict=True):
+        # A word, and its beginnings of 4 to 7 bytes where it is longer.
+        pieces = set()
+        for w in "".join(c if c.isalnum() else " " for c in (text or "").lower()).split():
+            pieces |= {(0, w)} | {(n, w[:n]) for n in (4, 5, 6, 7) if len(w) > n}
+        hashes = {p: (set(next(toxicity.feature_sets([p[1]]))) if p[0] == 0 else set(next(toxicity.feature_sets([p[1] + "x"]))) - set(next(toxicity.feature_sets([p[1]])))) for p in pieces}
+        own = set()
+        for (n, w), found in hashes.items():
+            own |= found if n == 0 else {h for h in found if h in set(next(toxicity.feature_sets([w + "y"])))}
+        seen = []
+        for bias, w in zip(chain.biases, chain.weights, strict=True):
+            z = bias + sum(w[k] for k, f in enumerate(chosen) if f in own) + sum(v * p for v, p in zip(w[len(chosen) :], seen, strict=True))
+            seen.append(1 / (1 + math.exp(-z)))
+        assert row == pytest.approx(seen)
+    assert len({tuple(r) for r in got.round(9).tolist()}) >= 3
+
+
+def test_out_of_fold_probabilities_by_hand(monkeypatch):
+    """The second link is trained with what models that have not seen a row say of it, computed fold by fold."""
+    import numpy as np
+
+    calls = []
+    plain = toxicity._logistic
+    monkeypatch.setattr(toxicity, "_logistic", lambda x, y, *a: calls.append((x, y)) or plain(x, y, *a))
+    draw = np.random.default_rng(9)
+    chosen = np.arange(1, 9, dtype=np.uint64)
+    sets = [chosen[draw.random(8) < 0.5] for _ in range(40)]
+    y = np.column_stack([[float(3 in s) for s in sets], [float(5 in s) for s in sets]])
+    toxicity.fit(sets, y, ("a", "b"), chosen)
+    folds = np.arange(40) % toxicity.FOLDS
+    want = np.zeros(40)
+    for f in range(toxicity.FOLDS):
+        seen = [i for i in range(40) if folds[i] != f]
+        b, w = plain(toxicity.Rows([sets[i] for i in seen], chosen, np.zeros((len(seen), 0))), y[seen, 0])
+        for i in np.flatnonzero(folds == f):
+            want[i] = 1 / (1 + np.exp(-(b + sum(w[k] for k, c in enumerate(chosen) if c in sets[i]))))
+    second = calls[1 + toxicity.FOLDS][0]
+    assert np.allclose(second.dense[:, 0], want)
