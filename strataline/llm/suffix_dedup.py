@@ -16,7 +16,7 @@ Every byte covered by a WINDOW-byte string that also starts anywhere else, in th
    more, by 128 hash bits, each reduced to a count.
 
 Texts are read whole as UTF-8; a null text is empty. Rows of one id and one text count as two texts: each
-repeats the other. Null ids are allowed. An empty table gives an empty result.
+repeats the other, whole. Null ids are allowed. An empty table gives an empty result.
 """
 
 from __future__ import annotations
@@ -294,7 +294,7 @@ def _clashing(keyed: DataFrame, members: DataFrame) -> DataFrame:
     # The texts that follow one first text are dealt to as many copies of it as they need.
     dealt = by_first.join(firsts, ["r1", "r2"]).withColumn("copy", F.pmod(F.xxhash64("k1", "k2"), "copies").cast("int"))
     runs = keyed.select("k1", "k2", "text").join(dealt, ["k1", "k2"]).mapInPandas(cut, "r1 bigint, r2 bigint, copy int, runs array<struct<there:int,bytes:binary,anchors:array<bigint>>>")
-    texts = keyed.select(F.col("k1").alias("r1"), F.col("k2").alias("r2"), F.col("text").alias("first")).join(firsts, ["r1", "r2"]).dropDuplicates(["r1", "r2"])
+    texts = keyed.select(F.col("k1").alias("r1"), F.col("k2").alias("r2"), F.col("text").alias("first")).join(firsts, ["r1", "r2"])
     texts = texts.select("r1", "r2", "first", F.explode(F.expr("sequence(0, copies - 1)")).alias("copy"))
     bad = runs.join(texts, ["r1", "r2", "copy"]).select("first", "runs").mapInPandas(compare, "anchor bigint").distinct()
     bad = materialise(bad, "clashing")
@@ -308,6 +308,12 @@ def repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", con
     ``context_bits``: how many bits the hashes of contexts have; fewer cost time and change no result.
     """
     keyed = _keyed(docs, id_col, text_col)
+    # Equal rows repeat each other whole. They are counted before anything is gathered; one speaks for them all.
+    equal = keyed.groupBy("k1", "k2").agg(F.count("*").alias("n"), F.max(F.octet_length("text")).alias("end")).filter("n > 1")
+    equal = materialise(equal.select("k1", "k2", "end"), "equal-rows")
+    speakers = [] if equal.isEmpty() else [materialise(keyed.join(equal, ["k1", "k2"], "left_semi").groupBy("k1", "k2").agg(F.first("text").alias("text")), "of-equal-rows")]
+    for one in speakers:
+        keyed = keyed.join(equal, ["k1", "k2"], "left_anti").select("k1", "k2", "text").unionByName(one)
     found = _anchors(keyed, context_bits)
     counts = found.groupBy("anchor").agg(F.count("*").alias("n")).filter("n > 1").select("anchor")
     # Written, so that the join reads two shuffles and a frequent anchor's rows can be split among tasks.
@@ -339,7 +345,6 @@ def repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", con
             yield pd.DataFrame(rows, columns=["anchor", "part", "parts", "times", "k1", "k2", "low", "high", "spot", "bytes"])
 
     schema = "anchor bigint, part int, parts bigint, times bigint, k1 bigint, k2 bigint, low int, high int, spot int, bytes binary"
-    # A repeated row brings its contexts again; one of each is enough.
     one = keyed.select("k1", "k2", "text").join(by_text, ["k1", "k2"]).mapInPandas(cut, schema)
     solved = materialise(_sorted_parts(one), "windows")
     alone = solved.filter("weight = 0").select("k1", "k2", F.col("first").alias("begin"), (F.col("last") + WINDOW).alias("end"))
@@ -347,9 +352,10 @@ def repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", con
     again = meeting.groupBy("h1", "h2").agg(F.sum("weight").alias("w")).filter("w > 1").select("h1", "h2")
     across = meeting.join(again, ["h1", "h2"]).select("k1", "k2", F.col("first").alias("begin"), (F.col("last") + WINDOW).alias("end"))
     repeated = whole.select("k1", "k2", F.col("low").alias("begin"), (F.col("high") + WINDOW).alias("end"))
-    spans = repeated.union(alone).union(across)
+    copies = equal.filter(F.col("end") >= WINDOW).select("k1", "k2", F.lit(0).alias("begin"), "end")
+    spans = repeated.union(alone).union(across).union(copies)
     out = materialise(spans.groupBy("k1", "k2").agg(F.collect_list(F.struct("begin", "end")).alias("runs")), "runs")
-    discard(several, kinds, members, bad, parts, solved)
+    discard(equal, *speakers, several, kinds, members, bad, parts, solved)
     return out
 
 

@@ -81,6 +81,26 @@ def test_suffix_dedup_repeats_nulls_and_empty(spark):
     assert sorted(len(r.spans) for r in suffix_dedup.removed(docs).collect()) == [0, 0, 1, 1]
 
 
+def test_suffix_dedup_of_equal_rows(spark):
+    """Rows equal in id and text go whole, however many; passages that others share with them go from those."""
+    texts = texts_with_passages()[5:40]
+    rows = [(k, t) for k, t in enumerate(texts)] + [(None, texts[3] + texts[8])] * 40 + [(7, "z" * 150)] * 3 + [(8, texts[-1])] * 2 + [(9, None)] * 2
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(5)
+    got = sorted(((r.doc_id, r.n_bytes, r.n_removed, r.n_spans, r.kept_sha256) for r in suffix_dedup.removal_digests(docs).collect()), key=repr)
+    assert got == sorted(((d, *x) for (d, _), x in zip(rows, removal([t for _, t in rows]), strict=True)), key=repr)
+
+
+def test_many_equal_rows_take_linear_time(spark):
+    """A row's runs are told once for all its copies: no group of rows is gathered."""
+    page = " ".join(f"word{k * k % 977}" for k in range(400))
+    for many in (100, 10_000):
+        docs = spark.createDataFrame([(None, page)], "doc_id long, text string").join(spark.range(many).select(), how="cross")
+        found = suffix_dedup.repeats(docs).collect()
+        assert len(found) == 1 and len(found[0].runs) == 1
+        row = suffix_dedup.removal_digests(docs).groupBy("n_removed", "n_spans").count().collect()
+        assert [tuple(r) for r in row] == [(len(page), 1, many)]
+
+
 def test_suffix_order():
     draw = random.Random(1)
     data = np.frombuffer(bytes(draw.choice(b"ab") for _ in range(3000)), np.uint8)
