@@ -171,7 +171,8 @@ def pair_distances(found: DataFrame, sources: DataFrame) -> DataFrame:
     With z the share of a count of 0, the sum is V|z - z'|, for each source alone the sum over its own terms of
     |p - z'| - |z - z'|, and what terms in common add. The second comes from running sums over its shares.
     """
-    shares = found.groupBy("lang", "place", "zero", F.col("p").alias("at")).agg(F.count(F.lit(1)).alias("n"))
+    # Written, so that what tasks have of a share is added up before a source's shares meet.
+    shares = materialise(found.groupBy("lang", "place", "zero", F.col("p").alias("at")).agg(F.count(F.lit(1)).alias("n")), "divergence-histogram")
     other = sources.select("lang", F.col("place").alias("other"), F.col("zero").alias("at"))
     points = sources.join(other, "lang").filter(F.col("place") != F.col("other"))
     rows = shares.select("lang", "place", "zero", "at", "n", F.lit(None).cast("int").alias("other"), F.lit(None).cast("bigint").alias("terms"))
