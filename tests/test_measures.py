@@ -191,3 +191,36 @@ def test_closest_identities_in_small_blocks(spark, monkeypatch):
     monkeypatch.setattr(coherence, "BLOCK", 5)
     monkeypatch.setattr(coherence, "STRIP", 2)
     assert {tuple(r) for r in coherence.closest_identities(rows, 6).select("pid_a", "pid_b").collect()} == set(want)
+
+
+@pytest.mark.parametrize("seed, dims", [(1, 2), (2, 6), (3, 24)])
+def test_pruned_counts_are_full_counts(spark, monkeypatch, seed, dims):
+    """Parts that are counted whole or not at all give the ranks of a full sort, with ties and repeated crops."""
+    import numpy as np
+
+    draw = np.random.default_rng(seed)
+    centres = draw.normal(size=(9, dims))
+    v = centres[draw.integers(0, 9, 400)] + draw.normal(size=(400, dims)) * 0.05
+    v[200:260] = v[140:200]  # equal vectors of other identities
+    v = (v / np.linalg.norm(v, axis=1, keepdims=True)).round(6) * (1 + draw.random(400) / 50)[:, None]  # not quite of one length
+    rows = crops(spark, *[(int(draw.integers(-1, 12)), int(draw.integers(1, 4)), list(x)) for x in v])
+    q, g = rows.filter("vec_id % 6 = 0"), rows.filter("vec_id % 6 <> 0")
+    want = sorted(tuple(r) for r in retrieval.ranked_pairs(q, g).filter("matched").select("q_id", "g_id", "rank").collect())
+    reads = []
+    monkeypatch.setattr(retrieval, "decide", lambda d, vec, b, f=retrieval.decide: f(d, vec, b))
+    for part, ring in ((10, 1 / 512), (25, 1 / 4)):
+        monkeypatch.setattr(retrieval, "PART", part)
+        monkeypatch.setattr(retrieval, "RING", ring)
+        monkeypatch.setattr(retrieval, "BLOCK", 7)
+        assert sorted(tuple(r) for r in retrieval.match_ranks(q, g).collect()) == want
+        index, bounds = retrieval.indexed(g.select(C("vec_id").alias("g_id"), C("embedding").cast("array<double>").alias("g_vec")), retrieval.pivots_of(v))
+        held = {r.part: r.n for r in index.groupBy("part").agg(F.count("*").alias("n")).collect()}
+        assert held == dict(zip(bounds.parts.tolist(), bounds.rows.tolist(), strict=True)) and len(held) > 5
+        for row in index.limit(40).collect():
+            low, high = bounds.of(v[0])
+            at = bounds.parts.tolist().index(row.part)
+            assert low[at] <= -float(v[0] @ np.array(row.g_vec)) <= high[at]
+        counts, read = retrieval.decide(np.sort(-(v[:1] @ v.T)[0][:5]), v[0], bounds)
+        reads.append((len(read), len(held)))
+    if dims == 2:  # clusters in the plane: most parts are never read
+        assert reads[0][0] < reads[0][1] / 2
