@@ -62,7 +62,21 @@ def st3(s, d):
 
 @query("jn5_identity_pairs", _PAIRS + "SELECT pid_a, pid_b, round(sim, 5) AS sim FROM pairs")
 def jn5(s, d):
-    return coherence.identity_pairs(fx.crops(s, d)).select("pid_a", "pid_b", F.round("sim", 5).alias("sim"))
+    return coherence.identity_pairs(fx.crops(s, d), floor=None).select("pid_a", "pid_b", F.round("sim", 5).alias("sim"))
+
+
+# Users of the events, placed by their days: many identities, of which few are alike.
+_USERS = """WITH seen AS (SELECT user_id AS pid, CAST(extract('hour' FROM ts) AS BIGINT) % 8 AS slot, value FROM events), means AS (SELECT pid, slot, count(*) * (1 + pid % 5) AS m FROM seen GROUP BY pid, slot),
+    vecs AS (SELECT p.pid, list(coalesce(m, 0) ORDER BY s.slot) AS v FROM (SELECT DISTINCT pid FROM seen) p CROSS JOIN (SELECT unnest(range(8)) AS slot) s LEFT JOIN means ON means.pid = p.pid AND means.slot = s.slot GROUP BY p.pid),
+    cents AS (SELECT pid, list_transform(v, lambda x: x / (sqrt(list_sum(list_transform(v, lambda y: y * y))) + 1e-9)) AS c FROM vecs) """
+
+
+@query("jn5_pairs_above", _USERS + """SELECT pid_a, pid_b, round(sim, 5) AS sim FROM (SELECT a.pid AS pid_a, b.pid AS pid_b, list_sum(list_transform(range(1, 9), lambda k: a.c[k] * b.c[k])) AS sim FROM cents a JOIN cents b ON a.pid < b.pid) WHERE sim >= 0.93""")
+def jn5_above(s, d):
+    rows = fx.table(s, d, "events").select(C("user_id").alias("pid"), (F.hour("ts") % 8).alias("slot"))
+    grid = rows.groupBy("pid").pivot("slot", list(range(8))).count().fillna(0)
+    users = grid.select("pid", F.array(*[C(str(k)).cast("double") * (1 + C("pid") % 5) for k in range(8)]).alias("embedding"))
+    return coherence.identity_pairs(users).select("pid_a", "pid_b", F.round("sim", 5).alias("sim"))
 
 
 _RANKED = given("crops") + f""", pairs AS (SELECT q.vec_id AS q_id, g.vec_id AS g_id, q.pid = g.pid AS matched, row_number() OVER (PARTITION BY q.vec_id ORDER BY -{_dot('q.embedding', 'g.embedding')}, g.vec_id) AS rank

@@ -185,7 +185,7 @@ def test_match_ranks_in_small_blocks(spark, monkeypatch):
 def test_closest_identities_in_small_blocks(spark, monkeypatch):
     rows = crops(spark, *[(p, 1, unit(7 * p * p % 180)) for p in range(23)])
     want = [tuple(r) for r in coherence.closest_identities(rows, 6).select("pid_a", "pid_b").collect()]
-    plain = coherence.identity_pairs(rows).select("pid_a", "pid_b", F.round("sim", 9).alias("sim")).collect()
+    plain = coherence.identity_pairs(rows, floor=None).select("pid_a", "pid_b", F.round("sim", 9).alias("sim")).collect()
     least = sorted((r.sim for r in plain), reverse=True)[5]
     assert len(want) == 6 and set(want) <= {(r.pid_a, r.pid_b) for r in plain if r.sim >= least}
     monkeypatch.setattr(coherence, "BLOCK", 5)
@@ -224,3 +224,59 @@ def test_pruned_counts_are_full_counts(spark, monkeypatch, seed, dims):
         reads.append((len(read), len(held)))
     if dims == 2:  # clusters in the plane: most parts are never read
         assert reads[0][0] < reads[0][1] / 2
+
+
+def test_pairs_above_a_floor_in_pruned_blocks(spark, monkeypatch):
+    """Blocks of centroids that cannot hold a close pair never meet; pairs and their order are those of all pairs."""
+    import numpy as np
+
+    from strataline.operators import pivots
+
+    draw = np.random.default_rng(11)
+    v = np.repeat(draw.normal(size=(20, 3)), 12, axis=0) + draw.normal(size=(240, 3)) * 0.02
+    v[100:112] = v[100]
+    rows = crops(spark, *[(p, 1, list(x)) for p, x in enumerate((v / np.linalg.norm(v, axis=1, keepdims=True)).round(5))])
+    every = sorted(map(tuple, coherence.identity_pairs(rows, floor=None).collect()), key=lambda r: (-r[2], -r[0], -r[1]))
+    assert len(every) == 240 * 239 // 2
+    monkeypatch.setattr(coherence, "BLOCK", 9)
+    monkeypatch.setattr(coherence, "STRIP", 4)
+    assert sorted(map(tuple, coherence.identity_pairs(rows, floor=None).collect())) == sorted(every)
+    above = coherence.identity_pairs(rows, floor=0.9)
+    assert "Cartesian" not in above._jdf.queryExecution().executedPlan().toString()
+    assert sorted(map(tuple, above.collect())) == sorted(r for r in every if r[2] >= 0.9)
+    got = [tuple(r)[:3] for r in coherence.closest_identities(rows, 50).collect()]
+    assert got == every[:50]
+    blocks, bounds, _ = coherence._blocks(rows, "embedding")
+    met = sum(int((bounds.between(k) >= 0.9).sum()) for k in range(len(bounds.parts)))
+    assert len(bounds.parts) > 15 and met < len(bounds.parts) ** 2 / 2
+    assert pivots.PIVOTS >= 1
+
+
+def test_quantiles_by_refined_histograms(spark, monkeypatch):
+    import numpy as np
+
+    from strataline.operators import selection
+
+    draw = np.random.default_rng(4)
+    rows = [(k % 3, float(x)) for k, x in enumerate(draw.normal(size=900))] + [(3, 0.5)] * 50 + [(4, float(x)) for x in 1 / np.arange(1, 200) ** 9]
+    rows += [(5, None), (6, 1.0), (7, 1.0), (7, 3.0), (None, 2.0), (None, 4.0), (8, float("nan")), (8, 1.0), (8, None)] + [(9, float("nan"))] * 30 + [(9, 2.0)]
+    df = spark.createDataFrame(rows, "k bigint, x double")
+    want = {r.k: r.q for r in df.groupBy("k").agg(F.percentile("x", 0.05).alias("q")).collect() if r.q is not None}
+    for buckets, gathered in ((1024, 1024), (16, 5), (4, 1)):
+        monkeypatch.setattr(selection, "BUCKETS", buckets)
+        monkeypatch.setattr(selection, "GATHERED", gathered)
+        got = {r.k: r.q for r in selection.quantiles(df, "k", "x", 0.05).collect()}
+        assert got == pytest.approx(want, nan_ok=True) and len(got) == 10
+
+
+def test_coherence_of_large_identities(spark, monkeypatch):
+    from strataline.operators import selection
+
+    rows = crops(spark, *[(p % 4 if p % 9 else None, p % 3, unit(p * p % 97)) for p in range(300)])
+    few = sorted(map(tuple, coherence.report(rows).collect()), key=repr)
+    monkeypatch.setattr(selection, "GATHERED", 3)
+    monkeypatch.setattr(selection, "BUCKETS", 8)
+    many = sorted(map(tuple, coherence.report(rows).collect()), key=repr)
+    assert [r[:3] for r in many] == [r[:3] for r in few]
+    assert [r[3:] for r in many] == [pytest.approx(r[3:]) for r in few]
+    assert "percentile" not in coherence.report(rows)._jdf.queryExecution().optimizedPlan().toString()
