@@ -37,39 +37,91 @@ def overlaps(detections: DataFrame, truth: DataFrame, least: float = 0.5) -> Dat
 CELLS = tuple((a, t) for a in AREAS for t in THRESHOLDS)
 
 
-def _claims(dt: np.ndarray, gt: np.ndarray, crowd: np.ndarray) -> tuple[list[int], list[int], list[int]]:
-    """For one image and category, detections in order: objects that count for each area, and for each detection
-    the cells of CELLS in which it hits and those in which it is left out, as bits."""
-    wide = np.maximum(0, np.minimum((dt[:, 0] + dt[:, 2])[:, None], gt[:, 0] + gt[:, 2]) - np.maximum(dt[:, 0][:, None], gt[:, 0]))
-    high = np.maximum(0, np.minimum((dt[:, 1] + dt[:, 3])[:, None], gt[:, 1] + gt[:, 3]) - np.maximum(dt[:, 1][:, None], gt[:, 1]))
-    shared, own, other = wide * high, dt[:, 2] * dt[:, 3], gt[:, 2] * gt[:, 3]
-    over = np.where(crowd, own[:, None] + 0 * other, own[:, None] + other - shared)
-    iou = np.divide(shared, over, out=np.zeros_like(shared), where=over > 0)
-    near = {int(i): [(int(j), float(iou[i, j])) for j in np.flatnonzero(iou[i] >= THRESHOLDS[0])] for i in np.flatnonzero((iou >= THRESHOLDS[0]).any(axis=1))}
-    totals, hits, left_out = [], [0] * len(dt), [0] * len(dt)
+#: Cells that each overlap reaches, by how many thresholds are at most the overlap.
+_REACH = [sum(((1 << k) - 1) << (a * len(THRESHOLDS)) for a in range(len(AREAS))) for k in range(len(THRESHOLDS) + 1)]
+_LOW, _HIGH = (np.array(x) for x in zip(*AREAS.values(), strict=True))
+#: Pairs of a detection and an object whose overlaps are computed at once, more or less.
+PAIRS = 1 << 20
+
+
+def _inside(size: np.ndarray) -> np.ndarray:
+    """For each box whether its size lies in each of AREAS."""
+    return (size[:, None] >= _LOW) & (size[:, None] <= _HIGH)
+
+
+def _cells(inside: np.ndarray) -> list[int]:
+    """The cells of the areas that hold, as bits."""
     of_area = (1 << len(THRESHOLDS)) - 1
-    for a, (low, most) in enumerate(AREAS.values()):
-        skip = (crowd | (other < low) | (other > most)).tolist()
-        totals.append(skip.count(False))
-        first = a * len(THRESHOLDS)
-        for i in np.flatnonzero((own < low) | (own > most)).tolist():
-            left_out[i] |= of_area << first
-        for k, t in enumerate(THRESHOLDS):
-            taken: set[int] = set()
-            bit = 1 << (first + k)
-            for i, found in near.items():
-                best, at = t, -1
-                for ignored in (False, True):  # objects that count come first
-                    if at >= 0:
-                        break
-                    for j, value in found:
-                        if skip[j] == ignored and value >= best and (j not in taken or crowd[j]):
-                            best, at = value, j
-                if at >= 0:
-                    taken.add(at)
-                    hits[i] |= bit
-                    left_out[i] = left_out[i] | bit if skip[at] else left_out[i] & ~bit
-    return totals, hits, left_out
+    weights = np.array([of_area << (a * len(THRESHOLDS)) for a in range(len(AREAS))], np.int64)
+    return (inside @ weights).tolist()
+
+
+def _near(boxes: np.ndarray, crowd: np.ndarray, first: np.ndarray, middle: np.ndarray, end: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Detection, object and overlap of pairs that reach the least threshold: by detection, then falling by overlap,
+    then by object, later ones first. Rows of a group are its objects, from ``first``, and from ``middle`` on its
+    detections."""
+    found = []
+    upto = np.cumsum((middle - first) * (end - middle))
+    k = 0
+    while k < len(first):
+        stop = max(k + 1, int(np.searchsorted(upto, (upto[k - 1] if k else 0) + PAIRS, "right")))
+        each = np.repeat(np.arange(k, stop), end[k:stop] - middle[k:stop])  # a row for each detection of the groups
+        begin = np.cumsum(end[k:stop] - middle[k:stop]) - (end[k:stop] - middle[k:stop])
+        row = np.arange(len(each)) - begin[each - k] + middle[each]
+        many = middle[each] - first[each]
+        i = np.repeat(row, many)
+        j = np.arange(len(i)) - np.repeat(np.cumsum(many) - many, many) + np.repeat(first[each], many)
+        (x, y, w, h), (u, v, p, q) = boxes[i].T, boxes[j].T
+        wide, high = np.maximum(0, np.minimum(x + w, u + p) - np.maximum(x, u)), np.maximum(0, np.minimum(y + h, v + q) - np.maximum(y, v))
+        shared = wide * high
+        over = np.where(crowd[j], w * h, w * h + p * q - shared)
+        iou = np.divide(shared, over, out=np.zeros_like(shared), where=over > 0)
+        near = iou >= THRESHOLDS[0]
+        found.append((i[near], j[near], iou[near]))
+        k = stop
+    if not found:
+        return np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(0)
+    i, j, iou = (np.concatenate(x) for x in zip(*found, strict=True))
+    order = np.lexsort([-j, -iou, i])
+    return i[order], j[order], iou[order]
+
+
+def _claimed(boxes: np.ndarray, crowd: np.ndarray, first: np.ndarray, middle: np.ndarray, end: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """For groups of rows (see _near), detections in order: for each row the areas in which it counts as an object, and
+    the cells of CELLS in which it hits as a detection and those in which it is left out, as bits.
+
+    An object holds in which cells it is taken; a detection claims it in all cells at once that are left to both.
+    """
+    inside = _inside(boxes[:, 2] * boxes[:, 3])
+    counts = inside & ~crowd[:, None]
+    hits, left_out = [0] * len(boxes), [0] * len(boxes)
+    every = (1 << len(CELLS)) - 1
+    outside = [every & ~c for c in _cells(inside)]
+    i, j, iou = _near(boxes, crowd, first, middle, end)
+    reach = [_REACH[k] for k in np.searchsorted(THRESHOLDS, iou, "right").tolist()]
+    countable = _cells(counts)
+    free = [every] * len(boxes)
+    crowds = crowd.tolist()
+    rows, at = i.tolist(), j.tolist()
+    edge = [*np.flatnonzero(i[1:] != i[:-1]) + 1]
+    for a, b in zip([0, *edge], [*edge, len(rows)], strict=True) if rows else ():
+        d, open_, ignored = rows[a], every, 0
+        for k in range(a, b):  # objects that count come first
+            o = at[k]
+            cells = open_ & reach[k] & free[o] & countable[o]
+            if cells:
+                open_ ^= cells
+                free[o] ^= cells
+        for k in range(a, b):
+            o = at[k]
+            cells = open_ & reach[k] & (every if crowds[o] else free[o]) & ~countable[o]
+            if cells:
+                open_ ^= cells
+                ignored |= cells
+                free[o] &= ~cells
+        hits[d], left_out[d] = every ^ open_, ignored
+    hits = np.array(hits, np.int64)
+    return counts, hits, np.array(left_out, np.int64) | (np.array(outside, np.int64) & ~hits)
 
 
 def claims(detections: DataFrame, truth: DataFrame) -> DataFrame:
@@ -99,21 +151,20 @@ def claims(detections: DataFrame, truth: DataFrame) -> DataFrame:
     def solve(table: pa.Table) -> pa.RecordBatch:
         kind, crowds = numbers(table, "kind"), numbers(table, "crowd") == 1
         boxes = np.column_stack([numbers(table, c) for c in "xywh"])
-        rows, hits, ignored, n = [], [], [], []
         edge = edges(table)
-        for a, b in zip(edge[:-1].tolist(), edge[1:].tolist(), strict=True):
-            m = a + int((kind[a:b] == 0).sum())
-            totals, hit, skip = _claims(boxes[m:b], boxes[a:m], crowds[a:m])
-            rows += [a, *range(m, b)]
-            n += [totals] + [None] * (b - m)
-            hits += [None, *hit]
-            ignored += [None, *skip]
-        taken = table.take(pa.array(rows, pa.int64()))
-        # the row of an image's objects takes the category alone from its first row
-        image = pa.array([x is not None for x in n])
+        first, end = edge[:-1], edge[1:]
+        middle = first + np.add.reduceat((kind == 0).astype(np.int64), first)
+        counts, hit, skip = _claimed(boxes, crowds, first, middle, end)
+        totals = np.add.reduceat((counts & (kind == 0)[:, None]).astype(np.int64), first, axis=0)
+        # a row for each group, which takes the category alone from its first row, and one for each detection
+        rows = np.concatenate([first, np.flatnonzero(kind == 1)])
+        image = pa.array(np.arange(len(rows)) < len(first))
+        taken = table.take(pa.array(rows))
         ids, score, place = (pc.if_else(image, None, taken.column(c).combine_chunks()) for c in ("id", "score", "place"))
-        columns = [taken.column("category_id").combine_chunks(), ids, score, place, hits, ignored, n]
-        return pa.RecordBatch.from_arrays([c if isinstance(c, pa.Array) else pa.array(c, t) for c, (_, t) in zip(columns, fields, strict=True)], schema=pa.schema(fields))
+        offsets = np.minimum(np.arange(len(rows) + 1), len(first)) * len(AREAS)
+        n = pa.ListArray.from_arrays(pa.array(offsets, pa.int32()), pa.array(totals.reshape(-1)), mask=pc.invert(image))
+        columns = [taken.column("category_id").combine_chunks(), ids, score, place, pc.if_else(image, None, pa.array(hit[rows])), pc.if_else(image, None, pa.array(skip[rows])), n]
+        return pa.RecordBatch.from_arrays(columns, schema=pa.schema(fields))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: list[pa.RecordBatch] = []
@@ -212,6 +263,78 @@ def curves(rows: DataFrame) -> DataFrame:
     return out.drop("__fall", "__range")
 
 
+def _steps(rows: DataFrame) -> DataFrame:
+    """For rows of claims(): category_id, area, threshold, last (the last of 101 recall points that is reached), best
+    precision there and tp<m> of detections among the first m of their image.
+
+    The best precision at or beyond a recall point is the best of the detections from there on, and each of them
+    lies at the last point that its recall reaches. Detections stream by in order, range by range, with one row before
+    each range that has the counts of all cells so far; what comes back is 101 rows a curve and range at most.
+    """
+    n_gt = rows.filter("n IS NOT NULL").groupBy("category_id").agg(F.array(*[F.sum(F.element_at("n", k + 1)) for k in range(len(AREAS))]).alias("n_gt"))
+    placed, several = _placed(rows.filter("n IS NULL AND category_id IS NOT NULL"))
+    here = W.partitionBy("category_id").orderBy("__range").rowsBetween(W.unboundedPreceding, -1)
+    hits, misses = F.col("hits").bitwiseAND(F.bitwise_not("ignored")), F.bitwise_not(F.col("hits").bitwiseOR(F.col("ignored")))
+    sums = [F.sum(F.shiftright(m, k).bitwiseAND(F.lit(1))).alias(f"{n}{k}") for n, m in (("tp", hits), ("fp", misses)) for k in range(len(CELLS))]
+    if several:
+        of_range = placed.groupBy("category_id", "__range").agg(*sums)
+        before = [F.array(*[F.coalesce(F.sum(f"{n}{k}").over(here), F.lit(0)) for k in range(len(CELLS))]).alias(n) for n in ("tp", "fp")]
+        heads = of_range.select("category_id", "__range", *before)
+    else:
+        none = F.array_repeat(F.lit(0).cast("bigint"), len(CELLS))
+        heads = placed.select("category_id", "__range").distinct().withColumns({"tp": none, "fp": none})
+    heads = heads.join(n_gt, "category_id")
+    null = F.lit(None)
+    head = heads.select("category_id", "__range", F.lit(0).alias("kind"), null.cast("double").alias("__fall"), null.cast("bigint").alias("dt_id"), null.cast("int").alias("place"), null.cast("bigint").alias("hits"), null.cast("bigint").alias("ignored"), "tp", "fp", "n_gt")
+    body = placed.select("category_id", "__range", F.lit(1).alias("kind"), "__fall", "dt_id", "place", "hits", "ignored", *[null.cast("array<bigint>").alias(c) for c in ("tp", "fp", "n_gt")])
+    names = ["category_id", "cell", "last", "best", *[f"tp{m}" for m in MOST]]
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        now, best = None, None
+        bits = np.arange(len(CELLS))
+        area = bits // len(THRESHOLDS)
+
+        def told() -> pa.RecordBatch:
+            cell, last = np.nonzero(best >= 0)
+            columns = [np.full(len(cell), now), cell, last, best[cell, last], *found[:, cell, last]]
+            return pa.RecordBatch.from_arrays([pa.array(c, pa.float64() if n == "best" else pa.int64()) for c, n in zip(columns, names, strict=True)], names)
+
+        for batch in batches:
+            kind = batch.column("kind").to_numpy()
+            edge = np.unique(np.concatenate([[0], np.flatnonzero(kind == 0), np.flatnonzero(kind == 0) + 1, [len(kind)]]))
+            for a, b in zip(edge[:-1].tolist(), edge[1:].tolist(), strict=True):
+                some = batch.slice(a, b - a)
+                if kind[a] == 0:
+                    if best is not None:
+                        yield told()
+                    now = some.column("category_id")[0].as_py()
+                    tp, fp, objects = (np.array(some.column(c)[0].as_py(), np.int64) for c in ("tp", "fp", "n_gt"))
+                    best, found = np.full((len(CELLS), 102), -1.0), np.zeros((len(MOST), len(CELLS), 102), np.int64)
+                    continue
+                if now != some.column("category_id")[0].as_py():
+                    continue  # a category without objects
+                hit, out = ((some.column(c).to_numpy()[:, None] >> bits) & 1 == 1 for c in ("hits", "ignored"))
+                hit &= ~out
+                run_tp, run_fp = tp + np.cumsum(hit, axis=0), fp + np.cumsum(~hit & ~out, axis=0)
+                tp, fp = run_tp[-1], run_fp[-1]
+                row, cell = np.nonzero(~out & (objects[area] > 0))
+                recall = run_tp[row, cell] / objects[area[cell]]
+                near = np.floor(recall * 100).astype(np.int64)
+                last = near + ((near + 1) / 100 <= recall) - (near / 100 > recall)
+                np.maximum.at(best, (cell, last), run_tp[row, cell] / (run_tp[row, cell] + run_fp[row, cell]))
+                place = some.column("place").to_numpy()[row]
+                for k, m in enumerate(MOST):
+                    np.add.at(found[k], (cell, last), hit[row, cell] & (place < m))
+        if best is not None:
+            yield told()
+
+    both = head.unionByName(body).repartition("category_id", "__range").sortWithinPartitions("category_id", "__range", "kind", "__fall", "dt_id")
+    found = both.mapInArrow(run, "category_id bigint, cell bigint, last bigint, best double, " + ", ".join(f"tp{m} bigint" for m in MOST))
+    found = found.groupBy("category_id", "cell", "last").agg(F.max("best").alias("best"), *[F.sum(f"tp{m}").alias(f"tp{m}") for m in MOST])
+    cell = F.element_at(F.array(*[F.struct(F.lit(a).alias("area"), F.lit(t).alias("threshold")) for a, t in CELLS]), (F.col("cell") + 1).cast("int"))
+    return found.withColumn("c", cell).select("category_id", "c.area", "c.threshold", "last", "best", *[f"tp{m}" for m in MOST])
+
+
 def summary(detections: DataFrame, truth: DataFrame) -> DataFrame:
     """One row of the twelve numbers NAMES, computed at once. Without detections all are 0; a range without objects is -1."""
     spark = detections.sparkSession
@@ -219,16 +342,8 @@ def summary(detections: DataFrame, truth: DataFrame) -> DataFrame:
         return spark.createDataFrame([(0.0,) * len(NAMES)], ", ".join(f"{n} double" for n in NAMES))
     rows = materialise(claims(detections, truth), "detection-claims")
     objects = _objects(rows).filter("n_gt > 0")
-    # Four rows for each category of the label set, however many images there are.
-    placed, several = _placed(rows.filter("n IS NULL"))
-    counted = _by_cell(placed).filter("NOT ignored").join(F.broadcast(objects), ["category_id", "area"])
     cells = objects.withColumn("threshold", F.explode(F.array(*[F.lit(t) for t in THRESHOLDS])))
-    # The best precision at or beyond a recall point is the best of the detections from there on, and each of them
-    # lies at the last point that its recall reaches: 101 rows a curve at most.
-    near = F.floor(F.col("recall") * 100)
-    last = near + ((near + 1) / 100 <= F.col("recall")).cast("bigint") - (near / 100 > F.col("recall")).cast("bigint")
-    found = [F.sum((F.col("hit") & (F.col("place") < m)).cast("bigint")).alias(f"tp{m}") for m in MOST]
-    steps = _running(counted, several).groupBy(*_CELL, last.alias("last")).agg(F.max("precision").alias("best"), *found)
+    steps = _steps(rows)
     rising, falling = (W.partitionBy(*_CELL).orderBy(o) for o in ("last", F.desc("last")))
     best = F.max("best").over(falling.rowsBetween(W.unboundedPreceding, 0))
     points = F.col("last") - F.coalesce(F.lag("last").over(rising), F.lit(-1))

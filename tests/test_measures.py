@@ -280,3 +280,87 @@ def test_coherence_of_large_identities(spark, monkeypatch):
     assert [r[:3] for r in many] == [r[:3] for r in few]
     assert [r[3:] for r in many] == [pytest.approx(r[3:]) for r in few]
     assert "percentile" not in coherence.report(rows)._jdf.queryExecution().optimizedPlan().toString()
+
+
+def walked(boxes, scores_first, crowd, detections):
+    """Claims cell by cell, for one image: what bit-parallel claims have to give."""
+    def iou(d, g, c):
+        w = max(0, min(d[0] + d[2], g[0] + g[2]) - max(d[0], g[0]))
+        h = max(0, min(d[1] + d[3], g[1] + g[3]) - max(d[1], g[1]))
+        over = d[2] * d[3] if c else d[2] * d[3] + g[2] * g[3] - w * h
+        return w * h / over if over > 0 else 0
+
+    hits, out = [0] * len(detections), [0] * len(detections)
+    for bit, (area, t) in enumerate(detection.CELLS):
+        low, high = detection.AREAS[area]
+        skip = [c or not low <= g[2] * g[3] <= high for g, c in zip(boxes, crowd, strict=True)]
+        taken = set()
+        for i, d in enumerate(detections):
+            best, at = t, None
+            for ignored in (False, True):
+                if at is not None:
+                    break
+                for j, g in enumerate(boxes):
+                    v = iou(d, g, crowd[j])
+                    if skip[j] == ignored and v >= best and (j not in taken or crowd[j]):
+                        best, at = v, j
+            if at is not None:
+                taken.add(at)
+                hits[i] |= 1 << bit
+            if skip[at] if at is not None else not low <= d[2] * d[3] <= high:
+                out[i] |= 1 << bit
+    return hits, out
+
+
+@pytest.mark.parametrize("pairs", [1, 40, 1 << 20])
+def test_bit_parallel_claims_are_those_of_each_cell(monkeypatch, pairs):
+    import numpy as np
+
+    monkeypatch.setattr(detection, "PAIRS", pairs)
+    draw = np.random.default_rng(7)
+    groups, rows, crowds, edge = [], [], [], [0]
+    for _ in range(25):
+        g = [tuple(draw.integers(0, 12, 2)) + tuple(draw.choice([10, 30, 31, 32, 33, 95, 96, 97], 2)) for _ in range(draw.integers(0, 7))]
+        d = [tuple(np.array(g[draw.integers(len(g))]) + [*draw.integers(-2, 3, 2), 0, 0]) if g and draw.random() < 0.8 else (0, 0, *draw.integers(0, 40, 2)) for _ in range(draw.integers(0, 9))]
+        c = [bool(x) for x in draw.random(len(g)) < 0.2]
+        groups.append((g, c, d))
+        if g or d:
+            rows += [*g, *d]
+            crowds += [*c, *[False] * len(d)]
+            edge.append(len(rows))
+    kept = [x for x in groups if x[0] or x[2]]
+    first, end = np.array(edge[:-1]), np.array(edge[1:])
+    middle = first + np.array([len(g) for g, _, _ in kept])
+    _, hits, out = detection._claimed(np.array(rows, float), np.array(crowds), first, middle, end)
+    for (g, c, d), m, b in zip(kept, middle, end, strict=True):
+        want = walked([tuple(map(float, x)) for x in g], None, c, [tuple(map(float, x)) for x in d])
+        assert (hits[m:b].tolist(), out[m:b].tolist()) == want
+
+
+def test_summary_by_ranges_and_categories(spark, monkeypatch):
+    """Steps of several ranges and categories are those of curves computed row by row."""
+    from strataline.functions import ranges
+
+    rows = spark.range(1200).select((C("id") % 40).alias("image_id"), F.when(C("id") % 11 == 0, None).otherwise(C("id") % 3).alias("category_id"), C("id").alias("gt_id"), (C("id") * 37 % 500).cast("double").alias("x"), (C("id") * 53 % 500).cast("double").alias("y"), (10 + C("id") * 7 % 120).cast("double").alias("w"), (10 + C("id") * 5 % 110).cast("double").alias("h"))
+    truth = rows.filter("category_id < 2")
+    dt = rows.filter("gt_id % 4 <> 0").withColumnRenamed("gt_id", "dt_id").withColumns({"x": C("x") + C("dt_id") % 9, "score": F.when(C("dt_id") % 50 == 0, None).otherwise(C("dt_id") * 31 % 97 / 97)})
+    one = detection.summary(dt, truth).first()
+    monkeypatch.setattr(ranges, "SMALL", 60)
+    spark.conf.set("spark.sql.shuffle.partitions", "7")
+    try:
+        assert detection.summary(dt, truth).first() == one
+        claims = detection.claims(dt, truth).cache()
+        objects = detection._objects(claims).filter("n_gt > 0")
+        run = detection.curves(detection._by_cell(claims).filter("NOT ignored").join(objects, ["category_id", "area"]))
+        ap = {}
+        for r in run.collect():
+            at = int(r.recall * 100 + 1e-9)
+            points = ap.setdefault((r.category_id, r.area, r.threshold), [0] * 101)
+            for k in range(at + 1):
+                points[k] = max(points[k], r.precision)
+        cells = {(r.category_id, r.area, t) for r in objects.filter("category_id IS NOT NULL").collect() for t in detection.THRESHOLDS}
+        mean = lambda keep: sum(sum(ap.get(c, [0])) / 101 for c in cells if keep(c)) / sum(1 for c in cells if keep(c))
+        assert one.AP == pytest.approx(mean(lambda c: c[1] == "all")) and one.AP_medium == pytest.approx(mean(lambda c: c[1] == "medium"))
+        assert one.AP75 == pytest.approx(mean(lambda c: c[1] == "all" and c[2] == 0.75))
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", "2")
