@@ -21,6 +21,11 @@ MOST = (1, 10, 100)
 NAMES = ("AP", "AP50", "AP75", "AP_small", "AP_medium", "AP_large", "AR1", "AR10", "AR100", "AR_small", "AR_medium", "AR_large")
 
 
+def dealt(rows: DataFrame, *keys: str) -> DataFrame:
+    """Rows by key in as many partitions as a shuffle has: few bytes may be much work, so they are not put together."""
+    return rows.repartition(int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions")), *keys)
+
+
 def confident(detections: DataFrame, floor: float = 0.05) -> DataFrame:
     return detections.filter(F.col("score") >= floor)
 
@@ -183,7 +188,7 @@ def claims(detections: DataFrame, truth: DataFrame) -> DataFrame:
         if held:
             yield solve(pa.Table.from_batches(held))
 
-    ordered = both.repartition("image_id", "category_id").sortWithinPartitions("image_id", "category_id", "kind", "place", "id")
+    ordered = dealt(both, "image_id", "category_id").sortWithinPartitions("image_id", "category_id", "kind", "place", "id")
     return ordered.mapInArrow(run, schema)
 
 
@@ -263,6 +268,28 @@ def curves(rows: DataFrame) -> DataFrame:
     return out.drop("__fall", "__range")
 
 
+def _range_counts(placed: DataFrame) -> DataFrame:
+    """category_id, __range, cell, tp, fp: sums over a batch of rows at a time, a row for each cell."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        bits = np.arange(len(CELLS))
+        for batch in batches:
+            if not batch.num_rows:
+                continue
+            keys = np.column_stack([batch.column(c).to_numpy() for c in ("category_id", "__range")])
+            order = np.lexsort(keys.T[::-1])
+            keys = keys[order]
+            first = np.flatnonzero(np.append(True, (keys[1:] != keys[:-1]).any(axis=1)))
+            hit, out = ((batch.column(c).to_numpy()[order][:, None] >> bits) & 1 for c in ("hits", "ignored"))
+            sums = [np.add.reduceat(x, first, axis=0).reshape(-1) for x in (hit & ~out, ~(hit | out) & 1)]
+            category, where = np.repeat(keys[first], len(CELLS), axis=0).T
+            columns = [category, where, np.tile(bits, len(first)), *sums]
+            yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(columns, (pa.int64(), pa.int32(), pa.int32(), pa.int64(), pa.int64()), strict=True)], ["category_id", "__range", "cell", "tp", "fp"])
+
+    slim = placed.select("category_id", F.col("__range").cast("int").alias("__range"), "hits", "ignored")
+    return slim.mapInArrow(run, "category_id bigint, __range int, cell int, tp bigint, fp bigint")
+
+
 def _steps(rows: DataFrame) -> DataFrame:
     """For rows of claims(): category_id, area, threshold, last (the last of 101 recall points that is reached), best
     precision there and tp<m> of detections among the first m of their image.
@@ -273,13 +300,12 @@ def _steps(rows: DataFrame) -> DataFrame:
     """
     n_gt = rows.filter("n IS NOT NULL").groupBy("category_id").agg(F.array(*[F.sum(F.element_at("n", k + 1)) for k in range(len(AREAS))]).alias("n_gt"))
     placed, several = _placed(rows.filter("n IS NULL AND category_id IS NOT NULL"))
-    here = W.partitionBy("category_id").orderBy("__range").rowsBetween(W.unboundedPreceding, -1)
-    hits, misses = F.col("hits").bitwiseAND(F.bitwise_not("ignored")), F.bitwise_not(F.col("hits").bitwiseOR(F.col("ignored")))
-    sums = [F.sum(F.shiftright(m, k).bitwiseAND(F.lit(1))).alias(f"{n}{k}") for n, m in (("tp", hits), ("fp", misses)) for k in range(len(CELLS))]
     if several:
-        of_range = placed.groupBy("category_id", "__range").agg(*sums)
-        before = [F.array(*[F.coalesce(F.sum(f"{n}{k}").over(here), F.lit(0)) for k in range(len(CELLS))]).alias(n) for n in ("tp", "fp")]
-        heads = of_range.select("category_id", "__range", *before)
+        here = W.partitionBy("category_id", "cell").orderBy("__range").rowsBetween(W.unboundedPreceding, -1)
+        of_range = _range_counts(placed).groupBy("category_id", "__range", "cell").agg(F.sum("tp").alias("tp"), F.sum("fp").alias("fp"))
+        before = of_range.select("category_id", "__range", "cell", *[F.coalesce(F.sum(n).over(here), F.lit(0)).alias(n) for n in ("tp", "fp")])
+        ordered = before.groupBy("category_id", "__range").agg(F.array_sort(F.collect_list(F.struct("cell", "tp", "fp"))).alias("c"))
+        heads = ordered.select("category_id", "__range", F.col("c.tp").alias("tp"), F.col("c.fp").alias("fp"))
     else:
         none = F.array_repeat(F.lit(0).cast("bigint"), len(CELLS))
         heads = placed.select("category_id", "__range").distinct().withColumns({"tp": none, "fp": none})
@@ -317,18 +343,20 @@ def _steps(rows: DataFrame) -> DataFrame:
                 hit &= ~out
                 run_tp, run_fp = tp + np.cumsum(hit, axis=0), fp + np.cumsum(~hit & ~out, axis=0)
                 tp, fp = run_tp[-1], run_fp[-1]
-                row, cell = np.nonzero(~out & (objects[area] > 0))
+                # Between two hits precision only falls, at the same recall: hits alone are told.
+                row, cell = np.nonzero(hit & (objects[area] > 0))
                 recall = run_tp[row, cell] / objects[area[cell]]
                 near = np.floor(recall * 100).astype(np.int64)
                 last = near + ((near + 1) / 100 <= recall) - (near / 100 > recall)
-                np.maximum.at(best, (cell, last), run_tp[row, cell] / (run_tp[row, cell] + run_fp[row, cell]))
+                at = cell * best.shape[1] + last
+                np.maximum.at(best.reshape(-1), at, run_tp[row, cell] / (run_tp[row, cell] + run_fp[row, cell]))
                 place = some.column("place").to_numpy()[row]
                 for k, m in enumerate(MOST):
-                    np.add.at(found[k], (cell, last), hit[row, cell] & (place < m))
+                    found[k] += np.bincount(at[place < m], minlength=best.size).reshape(best.shape)
         if best is not None:
             yield told()
 
-    both = head.unionByName(body).repartition("category_id", "__range").sortWithinPartitions("category_id", "__range", "kind", "__fall", "dt_id")
+    both = dealt(head.unionByName(body), "category_id", "__range").sortWithinPartitions("category_id", "__range", "kind", "__fall", "dt_id")
     found = both.mapInArrow(run, "category_id bigint, cell bigint, last bigint, best double, " + ", ".join(f"tp{m} bigint" for m in MOST))
     found = found.groupBy("category_id", "cell", "last").agg(F.max("best").alias("best"), *[F.sum(f"tp{m}").alias(f"tp{m}") for m in MOST])
     cell = F.element_at(F.array(*[F.struct(F.lit(a).alias("area"), F.lit(t).alias("threshold")) for a, t in CELLS]), (F.col("cell") + 1).cast("int"))
