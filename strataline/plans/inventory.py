@@ -82,9 +82,14 @@ def sc8(s, d):
     return tables.last_wins(rows, "file", "self_sim", "position")
 
 
-@query("sc9_recipe", "SELECT * FROM (VALUES ('customer', 'cu', CAST(0 AS BIGINT), CAST(0 AS BIGINT), true), ('supplier', 'su', 1000000, 100, false)) t(name, tag, pid_offset, cam_offset, use_eval)")
+# A recipe for each nation, as in a file for each build: its customers are the sources, some without a word on evaluation.
+@query("sc9_recipe", """SELECT 'nation ' || c_nationkey AS recipe, c_name AS name, 'c' || c_custkey AS tag, 1000 * c_custkey AS pid_offset, 10 * c_custkey AS cam_offset, c_custkey % 3 = 0 OR c_custkey % 2 = 0 AS use_eval FROM customer""")
 def sc9(s, d):
-    return tables.recipe(s, fx.RECIPE)[1]
+    k = C("c_custkey")
+    source = F.struct(C("c_name").alias("name"), F.concat(F.lit("c"), k.cast("string")).alias("tag"), (1000 * k).alias("pid_offset"), (10 * k).alias("cam_offset"), F.when(k % 3 != 0, k % 2 == 0).alias("use_eval"))
+    docs = fx.table(s, d, "customer").groupBy("c_nationkey").agg(F.collect_list(source).alias("sources"))
+    text = docs.select(F.to_json(F.struct(F.concat(F.lit("nation "), C("c_nationkey").cast("string")).alias("name"), "sources")).alias("value"))
+    return tables.recipe_sources(text)
 
 
 @query("sc10_coco_annotations", given("truth") + "SELECT gt_id, image_id, category_id, x, y, w, h, CAST(0 AS INTEGER) AS iscrowd FROM truth")
@@ -233,15 +238,15 @@ def fn14(s, d):
     return fx.boxes(s, d).select("position", vectors.is_pruned(score, 0.1).alias("pruned"), vectors.is_pruned(score, 0).alias("off"))
 
 
-@query("fn15_cosine_rate", """SELECT e AS epoch, round(CASE WHEN e < 20 THEN 4e-6 + e * (4e-4 - 4e-6) / 20 WHEN e >= 120 THEN 8e-7 ELSE 8e-7 + 0.5 * (4e-4 - 8e-7) * (1 + cos(pi() * e / 120)) END, 12) AS rate FROM range(131) t(e)""")
+@query("fn15_cosine_rate", """SELECT event_id, round(CASE WHEN e < 20 THEN 4e-6 + e * (4e-4 - 4e-6) / 20 WHEN e >= 120 THEN 8e-7 ELSE 8e-7 + 0.5 * (4e-4 - 8e-7) * (1 + cos(pi() * e / 120)) END, 12) AS rate FROM (SELECT event_id, event_id % 131 AS e FROM events)""")
 def fn15(s, d):
-    return s.range(131).select(C("id").alias("epoch"), F.round(schedules.cosine_rate(C("id"), 4e-4, 120, 20), 12).alias("rate"))
+    return fx.table(s, d, "events").select("event_id", F.round(schedules.cosine_rate(C("event_id") % 131, 4e-4, 120, 20), 12).alias("rate"))
 
 
-@query("fn16_step_rate", "SELECT i AS iteration, round(CASE WHEN i < 50 THEN 0.05 * (i + 1) / 50 ELSE 0.05 * pow(0.1, ((1 + i // 10) - 1) // 40) END, 12) AS rate FROM range(1000) t(i)")
+@query("fn16_step_rate", "SELECT event_id, round(CASE WHEN i < 50 THEN 0.05 * (i + 1) / 50 ELSE 0.05 * pow(0.1, ((1 + i // 10) - 1) // 40) END, 12) AS rate FROM (SELECT event_id, event_id % 1000 AS i FROM events)")
 def fn16(s, d):
-    i = C("id")
-    return s.range(1000).select(i.alias("iteration"), F.round(schedules.step_rate(1 + F.floor(i / 10), i, 0.05, 10, 5, 40, 0.1), 12).alias("rate"))
+    i = C("event_id") % 1000
+    return fx.table(s, d, "events").select("event_id", F.round(schedules.step_rate(1 + F.floor(i / 10), i, 0.05, 10, 5, 40, 0.1), 12).alias("rate"))
 
 
 @query("fn17_shares", "SELECT s_suppkey, round(100.0 * s_nationkey / greatest(s_suppkey, 1), 4) AS percent, greatest(CAST(round_even(s_suppkey / greatest(s_nationkey, 1), 0) AS BIGINT), 1) AS one_in, s_suppkey // 64 AS steps FROM supplier")
@@ -649,9 +654,11 @@ def ic5(s, d):
     return constraints.unknown_splits(fx.leaky(s, d).withColumn("split", F.when(C("vec_id") % 5 == 0, "val").otherwise(C("split"))))
 
 
-@query("ic6_clashing_sources", "SELECT * FROM (VALUES ('cam_offset', '0', CAST(2 AS BIGINT)), ('tag', 'a', 2)) t(field, value, n)")
+@query("ic6_clashing_sources", """WITH f AS (SELECT unnest([{'field': 'tag', 'value': s_name[-3:]}, {'field': 'pid_offset', 'value': CAST(1000 * s_nationkey AS VARCHAR)}, {'field': 'cam_offset', 'value': CAST(10 * s_suppkey AS VARCHAR)}]) AS x FROM supplier)
+    SELECT x.field AS field, x.value AS value, count(*) AS n FROM f GROUP BY ALL HAVING count(*) > 1""")
 def ic6(s, d):
-    return constraints.clashing_sources(s.createDataFrame([("x", "a", 0, 0, True), ("y", "a", 10, 0, True)], tables.RECIPE_FIELDS))
+    sources = fx.table(s, d, "supplier").select(C("s_name").alias("name"), F.substring("s_name", -3, 3).alias("tag"), (1000 * C("s_nationkey")).cast("bigint").alias("pid_offset"), (10 * C("s_suppkey")).alias("cam_offset"), F.lit(True).alias("use_eval"))
+    return constraints.clashing_sources(sources)
 
 
 @query("ic8_repeated_names", given("listing") + ", n AS (SELECT 'query' AS split, regexp_replace(name, '_f.*$', '') || '.jpg' AS name FROM listing) SELECT split, name, count(*) AS n FROM n GROUP BY split, name HAVING count(*) > 1")

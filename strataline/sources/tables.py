@@ -55,6 +55,14 @@ def recipe(spark: SparkSession, spec: dict) -> tuple[str, DataFrame]:
     return spec["name"], spark.createDataFrame(rows, RECIPE_FIELDS)
 
 
+def recipe_sources(text: DataFrame, col: str = "value") -> DataFrame:
+    """Sources of many recipes held as JSON, a row for each: recipe, name, tag, pid_offset, cam_offset, use_eval (true
+    where nothing is said). A text that is no recipe gives no row; constraints.clashing_sources() tells clashes."""
+    kind = f"name string, sources array<struct<{', '.join(f.replace(' ', ':') for f in RECIPE_FIELDS.split(', '))}>>"
+    rows = text.select(F.from_json(col, kind).alias("r")).select(F.col("r.name").alias("recipe"), F.explode("r.sources").alias("s"))
+    return rows.select("recipe", "s.name", "s.tag", "s.pid_offset", "s.cam_offset", F.coalesce("s.use_eval", F.lit(True)).alias("use_eval"))
+
+
 def read_recipe(spark: SparkSession, path: str) -> tuple[str, DataFrame]:
     import yaml
 
