@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -12,7 +13,8 @@ from strataline.operators import constraints, curate, profile, sampling
 from strataline.plans import fixtures as fx
 from strataline.plans.fixtures import given
 from strataline.schema import GALLERY, JUNK, QUERY, TRAIN
-from strataline.sources import listings, sinks, tables, tracks
+from strataline.session import shared_dir
+from strataline.sources import files, listings, sinks, tables, tracks
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE_SQL: dict[str, str] = {}
@@ -120,6 +122,15 @@ def sk1(s, d):
     return sinks.split_counts(fx.crops(s, d))
 
 
+# Written as files and read back: what each crop holds is its identity and camera.
+@query("sk1_written_layout", given("crops") + "SELECT split AS folder, count(*) AS files, CAST(sum(length(pid || ',' || camid)) AS BIGINT) AS bytes FROM crops GROUP BY split")
+def sk1_written(s, d):
+    path = f"{shared_dir(s)}/layout-{uuid.uuid4().hex}"
+    crops = fx.crops(s, d).select("split", "pid", "camid", C("path").alias("name"), F.concat_ws(",", C("pid").cast("string"), C("camid").cast("string")).cast("binary").alias("content"))
+    sinks.write_layout_files(crops, path, strict=False)
+    return files.read_files(s, path).groupBy("folder").agg(F.count("*").alias("files"), F.sum(F.octet_length("content")).alias("bytes"))
+
+
 _MANIFEST_COLUMNS = "file, split, source, pid, camid, orig_pid, orig_camid, orig_file"
 
 

@@ -2,12 +2,15 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import functions as F
 
 from strataline.operators import coherence, detection, mining, retrieval
 from strataline.plans import fixtures as fx
 from strataline.plans.fixtures import given
 from strataline.plans.inventory import ORACLE_SQL, QUERIES, C, query  # noqa: F401  one registry
+from strataline.session import shared_dir
 
 
 def _dot(a: str, b: str) -> str:
@@ -231,25 +234,46 @@ _CUT = given("boxes") + """, c AS (SELECT position, frame, greatest(0, trunc(x /
     SELECT position, CAST(r - l AS BIGINT) AS width, CAST(b - t AS BIGINT) AS height, CAST((l + 2 * t + frame) % 256 AS BIGINT) AS first, CAST((r - 1 + 2 * (b - 1) + frame) % 256 AS BIGINT) AS last FROM c WHERE l < r AND t < b"""
 
 
-@query("sc13_video_crops", _CUT)
-def sc13(s, d):
-    from strataline.sources import images
+def _opener():
+    import numpy as np
 
-    def opener():
-        import numpy as np
+    base = (np.arange(192)[None, :] + 2 * np.arange(108)[:, None])[:, :, None].repeat(3, axis=2)
+
+    def frames(video, start=1):
+        frame = start - 1
+        while True:
+            frame += 1
+            yield lambda frame=frame: ((base + frame) % 256).astype(np.uint8)
 
-        base = (np.arange(192)[None, :] + 2 * np.arange(108)[:, None])[:, :, None].repeat(3, axis=2)
+    return frames, lambda crop: f"{crop.shape[1]},{crop.shape[0]},{crop[0, 0, 0]},{crop[-1, -1, 0]}".encode()
 
-        def frames(video):
-            frame = 0
-            while True:
-                frame += 1
-                yield lambda frame=frame: ((base + frame) % 256).astype(np.uint8)
 
-        return frames, lambda crop: f"{crop.shape[1]},{crop.shape[0]},{crop[0, 0, 0]},{crop[-1, -1, 0]}".encode()
+def _crops_of_videos(s, d):
+    """The toy videos can be opened at every 10,000th frame."""
+    from strataline.sources import images
 
     specs = fx.boxes(s, d).select("position", C("camera").cast("string").alias("video"), "frame", *[(C(c) / 10).alias(c) for c in "xywh"])
-    return images.cut_from_videos(specs, opener).select("position", *[F.get(F.split(C("content").cast("string"), ","), k).cast("bigint").alias(n) for k, n in enumerate(("width", "height", "first", "last"))])
+    starts = specs.select("video", (F.floor((C("frame") - 1) / 10_000) * 10_000 + 1).alias("start")).distinct()
+    return images.cut_from_videos(specs, _opener, starts=starts)
+
+
+def _told(content):
+    return [F.get(F.split(content.cast("string"), ","), k).cast("bigint").alias(n) for k, n in enumerate(("width", "height", "first", "last"))]
+
+
+@query("sc13_video_crops", _CUT)
+def sc13(s, d):
+    return _crops_of_videos(s, d).select("position", *_told(C("content")))
+
+
+# The same crops as files, written and read back.
+@query("sk6_written_crops", _CUT.replace("SELECT position, CAST(r - l", "SELECT position || '.txt' AS name, CAST(r - l"))
+def sk6(s, d):
+    from strataline.sources import files, images
+
+    path = f"{shared_dir(s)}/crops-{uuid.uuid4().hex}"
+    images.write(_crops_of_videos(s, d).select(F.concat(F.lit("all/"), C("position").cast("string"), F.lit(".txt")).alias("name"), "content"), path)
+    return files.read_files(s, path).select("name", *_told(C("content")))
 
 
 # Each image is one pixel of three channels; a resize of it is flat.

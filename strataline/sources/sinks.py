@@ -6,24 +6,38 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from strataline.operators import constraints
-from strataline.schema import MANIFEST
+from strataline.schema import MANIFEST, SPLITS
+from strataline.sources import files
 
 
 def split_counts(crops: DataFrame) -> DataFrame:
     return crops.groupBy("split").agg(F.count("*").alias("crops"))
 
 
-def write_layout(crops: DataFrame, path: str, strict: bool = True) -> dict[str, int]:
-    """Crops (split, pid, camid, name, ...) by split; running it again replaces what is there."""
+def checked_layout(crops: DataFrame, strict: bool = True) -> DataFrame:
+    """The crops (split, pid, camid, name, ...), if they may be written as a layout; raises otherwise."""
     constraints.enforce(constraints.unknown_splits(crops), "split not known")
     if strict:
         constraints.enforce(constraints.leaking(crops, exclude_junk=False), "identities in train and evaluation")
         constraints.enforce(constraints.unanswerable_identities(crops), "identities without a second camera")
     constraints.enforce(constraints.repeated_names(crops), "names are not unique in a split")
+    return crops
+
+
+def write_layout(crops: DataFrame, path: str, strict: bool = True) -> dict[str, int]:
+    """Crops (split, pid, camid, name, ...) by split; running it again replaces what is there."""
+    checked_layout(crops, strict)
     crops.write.mode("overwrite").partitionBy("split").parquet(path)
     return {r.split: r.crops for r in split_counts(crops).collect()}
 
 
+def write_layout_files(crops: DataFrame, path: str, strict: bool = True) -> dict[str, int]:
+    """Crops (split, pid, camid, name, content) as image files in a folder for each split; all splits' folders are
+    emptied first. Returns the files of each split, as the commit counted them."""
+    rows = checked_layout(crops, strict).select(F.col("split").alias("folder"), "name", "content")
+    return files.write_files(rows, path, SPLITS)
+
+
 def write_manifest(rows: DataFrame, path: str) -> None:
     if rows.isEmpty():
         raise ValueError("nothing to write")
