@@ -9,7 +9,7 @@ from collections.abc import Callable, Iterator
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 BATCH = 64
@@ -49,6 +49,24 @@ def detections(images: DataFrame, factory: Callable[[], Detector], categories: l
     return images.select("image_id", "path").mapInPandas(run, "image_id bigint, category_id bigint, x double, y double, w double, h double, score double")
 
 
+def register_detector(spark: SparkSession, name: str, factory: Callable[[], Detector], categories: list[int]) -> None:
+    """A table function for SQL: ``SELECT ... FROM images, LATERAL name(path)`` gives category_id, x, y, w, h and score
+    of each detection, as detections() does. The detector is made once in each task."""
+    lone = categories[0] if len(categories) == 1 and categories[0] else None
+
+    class Detected:
+        def __init__(self) -> None:
+            self.detect = factory()
+
+        def eval(self, path: str) -> Iterator[tuple]:
+            boxes, scores, classes = self.detect(path)
+            for (x1, y1, x2, y2), score, c in zip(boxes, scores, classes, strict=True):
+                yield lone or int(c) + 1, float(x1), float(y1), float(x2 - x1), float(y2 - y1), float(score)
+
+    kind = "category_id bigint, x double, y double, w double, h double, score double"
+    spark.udtf.register(name, F.udtf(Detected, returnType=kind, useArrow=True))
+
+
 def embedded(crops: DataFrame, factory: Callable[[], Encoder], source: str = "content", to: str = "embedding", mirror: bool = False, size: int = BATCH) -> DataFrame:
     """``crops`` with unit vectors. With ``mirror`` the encoder is asked for (items, mirrored) too and both are added."""
 

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-import random
+import math
 from collections.abc import Iterator
 
 import numpy as np
@@ -12,6 +12,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
+from strataline.functions import ranges
 
 def keep_stride(boxes: DataFrame, stride: int, keys: tuple[str, ...] = ("sequence", "camera", "tid"), frame: str = "frame", position: str = "position") -> DataFrame:
     """Of each track, by (frame, position), the boxes at least ``stride`` frames after the last one kept.
@@ -90,31 +91,54 @@ def epoch_length(crops: DataFrame, k: int) -> DataFrame:
     return crops.groupBy("pid").agg(F.count("*").alias("n")).agg(F.coalesce(F.sum(n - n % k), F.lit(0)).cast("bigint").alias("length"))
 
 
+def batch_count(sizes: dict[int, int], per_batch: int) -> int:
+    """How many batches of ``per_batch`` identities can be drawn, each identity at most once in a batch.
+
+    ``sizes``: identities by their number of chunks. It is the most B for which the identities have B batches' worth
+    of chunks, with no more than B of each; beyond it fewer identities are left than a batch needs.
+    """
+    low, high = 0, sum(n * c for c, n in sizes.items()) // per_batch
+    while low < high:
+        mid = (low + high + 1) // 2
+        low, high = (mid, high) if sum(n * min(c, mid) for c, n in sizes.items()) >= per_batch * mid else (low, mid - 1)
+    return low
+
+
+def stride_of(batches: int) -> int:
+    """A step through all batches, about 0.618 of their number and without a common divisor with it."""
+    return next(a for a in range(max(1, batches * 618 // 1000), 0, -1) if math.gcd(a, batches) == 1)
+
+
 def batches(crops: DataFrame, batch_size: int, k: int, key: str = "vec_id", seed: int = 42) -> DataFrame:
     """Batches of batch_size / k identities with one chunk each: batch, place, pid, chunk, slot and the crop.
 
-    The draw is sequential. It runs on the driver over (identity, number of chunks), a row for each
-    identity; crops never leave the executors.
+    Identities stand in the seed's order, each with its chunks, and chunk after chunk is dealt to batch after batch, so
+    that no batch gets an identity twice; batches are numbered anew in strides, and an identity's chunks come in turn.
+    Everything is computed where the rows are: the driver sees how many identities have how many chunks.
     """
     if batch_size % k:
         raise ValueError("the batch size is not a multiple of k")
     per_batch = batch_size // k
     cut = chunks(crops, k, key, seed)
-    left = {r.pid: r.n for r in cut.groupBy("pid").agg(F.countDistinct("chunk").alias("n")).orderBy("pid").collect()}
-    if len(left) < per_batch:
+    n = F.greatest(F.floor(F.count("*") / k), F.lit(1))
+    identities = crops.filter("pid IS NOT NULL").groupBy("pid").agg(n.alias("__chunks"))
+    sizes = {r["__chunks"]: r["count"] for r in identities.groupBy("__chunks").count().collect()}
+    if sum(sizes.values()) < per_batch:
         raise ValueError("there are fewer identities than a batch needs")
-    alive, used, draw, rows, batch = list(left), dict.fromkeys(left, 0), random.Random(seed), [], 0
-    while len(alive) >= per_batch:
-        drawn = draw.sample(range(len(alive)), per_batch)
-        for place, at in enumerate(drawn):
-            pid = alive[at]
-            rows.append((batch, place, pid, used[pid]))
-            used[pid] += 1
-        # The last identity takes the place of one that has no chunk left.
-        for at in sorted(drawn, reverse=True):
-            if used[alive[at]] == left[alive[at]]:
-                alive[at] = alive[-1]
-                alive.pop()
-        batch += 1
-    plan = crops.sparkSession.createDataFrame(rows, "batch bigint, place bigint, pid bigint, chunk bigint")
+    count = batch_count(sizes, per_batch)
+    order = ["__order", "pid"]
+    placed = identities.select("pid", F.least("__chunks", F.lit(count)).alias("__chunks"), seeded_order(seed, F.col("pid")).alias("__order"))
+    cuts = ranges.bounds(placed, order)
+    placed = placed.withColumn("__range", ranges.number(placed, order, cuts))
+    before = W.partitionBy("__range").orderBy(*order).rowsBetween(W.unboundedPreceding, -1)
+    first = F.coalesce(F.sum("__chunks").over(before), F.lit(0))
+    # A row for each range of identities, of which there are as many as a shuffle has partitions.
+    sums = placed.groupBy("__range").agg(F.sum("__chunks").alias("__sum"))
+    offsets = sums.select("__range", F.coalesce(F.sum("__sum").over(W.orderBy("__range").rowsBetween(W.unboundedPreceding, -1)), F.lit(0)).alias("__offset"))
+    dealt = placed.withColumn("__first", first).join(offsets, "__range")
+    turn = F.explode(F.sequence(F.col("__offset") + F.col("__first"), F.col("__offset") + F.col("__first") + F.col("__chunks") - 1))
+    dealt = dealt.select("pid", turn.alias("__turn")).filter(F.col("__turn") < count * per_batch)
+    batch = (F.col("__turn") * stride_of(count) + seed) % count
+    plan = dealt.select("pid", batch.alias("batch"), F.floor(F.col("__turn") / count).alias("place"))
+    plan = plan.withColumn("chunk", (F.row_number().over(W.partitionBy("pid").orderBy("batch")) - 1).cast("bigint"))
     return cut.join(plan, ["pid", "chunk"])

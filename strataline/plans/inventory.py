@@ -554,7 +554,14 @@ def st8(s, d):
     return sampling.fraction(fx.crops(s, d).filter(C("split") == TRAIN), "vec_id", 0.25).select("vec_id")
 
 
-@query("st7_identity_batches")
+# The most batches that there can be, chunks dealt to them one after the other in the seed's order of identities.
+@query("st7_identity_batches", given("crops") + _CHUNKS + """, i AS (SELECT pid, count(DISTINCT chunk) AS n, md5('42:' || pid) AS o FROM c GROUP BY pid),
+    b AS (SELECT max(x.b) AS b FROM (SELECT unnest(range(1, (SELECT CAST(sum(n) // 4 AS BIGINT) + 1 FROM i))) AS b) x WHERE (SELECT sum(least(n, x.b)) FROM i) >= 4 * x.b),
+    a AS (SELECT b, max(x.a) AS a FROM b, (SELECT unnest(range(1, (SELECT greatest(1, b * 618 // 1000) + 1 FROM b))) AS a) x WHERE gcd(x.a, b) = 1 GROUP BY b),
+    p AS (SELECT pid, least(n, b) AS n, coalesce(sum(least(n, b)) OVER (ORDER BY o, pid ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS f FROM i, b),
+    t AS (SELECT pid, CAST(f AS BIGINT) + unnest(range(n)) AS t FROM p), d AS (SELECT pid, (t * a + 42) % b AS batch, t // b AS place FROM t, a WHERE t < 4 * b),
+    r AS (SELECT *, row_number() OVER (PARTITION BY pid ORDER BY batch) - 1 AS chunk FROM d)
+    SELECT batch, place, pid, chunk, slot, vec_id FROM r JOIN c USING (pid, chunk)""")
 def st7(s, d):
     return sampling.batches(fx.crops(s, d).filter(C("split") == TRAIN), 16, 4).select("batch", "place", "pid", "chunk", "slot", "vec_id")
 

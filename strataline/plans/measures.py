@@ -228,6 +228,25 @@ def ud1(s, d):
     return encoders.detections(images, factory, [1, 2, 3])
 
 
+@query("ud1_detector_in_sql", "SELECT event_id AS image_id, CAST(2 + event_id % 3 AS BIGINT) AS category_id, CAST(k * (event_id % 100) AS DOUBLE) AS x, CAST(10 + k AS DOUBLE) AS w, CAST(0.5 / k AS DOUBLE) AS score FROM events, range(1, 3) r(k) WHERE k <= event_id % 3")
+def ud1_sql(s, d):
+    from strataline.operators import encoders
+
+    def factory():
+        import numpy as np
+
+        def detect(path):
+            n = int(path)
+            boxes = [(k * (n % 100), 5, k * (n % 100) + 10 + k, 25) for k in range(1, n % 3 + 1)]
+            return np.array(boxes).reshape(-1, 4), np.array([0.5 / k for k in range(1, n % 3 + 1)]), np.full(len(boxes), 1 + n % 3)
+
+        return detect
+
+    encoders.register_detector(s, "toy_detections", factory, [1, 2, 3])
+    images = fx.table(s, d, "events").select(C("event_id").alias("image_id"), C("event_id").cast("string").alias("path"))
+    return s.sql("SELECT image_id, f.category_id, f.x, f.w, f.score FROM {images}, LATERAL toy_detections(path) AS f", images=images)
+
+
 # Pixels of the toy video are made of their place and the frame, so that SQL knows them too.
 _CUT = given("boxes") + """, c AS (SELECT position, frame, greatest(0, trunc(x / 10 - w / 10 * 0.08)) AS l, greatest(0, trunc(y / 10 - h / 10 * 0.08)) AS t,
     least(192, trunc(x / 10 + w / 10 + w / 10 * 0.08)) AS r, least(108, trunc(y / 10 + h / 10 + h / 10 * 0.08)) AS b FROM boxes)

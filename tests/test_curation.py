@@ -246,3 +246,35 @@ def test_stride_across_batches_and_nulls(spark):
         assert sorted(r.frame for r in sampling.keep_stride(many, 30).collect()) == list(range(0, 3000, 30))
     finally:
         spark.conf.unset("spark.sql.execution.arrow.maxRecordsPerBatch")
+
+
+def test_batches_are_as_many_as_can_be(spark):
+    """Against the definition, for many distributions: no batch has an identity twice, none more could be drawn."""
+    import random
+
+    draw = random.Random(12)
+    for case in range(6):
+        sizes = [draw.choice([1, 2, 3, 4, 9, 40, 130]) for _ in range(draw.randint(3, 30))]
+        rows = [(1000 * p + j, p) for p, n in enumerate(sizes) for j in range(n)] + [(-1, None)]
+        df = spark.createDataFrame(rows, "vec_id bigint, pid bigint")
+        got = sampling.batches(df, 6, 2, seed=case).select("batch", "place", "pid", "chunk").distinct().collect()
+        chunks = {p: max(1, n // 2) for p, n in enumerate(sizes)}
+        by_batch, by_pid = {}, {}
+        for r in got:
+            by_batch.setdefault(r.batch, []).append((r.place, r.pid))
+            by_pid.setdefault(r.pid, []).append((r.batch, r.chunk))
+        assert sorted(by_batch) == list(range(len(by_batch)))
+        assert all(sorted(x for x, _ in v) == [0, 1, 2] and len({p for _, p in v}) == 3 for v in by_batch.values())
+        assert all([c for _, c in sorted(v)] == list(range(len(v))) for v in by_pid.values())
+        assert sum(chunks[p] > len(by_pid.get(p, [])) for p in chunks) < 3
+    assert sampling.batch_count({5: 1, 2: 1}, 2) == 2 and sampling.batch_count({}, 3) == 0
+    assert [sampling.stride_of(n) for n in (1, 2, 10, 12)] == [1, 1, 3, 7]
+
+
+def test_batches_by_ranges(spark, monkeypatch):
+    from strataline.functions import ranges
+
+    df = spark.createDataFrame([(100 * p + j, p) for p in range(80) for j in range(p % 11 + 1)], "vec_id bigint, pid bigint")
+    one = sorted(map(tuple, sampling.batches(df, 12, 3).select("batch", "place", "pid", "chunk", "slot", "vec_id").collect()))
+    monkeypatch.setattr(ranges, "SMALL", 10)
+    assert sorted(map(tuple, sampling.batches(df.repartition(5), 12, 3).select("batch", "place", "pid", "chunk", "slot", "vec_id").collect())) == one
