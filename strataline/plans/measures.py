@@ -309,3 +309,37 @@ def sc12(s, d):
     rows = fx.table(s, d, "events").select("event_id", C("event_id").cast("string").cast("binary").alias("content"))
     out = images.tensors(rows, decoder, lambda: pixels.evaluation(4, 2, "bilinear", pixels.EVEN), key="event_id")
     return out.select("event_id", F.round(F.element_at("tensor", 24).cast("double"), 5).alias("v"), F.size("tensor").alias("n"))
+
+
+# Images of three rows and four columns, made larger by one kernel and smaller by the other. What a kernel gives each
+# old place in a new one is a small relation, joined for columns and then for rows; pixels have 251 phases.
+_RESIZED = """WITH axes(kernel, axis, size, n) AS (VALUES ('bilinear', 'x', 4, 7), ('bilinear', 'y', 3, 5), ('bicubic', 'x', 4, 3), ('bicubic', 'y', 3, 2)),
+    away AS (SELECT kernel, axis, o, i, abs((i + 0.5::DOUBLE - (o + 0.5::DOUBLE) * size / n) / greatest(size / n, 1)) AS d FROM (SELECT *, unnest(range(size)) AS i FROM (SELECT *, unnest(range(n)) AS o FROM axes))),
+    shape AS (SELECT kernel, axis, o, i, CASE WHEN kernel = 'bilinear' THEN greatest(1 - d, 0) WHEN d < 1 THEN (1.5 * d - 2.5) * d * d + 1 WHEN d < 2 THEN ((-0.5 * d + 2.5) * d - 4) * d + 2 ELSE 0 END AS w FROM away),
+    weights AS (SELECT kernel, axis, o, i, w / sum(w) OVER (PARTITION BY kernel, axis, o) AS w FROM shape),
+    pixels AS (SELECT p, y, x, c, (7 * p + 31 * y + 17 * x + 53 * c) % 251 AS v FROM range(251) a(p), range(3) b(y), range(4) e(x), range(3) f(c)),
+    across AS (SELECT kernel, p, y, c, o AS x, least(greatest(floor(sum(w * v) + 0.500000001), 0), 255) AS v FROM pixels JOIN weights ON axis = 'x' AND i = x GROUP BY ALL),
+    down AS (SELECT a.kernel, p, c, x, o AS y, least(greatest(floor(sum(w * v) + 0.500000001), 0), 255) AS v FROM across a JOIN weights k ON k.kernel = a.kernel AND k.axis = 'y' AND k.i = a.y GROUP BY ALL),
+    sums AS (SELECT d.kernel, p, CAST(sum(v * (1 + (c * h.n + y) * w.n + x)) AS BIGINT) AS digest FROM down d JOIN axes h ON h.kernel = d.kernel AND h.axis = 'y' JOIN axes w ON w.kernel = d.kernel AND w.axis = 'x' GROUP BY d.kernel, p)
+    SELECT event_id, kernel, digest FROM events JOIN sums ON p = event_id % 251"""
+
+
+@query("fn23_resized", _RESIZED)
+def fn23(s, d):
+    from strataline.functions import pixels
+    from strataline.sources import images
+
+    def decoder():
+        import numpy as np
+
+        y, x, c = np.ogrid[:3, :4, :3]
+        return lambda data: ((7 * int(data) + 31 * y + 17 * x + 53 * c) % 251).astype(np.uint8)
+
+    rows = fx.table(s, d, "events").select("event_id", C("event_id").cast("string").cast("binary").alias("content"))
+
+    def of(kernel, height, width):
+        out = images.tensors(rows, decoder, lambda: pixels.evaluation(height, width, kernel, pixels.EVEN), key="event_id")
+        whole = F.transform("tensor", lambda t, k: F.round((t.cast("double") * 0.5 + 0.5) * 255) * (k + 1))
+        return out.select("event_id", F.lit(kernel).alias("kernel"), F.aggregate(whole, F.lit(0.0), lambda a, v: a + v).cast("bigint").alias("digest"))
+
+    return of("bilinear", 5, 7).unionByName(of("bicubic", 2, 3))
