@@ -126,7 +126,7 @@ def filtered(df: DataFrame, text_col: str = "text", rules: tuple[Rule, ...] = RU
 
 
 def report(df: DataFrame, rules: tuple[Rule, ...] = RULES) -> DataFrame:
-    """One row per document: id, statistics, base_failed, kept and the names of the rules it breaks."""
+    """One row per document: id, statistics, base_failed and kept; judged() also names the rules that are broken."""
     slim = df.select("doc_id", "text")
     out = judged(statistics(slim), rules)
     return out.select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept", "n_lines", "n_stop_words", "n_shouted")
