@@ -87,6 +87,31 @@ def embedded(crops: DataFrame, factory: Callable[[], Encoder], source: str = "co
     return crops.mapInPandas(run, f"{fields}, `{to}` array<float>")
 
 
+def extracted(images: DataFrame, decoder: Callable, transform: Callable, module: Callable[[], Encoder], path: str, key: str = "path", parts: int = 16) -> DataFrame:
+    """``images`` (key, content, ...) with the unit vectors that a module gives of their transformed pixels, written to
+    ``path`` in as many parts by hash of the key; a part that an earlier run has finished is kept as it is.
+
+    ``decoder`` and ``transform`` are those of images.tensors(), and ``module`` makes a function of batches of arrays
+    (channel, height, width). An image that cannot be decoded has no vector.
+    """
+    from strataline.sources import images as files
+    from strataline.sources.tables import exists
+
+    def factory() -> Encoder:
+        run = module()
+        return lambda items: run(np.stack([np.asarray(x["tensor"], np.float32).reshape(x["shape"]) for x in items]))
+
+    dealt = images.withColumn("__part", F.pmod(F.xxhash64(key), F.lit(parts)))
+    for part in range(parts):
+        to = f"{path.rstrip('/')}/part={part}"
+        if exists(images.sparkSession, f"{to}/_SUCCESS"):  # left when all of a part is written
+            continue
+        rows = files.tensors(dealt.filter(F.col("__part") == part).drop("__part"), decoder, transform, key).filter("tensor IS NOT NULL")
+        crops = rows.select(*[c for c in rows.columns if c not in ("tensor", "shape")], F.struct("tensor", "shape").alias("__crop"))
+        embedded(crops, factory, "__crop").drop("__crop").write.mode("overwrite").parquet(to)
+    return images.sparkSession.read.option("basePath", path).parquet(path).drop("part")
+
+
 def mirrored(item):
     """An item turned left to right: arrays by their second axis, others as they are."""
     return item[:, ::-1] if isinstance(item, np.ndarray) and item.ndim > 1 else item

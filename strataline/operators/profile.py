@@ -93,13 +93,37 @@ def share_of_sources(manifest: DataFrame, prefix: str, per_step: int = 64) -> Da
     return part.join(whole).join(crops).select("part", "whole", F.round(schedules.percent(F.col("part"), F.col("whole")), 4).alias("percent"), schedules.one_in(F.col("whole"), F.col("part")).alias("one_in"), F.floor(F.col("crops") / per_step).cast("bigint").alias("steps"))
 
 
-def readme(manifest: DataFrame, title: str) -> str:
-    """A page on a build, with its figures read from the manifest."""
+def composition(manifest: DataFrame, sources: DataFrame) -> DataFrame:
+    """What each source (a row of a recipe) gives a build: its offsets and whether it takes part in evaluation,
+    identities and crops by use, and its percent of the build's train identities, with one in how many that is.
+
+    Identities of a source are counted in its own numbering, those of the build in the combined one.
+    """
+    whole = manifest.filter((F.col("split") == TRAIN) & (F.col("pid") != JUNK)).agg(F.count_distinct("pid").alias("whole"))
+    given = source_table(manifest.select("source", "split", F.col("orig_pid").alias("pid")))
+    rows = sources.select(F.col("name").alias("source"), "pid_offset", "cam_offset", "use_eval").join(given, "source", "left").fillna(0)
+    share = [F.round(schedules.percent(F.col("train_ids"), F.col("whole")), 4).alias("percent"), schedules.one_in(F.col("whole"), F.col("train_ids")).alias("one_in")]
+    return rows.join(F.broadcast(whole)).select(*rows.columns, *share)
+
+
+def readme(manifest: DataFrame, title: str, sources: DataFrame | None = None) -> str:
+    """A page on a build, with its figures read from the manifest; with the recipe's sources also on what each gives."""
     rows = by_split(manifest).orderBy("split").collect()
     lines = [f"# {title}", "", "| split | crops | identities | junk | cameras |", "|-|-|-|-|-|"]
     lines += [f"| {r.split} | {r.crops:,} | {r.identities:,} | {r.junk:,} | {r.cameras} |" for r in rows]
     lines += ["", "| source | split | crops |", "|-|-|-|"]
     lines += [f"| {r.source} | {r.split} | {r.crops:,} |" for r in counts(manifest).filter("all_sources = 0").orderBy("source", "split").collect()]
+    if sources is not None:
+        found = composition(manifest, sources).orderBy("pid_offset", "source").collect()
+        lines += ["", "| source | identities + | cameras + | train | evaluation | of train identities |", "|-|-|-|-|-|-|"]
+        for r in found:
+            tested = f"{r.eval_ids:,} identities, {r.query_crops:,} queries, {r.gallery_crops:,} gallery" if r.use_eval else "none"
+            share = f"{r.percent:.2f}%, one in {r.one_in:,}" if r.train_ids else "none"
+            lines.append(f"| {r.source} | {r.pid_offset:,} | {r.cam_offset:,} | {r.train_ids:,} identities, {r.train_crops:,} crops | {tested} | {share} |")
+        alone = [r.source for r in found if not r.use_eval]
+        if alone:
+            lines += ["", f"Trained on, but not evaluated: {', '.join(alone)}; the split between identities is not theirs to break."]
+        lines += ["", "Offsets keep identities and cameras of the sources apart; junk keeps its own number in all of them."]
     return "\n".join(lines) + "\n"
 
 

@@ -158,6 +158,15 @@ def sk5(s, d):
     return profile.by_split(manifest(s, d)).drop("camera_list")
 
 
+@query("sk5_composition", given("manifest") + """, w AS (SELECT count(DISTINCT pid) AS whole FROM manifest WHERE split = '{t}' AND pid <> -1),
+    g AS (SELECT source, count(DISTINCT CASE WHEN split = '{t}' AND orig_pid <> -1 THEN orig_pid END) AS train_ids, count(*) FILTER (WHERE split = '{t}') AS train_crops, count(DISTINCT CASE WHEN split = '{q}' AND orig_pid <> -1 THEN orig_pid END) AS eval_ids,
+    count(*) FILTER (WHERE split = '{q}') AS query_crops, count(*) FILTER (WHERE split NOT IN ('{t}', '{q}')) AS gallery_crops FROM manifest GROUP BY source)
+    SELECT source, CASE WHEN source = 'supplier' THEN 1000000 ELSE 0 END::BIGINT AS pid_offset, CASE WHEN source = 'supplier' THEN 100 ELSE 0 END::BIGINT AS cam_offset, source = 'customer' AS use_eval, train_ids, train_crops, eval_ids, query_crops, gallery_crops,
+    round(100.0 * train_ids / greatest(whole, 1), 4) AS percent, greatest(CAST(round_even(whole / greatest(train_ids, 1), 0) AS BIGINT), 1) AS one_in FROM g, w""".replace("{t}", TRAIN).replace("{q}", QUERY))
+def sk5_composition(s, d):
+    return profile.composition(manifest(s, d), tables.recipe(s, fx.RECIPE)[1])
+
+
 @query("sk7_contact_rows", given("crops") + "SELECT camid, path, place FROM (SELECT camid, path, row_number() OVER (PARTITION BY camid ORDER BY path) AS place FROM crops) WHERE place <= 24")
 def sk7(s, d):
     return sinks.contact_rows(fx.crops(s, d)).select("camid", "path", C("place").cast("bigint").alias("place"))

@@ -343,3 +343,22 @@ def fn23(s, d):
         return out.select("event_id", F.lit(kernel).alias("kernel"), F.aggregate(whole, F.lit(0.0), lambda a, v: a + v).cast("bigint").alias("digest"))
 
     return of("bilinear", 5, 7).unionByName(of("bicubic", 2, 3))
+
+
+# The module's vector of an image is the mean of each channel.
+@query("ud3_extracted", """WITH pixels AS (SELECT p, c, ((7 * p + 31 * y + 17 * x + 53 * c) % 251 / 255 - 0.5) / 0.5 AS v FROM range(251) a(p), range(3) b(y), range(4) e(x), range(3) f(c)),
+    means AS (SELECT p, c, avg(v) AS m FROM pixels GROUP BY p, c), vecs AS (SELECT p, list(m ORDER BY c) AS m, sqrt(sum(m * m)) AS n FROM means GROUP BY p)
+    SELECT event_id, round(m[1] / n, 4) AS v0, round(m[2] / n, 4) AS v1, round(m[3] / n, 4) AS v2 FROM events JOIN vecs ON p = event_id % 251""")
+def ud3(s, d):
+    from strataline.functions import pixels
+    from strataline.operators import encoders
+
+    def decoder():
+        import numpy as np
+
+        y, x, c = np.ogrid[:3, :4, :3]
+        return lambda data: ((7 * int(data) + 31 * y + 17 * x + 53 * c) % 251).astype(np.uint8)
+
+    rows = fx.table(s, d, "events").select("event_id", C("event_id").cast("string").cast("binary").alias("content"))
+    out = encoders.extracted(rows, decoder, lambda: pixels.evaluation(3, 4, "bilinear", pixels.EVEN), lambda: lambda x: x.mean(axis=(2, 3)), f"{shared_dir(s)}/features-{uuid.uuid4().hex}", "event_id", 3)
+    return out.select("event_id", *[F.round(F.element_at("embedding", k + 1).cast("double"), 4).alias(f"v{k}") for k in range(3)])

@@ -278,3 +278,18 @@ def test_batches_by_ranges(spark, monkeypatch):
     one = sorted(map(tuple, sampling.batches(df, 12, 3).select("batch", "place", "pid", "chunk", "slot", "vec_id").collect()))
     monkeypatch.setattr(ranges, "SMALL", 10)
     assert sorted(map(tuple, sampling.batches(df.repartition(5), 12, 3).select("batch", "place", "pid", "chunk", "slot", "vec_id").collect())) == one
+
+
+def test_page_of_a_build_with_its_sources(spark):
+    from strataline.operators import profile
+    from strataline.sources import tables
+
+    rows = [(TRAIN, "a", p, c, p, f"{p}{c}") for p in (1, 2) for c in (1, 2)] + [("query", "a", 3, 1, 3, "q"), ("bounding_box_test", "a", 3, 2, 3, "g"), ("bounding_box_test", "a", -1, 2, -1, "j"), (TRAIN, "b", 1001, 11, 1, "x")]
+    build = spark.createDataFrame(rows, "split string, source string, pid bigint, camid bigint, orig_pid bigint, orig_file string")
+    sources = tables.recipe(spark, {"name": "n", "sources": [{"name": "a", "tag": "a", "pid_offset": 0, "cam_offset": 0}, {"name": "b", "tag": "b", "pid_offset": 1000, "cam_offset": 10, "use_eval": False}, {"name": "c", "tag": "c", "pid_offset": 5000, "cam_offset": 50}]})[1]
+    got = {r.source: r for r in profile.composition(build, sources).collect()}
+    assert (got["a"].train_ids, got["a"].train_crops, got["a"].eval_ids, got["a"].query_crops, got["a"].gallery_crops) == (2, 4, 1, 1, 2)
+    assert (got["b"].percent, got["b"].one_in, got["c"].train_ids, got["c"].percent) == (33.3333, 3, 0, 0.0)
+    page = profile.readme(build, "A build", sources)
+    assert "| b | 1,000 | 10 | 1 identities, 1 crops | none | 33.33%, one in 3 |" in page and "not evaluated: b" in page
+    assert "Offsets" not in profile.readme(build, "A build")
