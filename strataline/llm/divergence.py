@@ -167,7 +167,8 @@ def _in_common(frame: pd.DataFrame) -> pd.DataFrame:
 def pair_distances(found: DataFrame, sources: DataFrame) -> DataFrame:
     """lang, a, b (places, a < b), value: the sum of |p - q| over all kept terms of the language.
 
-    ``found``: postings with place, p and zero; ``sources``: lang, place, zero, terms (kept in the language).
+    ``found``: postings with place, p, zero and blocks, into how many their language's are dealt by term;
+    ``sources``: lang, place, zero, terms (kept in the language).
     With z the share of a count of 0, the sum is V|z - z'|, for each source alone the sum over its own terms of
     |p - z'| - |z - z'|, and what terms in common add. The second comes from running sums over its shares.
     """
@@ -184,8 +185,7 @@ def pair_distances(found: DataFrame, sources: DataFrame) -> DataFrame:
     alone = at * F.col("n_below") - F.col("sum_below") + F.col("sum_all") - F.col("sum_below") - at * (F.col("n_all") - F.col("n_below")) - F.col("n_all") * gap
     first = F.col("place") < F.col("other")
     alone = rows.filter("other IS NOT NULL").select("lang", F.least("place", "other").alias("a"), F.greatest("place", "other").alias("b"), (F.coalesce(alone, F.lit(0)) + F.when(first, F.coalesce(F.col("terms") * gap, F.lit(0))).otherwise(0)).alias("value"))
-    blocks = found.groupBy("lang").agg((F.count(F.lit(1)) / TOGETHER + 1).cast("int").alias("blocks"))
-    dealt = found.join(blocks, "lang").select("lang", "term", "place", "p", "zero", F.pmod(F.xxhash64("term"), "blocks").alias("block"))
+    dealt = found.select("lang", "term", "place", "p", "zero", F.pmod(F.xxhash64("term"), "blocks").alias("block"))
     common = dealt.groupBy("lang", "block").applyInPandas(_in_common, "lang string, a int, b int, value bigint")
     return alone.unionByName(common).groupBy("lang", "a", "b").agg(F.sum("value").alias("value"))
 
@@ -205,10 +205,10 @@ def audit(docs: DataFrame, lang_col: str = "lang", source_col: str = "source", t
     totals = found.groupBy("lang", "source").agg(F.sum("n").alias("total"))
     by_name = W.partitionBy("lang").orderBy("source")
     sources = names.join(totals, ["lang", "source"], "left").join(terms, "lang", "left").fillna(0, ["total", "terms"])
-    sources = sources.select("lang", "source", "total", "terms", F.row_number().over(by_name).alias("place"), share("0", "total", "terms").alias("zero"), F.sum("total").over(W.partitionBy("lang")).alias("lang_total"))
+    sources = sources.select("lang", "source", "total", "terms", F.row_number().over(by_name).alias("place"), share("0", "total", "terms").alias("zero"), F.sum("total").over(W.partitionBy("lang")).alias("lang_total"), (F.col("terms") * F.count(F.lit(1)).over(W.partitionBy("lang")) / TOGETHER + 1).cast("int").alias("blocks"))
     sources = materialise(sources, "divergence-sources")
     told = found.join(sources, ["lang", "source"]).withColumn("lang_n", F.sum("n").over(W.partitionBy("lang", "term")))
-    told = materialise(told.select("lang", "source", "term", "place", "zero", share("n", "total", "terms").alias("p"), share("lang_n", "lang_total", "terms").alias("q")), "divergence-shares")
+    told = materialise(told.select("lang", "source", "term", "place", "zero", "blocks", share("n", "total", "terms").alias("p"), share("lang_n", "lang_total", "terms").alias("q")), "divergence-shares")
     discard(names, kept, found)
 
     pairs = pair_distances(told, sources.select("lang", "place", "zero", "terms"))
