@@ -44,6 +44,15 @@ def unanswerable_identities(crops: DataFrame) -> DataFrame:
     return sets.filter((F.size("q") > 0) & (F.size(F.array_except("g", "q")) == 0)).select("pid")
 
 
+def unevaluable(crops: DataFrame, keys: tuple[str, ...]) -> DataFrame:
+    """Groups of query crops, by ``keys``, that cannot be evaluated, as none has a gallery crop of its identity in another
+    camera: the keys and queries, their number."""
+    g = crops.filter((F.col("split") == GALLERY) & F.col("camid").isNotNull()).groupBy(F.col("pid").alias("__pid")).agg(F.min("camid").alias("__low"), F.max("camid").alias("__high"))
+    q = crops.filter(F.col("split") == QUERY).join(g, F.col("pid") == F.col("__pid"), "left")
+    counts = F.coalesce((F.col("__low") != F.col("camid")) | (F.col("__high") != F.col("camid")), F.lit(False))
+    return q.groupBy(*keys).agg(F.count("*").alias("queries"), F.count_if(counts).alias("__counting")).filter("__counting = 0").drop("__counting")
+
+
 def unknown_splits(crops: DataFrame) -> DataFrame:
     return crops.filter(~F.coalesce(F.col("split").isin(list(SPLITS)), F.lit(False))).select("split").distinct()
 
@@ -97,6 +106,18 @@ def uneven_detections(detections: DataFrame) -> DataFrame:
     return detections.filter((F.size("boxes") != F.size("scores")) | (F.size("boxes") != F.size("classes"))).select("image_id")
 
 
+def build_report(crops: DataFrame) -> DataFrame:
+    """All violations of a build that verify_build() would raise for: rule, pid, camid (null where the rule is about an
+    identity) and n, the crops concerned (null likewise)."""
+    none = F.lit(None).cast("bigint")
+
+    def of(rule: str, found: DataFrame) -> DataFrame:
+        return found.select(F.lit(rule).alias("rule"), "pid", none.alias("camid"), none.alias("n"))
+
+    single = unanswerable_crops(crops).groupBy("pid", F.col("camid").cast("bigint").alias("camid")).agg(F.count("*").alias("n"))
+    return of("leaking", leaking(crops)).unionByName(of("missing from gallery", missing_from_gallery(crops))).unionByName(single.select(F.lit("without a second camera").alias("rule"), "pid", "camid", "n"))
+
+
 def verify_build(crops: DataFrame) -> None:
     """The checks on a build that is already there."""
     enforce(leaking(crops), "identities in train and evaluation")

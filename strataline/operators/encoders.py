@@ -5,6 +5,7 @@ Both are made once in each worker by a factory, and see batches.
 
 from __future__ import annotations
 
+import importlib
 from collections.abc import Callable, Iterator
 
 import numpy as np
@@ -15,18 +16,23 @@ from pyspark.sql import functions as F
 BATCH = 64
 Detector = Callable[[str], tuple[np.ndarray, np.ndarray, np.ndarray]]
 Encoder = Callable[[list], np.ndarray]
-REGISTRY: dict[str, dict[str, Callable]] = {}
+REGISTRY: dict[str, dict[str, Callable | str]] = {}
 
 
-def register(family: str, **actions: Callable) -> None:
-    """Name the train, evaluate and predict functions of a family."""
+def register(family: str, **actions: Callable | str) -> None:
+    """Name the train, evaluate and predict functions of a family, each a function or "module:function", which is imported
+    when it is first asked for."""
     REGISTRY[family] = actions
 
 
 def action(family: str, name: str) -> Callable:
     if family not in REGISTRY or name not in REGISTRY[family]:
         raise ValueError(f"unknown family or action {family!r}, {name!r}")
-    return REGISTRY[family][name]
+    found = REGISTRY[family][name]
+    if isinstance(found, str):
+        module, _, function = found.partition(":")
+        found = REGISTRY[family][name] = getattr(importlib.import_module(module), function)
+    return found
 
 
 def detections(images: DataFrame, factory: Callable[[], Detector], categories: list[int]) -> DataFrame:

@@ -109,6 +109,22 @@ def stride_of(batches: int) -> int:
     return next(a for a in range(max(1, batches * 618 // 1000), 0, -1) if math.gcd(a, batches) == 1)
 
 
+def batch_problems(crops: DataFrame, plans: DataFrame) -> DataFrame:
+    """Why plans (batch_size, k) cannot be drawn from the crops by batches(): the plan's columns, identities, problem.
+
+    A plan without sizes, or with one below 1, is told too; a plan that can be drawn gives no row.
+    """
+    identities = crops.agg(F.count_distinct("pid")).first()[0]  # one number
+    size, k, n = F.col("batch_size"), F.col("k"), F.lit(identities).cast("bigint")
+    whole = F.coalesce((size >= 1) & (k >= 1), F.lit(False))
+    per_batch = F.when(whole, F.floor(size / k))
+    problem = (
+        F.when(~whole, "sizes are not positive").when(per_batch * k != size, "the batch size is not a multiple of k")
+        .when(per_batch > n, "there are fewer identities than a batch needs")
+    )
+    return plans.withColumn("identities", n).withColumn("problem", problem).filter("problem IS NOT NULL")
+
+
 def batches(crops: DataFrame, batch_size: int, k: int, key: str = "vec_id", seed: int = 42) -> DataFrame:
     """Batches of batch_size / k identities with one chunk each: batch, place, pid, chunk, slot and the crop.
 

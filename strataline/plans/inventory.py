@@ -688,11 +688,39 @@ def ic6(s, d):
     return constraints.clashing_sources(sources)
 
 
+# One recipe for each customer, of which several lack something.
+@query("ic7_recipe_problems", """WITH r AS (SELECT c_custkey AS k, c_custkey % 7 = 0 AS unnamed, c_custkey % 11 = 0 AS absent, c_custkey % 13 = 0 AS none FROM customer),
+    s AS (SELECT k, i AS place FROM (SELECT *, unnest(range(2)) AS i FROM r WHERE NOT absent AND NOT none))
+    SELECT k, CAST(NULL AS INTEGER) AS place, 'recipe lacks name' AS problem FROM r WHERE unnamed UNION ALL SELECT k, NULL, 'recipe lacks sources' FROM r WHERE absent
+    UNION ALL SELECT k, NULL, 'recipe has no sources' FROM r WHERE none AND NOT absent
+    UNION ALL SELECT k, CAST(place AS INTEGER), 'source lacks tag' FROM s WHERE (k + place) % 5 = 0 UNION ALL SELECT k, CAST(place AS INTEGER), 'source lacks cam_offset' FROM s WHERE (k + place) % 3 = 0""")
+def ic7(s, d):
+    k = C("c_custkey")
+
+    def source(i):
+        return F.struct(C("c_name").alias("name"), F.when((k + i) % 5 != 0, F.lit(f"t{i}")).alias("tag"), F.lit(1000 * i).alias("pid_offset"), F.when((k + i) % 3 != 0, F.lit(10 * i)).alias("cam_offset"))
+
+    sources = F.when(k % 11 == 0, None).when(k % 13 == 0, F.slice(F.array(source(0), source(1)), 1, 0)).otherwise(F.array(source(0), source(1)))
+    text = F.to_json(F.struct(F.when(k % 7 != 0, C("c_name")).alias("name"), sources.alias("sources")))
+    return tables.recipe_problems(fx.table(s, d, "customer").select(k.alias("k"), text.alias("value")))
+
+
 @query("ic8_repeated_names", given("listing") + ", n AS (SELECT 'query' AS split, regexp_replace(name, '_f.*$', '') || '.jpg' AS name FROM listing) SELECT split, name, count(*) AS n FROM n GROUP BY split, name HAVING count(*) > 1")
 def ic8(s, d):
     return constraints.repeated_names(fx.listing(s, d).select(F.lit(QUERY).alias("split"), F.concat(F.regexp_replace("name", "_f.*$", ""), F.lit(".jpg")).alias("name")))
 
 
+# Builds of seven identities, and some of suppliers that have no files.
+@query("ic9_missing_splits", given("source_rows") + f""", files AS (SELECT DISTINCT CAST(pid // 7 AS VARCHAR) AS build, split FROM source_rows WHERE source = 'customer' AND pid <> -1),
+    builds AS (SELECT CAST(c_custkey // 7 AS VARCHAR) AS build FROM customer UNION SELECT 'supplier-' || s_nationkey FROM supplier)
+    SELECT build, split FROM builds, (VALUES ('{TRAIN}'), ('{QUERY}'), ('{GALLERY}')) x(split) EXCEPT SELECT build, split FROM files""")
+def ic9(s, d):
+    rows = fx.source_rows(s, d).filter(f"source = 'customer' AND pid <> {JUNK}")
+    paths = rows.select(F.concat_ws("/", F.floor(C("pid") / 7).cast("string"), "split", "file").alias("path"))
+    builds = fx.table(s, d, "customer").select(F.floor(C("c_custkey") / 7).cast("string").alias("build"))
+    return listings.missing_splits(paths, builds.union(fx.table(s, d, "supplier").select(F.concat(F.lit("supplier-"), C("s_nationkey").cast("string")))))
+
+
 @query("ic10_empty_train", given("leaky") + f"SELECT count(*) AS n FROM leaky WHERE split = '{TRAIN}' AND pid < 0 HAVING count(*) = 0")
 def ic10(s, d):
     return constraints.empty_train(fx.leaky(s, d).filter("pid < 0"))
@@ -703,11 +731,26 @@ def ic11(s, d):
     return constraints.unparsable(fx.listing(s, d))
 
 
+@query("ic12_batch_problems", given("leaky") + """, n AS (SELECT count(DISTINCT pid) AS identities FROM leaky), p AS (SELECT DISTINCT o_orderkey % 997 AS batch_size, o_orderkey % 5 AS k FROM orders),
+    t AS (SELECT batch_size, k, identities, CASE WHEN batch_size < 1 OR k < 1 THEN 'sizes are not positive' WHEN batch_size % k <> 0 THEN 'the batch size is not a multiple of k'
+    WHEN batch_size // k > identities THEN 'there are fewer identities than a batch needs' END AS problem FROM p, n) SELECT * FROM t WHERE problem IS NOT NULL""")
+def ic12(s, d):
+    plans = fx.table(s, d, "orders").select((C("o_orderkey") % 997).alias("batch_size"), (C("o_orderkey") % 5).alias("k")).distinct()
+    return sampling.batch_problems(fx.leaky(s, d), plans)
+
+
 @query("ic13_lone_anchors", given("leaky") + ", c AS (SELECT vec_id // 6 AS batch, pid AS label, count(*) AS n FROM leaky WHERE vec_id % 9 <> 0 GROUP BY ALL) SELECT batch, count(*) AS labels, count(*) FILTER (WHERE n = 1) AS singles FROM c GROUP BY batch HAVING count(*) < 2 OR count(*) FILTER (WHERE n = 1) > 0")
 def ic13(s, d):
     return constraints.lone_anchors(fx.leaky(s, d).filter("vec_id % 9 <> 0").select(F.floor(C("vec_id") / 6).cast("bigint").alias("batch"), C("pid").alias("label")))
 
 
+# Sessions of two identities each.
+@query("ic14_unevaluable", given("leaky") + f"""SELECT vec_id // 8 AS session, count(*) AS queries FROM leaky q WHERE split = '{QUERY}' GROUP BY ALL
+    HAVING count(*) FILTER (WHERE EXISTS (SELECT 1 FROM leaky g WHERE g.split = '{GALLERY}' AND g.pid = q.pid AND g.camid <> q.camid)) = 0""")
+def ic14(s, d):
+    return constraints.unevaluable(fx.leaky(s, d).withColumn("session", F.floor(C("vec_id") / 8).cast("bigint")), ("session",))
+
+
 @query("ic15_unknown_actions", given("decisions") + "SELECT pid, 'kepe' AS action FROM decisions WHERE pid % 50 = 0")
 def ic15(s, d):
     return constraints.unknown_actions(fx.decisions(s, d).withColumn("action", F.when(C("pid") % 50 == 0, "kepe").otherwise(C("action"))))
@@ -719,6 +762,16 @@ def ic16(s, d):
     return constraints.uneven_detections(rows.withColumn("scores", F.when(C("image_id") % 4 == 0, F.slice("boxes", 1, 1)).otherwise(C("boxes"))).withColumn("classes", C("boxes")))
 
 
+# A build that is written as it is, read back and verified.
+@query("ic17_build_report", given("leaky") + f""", rows AS (SELECT * FROM leaky WHERE pid <> -1) SELECT 'leaking' AS rule, pid, CAST(NULL AS BIGINT) AS camid, CAST(NULL AS BIGINT) AS n FROM ({_LEAK})
+    UNION ALL SELECT 'missing from gallery', pid, NULL, NULL FROM (SELECT pid FROM rows WHERE split = '{QUERY}' EXCEPT SELECT pid FROM rows WHERE split = '{GALLERY}')
+    UNION ALL SELECT 'without a second camera', pid, camid, count(*) FROM leaky q WHERE split = '{QUERY}' AND NOT EXISTS (SELECT 1 FROM leaky g WHERE g.split = '{GALLERY}' AND g.pid = q.pid AND g.camid <> q.camid) GROUP BY pid, camid""")
+def ic17(s, d):
+    path = f"{shared_dir(s)}/build-{uuid.uuid4().hex}"
+    fx.leaky(s, d).write.partitionBy("split").parquet(path)
+    return constraints.build_report(s.read.parquet(path))
+
+
 @query("audit_overlapping_ranges", given("source_rows") + ", r AS (SELECT source, min(pid) AS low, max(pid) AS high FROM source_rows WHERE pid <> -1 GROUP BY source) SELECT a.source AS source_a, b.source AS source_b FROM (SELECT source, low + CASE WHEN source = 'supplier' THEN 10 ELSE 0 END AS low, high + CASE WHEN source = 'supplier' THEN 10 ELSE 0 END AS high FROM r) a, (SELECT source, low + CASE WHEN source = 'supplier' THEN 10 ELSE 0 END AS low, high + CASE WHEN source = 'supplier' THEN 10 ELSE 0 END AS high FROM r) b WHERE a.source < b.source AND a.low <= b.high AND b.low <= a.high")
 def audit_ranges(s, d):
     sources = s.createDataFrame([("customer", 0), ("supplier", 10)], "name string, pid_offset bigint")

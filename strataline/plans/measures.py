@@ -202,6 +202,14 @@ def ag20_hinge(s, d):
     return mining.triplet_loss(_batch(s, d), 0.3, strict=False).withColumn("loss", F.round("loss", 5))
 
 
+@query("ud4_registered_family", _HARD + "SELECT batch, round(avg(greatest(positive - negative + 0.3, 0)), 5) AS loss FROM hard GROUP BY batch")
+def ud4(s, d):
+    from strataline.operators import encoders
+
+    encoders.register("triplets", evaluate="strataline.operators.mining:triplet_loss")
+    return encoders.action("triplets", "evaluate")(_batch(s, d), 0.3, strict=False).withColumn("loss", F.round("loss", 5))
+
+
 @query("ud2_toy_encoder", "SELECT doc_id, round(len / sqrt(len * len + 1), 5) AS v0 FROM (SELECT doc_id, CAST(n_chars AS DOUBLE) AS len FROM documents)")
 def ud2(s, d):
     from strataline.operators import encoders
@@ -295,6 +303,23 @@ def sk6(s, d):
     return files.read_files(s, path).select("name", *_told(C("content")))
 
 
+# Black images of 24 by 16 with the outlines of their boxes, a sixtieth in size; how many pixels are in some outline.
+@query("sk8_outlines", given("detections") + """, c AS (SELECT image_id, trunc(x / 60) AS l, trunc(y / 60) AS t, least(24, trunc(x / 60 + w / 60)) AS r, least(16, trunc(y / 60 + h / 60)) AS b FROM detections WHERE score >= 0.3),
+    p AS (SELECT DISTINCT image_id, px, py FROM c, range(24) i(px), range(16) j(py) WHERE px >= l AND px < r AND py >= t AND py < b AND (px < l + 2 OR px >= r - 2 OR py < t + 2 OR py >= b - 2))
+    SELECT image_id, count(px) AS pixels FROM (SELECT DISTINCT event_id // 10 AS image_id FROM events) LEFT JOIN p USING (image_id) GROUP BY image_id""")
+def sk8(s, d):
+    from strataline.sources import images
+
+    def codec():
+        import numpy as np
+
+        return (lambda data: np.zeros((16, 24, 3), np.uint8)), (lambda image: str(int((image[:, :, 0] == 255).sum())).encode())
+
+    boxes = fx.detections(s, d).select("image_id", *[(C(c) / 60).alias(c) for c in "xywh"], "score")
+    pics = fx.table(s, d, "events").select(F.floor(C("event_id") / 10).cast("bigint").alias("image_id")).distinct().withColumn("content", F.lit("0").cast("binary"))
+    return images.annotated(pics, boxes, codec, 0.3).select("image_id", C("content").cast("string").cast("bigint").alias("pixels"))
+
+
 # Each image is one pixel of three channels; a resize of it is flat.
 @query("sc12_crop_tensors", "SELECT event_id, round(((event_id % 256) / 255 - 0.5) / 0.5, 5) AS v, 24 AS n FROM events")
 def sc12(s, d):

@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 
 from strataline.functions import names, ranges
 from strataline.schema import JUNK, SPLITS, TRAIN
+from strataline.sources.tables import exists
 
 STRICT_SUFFIXES = (".jpg", ".jpeg", ".png")
 SOURCE_SUFFIXES = (".jpg", ".jpeg", ".png", ".bmp", ".webp")
@@ -63,8 +64,26 @@ def contiguous(df: DataFrame, key: str, to: str = "label") -> DataFrame:
     return inside.join(F.broadcast(before), "__range").select(key, (F.col("__n") + F.col("__before")).cast("bigint").alias(to))
 
 
+def missing_splits(paths: DataFrame, builds: DataFrame, splits: tuple[str, ...] = SPLITS) -> DataFrame:
+    """build and split for each split of ``builds`` (build) that has no file among ``paths`` (path: build/split/file).
+
+    A build without files lacks all splits; null builds are none.
+    """
+    there = paths.select(F.regexp_extract("path", "^(.*)/([^/]+)/[^/]+$", 1).alias("build"), F.regexp_extract("path", "^(.*)/([^/]+)/[^/]+$", 2).alias("split")).distinct()
+    wanted = builds.filter("build IS NOT NULL").select(F.col("build").cast("string").alias("build")).distinct()
+    return wanted.withColumn("split", F.explode(F.array(*[F.lit(x) for x in splits]))).join(there, ["build", "split"], "left_anti")
+
+
+def require_splits(spark: SparkSession, path: str, splits: tuple[str, ...] = SPLITS) -> None:
+    """Raise FileNotFoundError with the split folders that a layout lacks."""
+    lacking = [x for x in splits if not exists(spark, f"{path}/{x}")]
+    if lacking:
+        raise FileNotFoundError(f"path {path} lacks {', '.join(lacking)}")
+
+
 def read_market(spark: SparkSession, path: str, require_train: bool = True) -> DataFrame:
     """All three splits of a layout. A missing folder raises; so does an empty train split if required."""
+    require_splits(spark, path)
     parts = None
     for split in SPLITS:
         part = strict(files(spark, f"{path}/{split}")).withColumn("split", F.lit(split))

@@ -63,6 +63,32 @@ def recipe_sources(text: DataFrame, col: str = "value") -> DataFrame:
     return rows.select("recipe", "s.name", "s.tag", "s.pid_offset", "s.cam_offset", F.coalesce("s.use_eval", F.lit(True)).alias("use_eval"))
 
 
+def recipe_problems(text: DataFrame, col: str = "value") -> DataFrame:
+    """Why recipes held as JSON cannot be used: the other columns, place (of the source, null for the recipe) and problem.
+
+    A text that is no recipe, null included, lacks name and sources; repeated texts are told each for itself.
+    """
+    kind = f"name string, sources array<struct<{', '.join(f.replace(' ', ':') for f in RECIPE_FIELDS.split(', '))}>>"
+    r, nowhere = F.from_json(col, kind), F.lit(None).cast("int")
+
+    def told(wrong: Column, problem: str, place: Column = nowhere) -> Column:
+        return F.when(wrong, F.struct(place.alias("place"), F.lit(problem).alias("problem")))
+
+    of_recipe = F.array(
+        told(F.col("__r.name").isNull(), "recipe lacks name"),
+        told(F.col("__r.sources").isNull(), "recipe lacks sources"),
+        told(F.size("__r.sources") == 0, "recipe has no sources"),
+    )
+
+    def lacking(field: str) -> Column:
+        return F.transform("__r.sources", lambda s, k: told(s.isNull() | s[field].isNull(), f"source lacks {field}", k))
+
+    of_sources = F.coalesce(F.concat(*[lacking(f) for f in ("name", "tag", "pid_offset", "cam_offset")]), F.array())
+    kept = [c for c in text.columns if c != col]
+    rows = text.select(*kept, r.alias("__r")).select(*kept, F.explode(F.concat(of_recipe, of_sources)).alias("__p"))
+    return rows.filter("__p IS NOT NULL").select(*kept, "__p.place", "__p.problem")
+
+
 def read_recipe(spark: SparkSession, path: str) -> tuple[str, DataFrame]:
     import yaml
 

@@ -4,7 +4,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from strataline.functions import geometry, names, vectors
-from strataline.operators import constraints, curate, profile, sampling
+from strataline.operators import constraints, curate, encoders, profile, sampling
 from strataline.schema import GALLERY, QUERY, TRAIN
 from strataline.sources import listings, sinks, tables, tracks
 
@@ -293,3 +293,57 @@ def test_page_of_a_build_with_its_sources(spark):
     page = profile.readme(build, "A build", sources)
     assert "| b | 1,000 | 10 | 1 identities, 1 crops | none | 33.33%, one in 3 |" in page and "not evaluated: b" in page
     assert "Offsets" not in profile.readme(build, "A build")
+
+
+def test_recipe_problems(spark):
+    full = '{"name": "a", "tag": "t", "pid_offset": 0, "cam_offset": 0}'
+    texts = [(1, f'{{"name": "r", "sources": [{full}]}}'), (2, None), (3, "no recipe"), (4, '{"name": "r", "sources": []}'), (5, f'{{"sources": [{full}, {{"name": "b"}}, null]}}')]
+    got = sorted((r.k, r.place, r.problem) for r in tables.recipe_problems(spark.createDataFrame(texts, "k int, value string")).collect() if r.k != 5)
+    both = ["recipe lacks name", "recipe lacks sources"]
+    assert got == [(2, None, both[0]), (2, None, both[1]), (3, None, both[0]), (3, None, both[1]), (4, None, "recipe has no sources")]
+    five = {(r.place, r.problem) for r in tables.recipe_problems(spark.createDataFrame(texts[4:], "k int, value string")).collect()}
+    fields = ("name", "tag", "pid_offset", "cam_offset")
+    assert five == {(None, both[0])} | {(1, f"source lacks {f}") for f in fields[1:]} | {(2, f"source lacks {f}") for f in fields}
+    assert tables.recipe_problems(spark.createDataFrame([], "k int, value string")).count() == 0
+
+
+def test_missing_splits(spark, tmp_path):
+    paths = spark.createDataFrame([("a/train/1.jpg",), ("a/query/1.jpg",), ("x/b/query/2.jpg",), ("loose.jpg",), (None,)], "path string")
+    builds = spark.createDataFrame([("a",), ("a",), ("x/b",), ("c",), (None,)], "build string")
+    got = sorted(tuple(r) for r in listings.missing_splits(paths, builds, ("query", "train")).collect())
+    assert got == [("c", "query"), ("c", "train"), ("x/b", "train")]
+    (tmp_path / listings.SPLITS[0]).mkdir()
+    with pytest.raises(FileNotFoundError, match=listings.SPLITS[1]):
+        listings.read_market(spark, str(tmp_path))
+
+
+def test_batch_problems(spark):
+    crops = spark.createDataFrame([(k % 3,) for k in range(9)] + [(None,)], "pid bigint")
+    plans = spark.createDataFrame([(6, 2), (7, 2), (8, 2), (0, 2), (4, None), (4, 0)], "batch_size int, k int")
+    got = {(r.batch_size, r.k): r.problem for r in sampling.batch_problems(crops, plans).collect()}
+    positive = "sizes are not positive"
+    assert got == {(7, 2): "the batch size is not a multiple of k", (8, 2): "there are fewer identities than a batch needs", (0, 2): positive, (4, None): positive, (4, 0): positive}
+
+
+def test_unevaluable_groups_and_report(spark):
+    q, g, t = QUERY, GALLERY, TRAIN
+    rows = [("a", q, 1, 1), ("a", g, 1, 1), ("b", q, 2, 1), ("b", g, 2, 2), ("b", q, 3, 1), ("c", q, None, 1), ("c", q, 4, None), ("c", g, 4, 2), ("d", g, 5, 1)]
+    crops = spark.createDataFrame(rows, "shop string, split string, pid bigint, camid bigint")
+    assert sorted(tuple(r) for r in constraints.unevaluable(crops, ("shop",)).collect()) == [("a", 1), ("c", 2)]
+    sound = spark.createDataFrame([("b", q, 2, 1), ("b", g, 2, 2), ("b", t, 7, 2)], crops.schema)
+    assert constraints.build_report(sound).count() == 0
+    broken = sound.unionByName(spark.createDataFrame([("b", t, 2, 1), ("b", q, 8, 1), ("b", q, 8, 1)], crops.schema))
+    found = sorted(tuple(r) for r in constraints.build_report(broken).collect())
+    assert found == [("leaking", 2, None, None), ("missing from gallery", 8, None, None), ("without a second camera", 8, 1, 2)]
+    with pytest.raises(ValueError, match="train and evaluation"):
+        constraints.verify_build(broken)
+
+
+def test_registered_by_name(spark):
+    encoders.register("by name", join="posixpath:join", broken="posixpath:nothing")
+    assert encoders.action("by name", "join")("a", "b") == "a/b"
+    assert callable(encoders.REGISTRY["by name"]["join"])
+    with pytest.raises(AttributeError):
+        encoders.action("by name", "broken")
+    with pytest.raises(ValueError):
+        encoders.action("by name", "train")
