@@ -182,6 +182,31 @@ def test_match_ranks_in_small_blocks(spark, monkeypatch):
     assert [r for r in got if r[1] != 7][:1] and {r[:2] for r in got} == {r[:2] for r in want}
 
 
+def test_matches_are_counted_where_they_are_held(spark, monkeypatch):
+    """Nothing is shuffled after the gallery has passed the queries; measures of queries are those of the ranks."""
+    rows = [(i % 4, 1 + i % 3, unit(10 * (i % 5))) for i in range(60)]  # many ties
+    q, g = crops(spark, *rows[:12]), crops(spark, *rows[12:])
+    for found in (retrieval.match_ranks(q, g), retrieval.per_query(q, g)):
+        assert "Exchange" not in found._jdf.queryExecution().executedPlan().toString().split("MapInArrow")[0]
+    pairs = retrieval.ranked_pairs(q, g).filter("matched").collect()
+    want = {k: sorted(p["rank"] for p in pairs if p["q_id"] == k) for k in range(12)}
+    assert sorted((r.q_id, r.g_id, r["rank"]) for r in retrieval.match_ranks(q, g).collect()) == sorted((p["q_id"], p["g_id"], p["rank"]) for p in pairs)
+    for together in (retrieval.TOGETHER, 5):
+        monkeypatch.setattr(retrieval, "TOGETHER", together)
+        got = {r.q_id: (r.matches, r.first_hit, round(r.ap, 9)) for r in retrieval.per_query(q, g).collect()}
+        assert got == {k: (len(x), x[0], round(sum((i + 1) / r for i, r in enumerate(x)) / len(x), 9)) for k, x in want.items()}
+
+
+def test_near_crops_are_looked_at_in_turns(monkeypatch):
+    import numpy as np
+
+    v, d = np.ones((40, 2)), np.full(30, -2.0)
+    for turn in (1 << 20, 50):
+        monkeypatch.setattr(retrieval, "AT_ONCE", turn)
+        n = retrieval.closer(v, np.arange(40), np.ones((2, 2)), [d, d], [np.arange(30), np.arange(5, 35)])
+        assert [x.tolist() for x in n] == [list(range(30)), list(range(5, 35))]
+
+
 def test_closest_identities_in_small_blocks(spark, monkeypatch):
     rows = crops(spark, *[(p, 1, unit(7 * p * p % 180)) for p in range(23)])
     want = [tuple(r) for r in coherence.closest_identities(rows, 6).select("pid_a", "pid_b").collect()]
