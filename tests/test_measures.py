@@ -277,6 +277,16 @@ def test_pairs_above_a_floor_in_pruned_blocks(spark, monkeypatch):
     assert pivots.PIVOTS >= 1
 
 
+def test_pairs_of_two_blocks_go_on_strip_by_strip(spark, monkeypatch):
+    """A block's pairs are never one table in a task: no group is handed to Python whole, ids may be of any type."""
+    rows = crops(spark, *[(p, 1, (1, p / 1000)) for p in range(40)]).withColumn("pid", C("pid").cast("string"))
+    monkeypatch.setattr(coherence, "BLOCK", 15)
+    pairs = coherence.identity_pairs(rows)
+    plan = pairs._jdf.queryExecution().executedPlan().toString()
+    assert "CoGroup" not in plan and "MapInArrow" in plan
+    assert sorted((r.pid_a, r.pid_b) for r in pairs.collect()) == sorted((a, b) for a in map(str, range(40)) for b in map(str, range(40)) if a < b)
+
+
 def test_quantiles_by_refined_histograms(spark, monkeypatch):
     import numpy as np
 
