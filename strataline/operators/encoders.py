@@ -57,7 +57,8 @@ def detections(images: DataFrame, factory: Callable[[], Detector], categories: l
 
 def register_detector(spark: SparkSession, name: str, factory: Callable[[], Detector], categories: list[int]) -> None:
     """A table function for SQL: ``SELECT ... FROM images, LATERAL name(path)`` gives category_id, x, y, w, h and score
-    of each detection, as detections() does. The detector is made once in each task."""
+    of each detection, as detections() does. The detector is made once in each task. Rows go to and fro in batches
+    without Arrow, which would make a table for each image."""
     lone = categories[0] if len(categories) == 1 and categories[0] else None
 
     class Detected:
@@ -70,7 +71,7 @@ def register_detector(spark: SparkSession, name: str, factory: Callable[[], Dete
                 yield lone or int(c) + 1, float(x1), float(y1), float(x2 - x1), float(y2 - y1), float(score)
 
     kind = "category_id bigint, x double, y double, w double, h double, score double"
-    spark.udtf.register(name, F.udtf(Detected, returnType=kind, useArrow=True))
+    spark.udtf.register(name, F.udtf(Detected, returnType=kind, useArrow=False))
 
 
 def embedded(crops: DataFrame, factory: Callable[[], Encoder], source: str = "content", to: str = "embedding", mirror: bool = False, size: int = BATCH) -> DataFrame:
