@@ -10,8 +10,10 @@ from collections.abc import Callable, Iterator
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import ArrayType, FloatType, StructField, StructType
 
 BATCH = 64
 Detector = Callable[[str], tuple[np.ndarray, np.ndarray, np.ndarray]]
@@ -74,6 +76,11 @@ def register_detector(spark: SparkSession, name: str, factory: Callable[[], Dete
     spark.udtf.register(name, F.udtf(Detected, returnType=kind, useArrow=False))
 
 
+def _unit(v: np.ndarray) -> np.ndarray:
+    length = np.linalg.norm(v, axis=1, keepdims=True)
+    return (v / np.where(length == 0, 1, length)).astype(np.float32)
+
+
 def embedded(crops: DataFrame, factory: Callable[[], Encoder], source: str = "content", to: str = "embedding", mirror: bool = False, size: int = BATCH) -> DataFrame:
     """``crops`` with unit vectors. With ``mirror`` the encoder is asked for (items, mirrored) too and both are added."""
 
@@ -86,8 +93,7 @@ def embedded(crops: DataFrame, factory: Callable[[], Encoder], source: str = "co
                 v = np.asarray(encode(part), np.float64)
                 if mirror:
                     v = v + np.asarray(encode([mirrored(x) for x in part]), np.float64)
-                length = np.linalg.norm(v, axis=1, keepdims=True)
-                found += (v / np.where(length == 0, 1, length)).astype(np.float32).tolist()
+                found += list(_unit(v))
             yield pdf.assign(**{to: found})
 
     fields = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in crops.schema.fields)
@@ -101,21 +107,41 @@ def extracted(images: DataFrame, decoder: Callable, transform: Callable, module:
     ``decoder`` and ``transform`` are those of images.tensors(), and ``module`` makes a function of batches of arrays
     (channel, height, width). An image that cannot be decoded has no vector.
     """
-    from strataline.sources import images as files
+    from strataline.sources.images import HELD
     from strataline.sources.tables import exists
 
-    def factory() -> Encoder:
-        run = module()
-        return lambda items: run(np.stack([np.asarray(x["tensor"], np.float32).reshape(x["shape"]) for x in items]))
+    kept = [c for c in images.columns if c != "content"]
+    schema = StructType([*[images.schema[c] for c in kept], StructField("embedding", ArrayType(FloatType()))])
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        """At most BATCH images are pixels at a time, and some 8 MB of vectors wait."""
+        decode, change, encode = decoder(), transform(), module()
+        for batch in batches:
+            contents, keys = batch.column("content"), batch.column(key)
+            taken, pixels, vectors, held = [], [], [], 0
+            for k in range(batch.num_rows):
+                data = contents[k].as_py()
+                image = None if data is None else decode(data)
+                if image is not None:
+                    taken.append(k)
+                    pixels.append(np.asarray(change(image, str(keys[k].as_py())), np.float32))
+                if pixels and (len(pixels) == BATCH or k + 1 == batch.num_rows):
+                    vectors.append(_unit(np.asarray(encode(np.stack(pixels)), np.float64)))
+                    held, pixels = held + vectors[-1].nbytes, []
+                if taken and not pixels and (held >= HELD or k + 1 == batch.num_rows):
+                    v = np.concatenate(vectors)
+                    ends = pa.array(np.arange(len(v) + 1) * v.shape[1], pa.int32())
+                    some = batch.take(pa.array(taken, pa.int64()))
+                    yield pa.RecordBatch.from_arrays([*[some.column(c) for c in kept], pa.ListArray.from_arrays(ends, pa.array(v.ravel()))], schema.names)
+                    taken, vectors, held = [], [], 0
 
     dealt = images.withColumn("__part", F.pmod(F.xxhash64(key), F.lit(parts)))
     for part in range(parts):
         to = f"{path.rstrip('/')}/part={part}"
         if exists(images.sparkSession, f"{to}/_SUCCESS"):  # left when all of a part is written
             continue
-        rows = files.tensors(dealt.filter(F.col("__part") == part).drop("__part"), decoder, transform, key).filter("tensor IS NOT NULL")
-        crops = rows.select(*[c for c in rows.columns if c not in ("tensor", "shape")], F.struct("tensor", "shape").alias("__crop"))
-        embedded(crops, factory, "__crop").drop("__crop").write.mode("overwrite").parquet(to)
+        rows = dealt.filter(F.col("__part") == part).select(*kept, "content")
+        rows.mapInArrow(run, schema).write.mode("overwrite").parquet(to)
     return images.sparkSession.read.option("basePath", path).parquet(path).drop("part")
 
 
