@@ -19,6 +19,11 @@ edits that two near copies have in common are rare. So a large group of near cop
 each member, while every link between two parts is still found. Pairs are counted over the lists before
 their sets are read: linked sets share a known number of first shingles. All links are checked on whole sets.
 
+Before whole sets are read, pairs are compared by bits: each shingle of a set flips one of some 2 to 4 bits for each
+shingle, so the bits in which two sets differ are no more than the shingles in which they do. A pair that differs in
+more bits than a link allows is dropped. So the pairs that meet by chance or in common passages, whose number may grow
+faster than the texts, carry a thirtieth of their sets, and whole sets are carried for links and near misses alone.
+
 A class is a digest of 128 bits. It is written as a number of 64 bits, the digest's first 63; the few digests that
 agree in these get odd numbers of their own.
 
@@ -62,6 +67,9 @@ FILTER_BITS = (20, 28)
 BATCH_ROWS = 500
 PERCENT = 75
 
+#: Bits for each shingle of a set, at least; the number is rounded up to a power of two.
+BITS_PER_SHINGLE = 2
+
 Digest = Callable[[np.ndarray], tuple[int, int]]
 
 
@@ -98,6 +106,19 @@ def boundary(counts: dict[int, int], percent: int = PERCENT) -> int:
     return min(range(MOST_LIGHT + 1), key=lambda b: (cost(b), b))
 
 
+def flipped_bits(shingles: np.ndarray) -> bytes:
+    """Bits of a set, each flipped as often as a shingle falls on it."""
+    bits = 1 << max(6, (BITS_PER_SHINGLE * len(shingles) - 1).bit_length())
+    slots = (shingles & np.uint64(bits - 1)).astype(np.int64)
+    return np.packbits((np.bincount(slots, minlength=bits) & 1).astype(bool), bitorder="little").tobytes()
+
+
+def least_difference(x: bytes, y: bytes) -> int:
+    """So many shingles at least are in one of two sets alone. The bits of the larger are folded to the smaller's number."""
+    a, b = (np.frombuffer(z, np.uint64) for z in sorted((x, y), key=len))
+    return int(np.bitwise_count(a ^ np.bitwise_xor.reduce(b.reshape(-1, len(a)), axis=0)).sum())
+
+
 def _texts(docs: DataFrame, id_col: str, text_col: str, *more: Column) -> DataFrame:
     return docs.select(docs[id_col].alias("doc_id"), docs[text_col].alias("text"), *more)
 
@@ -142,33 +163,33 @@ def _source(texts: DataFrame, digest: Digest) -> Source:
 
 
 def _profiles(texts: DataFrame, digest: Digest) -> DataFrame:
-    """Rows of two kinds: doc_id, n and digest of each document, and the partial counters of each task.
+    """Rows of two kinds: doc_id, n, digest and bits of each document, and the partial counters of each task.
 
     Further columns of ``texts``, long numbers that are never null, go with the documents. Ids of any type pass
     as Arrow columns and are never converted.
     """
     keys = [c for c in texts.columns if c not in ("doc_id", "text")]
-    names = ["doc_id", "n", "d1", "d2", "chunk", "counts", *keys]
+    names = ["doc_id", "n", "d1", "d2", "chunk", "counts", "bits", *keys]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         counters, kind = np.zeros(1 << SKETCH_BITS, np.int64), None
         for batch in batches:
-            n, d1, d2 = [], [], []
+            n, d1, d2, bits = [], [], [], []
             for s in shingle_sets(_strings(batch.column("text").to_pylist())):
                 np.add.at(counters, (s >> np.uint64(64 - SKETCH_BITS)).astype(np.int64), 1)
                 a, b = digest(s)
-                n.append(len(s)), d1.append(a), d2.append(b)
+                n.append(len(s)), d1.append(a), d2.append(b), bits.append(flipped_bits(s) if len(s) else None)
             ids, rows = batch.column("doc_id"), batch.num_rows
             kind = ids.type
             numbers = [pa.array(x, pa.int64()) for x in (n, d1, d2)]
-            yield pa.RecordBatch.from_arrays([ids, *numbers, pa.array([-1] * rows, pa.int32()), pa.nulls(rows, pa.binary()), *[batch.column(k) for k in keys]], names)
+            yield pa.RecordBatch.from_arrays([ids, *numbers, pa.array([-1] * rows, pa.int32()), pa.nulls(rows, pa.binary()), pa.array(bits, pa.binary()), *[batch.column(k) for k in keys]], names)
         if counters.any():
             parts = [x.astype("<u4").tobytes() for x in np.split(np.minimum(counters, (1 << 32) - 1), CHUNKS)]
             zero = pa.array([0] * CHUNKS, pa.int64())
-            yield pa.RecordBatch.from_arrays([pa.nulls(CHUNKS, kind), zero, zero, zero, pa.array(range(CHUNKS), pa.int32()), pa.array(parts, pa.binary()), *[zero for _ in keys]], names)
+            yield pa.RecordBatch.from_arrays([pa.nulls(CHUNKS, kind), zero, zero, zero, pa.array(range(CHUNKS), pa.int32()), pa.array(parts, pa.binary()), pa.nulls(CHUNKS, pa.binary()), *[zero for _ in keys]], names)
 
     more = "".join(f", {k} bigint" for k in keys)
-    return texts.mapInArrow(run, f"doc_id {texts.schema['doc_id'].dataType.simpleString()}, n bigint, d1 bigint, d2 bigint, chunk int, counts binary{more}")
+    return texts.mapInArrow(run, f"doc_id {texts.schema['doc_id'].dataType.simpleString()}, n bigint, d1 bigint, d2 bigint, chunk int, counts binary, bits binary{more}")
 
 
 def _sketch(profiles: DataFrame) -> np.ndarray:
@@ -190,9 +211,13 @@ def _sketch(profiles: DataFrame) -> np.ndarray:
 
 
 def _entries(source: Source, sketch: np.ndarray, most_light: int, percent: int) -> DataFrame:
-    """Keys of each set: key, part, c (class), n, pos. In lists pos is the place in the order; for a key of
-    a subset it is -1 minus the partner's size, and part has more bits of the key."""
-    texts, class_of = source.texts, source.class_of()
+    """Keys of each set: key, part, c (class), n, pos. In lists pos is 0; for a key of a subset it is -1 minus the
+    partner's size, and part has more bits of the key.
+
+    A counter holds what all shingles have by chance, which grows with the texts, besides what a frequent one adds; so
+    a list is dealt to several tasks by what its counter has beyond the middle one.
+    """
+    texts, class_of, middle = source.texts, source.class_of(), int(np.median(sketch))
     shared = texts.sparkSession.sparkContext.broadcast(sketch)
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -223,11 +248,11 @@ def _entries(source: Source, sketch: np.ndarray, most_light: int, percent: int)
                 if partner_sizes(n, percent)[-1] > most_light:
                     load = counters[(s >> np.uint64(64 - SKETCH_BITS)).astype(np.int64)]
                     first = np.argsort(load, kind="stable")[: probe_length(n, percent)]
-                    split = (load[first].astype(np.int64) + LIST_ROWS - 1) // LIST_ROWS
+                    split = (load[first].astype(np.int64) - middle + LIST_ROWS - 1) // LIST_ROWS
                     keys.append(s[first].view(np.int64))
                     # 0: the whole list is in one part
                     parts.append(np.where(split > 1, 1 + abs(c) % np.maximum(split, 1), 0).astype(np.int32))
-                    places.append(np.arange(len(first), dtype=np.int32))
+                    places.append(np.zeros(len(first), np.int32))
                     cs.append(np.full(len(first), c)), ns.append(np.full(len(first), n, np.int32))
             if keys:
                 yield pd.DataFrame({"key": np.concatenate(keys), "part": np.concatenate(parts), "c": np.concatenate(cs), "n": np.concatenate(ns), "pos": np.concatenate(places)})
@@ -328,11 +353,31 @@ def _sets(source: Source, classes: DataFrame) -> DataFrame:
     return sets.join(classes, "c", "left_semi").dropDuplicates(["c"])
 
 
+def _may_link(pairs: DataFrame, source: Source, percent: int) -> DataFrame:
+    """Pairs (a, b) without those that differ in more bits than a link allows, written."""
+
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for pdf in batches:
+            differ = np.fromiter(map(least_difference, pdf["x"], pdf["y"]), np.int64, len(pdf))
+            both = (pdf["n"] + pdf["m"]).to_numpy()
+            yield pdf.loc[(100 + percent) * (both - differ) >= 2 * percent * both, ["a", "b"]]
+
+    pairs = materialise(pairs.select("a", "b"), "candidates")
+    classes = pairs.select(F.col("a").alias("c")).union(pairs.select("b")).distinct()
+    bits = materialise(_numbered(source).select("c", "n", "bits").join(classes, "c", "left_semi").dropDuplicates(["c"]), "bits")
+    x = bits.select(F.col("c").alias("a"), "n", F.col("bits").alias("x"))
+    y = bits.select(F.col("c").alias("b"), F.col("n").alias("m"), F.col("bits").alias("y"))
+    out = materialise(pairs.join(x, "a").join(y, "b").mapInPandas(run, "a bigint, b bigint"), "pairs")
+    discard(pairs, bits)
+    return out
+
+
 def _overlaps(pairs: DataFrame, source: Source, percent: int, rest: bool = False) -> DataFrame:
     """(a, b, n, both, linked) of pairs (a, b), written: size of a's set, of the overlap, and whether they link.
 
-    With ``rest``, also the first shingles of a that are not in b: so many that any set that overlaps with b
-    no more than it needs to link with a shares one of them.
+    Without ``rest``, pairs whose bits rule out a link are left out. With it, all are told, and also the first
+    shingles of a that are not in b: so many that any set that overlaps with b no more than it needs to link with
+    a shares one of them.
     """
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -349,7 +394,7 @@ def _overlaps(pairs: DataFrame, source: Source, percent: int, rest: bool = False
                     rests.append(own[: len(own) - max(need, 1) + 1].view(np.int64))
             yield pd.DataFrame({"a": pdf["a"], "b": pdf["b"], "n": np.array(n, np.int64), "both": np.array(found, np.int64), "linked": np.array(linked, bool), **({"rest": rests} if rest else {})})
 
-    pairs = materialise(pairs.select("a", "b"), "pairs")
+    pairs = materialise(pairs.select("a", "b"), "pairs") if rest else _may_link(pairs, source, percent)
     classes = materialise(pairs.select(F.col("a").alias("c")).union(pairs.select("b")).distinct(), "classes")
     sets = materialise(_sets(source, classes), "sets")
     x = sets.select(F.col("c").alias("a"), F.col("shingles").alias("x"))

@@ -205,6 +205,41 @@ def test_one_of_each_row(spark):
     assert sorted(got, key=str) == sorted((tuple(r) for r in jaccard_join.one_of_each(docs.repartition(2)).collect()), key=str)
 
 
+def test_bits_never_differ_more_than_sets():
+    draw = np.random.default_rng(4)
+    for n in (1, 3, 31, 32, 33, 64, 65, 500, 3000):
+        pool = draw.integers(0, 1 << 63, 4 * n, dtype=np.uint64)
+        for share in (0, 0.5, 0.9, 1):
+            for m in (n, max(1, 3 * n // 4), n + n // 3):
+                x, y = np.unique(pool[:n]), np.unique(pool[n - int(share * n) : n - int(share * n) + m])
+                least = jaccard_join.least_difference(*map(jaccard_join.flipped_bits, (x, y)))
+                assert least <= len(np.setxor1d(x, y))
+                assert len(x) != len(y) or share or n < 31 or least > len(x) // 2
+
+
+def test_whole_sets_are_read_for_near_pairs_alone(spark, monkeypatch):
+    """Of texts that are half alike each meets each; their sets are not read, those of two near copies are."""
+    half = [" ".join([*(f"b{k}" for k in range(60)), *(f"own{i}.{k}" for k in range(60))]) for i in range(12)]
+    docs = [*enumerate(half), (50, half[0] + " more")]
+    source = jaccard_join._source(spark.createDataFrame(docs, "doc_id long, text string"), shingles.digest)
+    classes = jaccard_join._numbered(source).select("doc_id", "c")
+    pairs = classes.selectExpr("c AS a").crossJoin(classes.selectExpr("c AS b")).filter("a < b")
+    read, sets = [], jaccard_join._sets
+    monkeypatch.setattr(jaccard_join, "_sets", lambda source, wanted: read.extend(r.c for r in wanted.collect()) or sets(source, wanted))
+    found = jaccard_join._overlaps(pairs, source, 75).filter("linked").select("a", "b").collect()
+    near = sorted(r.c for r in classes.filter("doc_id IN (0, 50)").collect())
+    assert [list(r) for r in found] == [near] and sorted(read) == near
+
+
+def test_lists_of_many_texts_hold_what_is_shared(spark):
+    """Counters that are full because texts are many do not make each shingle a list of its own."""
+    docs = [(0, "a b c d e f g"), (1, "h i j k l m n"), (2, "o p q r s t u"), (3, "o p q r s t u v")]
+    source = jaccard_join._source(spark.createDataFrame(docs, "doc_id long, text string"), shingles.digest)
+    full = np.full(1 << jaccard_join.SKETCH_BITS, 10 * jaccard_join.LIST_ROWS, np.uint32)
+    rows = jaccard_join._in_lists(jaccard_join._entries(source, full, 0, 75)).collect()
+    assert rows and all(n == 2 for n in Counter((r.key, r.part) for r in rows).values())
+
+
 def test_shingle_counts():
     texts = ["a b c d e f", "A B c D e", "é\x0bx", None, "a a a a a a a a", "ÀÉ É"]
     assert [len(s) for s in shingles.shingle_sets(texts)] == [len(plain_shingles(t)) for t in texts]
