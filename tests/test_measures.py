@@ -399,3 +399,14 @@ def test_summary_by_ranges_and_categories(spark, monkeypatch):
         assert one.AP75 == pytest.approx(mean(lambda c: c[1] == "all" and c[2] == 0.75))
     finally:
         spark.conf.set("spark.sql.shuffle.partitions", "2")
+
+
+def test_pairs_of_blocks_shuffle_no_vectors(spark, monkeypatch):
+    """Only numbers of blocks are dealt, whatever their vectors and pairs: tasks read the blocks themselves."""
+    rows = crops(spark, *[(p, 1, unit(p)) for p in range(60)])
+    monkeypatch.setattr(coherence, "BLOCK", 7)
+    pairs = coherence.identity_pairs(rows, floor=0.5)
+    plan = pairs._jdf.queryExecution().optimizedPlan().toString()
+    assert "RepartitionByExpression" in plan and "g_vec" not in plan
+    want = {(a, b) for a in range(60) for b in range(a + 1, 60) if b - a < 60}
+    assert sorted((r.pid_a, r.pid_b) for r in pairs.collect()) == sorted(want)
