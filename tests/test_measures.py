@@ -410,3 +410,26 @@ def test_pairs_of_blocks_shuffle_no_vectors(spark, monkeypatch):
     assert "RepartitionByExpression" in plan and "g_vec" not in plan
     want = {(a, b) for a in range(60) for b in range(a + 1, 60) if b - a < 60}
     assert sorted((r.pid_a, r.pid_b) for r in pairs.collect()) == sorted(want)
+
+
+def test_blocks_of_queries_shuffle_no_gallery(spark, monkeypatch):
+    """However many blocks the queries lie in, only queries are dealt to them: tasks read the gallery themselves."""
+    rows = [(i % 5, 1 + i % 3, unit(7 * i % 180)) for i in range(60)]
+    q, g = crops(spark, *rows[:9]), crops(spark, *rows[9:])
+    want = sorted(tuple(r) for r in retrieval.ranked_pairs(q, g).filter("matched").select("q_id", "g_id", "rank").collect())
+    for name, size in (("PART", 20), ("BLOCK", 2)):
+        monkeypatch.setattr(retrieval, name, size)
+    found = retrieval.match_ranks(q, g)
+    plan = found._jdf.queryExecution().optimizedPlan().toString()
+    assert "Union" not in plan and "g_vec" not in plan and "parts-" not in plan
+    assert sorted(map(tuple, found.collect())) == want
+
+
+@pytest.mark.parametrize("side", ["left", "right"])
+def test_places_of_many_among_few(side):
+    import numpy as np
+
+    draw = np.random.default_rng(5)
+    for few, many in ((0, 9), (1, 3), (4, 100), (30, 4)):
+        line, places = np.sort(draw.integers(0, 12, few)).astype(float), np.sort(draw.integers(0, 12, many)).astype(float)
+        assert retrieval._before(line, places, side).tolist() == np.searchsorted(line, places, side).tolist()
